@@ -5,12 +5,13 @@ sequence). Documents with equal sets form a node. Each node has M registers, flo
 exponentially spread hashes, kept within 0..q+1: registers of a union are the registers' maxima. Bands of R registers
 are hashed; nodes that share a band are candidates.
 
-Never all pairs of a bucket: each bucket links its members to one pivot (a star), and each candidate pair passes a
-joint maximum-likelihood estimate from its registers' order (margin MARGIN below the threshold, about six standard
-errors) before the full sets are compared. Links are contracted to components by alternating stars. Then buckets that
-still hold more than one component give the pairs across components that no star has compared; these are estimated
-and verified likewise. A pair within one component needs no link of its own. So every pair of texts that shares a band
-is either verified, excluded by its estimate, or already connected.
+A bucket never gives all its pairs as rows: it links its members to one pivot (a star), the member that meets most
+others, and each of these pairs passes a joint maximum-likelihood estimate from its registers' order (MARGIN below the
+threshold, about six standard errors) before the full sets are compared. Links are contracted to components by
+alternating stars. Members that met under the same pivot but are in different components are then compared with each
+other, full set with full set, in bounded blocks that give only links between components. A pair within one component
+needs no link of its own. So every pair of texts that shares a band is compared, excluded by its estimate with the pivot as
+one end, or already connected.
 
 A pair of similarity 0.8 shares none of 40 bands of 5 registers with probability (1 - 0.8**5)**40, about 1e-7.
 
@@ -36,6 +37,7 @@ BANDS, ROWS = 40, 5
 M = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 MARGIN = 0.17
+BLOCK_SHINGLES = 1_500_000
 _MULTIPLY = mix(np.arange(1, M + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(1001, M + 1001, dtype=np.uint64))
 
@@ -127,12 +129,24 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     return fits.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= percent * union."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct().join(nodes.select("nid", "node", "rep.*"), "nid")
+def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(nid, node, text): one document's text for each wanted node number."""
+    wanted = wanted.join(nodes.select("nid", "node", "rep.*"), "nid")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).cast("string").alias("text"))
     match = [wanted["doc_id"].eqNullSafe(texts["doc_id"]), wanted["th"] == texts["th"]]
-    own = wanted.join(texts, match).select("nid", "node", "text").dropDuplicates(["nid"])
+    return wanted.join(texts, match).select("nid", "node", "text").dropDuplicates(["nid"])
+
+
+def _checked_set(text: str, node: bytes) -> np.ndarray:
+    found = shingle_set(text)
+    if xxhash.xxh3_128_digest(found.tobytes()) != node:
+        raise ValueError("a document's text changed while it was read")
+    return found
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """The pairs whose full sets have 100 * intersection >= percent * union."""
+    own = _texts(pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct(), nodes, docs, id_col, text_col)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last: dict[int, np.ndarray] = {}
@@ -141,9 +155,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
             if nid not in last:
                 if len(last) > 64:
                     last.clear()
-                last[nid] = shingle_set(text)
-                if xxhash.xxh3_128_digest(last[nid].tobytes()) != node:
-                    raise ValueError("a document's text changed while it was read")
+                last[nid] = _checked_set(text, node)
             return last[nid]
 
         for pdf in batches:
@@ -158,6 +170,64 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a long, b long")
 
 
+def block_links(sets: list[np.ndarray], nids: list[int], comps: list[int], left: list[bool], right: list[bool], percent: int) -> list[tuple[int, int]]:
+    """Links between left and right members of different components, one for each two components they join."""
+    root = {c: c for c in comps}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    sizes = np.array([len(s) for s in sets])
+    flat, back = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    ys = np.flatnonzero(right)
+    ids = np.concatenate([back[starts[y] : starts[y] + sizes[y]] for y in ys])
+    at = np.cumsum(sizes[ys]) - sizes[ys]
+    mark, out = np.zeros(len(flat), np.int32), []
+    for x in np.flatnonzero(left):
+        own = back[starts[x] : starts[x] + sizes[x]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[ids], at)
+        mark[own] = 0
+        for y in ys[100 * both >= percent * (sizes[x] + sizes[ys] - both)]:
+            a, b = find(comps[x]), find(comps[y])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((min(nids[x], nids[y]), max(nids[x], nids[y])))
+    return out
+
+
+def _crossing(members: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Links across components among nodes that met in buckets of the same pivot.
+
+    Each such group's main component lies apart from the rest; both are dealt into blocks of about BLOCK_SHINGLES
+    shingles, and every pair of blocks but two of the main component is one bounded task that compares full sets.
+    Pairs are compared there and never made as rows; a task gives at most one link for each two components."""
+    group = written(members.select("pivot", "nid").distinct().join(labels, "nid", "left").withColumn("comp", F.coalesce("comp", "nid")).join(nodes.select("nid", "n"), "nid"), "groups")
+    parts = group.groupBy("pivot", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    mains = parts.groupBy("pivot").agg(F.max(F.struct("c", "comp", "n")).alias("main"), F.count("*").alias("k"), F.sum("c").alias("m"), F.sum("n").alias("n")).filter("k > 1 and m > 2")
+    blocks = lambda n: F.ceil(n / BLOCK_SHINGLES).cast("int")
+    mains = mains.select("pivot", F.col("main.comp").alias("main"), blocks(F.col("main.n")).alias("bm"), blocks(F.col("n") - F.col("main.n")).alias("br"))
+    rows = group.join(mains, "pivot").withColumn("is_main", F.col("comp") == F.col("main"))
+    rows = rows.withColumn("own", F.when(F.col("is_main"), F.pmod(F.xxhash64("nid"), "bm")).otherwise(F.pmod(F.xxhash64("nid"), "br") + F.col("bm")).cast("int"))
+    rest = "transform(sequence(bm, bm + br - 1), r -> named_struct('i', least(own, r), 'j', greatest(own, r)))"
+    main = "transform(sequence(0, bm - 1), b -> named_struct('i', b, 'j', own))"
+    rows = rows.withColumn("ij", F.explode(F.expr(f"if(is_main, {rest}, concat({main}, {rest}))")))
+    rows = rows.select("pivot", "ij.i", "ij.j", "own", "nid", "comp")
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = [_checked_set(t, n) for t, n in zip(pdf["text"], pdf["node"], strict=True)]
+        left, right = pdf["own"] == key[1], pdf["own"] == key[2]
+        found = block_links(sets, pdf["nid"].tolist(), pdf["comp"].tolist(), left.tolist(), right.tolist(), percent) if left.any() and right.any() else []
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    texts = _texts(rows.select("nid").distinct(), nodes, docs, id_col, text_col)
+    return rows.join(texts, "nid").groupBy("pivot", "i", "j").applyInPandas(run, "a long, b long")
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(nid, comp) for every linked node: comp is the least node of its component, by alternating stars.
 
@@ -190,24 +260,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "th")).alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"))
     nodes = written(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     bands = nodes.select("nid", F.explode(_band_keys("regs")).alias("key"))
-    buckets = bands.groupBy("key").agg(F.min("nid").alias("pivot"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    members = written(bands.join(buckets, "key"), "members")
-    stars = members.filter("nid <> pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")).distinct()
+    # The pivot of a bucket is the member that meets the most others over all its buckets: the text that copies were
+    # made from is nearer to each of them than they are to each other.
+    crowd = bands.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    met = written(bands.join(crowd, "key"), "met")
+    degree = met.groupBy("nid").agg(F.sum("c").alias("degree"))
+    ranked = met.join(degree, "nid").groupBy("key").agg(F.max(F.struct("degree", (-F.col("nid")).alias("low"))).alias("top"))
+    members = written(met.select("key", "nid").join(ranked.select("key", (-F.col("top.low")).alias("pivot")), "key"), "members")
+    stars = members.filter("nid <> pivot").select(F.least("pivot", "nid").alias("a"), F.greatest("pivot", "nid").alias("b")).distinct()
     likely = written(_estimated(stars, nodes, threshold), "likely")
     links = written(_verified(likely, nodes, docs, id_col, text_col, percent), "verified")
     labels = written(components(links), "labels")
-    # Buckets that still hold several components: their pairs across components, but for what a star has compared.
-    marked = members.join(labels, "nid", "left").withColumn("comp", F.coalesce("comp", "nid"))
-    mixed = marked.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).filter("c1 <> c2").select("key")
-    open_rows = marked.join(mixed, "key")
-    x, y = (open_rows.select("key", F.col("pivot").alias(f"p{i}"), F.col("nid").alias(i), F.col("comp").alias(f"c{i}")) for i in "ab")
-    rest = x.join(y, "key").filter("a < b and ca <> cb and a <> pa and b <> pa").select("a", "b").distinct()
-    rest = rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    likely = written(_estimated(rest, nodes, threshold), "likely")
-    if likely.limit(1).count():
-        more = written(_verified(likely, nodes, docs, id_col, text_col, percent), "verified")
-        if more.limit(1).count():
-            labels = written(components(links.unionByName(more)), "labels")
+    more = written(_crossing(members, labels, nodes, docs, id_col, text_col, percent), "crossing")
+    if more.limit(1).count():
+        labels = written(components(links.unionByName(more)), "labels")
     comps = nodes.select("nid", "node", "rep.doc_id").join(labels, "nid", "left").withColumn("comp", F.coalesce("comp", "nid"))
     named = comps.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     ids = comps.join(named, "comp").select("node", "component_id")
