@@ -16,8 +16,11 @@ Defined cases: null and empty texts are one end token. Documents with equal or n
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,14 +31,19 @@ from tidemill.llm.common import written
 
 CAPACITY = 1024
 GROUP_PIECES = 8192
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 600_000
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, draw long"
 
 
+_ODD = re.compile(r"\s | \s|\x00")
+_TAIL = re.compile(r"^( ?[^\W_]+)([.,;:!?]+)$")
+
+
 class SegmentEncoder:
     """Token ids of texts as little-endian 32-bit bytes, with a bounded cache of segments."""
 
     def __init__(self, tokenizer_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
@@ -47,6 +55,8 @@ class SegmentEncoder:
 
     @staticmethod
     def segments(text: str) -> list[str]:
+        if not _ODD.search(text) and not text.startswith(" "):
+            return text.replace(" ", "\x00 ").split("\x00")
         words = text.split(" ")
         out = [words[0]]
         for w in words[1:]:
@@ -57,24 +67,41 @@ class SegmentEncoder:
                 out[-1] += " " + w
         return out
 
+    def _learn(self, new: set[str]) -> None:
+        """Put segments into the cache; a word with sentence marks behind it is the word's ids, then the marks'."""
+        known = self.cache
+        tails = {s: m.groups() for s in new if (m := _TAIL.match(s))}
+        fresh = list({x for s in new for x in tails.get(s, (s,)) if x not in known})
+        for at in range(0, len(fresh), 4096):
+            part = fresh[at : at + 4096]
+            known.update(zip(part, self._encode(part), strict=True))
+        for s, (stem, marks) in tails.items():
+            known[s] = known[stem] + known[marks]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [any(s in t for s in self.special) for t in texts]
         cut = [[] if w else self.segments(t) for t, w in zip(texts, whole, strict=True)]
-        new = {s for segs in cut for s in segs if s not in self.cache}
-        if len(self.cache) + len(new) > CACHE_SEGMENTS:
-            self.cache.clear()
-            new = {s for segs in cut for s in segs}
         known = self.cache
-        fresh = list(new)
-        known.update(zip(fresh, self._encode(fresh), strict=True))
-        return [self._encode([t])[0] if w else b"".join([known[s] for s in segs]) for t, w, segs in zip(texts, whole, cut, strict=True)]
+        used = set().union(*cut)
+        new = used.difference(known)
+        if len(known) + len(new) > CACHE_SEGMENTS:
+            known.clear()
+            new = used
+        self._learn(new)
+        return [self._encode([t])[0] if w else b"".join(map(known.__getitem__, segs)) for t, w, segs in zip(texts, whole, cut, strict=True)]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer_file: str) -> SegmentEncoder:
+    """One encoder per Python worker, kept from task to task."""
+    return SegmentEncoder(tokenizer_file)
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document cut into pieces of at most `capacity` tokens, with start, length and checksum (and ids)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = SegmentEncoder(tokenizer_file), np.array([end_id], "<u4").tobytes()
+        encoder, end = encoder_of(tokenizer_file), np.array([end_id], "<u4").tobytes()
         for pdf in batches:
             for lo in range(0, len(pdf), 256):
                 part = pdf.iloc[lo : lo + 256]
