@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import order_hash, scratch_path
+from tidemill.llm.common import order_hash, scratch_path, written
 
 CRLF = "\r\n"
 END = "\r\n\r\n"
@@ -142,10 +142,11 @@ def assemble(records: DataFrame, with_payload: bool = True) -> DataFrame:
 
     Payloads are digested where they were parsed; without `with_payload` they stay out of the shuffles."""
     hashed = records.withColumn("stored_digest", F.sha1("payload")).withColumn("stored_bytes", F.octet_length("payload").cast("long"))
+    if not with_payload:  # parse the archives once: what is read twice below is the short table
+        hashed = written(hashed.drop("payload"), "records")
     kept = ["file", "record_id", "warc_type", "target_uri", "date", "refers_to", "payload_digest", "payload_bytes", "stored_digest", "stored_bytes", *(["payload"] if with_payload else [])]
     main = hashed.filter(F.col("warc_type").isin("response", "revisit")).select(F.col("record_id").alias("rid"), F.struct(*kept).alias("response"))
-    # The small records are parsed apart from the payloads: column pruning can't reach into a parser.
-    side = records.filter(F.col("warc_type").isin("request", "metadata")).select(F.col("concurrent_to").alias("rid"), "warc_type", F.struct("record_id", "target_uri", "date", "capture_id", "metadata").alias("r"))
+    side = hashed.filter(F.col("warc_type").isin("request", "metadata")).select(F.col("concurrent_to").alias("rid"), "warc_type", F.struct("record_id", "target_uri", "date", "capture_id", "metadata").alias("r"))
     side = side.groupBy("rid").agg(F.max(F.when(F.col("warc_type") == "request", F.col("r"))).alias("request"), F.max(F.when(F.col("warc_type") == "metadata", F.col("r"))).alias("metadata"))
     return main.join(side, "rid", "left").select(F.col("rid").alias("record_id"), "request", "response", "metadata")
 
