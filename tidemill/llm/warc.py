@@ -6,13 +6,13 @@ of at least `min_revisit_bytes` the one with the largest id is stored in full, t
 to it. Records are built by DataFrame expressions and written by Spark's text writer, whose line separator is the blank
 line pair that ends every WARC record, so that archives are byte-exact wherever Spark can write.
 
-Reading: each archive file is one row of binaryFile, cut into records by Content-Length. `files_of` bounds the bytes
+Reading: each archive file is one row of binaryFile, cut into records by Content-Length. `file_bytes` bounds the bytes
 that a file gets (records longer than that have a file's worth of their own), which bounds a task's memory. Transactions are
 assembled by joining request, response and metadata records through their concurrent-to ids into one nested row.
 
 Defined cases: null html is an empty payload; null urls are written as `about:blank`; captures with a null id are
-written and returned with a null id, and are stored in full. Ids that repeat are captures each; with equal payloads,
-only one of them is the response. Empty tables give an empty archive and no rows.
+written and returned with a null id, and are stored in full. Rows that repeat an id are captures each; those that repeat
+the stored capture's id and payload are stored in full too. Empty tables give an empty archive and no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import order_hash, scratch_path, written
+from tidemill.llm.common import scratch_path, written
 
 CRLF = "\r\n"
 END = "\r\n\r\n"
@@ -43,27 +43,28 @@ def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
     return F.concat(F.lit("WARC/1.1\r\n"), F.concat_ws(CRLF, *lines, F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string"))), F.lit(END), block)
 
 
-def plan_captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 1000) -> DataFrame:
-    """capture_id, key, url, html, digest, refers_to (null: stored in full) for every page.
+def plan_captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit_bytes: int = 1000, files: int = 1) -> DataFrame:
+    """capture_id, deal, url, html, digest, refers_to (null: stored in full) for every page, dealt into `files` partitions.
 
-    Only digests are grouped and joined, by partial maxima; a payload that a third of all pages share is one group of
-    short rows, which a skew join may split."""
+    Which capture is stored is found from ids and digests alone: partial maxima, then a join with the short table of
+    repeated payloads, which a skew join may split where a third of all pages share one. Payloads are shuffled once, by
+    id and digest, to the file that they are written to; `deal` spreads captures without an id."""
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("capture_id"), F.coalesce(F.col(url_col), F.lit("about:blank")).alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"))
-    rows = rows.withColumn("shared", (F.octet_length("html") >= min_revisit_bytes) & F.col("capture_id").isNotNull())
-    first = rows.filter("shared").groupBy("digest").agg(F.max("capture_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    joined = rows.join(first, "digest", "left")
-    refers = F.when(F.col("shared") & (F.col("capture_id") != F.col("first")), F.col("first"))
-    return joined.select("capture_id", "url", "html", "digest", refers.alias("refers_to"))
+    short = rows.filter((F.octet_length("html") >= min_revisit_bytes) & F.col("capture_id").isNotNull()).select("capture_id", "digest")
+    first = short.groupBy("digest").agg(F.max("capture_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    refers = short.join(written(first, "stored"), "digest").filter("capture_id <> refers_to").withColumn("deal", F.lit(0).cast("long")).dropDuplicates(["capture_id", "digest", "deal"])
+    dealt = rows.withColumn("deal", F.when(F.col("capture_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    keys = ["capture_id", "digest", "deal"]
+    # The hash table holds the short rows of one file's captures; payloads are neither sorted nor shuffled again.
+    return dealt.repartition(files, *keys).join(refers.hint("shuffle_hash"), keys, "left")
 
 
 def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, compression: str = "gzip", **columns) -> str:
     """Write all captures as WARC files of about `file_bytes` under `path`; returns the path."""
-    caps = plan_captures(pages, **columns)
     total = pages.select(F.sum(F.octet_length(F.coalesce(F.col(columns.get("html_col", "html")), F.lit(""))) + 2000)).first()[0] or 0
-    caps = caps.repartition(int(max(1, -(-total // file_bytes))), order_hash("capture_id", "url", seed="file"))
-    key = F.coalesce(F.col("capture_id").cast("string"), F.concat(F.lit("null "), F.monotonically_increasing_id().cast("string")))
-    caps = caps.withColumn("key", key)
+    caps = plan_captures(pages, files=int(max(1, -(-total // file_bytes))), **columns)
+    caps = caps.withColumn("key", F.coalesce(F.col("capture_id").cast("string"), F.concat(F.lit("null "), F.col("deal").cast("string"))))
     main, uri = _uuid("response", F.col("key")), F.regexp_replace("url", r"[\r\n]+", " ")
     host = F.regexp_extract("url", r"://([^/?#]*)", 1)
     base = lambda kind, rid: [("WARC-Type", kind), ("WARC-Record-ID", rid), ("WARC-Date", F.lit(DATE)), ("WARC-Target-URI", uri)]
@@ -154,7 +155,9 @@ def assemble(records: DataFrame, with_payload: bool = True) -> DataFrame:
 def resolved(captures: DataFrame) -> DataFrame:
     """capture_id, payload_bytes, payload_digest, record_type, refers_to: revisits take size and digest from the response that they refer to."""
     rows = captures.select("record_id", F.col("metadata.capture_id").alias("capture_id"), F.col("response.warc_type").alias("record_type"), F.col("response.refers_to").alias("ref"), F.col("response.stored_bytes").alias("bytes"), F.col("response.stored_digest").alias("digest"))
-    stored = rows.filter("record_type = 'response'").select(F.col("record_id").alias("ref"), F.col("capture_id").alias("refers_to"), F.col("bytes").alias("ref_bytes"), F.col("digest").alias("ref_digest"))
+    # As a table of its own, so that the join below shuffles both sides and can split a response with many revisits.
+    rows = written(rows, "captures")
+    stored = rows.filter("record_type = 'response'").select(F.col("record_id").alias("ref"), F.col("capture_id").alias("refers_to"), F.col("bytes").alias("ref_bytes"), F.col("digest").alias("ref_digest")).dropDuplicates(["ref"])
     out = rows.join(stored, "ref", "left")
     return out.select("capture_id", F.coalesce("bytes", "ref_bytes").alias("payload_bytes"), F.coalesce("digest", "ref_digest").alias("payload_digest"), "record_type", "refers_to")
 
