@@ -157,7 +157,9 @@ def resolved(captures: DataFrame) -> DataFrame:
     rows = captures.select("record_id", F.col("metadata.capture_id").alias("capture_id"), F.col("response.warc_type").alias("record_type"), F.col("response.refers_to").alias("ref"), F.col("response.stored_bytes").alias("bytes"), F.col("response.stored_digest").alias("digest"))
     # As a table of its own, so that the join below shuffles both sides and can split a response with many revisits.
     rows = written(rows, "captures")
-    stored = rows.filter("record_type = 'response'").select(F.col("record_id").alias("ref"), F.col("capture_id").alias("refers_to"), F.col("bytes").alias("ref_bytes"), F.col("digest").alias("ref_digest")).dropDuplicates(["ref"])
+    stored = rows.filter("record_type = 'response'").select(F.col("record_id").alias("ref"), F.col("capture_id").alias("refers_to"), F.col("bytes").alias("ref_bytes"), F.col("digest").alias("ref_digest"))
+    named = rows.select("ref").distinct()
+    stored = written(stored.join(named, "ref", "left_semi").dropDuplicates(["ref"]), "responses")
     out = rows.join(stored, "ref", "left")
     return out.select("capture_id", F.coalesce("bytes", "ref_bytes").alias("payload_bytes"), F.coalesce("digest", "ref_digest").alias("payload_digest"), "record_type", "refers_to")
 
