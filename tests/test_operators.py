@@ -1,0 +1,25 @@
+"""Small cases of operators that the tables don't show."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemill.operators import catalog
+
+
+def test_roots_of_chains_and_cycles(spark):
+    edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("d", "c"), ("x", "y"), ("y", "x")], "node string, parent string")
+    got = {r["node"]: (r["root"], r["depth"]) for r in catalog.roots(edges).collect()}
+    assert got["d"] == ("a", 3) and got["b"] == ("a", 1)
+    assert got["x"][0] is None and got["y"][0] is None
+
+
+def test_roots_of_no_edges(spark):
+    assert catalog.roots(spark.createDataFrame([], "node string, parent string")).count() == 0
+
+
+def test_flagship_ignores_order_of_rows(spark):
+    from tidemill.plans import registry
+
+    first = registry.queries()["slice_visible_by_lang"](spark, "/root/testdata/sf0.001")
+    assert {r["lang"] for r in first.collect()} == {r["lang"] for r in first.orderBy(F.desc("n")).collect()}
