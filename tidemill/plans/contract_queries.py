@@ -29,7 +29,8 @@ def layer_problems(spark, sf):
 
 @query("G12_families", "WITH RECURSIVE r(node, root, depth) AS (SELECT c_custkey, c_custkey, 0 FROM customer WHERE c_custkey % 16 = 1 UNION ALL SELECT c.c_custkey, r.root, r.depth + 1 FROM customer c JOIN r ON c.c_custkey - 1 = r.node AND c.c_custkey % 16 <> 1) SELECT node, root, CAST(depth AS BIGINT) AS depth FROM r")
 def families(spark, sf):
-    edges = table(spark, sf, "customer").select(F.col("c_custkey").alias("node"), F.when(F.col("c_custkey") % 16 != 1, F.col("c_custkey") - 1).alias("parent"))
+    # Key 0 has no predecessor among the customers and so belongs to no family.
+    edges = table(spark, sf, "customer").filter("c_custkey > 0").select(F.col("c_custkey").alias("node"), F.when(F.col("c_custkey") % 16 != 1, F.col("c_custkey") - 1).alias("parent"))
     return catalog.roots(edges, 16)
 
 
