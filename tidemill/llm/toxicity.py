@@ -9,8 +9,8 @@ much likelier they are in positive than in unlabelled rows. Training takes at mo
 MAX_UNLABELLED unlabelled rows of the training fold, those with the least hash; scoring takes every text.
 The prior is a parameter; unless given, it is the share of positives among the labelled training rows.
 
-Defined cases: null and empty texts are scored from the bias alone. Without a positive training row the score is the
-prior (0 without labels). Rows that repeat count as often as they occur. Empty tables give no rows.
+Defined cases: null and empty texts are scored from the bias alone. Without a positive training row, or a word that two of them share, the
+score is the prior (near 0 without labels). Rows that repeat count as often as they occur. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -80,6 +80,8 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     words = np.sort(seen[[i for i in order if z[i] >= MIN_Z and share_p[i] >= 2 * share_u[i]][:MAX_WORDS]]).astype(np.int32)
     if not len(words):
         words = np.sort(seen[order[:16]]).astype(np.int32)
+    if not len(words):  # no word occurs in two positive rows
+        return Classifier(words, np.empty(0), float(np.log(prior / (1 - prior))))
 
     def matrix(rows: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(rows), len(words) + 1), np.float32)
