@@ -61,3 +61,38 @@ def near_words(words: DataFrame, limit: int, top: int) -> DataFrame:
 
     rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "word"))
     return near.select("query", "word", "distance", rank.alias("rank")).filter(F.col("rank") <= top)
+
+
+def misaligned(left: DataFrame, right: DataFrame, key: str, column: str) -> DataFrame:
+    """Keys at which two tables don't fit one to one: key and missing, stray, repeated or different (the first that holds)."""
+    side = lambda df, n, v: df.groupBy(key).agg(F.count("*").alias(n), F.min(F.struct(column)).alias(v))
+    both = side(left, "n_left", "left").join(side(right, "n_right", "right"), key, "full")
+    problem = F.when(F.col("n_right").isNull(), "missing").when(F.col("n_left").isNull(), "stray").when((F.col("n_left") > 1) | (F.col("n_right") > 1), "repeated").when(~F.col("left").eqNullSafe(F.col("right")), "different")
+    return both.select(key, problem.alias("problem")).filter("problem is not null")
+
+
+def covering(terms: DataFrame, texts: DataFrame, id_col: str, words) -> DataFrame:
+    """Terms (one word each) with the number of texts that hold them, and the first: an equi-join on words, 0 where none does."""
+    held = texts.select(id_col, F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("n"), F.min(id_col).alias("first"))
+    return terms.select("term").distinct().join(held, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n"), "first")
+
+
+def shared_openings(rows: DataFrame, id_cols: list[str], opening, who: str) -> DataFrame:
+    """Rows with the number of others that open alike but come from someone else: two counts, no pairs."""
+    keyed = rows.select(*id_cols, F.col(who).alias("who"), opening.alias("opening")).filter("opening is not null")
+    own = keyed.groupBy("opening", "who").agg(F.count("*").alias("own"))
+    total = own.groupBy("opening").agg(F.sum("own").alias("total"))
+    counts = own.join(total, "opening").filter("total > own").select("opening", "who", (F.col("total") - F.col("own")).alias("n_others"))
+    return keyed.join(counts, ["opening", "who"]).select(*id_cols, "n_others")
+
+
+def attached(parents: DataFrame, labels: DataFrame, key: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Labelled parents, and one row of counts: labels, keys given twice, keys without a parent, fields that parents have already.
+
+    Of a key given twice the row that is least in its columns is attached."""
+    one = labels.groupBy(key).agg(F.count("*").alias("__n"), F.min(F.struct(*columns)).alias("__row"))
+    found = parents.withColumn("__parent", F.lit(True)).join(one, key, "right").withColumn("__there", F.coalesce("__parent", F.lit(False)))
+    clash = len(set(columns) & set(parents.columns))
+    problems = found.agg(F.sum("__n").alias("n_labels"), F.count_if(F.col("__n") > 1).alias("n_twice"), F.count_if(~F.col("__there")).alias("n_without_parent")).withColumn("n_clashes", F.lit(clash))
+    kept = found.filter("__there").drop(*columns, "__parent", "__there", "__n")
+    return kept.select("*", "__row.*").drop("__row"), problems

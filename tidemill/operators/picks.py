@@ -55,3 +55,22 @@ def shard_of(files: DataFrame, seed: int, epoch: int, shards: int, name: str = "
     """Files in the order of an epoch and the shard that reads each: every file in exactly one."""
     key = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.lit(str(epoch)), F.col(name)), 256)
     return files.withColumn("__k", key).withColumn("shard", ((F.row_number().over(Window.orderBy("__k", name)) - 1) % shards).cast("int")).drop("__k")
+
+
+def smallest(df: DataFrame, group: list[str], key: str, tie: str, n: int, salts: int = 64) -> DataFrame:
+    """The n rows of each group with the least key. A hot group is first cut down within `salts` parts of it, so no task holds it whole."""
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(key, tie), F.lit(salts)))
+    return capped(capped(salted, [*group, "__salt"], [key, tie], n), group, [key, tie], n).drop("__salt")
+
+
+def index_runs(df: DataFrame, group: list[str], index: str) -> DataFrame:
+    """Runs of consecutive indices per group: group, first index, number of rows."""
+    run = F.col(index) - F.row_number().over(Window.partitionBy(*group).orderBy(index))
+    return df.select(*group, index, run.alias("__run")).groupBy(*group, "__run").agg(F.min(index).alias("first"), F.count("*").alias("n")).drop("__run")
+
+
+def ranked_kinds(df: DataFrame, kind: str, order: list[str], size: str) -> DataFrame:
+    """Place of each row by the rank of its kind, then by size. For tables of findings, not of rows."""
+    at = F.array_position(F.array(*map(F.lit, order)), F.col(kind))
+    rank = F.when(at > 0, at).otherwise(len(order) + 1)
+    return df.withColumn("place", F.row_number().over(Window.orderBy(rank, F.desc(size), kind)))

@@ -62,3 +62,21 @@ def similar_pairs(df: DataFrame, least: float, id_col: str, vector_col: str) ->
     blocks = _blocks(df, id_col, vector_col, "a")
     other = blocks.select("dim", F.col("a").alias("b"), F.col("a_ids").alias("b_ids"), F.col("a_cells").alias("b_cells"))
     return blocks.join(other, "dim").mapInPandas(near, "a long, b long, score double")
+
+
+def unit_cells(df: DataFrame, id_col: str, vector_col: str, *keep: str) -> DataFrame:
+    """id, kept columns, position and component of every vector brought to length 1; null and zero vectors take no part."""
+    rows = df.filter(F.col(vector_col).isNotNull()).select(id_col, *keep, F.transform(vector_col, lambda x: x.cast("double")).alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    return rows.withColumn("norm", norm).filter("norm > 0").select(id_col, *keep, F.posexplode(F.transform("v", lambda x: x / F.col("norm"))).alias("pos", "x"))
+
+
+def group_fit(df: DataFrame, id_col: str, vector_col: str, group: str) -> DataFrame:
+    """id, group and cosine to the centroid of the group's other vectors (null for the only one).
+
+    Only one row per group and position is joined back; no vectors of a group meet in one task."""
+    cells = unit_cells(df, id_col, vector_col, group)
+    sums = cells.groupBy(group, "pos").agg(F.sum("x").alias("total"))
+    rest = cells.join(sums, [group, "pos"]).withColumn("rest", F.col("total") - F.col("x"))
+    fit = rest.groupBy(id_col, group).agg(F.sum(F.col("x") * F.col("rest")).alias("dot"), F.sqrt(F.sum(F.col("rest") * F.col("rest"))).alias("len"))
+    return fit.select(id_col, group, F.when(F.col("len") > 1e-9, F.col("dot") / F.col("len")).alias("fit"))

@@ -41,9 +41,9 @@ def free_predicate(spark, sf):
     return table(spark, sf, "documents").filter(F.expr("n_chars <= 300 AND lang <> 'en'")).select("doc_id", "n_chars")
 
 
-@query("P05_json_boolean", "SELECT event_id, json_type(props, '$.k') = 'BOOLEAN' AS is_flag FROM events WHERE props IS NOT NULL AND event_id < 1000")
+@query("P05_json_boolean", "SELECT event_id, json_type(props, '$.k') = 'BOOLEAN' AS is_flag FROM events WHERE props IS NOT NULL")
 def json_boolean(spark, sf):
-    rows = table(spark, sf, "events").filter("props is not null and event_id < 1000")
+    rows = table(spark, sf, "events").filter("props is not null")
     return rows.select("event_id", F.coalesce(records.json_flag(F.col("props"), "$.k").isNotNull(), F.lit(False)).alias("is_flag"))
 
 
