@@ -89,3 +89,70 @@ def sessions(df: DataFrame, keys: list[str], at: str, gap: float, order: str) ->
     w = Window.partitionBy(*keys).orderBy(at, order)
     new = F.when(F.lag(at).over(w).isNull() | (F.col(at) - F.lag(at).over(w) > gap), 1).otherwise(0)
     return df.withColumn("__new", new).withColumn("session", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+
+
+def in_order(df: DataFrame, keys: list[str], rule, schema: str, gap: float | None = None, order: str = "id") -> DataFrame:
+    """Apply a sequential rule to the intervals of each key in order of (start, stop, order).
+
+    With a gap the rows of a key are first cut at pauses wider than it, which the rule must treat alone; only such a run
+    is held by one task. The rule takes (key, frame in order) and returns rows of the schema."""
+    rows = islands(df, keys, gap, order) if gap is not None else df.withColumn("island", F.lit(0).cast("long"))
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return rule(key, pdf.sort_values(["start", "stop", order]))
+
+    return rows.groupBy(*keys, "island").applyInPandas(run, schema)
+
+
+def merged_turns(df: DataFrame, keys: list[str], who: str, gap: float, cap: float, order: str = "id") -> DataFrame:
+    """Turns: consecutive intervals of one speaker, with pauses of at most a gap and a span of at most a cap.
+
+    A turn ends as well where anyone else starts, which the order of starts shows."""
+    types = dict(df.dtypes)
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", {who} {types[who]}, first double, last double, n long"
+
+    def rule(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out: list[list] = []
+        for start, stop, name in pdf[["start", "stop", who]].itertuples(index=False):
+            if out and out[-1][0] == name and start - out[-1][2] <= gap and max(stop, out[-1][2]) - out[-1][1] <= cap:
+                out[-1][2:] = [max(stop, out[-1][2]), out[-1][3] + 1]
+            else:
+                out.append([name, start, stop, 1])
+        return pd.DataFrame([(*key[: len(keys)], *o) for o in out], columns=[*keys, who, "first", "last", "n"])
+
+    return in_order(df, keys, rule, schema, gap, order)
+
+
+def disjoint_picks(df: DataFrame, keys: list[str], share: float, order: str = "id") -> DataFrame:
+    """Windows taken greedily in order, each overlapping every taken one by at most a share of the shorter."""
+    types = dict(df.dtypes)
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", {order} {types[order]}"
+
+    def rule(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        taken: list[tuple] = []
+        open_: list[tuple] = []
+        for start, stop, name in pdf[["start", "stop", order]].itertuples(index=False):
+            open_ = [t for t in open_ if t[1] > start]
+            if all(min(stop, b) - max(start, a) <= share * min(stop - start, b - a) for a, b, _ in open_):
+                taken.append((start, stop, name))
+                open_.append(taken[-1])
+        return pd.DataFrame([(*key[: len(keys)], t[2]) for t in taken], columns=[*keys, order])
+
+    return in_order(df, keys, rule, schema, 0.0, order)
+
+
+def closures(df: DataFrame, keys: list[str], order: str = "id") -> DataFrame:
+    """Each interval with the smallest span that holds it and, whole, every interval that overlaps the span: its island's."""
+    w = Window.partitionBy(*keys).orderBy("start", "stop", order)
+    reach = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = df.withColumn("__new", F.when(reach.isNull() | (F.col("start") >= reach), 1).otherwise(0)).withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = rows.groupBy(*keys, "__run").agg(F.min("start").alias("lo"), F.max("stop").alias("hi"))
+    return rows.join(spans, [*keys, "__run"]).drop("__new", "__run")
+
+
+def others_length(windows: DataFrame, df: DataFrame, keys: list[str], who: str, width: float) -> DataFrame:
+    """Per window (id, keys, who, start, stop) the length during which others speak: clipped overlaps, then their union."""
+    hits = overlap_join(windows, df, keys, width).filter(F.col(f"l_{who}") != F.col(f"r_{who}"))
+    cut = hits.select(F.col("l_id").alias("window"), F.greatest("l_start", "r_start").alias("start"), F.least("l_stop", "r_stop").alias("stop"), F.col("r_id").alias("id"))
+    found = union_length(cut, ["window"]).withColumnRenamed("window", "id")
+    return windows.select("id").join(found, "id", "left").select("id", F.coalesce("covered", F.lit(0)).alias("others"))
