@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import defaultdict
 
+import numpy as np
+
 WORD10 = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 BLANKS = re.compile("[^\x20\x09-\x0d]+")
 _LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -88,3 +91,37 @@ def secret_row(doc, text):
     joined = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
     count = lambda kind: sum(s[2] == kind for s in spans)
     return doc, count("assign"), count("access"), count("hex"), hashlib.sha256(joined.encode()).hexdigest()
+
+
+def url_scores(learn, tune, urls, order=5, lam=2.0):
+    """Scores of URLs by the two smoothed models of all (url, accepted) rows of `learn`, and the cut by `tune`."""
+
+    def grams(url):
+        t = "\x02" * (order - 1) + re.sub("^[^:]*://", "", url).lower() + "\x03"
+        return [[t[i - k : i] for k in range(1, order + 1)] for i in range(order, len(t) + 1)]
+
+    counts, contexts = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for url, accepted in set(learn):
+        for row in grams(url):
+            for g in row:
+                counts[g][0 if accepted else 1] += 1
+    counts = {g: n for g, n in counts.items() if len(g) == 1 or sum(n) > 1}
+    for g, n in counts.items():
+        for y in (0, 1):
+            contexts[g[:-1]][y] += n[y]
+
+    def p(g, y):
+        return (counts[g][y] + lam * (p(g[1:], y) if len(g) > 1 else 1 / 128)) / (contexts[g[:-1]][y] + lam)
+
+    def weight(g):
+        if g in counts:
+            return math.log(p(g, 0) / p(g, 1)) - (math.log(p(g[1:], 0) / p(g[1:], 1)) if len(g) > 1 else 0.0)
+        na, nb = contexts.get(g[:-1], (0, 0))
+        return math.log((nb + lam) / (na + lam))
+
+    def score(url):
+        rows = grams(url)
+        return sum(weight(g) for row in rows for g in row) / len(rows)
+
+    (ma, sa), (mb, sb) = ((np.mean(x), np.std(x) + 1e-9) for x in ([score(u) for u, a in set(tune) if a == y] for y in (True, False)))
+    return [score(u) for u in urls], (ma * sb + mb * sa) / (sa + sb)

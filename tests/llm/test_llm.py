@@ -236,6 +236,19 @@ def test_url_model_learns(spark):
     assert [r.verdict for r in urlfilter.judge(pages, labelled=labelled).orderBy("page_id").collect()] == ["allow", "block"]
 
 
+def test_url_model_counts_all_urls(spark):
+    draw = random.Random(4)
+    host = lambda: "".join(draw.choice("abcdeé") for _ in range(6))
+    rows = [(f"http://{host()}.org/article/{i}", "allow") for i in range(5400)] + [(f"http://{host()}.biz/buy?id={i}", "block") for i in range(5400)]
+    labelled = spark.createDataFrame(rows, "url string, verdict string")
+    held_back = {r.url for r in labelled.filter(F.pmod(common.order_hash("url", seed="part"), F.lit(5)) == 0).collect()}
+    open_urls = ["http://abcde.org/buy", "http://xyz.info/article/77", "http://decade.biz/article?id=1", "http://ééé/0"]
+    want, cut = brute.url_scores([(u, v == "allow") for u, v in rows if u not in held_back], [(u, v == "allow") for u, v in rows if u in held_back], open_urls)
+    got = urlfilter.judge(spark.createDataFrame(list(enumerate(open_urls)), "page_id long, url string"), rules=(urlfilter.UrlRule("none", "/", "allow"),), labelled=labelled).orderBy("page_id").collect()
+    assert np.allclose([r.score for r in got], want, atol=1e-9)
+    assert [r.verdict for r in got] == ["allow" if w >= cut else "block" for w in want]
+
+
 def test_warc_round_trip(spark):
     big, other = "é" * 700, "<p>\r\n\r\n</p>" * 200
     rows = [(1, "http://a/", big), (2, None, big), (3, "http://b/", other), (4, "http://c/", None), (5, "http://d/", ""), (6, "http://a/", "same"), (7, "http://a/", "same"), (None, "http://n/", big), (None, "http://n/", big), (9, "u\r\nv", other)]

@@ -3,14 +3,15 @@
 Rules: a rule fits its host and all subdomains where the path starts with the rule's; the longest rule wins (of two of
 equal length, the one with the longer host). URLs that no rule decides are judged by variable-order Markov models: one
 of accepted and one of rejected URLs, each of character grams of 1 to ORDER characters with interpolated smoothing
-(a gram's estimate leans on its suffix's with weight LAMBDA; unseen grams back off). The models are fitted on at most
-MAX_TRAIN distinct URLs per class, those with the least hash; by default the classes are what the rules allow and
-block. Grams seen once are dropped and at most MAX_GRAMS are kept, which bounds what is broadcast.
+(a gram's estimate leans on its suffix's with weight LAMBDA; unseen grams back off). The models count the grams of all
+distinct labelled URLs but every fifth by hash; by default the classes are what the rules allow and block. Grams seen
+once are dropped. The models are tables that grow with the input and are joined, not broadcast.
 
 Because kept grams are closed under suffixes, the log ratio of a URL is a sum of one weight per gram: for a kept gram
 the difference of its log ratio to its suffix's, for an unseen one the log ratio of its context's back-off weights.
-The sum divided by the URL's length is compared with a cut that is calibrated on further labelled URLs (the point as
-many standard deviations from either class's mean).
+These sums are made once for each distinct gram, from the shortest up, and joined to the URLs by the longest alone.
+The sum divided by the URL's length is compared with a cut that is calibrated on the labelled URLs that were held back
+(the point as many standard deviations from either class's mean).
 
 Defined cases: null urls and urls without `://` have empty host and path and no characters: their score is 0. Without
 URLs of both classes every score and the cut are 0 (allow). Every row gives a row; equal URLs are scored once.
@@ -27,9 +28,6 @@ from tidemill.llm.common import order_hash, written
 
 ORDER = 5
 LAMBDA = 2.0
-MAX_TRAIN = 4000
-MAX_CALIBRATE = 1000
-MAX_GRAMS = 200_000
 _PAD, _END = "\x02" * (ORDER - 1), "\x03"
 
 
@@ -72,19 +70,24 @@ def decide(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> Co
     return F.greatest(*hits) if len(hits) > 1 else hits[0]
 
 
-def _grams(urls: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per gram that ends at each character of a URL (or at its end mark): g, k, and the kept columns."""
+def _longest(urls: DataFrame, keep: list[str]) -> DataFrame:
+    """One row for each character of a URL (and its end mark): the ORDER characters that end there as t, and the kept columns."""
     text = F.concat(F.lit(_PAD), _lower(F.regexp_replace("url", r"^[^:]*://", "")), F.lit(_END))
     rows = urls.select(*keep, text.alias("t")).select(*keep, "t", F.explode(F.sequence(F.lit(ORDER), F.length("t"))).alias("i"))
-    rows = rows.select(*keep, "t", "i", F.explode(F.array(*map(F.lit, range(1, ORDER + 1)))).alias("k"))
-    return rows.select(*keep, "k", F.expr("substring(t, i - k + 1, k)").alias("g"))
+    return rows.select(*keep, F.expr(f"substring(t, i - {ORDER - 1}, {ORDER})").alias("t"))
 
 
-def train(urls: DataFrame, max_grams: int = MAX_GRAMS) -> tuple[DataFrame, DataFrame]:
+def _grams(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """One row for each suffix of t: g, k, and the kept columns."""
+    rows = rows.select(*keep, "t", F.explode(F.array(*map(F.lit, range(1, ORDER + 1)))).alias("k"))
+    return rows.select(*keep, "k", F.expr(f"substring(t, {ORDER + 1} - k, k)").alias("g"))
+
+
+def train(urls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Weights (g, w) of kept grams and (c, bow) of contexts, from rows (url, accepted 0/1)."""
-    counts = _grams(urls, ["accepted"]).groupBy("g", "k").agg(F.sum("accepted").alias("a"), F.sum(1 - F.col("accepted")).alias("b"))
-    # In this order every suffix comes before the grams that end in it, so any cut is closed under suffixes.
-    kept = written(counts.filter("k = 1 or a + b > 1").orderBy(F.desc(F.col("a") + F.col("b")), "k", "g").limit(max_grams), "grams")
+    counts = _grams(_longest(urls, ["accepted"]), ["accepted"]).groupBy("g", "k").agg(F.sum("accepted").alias("a"), F.sum(1 - F.col("accepted")).alias("b"))
+    # A suffix is seen as often as the grams that end in it at least, so what is kept is closed under suffixes.
+    kept = written(counts.filter("k = 1 or a + b > 1"), "grams")
     contexts = kept.groupBy(F.expr("substring(g, 1, k - 1)").alias("c")).agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
     smoothed = None
     for k in range(1, ORDER + 1):
@@ -103,23 +106,24 @@ def train(urls: DataFrame, max_grams: int = MAX_GRAMS) -> tuple[DataFrame, DataF
 
 def score(urls: DataFrame, weights: DataFrame, contexts: DataFrame) -> DataFrame:
     """(url, score): the length-normalised log-likelihood difference, accepted minus rejected, of distinct URLs."""
-    rows = _grams(urls.select("url").distinct(), ["url"]).withColumn("c", F.expr("substring(g, 1, k - 1)"))
-    # Both tables have at most max_grams short rows: a proven bound for broadcasting them.
-    rows = rows.join(F.broadcast(weights), "g", "left").join(F.broadcast(contexts), "c", "left")
-    total = F.sum(F.coalesce("w", "bow", F.lit(0.0)))
-    return rows.groupBy("url").agg((total / F.count_if(F.col("k") == 1)).alias("score"))
-
-
-def _labelled(decided: DataFrame, seed: str, limit: int, skip: bool) -> DataFrame:
-    """At most `limit` distinct URLs of each class; `skip` takes the part that trains not."""
+    rows = _longest(urls.select("url").distinct(), ["url"])
+    grams = _grams(rows.select("t").distinct(), []).distinct().withColumn("c", F.expr("substring(g, 1, k - 1)"))
+    own = written(grams.join(weights, "g", "left").join(contexts, "c", "left").select("k", "g", F.coalesce("w", "bow", F.lit(0.0)).alias("v")), "own")
+    # A gram's sum is its own weight and its suffix's sum; no more grams share a suffix than there are characters.
+    sums = own.filter("k = 1").select("g", "v")
+    for k in range(2, ORDER + 1):
+        level = own.filter(F.col("k") == k).withColumn("s", F.expr("substring(g, 2)"))
+        sums = level.join(sums.select(F.col("g").alias("s"), F.col("v").alias("below")), "s").select("g", (F.col("v") + F.col("below")).alias("v"))
+    return rows.join(written(sums.withColumnRenamed("g", "t"), "sums"), "t").groupBy("url").agg(F.avg("v").alias("score"))
+
+
+def _labelled(decided: DataFrame, held_back: bool) -> DataFrame:
+    """The distinct URLs (url, accepted 0/1) of the part that trains, or of the fifth that is held back."""
     rows = decided.filter("verdict is not null and url is not null").select("url", (F.col("verdict") == "allow").cast("int").alias("accepted"))
-    rows = rows.filter((F.pmod(order_hash("url", seed="part"), F.lit(5)) == 0) == F.lit(skip)).distinct()
-    draw = order_hash("url", seed=seed)
-    pick = lambda y: rows.filter(F.col("accepted") == y).orderBy(draw, "url").limit(limit)
-    return pick(1).unionByName(pick(0))
+    return rows.filter((F.pmod(order_hash("url", seed="part"), F.lit(5)) == 0) == F.lit(held_back)).distinct()
 
 
-def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", max_train: int = MAX_TRAIN) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, score (where no rule fits), verdict for every row.
 
     `labelled` may give (url, verdict) rows to learn from in place of what the rules decide."""
@@ -127,7 +131,7 @@ def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labelled: DataFr
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("hit", decide(F.col("host"), F.col("path"), rules)).select("page_id", "url", "host", "path", "hit.rule", "hit.verdict")
     source = rows.select("url", "verdict") if labelled is None else labelled.select("url", "verdict")
-    learn, tune = (written(_labelled(source, seed, n, skip), seed) for seed, n, skip in (("learn", max_train, False), ("tune", MAX_CALIBRATE, True)))
+    learn, tune = (written(_labelled(source, held_back), name) for name, held_back in (("learn", False), ("tune", True)))
     n = learn.agg(F.coalesce(F.min("accepted"), F.lit(1)).alias("lo"), F.coalesce(F.max("accepted"), F.lit(0)).alias("hi")).first()
     if n["lo"] == n["hi"] or n["lo"] > n["hi"]:
         return rows.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNull(), F.lit(0.0)).alias("score"), F.coalesce("verdict", F.lit("allow")).alias("verdict"))
