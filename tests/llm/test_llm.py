@@ -219,6 +219,17 @@ def test_licenses(spark, no_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
+def test_licenses_without_the_word(spark):
+    rows = [(1, "Some prose here.\nThis text is available under CC BY 4.0.\nMore prose."), (2, "this is free and unencumbered software released into the\npublic"), (3, "CC BY-SA 4.0"), (4, prose(4, 200)), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = {" ".join(w[i : i + 2]) for ts in licenses.TEMPLATES.values() for t in ts for w in [t.split()] for i in range(len(w) - 1)}
+    every = [(r.doc_id, r.words) for r in licenses.paragraphs(docs, sharing=False).collect()]
+    want = [(d, w) for d, w in every if pairs & {" ".join(w[i : i + 2]) for i in range(len(w) - 1)}]
+    assert sorted(map(tuple, licenses.paragraphs(docs).collect())) == sorted(want) and {d for d, _ in want} == {1, 2, 3}
+    got = {r.doc_id: r.licences for r in licenses.scan(docs).collect()}
+    assert got == {1: "cc-by", 2: "unlicense", 3: "cc-by-sa", 4: "", 5: ""}
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "https://Sub.Example.com/en/x?q", "https://www.example.com/en/", "http://a.net/es/1#x", "http://net/fr/", "http://xnet/fr/", "http://b.org", "http://EXAMPLE.com?en", "://h/p", "http://b.org"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("rule", F.lit("clash"))

@@ -1,8 +1,8 @@
 """Licence scans: a trained paragraph classifier with template confirmation, by DataFrame functions and Spark ML alone.
 
-Texts are cut into paragraphs (lines, and sentences within them). A paragraph without any of the ANCHORS, one of which
-every template holds, is unknown without more ado, and only texts that hold one are cut. Sparse word 1- and 2-grams of a paragraph feed a
-multinomial logistic regression over licence families and an unknown class. It is trained on the templates below, on
+Texts are cut into paragraphs (lines, and sentences within them). A paragraph that shares no word 2-gram with any template
+is unknown without more ado, as no template could confirm it. Sparse word 1- and 2-grams of the others feed a multinomial
+logistic regression over licence families and an unknown class. It is trained on the templates below, on
 parts of them and on variants that drop words, against paragraphs of a bounded sample of SAMPLE_DOCS documents (those with the
 least hash) that share no 2-gram with any template, at most MAX_UNKNOWN, and the `NEAR` notices that name no family. The cut for the unknown class is calibrated on other
 such paragraphs: the highest family probability among them, within CUT_RANGE. A prediction counts when a template of
@@ -45,8 +45,6 @@ TEMPLATES = {
     "mpl": ["this source code form is subject to the terms of the mozilla public license v 2.0", "licensed under the mozilla public license 2.0"],
     "unlicense": ["this is free and unencumbered software released into the public domain", "released under the unlicense"],
 }
-#: Word parts one of which every notice holds.
-ANCHORS = ("licens", "licenc", "copyright", "permission", "redistribut", "cc0", "public domain")
 #: Wordings near to notices that name no family.
 NEAR = ["all rights reserved", "see the license file for details", "a driver license is required", "the license of this work is unknown", "licensed under the terms of the agreement", "released under the new name", "version 2.0 was released", "the general public is free to use this", "permission was granted by the city", "this work is under the water", "copyright belongs to the author", "this software is free of charge"]
 
@@ -59,20 +57,31 @@ def _pairs(words: str) -> str:
     return f"filter(array_distinct({_grams(words)}), g -> contains(g, ' '))"
 
 
-def _anchored(text: str) -> Column:
-    out = F.lit(False)
-    for a in ANCHORS:
-        out = out | F.contains(F.col(text), F.lit(a))
+def _template_pairs() -> list[str]:
+    return sorted({" ".join(w[i : i + 2]) for ts in TEMPLATES.values() for t in ts for w in [t.split()] for i in range(len(w) - 1)})
+
+
+def _cover(pairs: list[str]) -> list[str]:
+    """Words of which every 2-gram holds at least one; long words rather than short ones, which texts are full of."""
+    left, out = {tuple(p.split()) for p in pairs}, []
+    while left:
+        out.append(max(sorted({w for p in left for w in p}), key=lambda w: (len(w), sum(w in p for p in left))))
+        left = {p for p in left if out[-1] not in p}
     return out
 
 
-def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", anchored: bool = True) -> DataFrame:
-    """doc_id and the words of each paragraph that has any (and an anchor)."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.lower(F.col(text_col).cast("string")).alias("t"))
-    rows = rows.filter(_anchored("t")) if anchored else rows
-    rows = rows.select("doc_id", F.explode(F.split("t", PARAGRAPH)).alias("p"))
-    rows = rows.filter(_anchored("p")) if anchored else rows
-    return rows.select("doc_id", F.expr(f"regexp_extract_all(p, '{_TOKEN.replace(chr(92), chr(92) * 2)}', 0)").alias("words")).filter("size(words) > 0")
+def _shares(words: str) -> Column:
+    """Whether words have a 2-gram of some template."""
+    return F.arrays_overlap(F.expr(_pairs(words)), F.array(*map(F.lit, _template_pairs())))
+
+
+def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sharing: bool = True) -> DataFrame:
+    """doc_id and the words of each paragraph that has any (and shares a 2-gram with a template)."""
+    words = f"transform(split(lower(cast({text_col} as string)), r'{PARAGRAPH}'), p -> regexp_extract_all(p, r'{_TOKEN}', 0))"
+    # Words are made once, within the array; of two filters the first only spares the second work.
+    some = F.array(*map(F.lit, _cover(_template_pairs())))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.filter(F.expr(words), lambda w: F.arrays_overlap(w, some) if sharing else F.size(w) > 0)).alias("words"))
+    return rows.filter(_shares("words")) if sharing else rows
 
 
 def _template_rows(spark) -> DataFrame:
@@ -98,10 +107,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     word_list = sorted({g for ts in TEMPLATES.values() for t in ts for w in [t.split()] for g in [*w, *(" ".join(w[i : i + 2]) for i in range(len(w) - 1))]})
     vectoriser = CountVectorizerModel.from_vocabulary(word_list, inputCol="grams", outputCol="features").setBinary(True)
     featured = lambda df: vectoriser.transform(df.withColumn("grams", F.expr(_grams("words"))))
-    ours = F.array(*[F.lit(g) for g in word_list if " " in g])
     draw = order_hash(id_col, seed="unknown")
     some = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), draw.alias("draw")).orderBy("draw", "doc_id").limit(SAMPLE_DOCS)
-    foreign = paragraphs(some, "doc_id", "text", anchored=False).filter(~F.arrays_overlap(F.expr(_pairs("words")), ours))
+    foreign = paragraphs(some, "doc_id", "text", sharing=False).filter(~_shares("words"))
     sample = written(foreign.select("words", order_hash("words", seed="unknown").alias("draw")).orderBy("draw", "words").limit(2 * MAX_UNKNOWN), "unknown")
     half = F.pmod("draw", F.lit(2)) == 0
     label = F.array_position(F.array(*map(F.lit, names)), F.col("family")).cast("double") - 1
