@@ -84,6 +84,14 @@ def test_near_duplicates(spark, docs, no_docs):
     assert sorted(r.doc_id for r in left.filter("doc_id is not null").collect()) == sorted(d for d, *_, kept in brute.near_duplicates(fixture()) if kept and d is not None)
 
 
+def test_near_duplicates_go_by_row(spark):
+    x, y, z = prose(21, 60), prose(22, 60), prose(23, 60)
+    rows = [(3, y), (5, x), (5, y), (None, y), (None, z), (None, None), (None, ""), (7, None)]
+    left = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [row for row, (*_, kept) in zip(rows, brute.near_duplicates(rows), strict=True) if kept]
+    assert tuples(left, "doc_id", "text") == sorted(want, key=str) == sorted([(3, y), (5, x), (None, z), (None, None), (None, ""), (7, None)], key=str)
+
+
 def test_near_duplicates_on_tables(spark):
     got = queries.op8_near_duplicates(spark, SF)
     want = brute.near_duplicates([(r.doc_id, r.text) for r in table(spark, "documents").collect()])

@@ -253,8 +253,8 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     return spark.createDataFrame([], "nid long, comp long") if not now[0] else edges.select(F.col("u").alias("nid"), F.col("v").alias("comp")).unionByName(roots)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
+def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, th (hash of the text), n_shingles, component_id, kept for every row."""
     threshold = percent / 100
     rows = written(_sketch(docs, id_col, text_col), "sketches")
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "th")).alias("rep"), F.first("n_shingles").alias("n"), F.first("regs").alias("regs"))
@@ -277,12 +277,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     comps = nodes.select("nid", "node", "rep.doc_id").join(labels, "nid", "left").withColumn("comp", F.coalesce("comp", "nid"))
     named = comps.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     ids = comps.join(named, "comp").select("node", "component_id")
-    out = rows.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
+    out = rows.select("doc_id", "th", "n_shingles", "node").join(ids, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "th", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    return _grouped(docs, percent, id_col, text_col).drop("th")
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose document stands for its group."""
-    gone = near_duplicates(docs, percent, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("__tm_gone"), F.lit(True).alias("__tm_drop")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("__tm_gone")), "left_anti")
+    """The rows of `docs` that near_duplicates keeps; rows of one id go or stay each by its own text."""
+    gone = _grouped(docs, percent, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("__tm_gone"), F.col("th").alias("__tm_th")).distinct()
+    return docs.join(gone, docs[id_col].eqNullSafe(F.col("__tm_gone")) & (F.xxhash64(docs[text_col]) == F.col("__tm_th")), "left_anti")
