@@ -31,10 +31,10 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the documents' tokens into sequences."""
+    """Pack the documents' tokens into sequences: each piece with its place and its token ids."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 
 STAGES = [

@@ -160,6 +160,14 @@ def test_packing(spark, docs, no_docs):
     assert packing.pack_documents(no_docs, TOKENIZER).count() == 0
 
 
+def test_pipeline_gives_token_ids(spark, docs):
+    import corpus_pipeline
+
+    rows = corpus_pipeline.packing_stage(spark, docs, SF).collect()
+    held_to_packing(rows, token_ids(fixture()))
+    assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length for r in rows)
+
+
 def test_packing_on_tables(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
     assert held_to_packing(queries.op4_packing(spark, SF).collect(), token_ids(rows)) > 0.95
