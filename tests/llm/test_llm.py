@@ -34,6 +34,7 @@ def fixture() -> list[tuple[int | None, str | None]]:
         (1, None), (2, ""), (3, "   \n\t"), (4, "word"), (5, "Word"), (6, long), (7, " ".join(near)), (8, long), (8, long), (None, long), (None, None),
         (9, prose(2, 30)), (10, prose(2, 30).upper()), (11, f"password = 'abcDEF123456789' {aws} é {hexes}"), (12, f"x {prose(3, 12)} y"),
         (13, "PASSWORD:short token=aaaaaaaaaaaaaaaaaaaa gh" + "p_" + "a1" * 20), (14, "<|endoftext|> the end"), (15, "a  b\n\nc"), (16, "!!! ???"),
+        (17, "hello and.\n"), (18, "lines, too:\r\n\r\n"), ((1 << 53) + 1, "word.\n\n"),
     ]
 
 
@@ -69,6 +70,26 @@ def test_decontamination(spark, docs, no_docs):
     assert left.columns == docs.columns and left.filter("doc_id in (7, 9, 12)").count() == 0 and left.filter("doc_id in (6, 8)").count() == 3
 
 
+def test_decontamination_goes_by_row(spark):
+    clean, dirty, big = prose(31, 40), f"x {prose(3, 12)} y", (1 << 53) + 1
+    rows = [(5, clean), (5, dirty), (None, dirty), (None, clean), (None, None), (big, clean), (big, dirty), (big - 1, dirty)] + [(9, dirty)] * 40
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = decontam.drop_contaminated(df, items)
+    assert tuples(left, "doc_id", "text") == sorted([r for r in rows if r[1] != dirty], key=str)
+    cols = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert tuples(decontam.digest_columns(decontam.contamination(df, items)), *cols) == sorted(brute.decontaminate(rows, ITEMS), key=str)
+
+
+def test_spread_join(spark):
+    rows = spark.createDataFrame([(i % 3 if i % 2 else 7, i) for i in range(400)] + [(None, 1)], "k long, v int")
+    table = spark.createDataFrame([(0, "a"), (7, "b"), (7, "c")], "k long, w string")
+    hot = common.hot_keys(rows.groupBy("k").count(), "k", "count", share=4)
+    assert hot == [7]
+    for how in ("left", "inner"):
+        assert tuples(common.spread_join(rows, table, "k", hot, how), "k", "v", "w") == tuples(rows.join(table, "k", how), "k", "v", "w")
+
+
 def test_decontamination_on_tables(spark):
     got = queries.op3_decontamination(spark, SF)
     want = brute.decontaminate([(r.doc_id, r.text) for r in table(spark, "documents").collect()], [(r.item_id, r.text) for r in table(spark, "benchmark").collect()])
@@ -160,6 +181,29 @@ def test_packing(spark, docs, no_docs):
     assert packing.pack_documents(no_docs, TOKENIZER).count() == 0
 
 
+def test_token_ids_are_the_tokenizers():
+    draw = random.Random(9)
+    bits = ["word", "Été", "don't", "x1", "42", "<|endoftext|>", "日本", "🙂", "\u00a0", ".", ",", "!?", "'s", "_", "(", "--"] + [" ", "  ", "\n", "\r\n", "\t", "\n\n", "\x00", "\u2028"] * 2
+    texts = ["hello and.\n", "a.\r\n", "end,\n\n", " lead.", "x \n", "\n", "a b.\n c"] + ["".join(draw.choices(bits, k=draw.randrange(1, 12))) for _ in range(20_000)]
+    want = token_ids(enumerate(texts))
+    encoder = packing.SegmentEncoder(TOKENIZER)
+    got = [np.frombuffer(b, "<u4").tolist() for at in range(0, len(texts), 500) for b in encoder.encode(texts[at : at + 500])]
+    assert [t for t, g, (_, w) in zip(texts, got, want, strict=True) if g != w[:-1]] == []
+
+
+def test_packing_deals_equal_rows_apart(spark):
+    from tokenizers import Tokenizer
+
+    text = prose(5, 4)
+    n = len(Tokenizer.from_file(TOKENIZER).encode(text).ids) + 1
+    docs = spark.createDataFrame([(None, text)] * 20_000, "doc_id long, text string")
+    rows = packing.pack_documents(docs, TOKENIZER, group_pieces=500)
+    sizes = [r["count"] for r in rows.groupBy(F.shiftright("sequence_id", 32).alias("g")).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 1000 and rows.filter(f"length <> {n} or doc_id is not null").count() == 0
+    one = packing.pack_documents(spark.createDataFrame([(1, prose(6, 4000))], "doc_id long, text string"), TOKENIZER, capacity=16, group_pieces=50)
+    assert max(r["count"] for r in one.groupBy(F.shiftright("sequence_id", 32).alias("g")).count().collect()) <= 100
+
+
 def test_pipeline_gives_token_ids(spark, docs):
     import corpus_pipeline
 

@@ -16,16 +16,29 @@ MASK = (1 << 64) - 1
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir as the cluster names it.
 
-    Only where it is unset, as in local tests, a temporary folder is set for the session."""
+    Only in local sessions, as in tests, a temporary folder stands in for it; on a cluster it has to be set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='tidemill-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_dir(spark)}/tidemill/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tidemill/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this application's operators wrote, once their results have been read or saved."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -35,6 +48,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hot_keys(counts: DataFrame, key: str, n: str, share: int = 1000) -> list:
+    """The keys that hold more than 1/share of all rows, from their counts: fewer than `share`, whatever the size."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    return [r[0] for r in counts.filter(F.col(key).isNotNull() & (F.col(n) * share > total) & (F.col(n) > 1)).select(key).collect()]
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, hot: list, how: str = "left", also: tuple[str, ...] = ()) -> DataFrame:
+    """`rows` joined with `table`, which has few entries a key (and `also`, more columns that have to be equal). Rows of
+    hot keys are dealt over all shuffle partitions and meet a copy of their entries in each: no key makes a large task."""
+    if not hot:
+        return rows.join(table, [key, *also], how)
+    salts, salt = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__tm_salt"
+    is_hot = F.col(key).isin(hot)
+    rows = rows.withColumn(salt, F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    table = table.withColumn(salt, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return rows.join(table, [key, *also, salt], how).drop(salt)
+
+
 def held_out(doc_id: Column | str) -> Column:
     """True where crc32(doc_id as text) mod 5 is 0, and for null ids: such rows never teach a model."""
     doc_id = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -11,7 +11,7 @@ Before the join, training fingerprints pass a bitmap of fixed size (BITMAP_BITS,
 hashes: that is the only thing broadcast, and the join after it is exact, whatever the size of the benchmark.
 Equal items are matched once, as a class, and named one by one at the end.
 
-Defined cases: null or empty text and text without words: zero words, no hit. Items without words never occur. Items
+Defined cases: ids are longs. Null or empty text and text without words: zero words, no hit. Items without words never occur. Items
 with a null id count for hit words, not among the items. Rows that repeat a document (id and text) get a row each.
 An empty benchmark hits nothing; an empty table gives no rows.
 """
@@ -22,11 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import alnum_words, gram_hashes, word_hashes, written
+from tidemill.llm.common import alnum_words, gram_hashes, hot_keys, spread_join, word_hashes, written
 
 WINDOW = 10
 K = 5
@@ -123,8 +122,13 @@ def _common(a: str, b: str) -> str:
     return f"if(least(size({a}), size({b})) < 1, 0, aggregate(sequence(1, least(size({a}), size({b}))), 0, (n, i) -> if(n = i - 1 and {a}[i - 1] = {b}[i - 1], i, n)))"
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """Names a row by its id and whole text; rows that share it have the same verdict."""
+    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted ids of items with occurring windows), spans (merged hit word ranges) per row."""
+    """doc_id, uid (row_key), n_words, n_hit, items (sorted ids of items with occurring windows), spans (merged hit word ranges) per row."""
     spark = docs.sparkSession
     items = _normalised(benchmark, item_id_col, item_text_col)
     index = written(_index(items, window, k), "items")
@@ -144,14 +148,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
                 part = pdf.iloc[at : at + CHUNK]
                 texts = part["text"].tolist()
                 found = list(fingerprints(texts, window, k, short, False, bits))
-                uid = [f"{d}:{xxhash.xxh3_128_hexdigest((t or '').encode('utf-8', 'replace'))}" for d, t in zip(part["doc_id"], texts, strict=True)]
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64").to_numpy(), "uid": uid, "n_words": [n for n, _ in found], "fps": [[dict(zip(names, r, strict=True)) for r in rows] for _, rows in found]}).assign(doc_id=lambda x: x["doc_id"].astype("Int64"))
+                yield pd.DataFrame({"doc_id": part["doc_id"], "uid": part["uid"], "n_words": [n for n, _ in found], "fps": [[dict(zip(names, r, strict=True)) for r in rows] for _, rows in found]})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = written(rows.mapInPandas(run, f"doc_id long, uid string, n_words long, fps array<struct<{_FP.replace(' ', ':').replace(',:', ',')}>>"), "marked")
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), row_key(id_col, text_col).alias("uid"), F.col(text_col).cast("string").alias("text"))
+    marked = written(rows.mapInPandas(run, f"doc_id string, uid string, n_words long, fps array<struct<{_FP.replace(' ', ':').replace(',:', ',')}>>"), "marked")
     hits = marked.filter("size(fps) > 0").select("uid", F.explode("fps").alias("f")).select("uid", "f.*")
     theirs = index.select("cls", "gram", "hash", "core", F.col("before").alias("i_before"), F.col("after").alias("i_after"))
-    runs = hits.join(theirs, ["gram", "hash", "core"]).selectExpr(
+    hot = hot_keys(hits.groupBy("hash").count(), "hash", "count")  # a passage that very many texts share
+    runs = spread_join(hits, theirs, "hash", hot, "inner", ("gram", "core")).selectExpr(
         "uid", "cls", "pos", "gram", "reverse(split(before, ' ')) a1", "reverse(split(i_before, ' ')) a2", "split(after, ' ') b1", "split(i_after, ' ') b2",
         "before", "after", "i_before", "i_after",
     )
@@ -163,9 +167,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k
     merged = merged.select("uid", F.expr(fold).alias("spans"), "classes")
     members = items.filter("item_id is not null").groupBy("cls").agg(F.collect_set("item_id").alias("ids"))
     named = merged.select("uid", F.explode("classes").alias("cls")).join(members, "cls").groupBy("uid").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items"))
-    out = marked.select("doc_id", "uid", "n_words").join(merged.drop("classes").join(named, "uid", "left"), "uid", "left")
+    hot = hot_keys(marked.filter("size(fps) > 0").groupBy("uid").count(), "uid", "count")  # a row that is repeated very often
+    found = merged.drop("classes").join(named, "uid", "left")
+    out = spread_join(marked.select("doc_id", "uid", "n_words"), found, "uid", hot)
     n_hit = F.expr("aggregate(coalesce(spans, array()), 0L, (n, x) -> n + (x.hi - x.lo))")
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", F.array().cast("array<struct<lo:int,hi:int>>")).alias("spans"))
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "uid", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("spans", F.array().cast("array<struct<lo:int,hi:int>>")).alias("spans"))
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
@@ -174,6 +180,7 @@ def digest_columns(found: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of documents without any hit; rows with a null id are kept (their verdict can't be told apart)."""
-    bad = contamination(docs, benchmark, **options).filter("n_hit > 0").select(F.col("doc_id").alias("__tm_bad")).distinct()
-    return docs.join(bad, docs[options.get("id_col", "doc_id")] == F.col("__tm_bad"), "left_anti")
+    """The rows of documents without any hit, each judged by its own id and text."""
+    key = row_key(options.get("id_col", "doc_id"), options.get("text_col", "text"))
+    bad = contamination(docs, benchmark, **options).filter("n_hit > 0").select(F.col("uid").alias("__tm_uid")).distinct()
+    return docs.withColumn("__tm_uid", key).join(bad, "__tm_uid", "left_anti").select(*docs.columns)

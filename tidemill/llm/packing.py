@@ -1,8 +1,8 @@
 """Packing documents into token sequences: first-fit decreasing with a tournament tree, in randomised groups.
 
 Every document is tokenised and closed by one end token. Documents longer than a sequence are cut into full
-sequences and a remainder. Pieces are dealt by a hash of their document into groups of about GROUP_PIECES pieces; in
-each group, independently, first-fit decreasing puts every piece into the first sequence with room, found in a
+sequences and a remainder. Pieces are dealt by a hash of their row and place into groups of about GROUP_PIECES pieces,
+so that neither equal rows nor one long document crowd a group; in each group, independently, first-fit decreasing puts every piece into the first sequence with room, found in a
 tournament tree that holds the largest free room below each node. Only (id, start, length, checksum) reach the groups;
 token ids stay where they were made. A sequence is padded to the capacity unless its length is a power of two.
 
@@ -10,7 +10,7 @@ Tokens: a text is cut before single blanks between visible characters. The token
 new piece there, so that each segment's ids are independent of its neighbours and can be kept in a bounded cache; texts
 that hold one of the tokenizer's special strings are given to it whole.
 
-Defined cases: null and empty texts are one end token. Documents with equal or null ids are packed each for itself
+Defined cases: ids are longs. Null and empty texts are one end token. Documents with equal or null ids are packed each for itself
 (pieces carry the id as it is). Empty tables give no rows. Piece order within a sequence is by length, descending.
 """
 
@@ -27,6 +27,7 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +36,13 @@ from tidemill.llm.common import written
 CAPACITY = 1024
 GROUP_PIECES = 8192
 CACHE_SEGMENTS = 600_000
-_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, draw long"
+_PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, draw long"
 
 
 #: Fixed value: the split of byte-level tokenizers.
 _BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ODD = re.compile(r"\s | \s|\x00")
-_TAIL = re.compile(r"^( ?[^\W_]+)([.,;:!?]+)$")
+_TAIL = re.compile(r"( ?[^\W_]+)([.,;:!?]+)")
 
 
 def ranked_encoder(tokenizer_file: str):
@@ -101,7 +102,7 @@ class SegmentEncoder:
     def _learn(self, new: set[str]) -> None:
         """Put segments into the cache; a word with sentence marks behind it is the word's ids, then the marks'."""
         known = self.cache
-        tails = {s: m.groups() for s in new if (m := _TAIL.match(s))}
+        tails = {s: m.groups() for s in new if (m := _TAIL.fullmatch(s))}
         fresh = list({x for s in new for x in tails.get(s, (s,)) if x not in known})
         for at in range(0, len(fresh), 4096):
             part = fresh[at : at + 4096]
@@ -137,17 +138,19 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_i
             for lo in range(0, len(pdf), 256):
                 part = pdf.iloc[lo : lo + 256]
                 rows = []
-                for doc, text, ids in zip(part["doc_id"], part["text"], encoder.encode([t or "" for t in part["text"]]), strict=True):
+                for doc, row, ids in zip(part["doc_id"], part["row"], encoder.encode([t or "" for t in part["text"]]), strict=True):
                     ids += end
-                    n, draw = len(ids) // 4, zlib.crc32(f"{doc} {zlib.crc32(ids)}".encode())
+                    n = len(ids) // 4
                     for at in range(0, n, capacity):
                         cut = ids[4 * at : 4 * (at + capacity)]
+                        draw = xxhash.xxh3_64_intdigest(f"{row} {at}") >> 1
                         rows.append((doc, at, len(cut) // 4, zlib.crc32(cut), n, draw, *([np.frombuffer(cut, "<u4").astype(np.int32)] if with_ids else [])))
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "draw", *(["ids"] if with_ids else [])])
-                yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+                yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "draw", *(["ids"] if with_ids else [])])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, _PIECES + (", ids array<int>" if with_ids else ""))
+    # Ids pass Python as text: a batch with nulls would turn longs into doubles.
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
+    cut = rows.mapInPandas(run, _PIECES + (", ids array<int>" if with_ids else ""))
+    return cut.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def first_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
@@ -177,14 +180,14 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIE
     groups = max(1, -(-cut.count() // group_pieces))
 
     def fill(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "draw", "doc_id", "start"], ascending=[False, True, True, True], kind="stable")
+        pdf = pdf.sort_values(["length", "draw"], ascending=[False, True], kind="stable")
         bins, offsets = first_fit(pdf["length"].tolist(), capacity)
         return pdf.drop(columns=["draw", "grp"]).assign(sequence_id=np.array(bins, np.int64) + (int(key[0]) << 32), offset=np.array(offsets, np.int64))
 
-    keep = [f for f in cut.schema.fields if f.name != "draw"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keep) + ", sequence_id long, offset long"
-    dealt = cut.withColumn("grp", F.pmod(F.xxhash64("draw", "doc_tokens"), F.lit(groups)))
-    return dealt.groupBy("grp").applyInPandas(fill, schema)
+    keep = {f.name: f.dataType.simpleString() for f in cut.schema.fields if f.name != "draw"}
+    schema = ", ".join(f"{n} {t}" for n, t in (keep | {"doc_id": "string", "sequence_id": "long", "offset": "long"}).items())
+    dealt = cut.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("grp", F.pmod(F.col("draw"), F.lit(groups)))
+    return dealt.groupBy("grp").applyInPandas(fill, schema).withColumn("doc_id", F.col("doc_id").cast(keep["doc_id"]))
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = 0, group_pieces: int = GROUP_PIECES, **columns) -> DataFrame:
