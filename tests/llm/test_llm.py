@@ -145,6 +145,46 @@ def test_secrets_on_tables(spark):
     assert tuples(queries.op5_secrets(spark, SF), "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == sorted(want, key=str)
 
 
+def test_postings_are_intersected(spark, docs):
+    words = ["password", "passwd", "ghp_" + "a1" * 20, "AKIA" + "B2" * 8, "secret=", "abcdefghijklmnop", "xoxb-" + "1" * 12, "pass", "word", "note"]
+    draw = random.Random(7)
+    texts = [" ".join(draw.choices(words, k=draw.randrange(1, 5))) for _ in range(400)] + ["pass word"] * 300 + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    index = secrets.postings(secrets.text_grams(df), chunk_texts=50)
+    grams = {t for r in secrets.RULES for alt in secrets.trigram_query(r.pattern) or [] for t in alt}
+    keys = {r.text or "": r.k for r in df.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k")).collect()}
+    lists = {}
+    for r in index.collect():
+        assert list(r["keys"]) == sorted(set(r["keys"]))
+        lists.setdefault(r.trigram, set()).update(r["keys"])
+    assert lists == {g: hit for g in grams if (hit := {k for t, k in keys.items() if g in t.lower()})} and index.select("chunk").distinct().count() > 2
+    want = {}
+    for t, k in keys.items():
+        bits = sum(1 << i for i, r in enumerate(secrets.RULES) if any(alt <= {g for g in grams if g in t.lower()} for alt in secrets.trigram_query(r.pattern) or []))
+        if bits:
+            want[k] = bits
+    assert {r.key: r.rules for r in secrets.candidates(index).collect()} == want
+
+
+def test_secrets_of_every_kind_and_in_great_number(spark):
+    key = "-----BEGIN RSA PRIVATE KEY-----\nMIIE" + "x/y+" * 40_000 + "\n-----END RSA PRIVATE KEY-----"
+    parts = [key, "xoxb-" + "1z" * 8, "eyJ" + "a" * 9 + ".eyJ" + "b" * 9 + "." + "c" * 9, "glpat-" + "Z" * 20, "AIza" + "Q" * 35, "sk_live_" + "R" * 24, "npm_" + "T" * 36, "SG." + "U" * 22 + "." + "V" * 43]
+    kinds = ["private_key", "slack", "jwt", "gitlab", "google", "stripe", "npm", "mail"]
+    many = " é ".join(f"token={i:014d}" for i in range(3000))
+    rows = [(1, " \n ".join(parts)), (2, many), (3, key[:60]), (3, "plain")] + [(4, f"é {parts[1]}")] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.kind, s.stop) for s in r.secrets] for r in secrets.scan(df, chunk_texts=2).filter("doc_id <> 3").collect()}
+    at, want = 0, []
+    for part, kind in zip(parts, kinds, strict=True):
+        want.append((at, kind, at + len(part)))
+        at += len(part) + 3
+    assert got[1] == want and got[4] == [(2, "slack", 2 + len(parts[1]))]
+    assert [s for s in got[2]] == sorted((a, k, b) for a, _, k, b in brute.secrets(many)) and len(got[2]) == 3000
+    assert secrets.scan(df).filter("doc_id = 4").count() == 30
+    clean = {(r.doc_id, r.text) for r in secrets.redact(df.filter("doc_id in (1, 3)")).collect()}
+    assert clean == {(1, " \n ".join(["[SECRET]"] * len(parts))), (3, "[SECRET]"), (3, "plain")}
+
+
 def test_trigram_queries():
     assert secrets.trigram_query("(?:abcd|xyz)[0-9]+") == [frozenset({"abc", "bcd"}), frozenset({"xyz"})]
     assert secrets.trigram_query("[0-9a-f]{16,}") is None

@@ -2,26 +2,33 @@
 
 From every rule's regular expression a Boolean trigram query is derived: an alternative of literals gives an OR of
 ANDs of their trigrams (lower-cased); a rule without mandatory literals has no query and scans every text. Texts are
-indexed on the trigrams that occur in some query: postings (trigram, document). Intersecting the postings of each
-query gives the rule's candidates, and only there its expression runs; matches and code-point spans come from splitting the
-text at the expression.
+indexed on the trigrams that occur in some query. Texts are named by a 64-bit hash and dealt by it into chunks of about
+CHUNK_TEXTS; a posting list holds the sorted keys of one trigram in one chunk, so that a trigram that is in every text
+makes no long list. The lists of each alternative are intersected and those of a rule united; texts are joined with the
+rules that they are candidates of, and only there those rules' expressions run. Matches and code-point spans come from
+splitting the text at the expression. Two texts with one hash can only be candidates of too much, never of too little.
 
-Postings are local to a row of documents: the list of a text's trigrams is made and intersected in the row's own task,
-so that neither texts nor postings are shuffled, and a trigram that is in every text is no hot key. `postings` gives
-the index as a table for other uses.
+Rows whose text is repeated very often are dealt over all partitions for that join, which Spark makes a broadcast where the
+candidates are few. Spans are built in blocks of BLOCK_SPANS matches, so that a text's cost grows with its length.
 
 Defined cases: null texts are empty and have no spans. Every input row gives one row. Empty tables give no rows.
+A private key reaches from its first to its last line, or to the end of the text.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm.common import hot_keys, spread_join, written
+
+CHUNK_TEXTS = 16_384
+BLOCK_SPANS = 256
 
 @dataclass(frozen=True)
 class Rule:
@@ -43,7 +50,12 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?!-----END)[\s\S])*+(?:-----END [A-Z ]*PRIVATE KEY-----)?"),
+    Rule("gitlab", r"glpat-[A-Za-z0-9_-]{20,}"),
+    Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
+    Rule("stripe", r"[rs]k_live_[0-9A-Za-z]{24,}"),
+    Rule("npm", r"npm_[A-Za-z0-9]{36}"),
+    Rule("mail", r"SG\.[A-Za-z0-9_-]{22}\.[A-Za-z0-9_-]{43}"),
 )
 
 
@@ -102,19 +114,33 @@ def _present(text: Column, rules: tuple[Rule, ...]) -> Column:
     return F.filter(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in _vocabulary(rules)]), lambda t: t.isNotNull())
 
 
-def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The inverted index: (trigram, doc_id) for the trigrams of the rules' queries."""
-    return docs.select(F.explode(_present(F.col(text_col), rules)).alias("trigram"), F.col(id_col).alias("doc_id"))
+def text_grams(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
+    """(key, grams) for every row: its text's hash and the trigrams of the rules' queries that the text holds."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.xxhash64(text).alias("key"), _present(text, rules).alias("grams"))
+
+
+def postings(grams: DataFrame, chunk_texts: int = CHUNK_TEXTS) -> DataFrame:
+    """The inverted index of (key, grams) rows: trigram, chunk, and the sorted keys of the chunk's texts that hold it."""
+    held = grams.filter("size(grams) > 0")
+    chunks = max(1, -(-held.count() // chunk_texts))
+    entries = held.select("key", F.explode("grams").alias("trigram")).distinct()
+    return entries.groupBy(F.pmod("key", F.lit(chunks)).alias("chunk"), "trigram").agg(F.sort_array(F.collect_list("key")).alias("keys"))
 
 
-def _candidate(rule: Rule, grams: Column) -> Column:
-    query = trigram_query(rule.pattern)
-    if query is None:
-        return F.lit(True)
-    out = F.lit(False)
-    for alt in query:
-        out = out | (F.size(F.array_intersect(grams, F.array(*map(F.lit, sorted(alt))))) == len(alt))
-    return out
+def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(key, rules): the texts that hold all trigrams of an alternative of some rule, and those rules as bits."""
+    lists = index.groupBy("chunk").agg(F.map_from_entries(F.collect_list(F.struct("trigram", "keys"))).alias("lists"))
+    none = F.array().cast("array<bigint>")
+    found = []
+    for i, rule in enumerate(rules):
+        met = []
+        for alternative in trigram_query(rule.pattern) or []:
+            held = [F.coalesce(F.element_at("lists", F.lit(t)), none) for t in sorted(alternative)]
+            met.append(reduce(F.array_intersect, held))
+        found.append(F.struct(F.lit(1 << i).alias("rule"), reduce(F.array_union, met, none).alias("keys")))
+    rows = lists.select(F.explode(F.array(*found)).alias("c")).select("c.rule", F.explode("c.keys").alias("key"))
+    return rows.groupBy("key").agg(F.bit_or("rule").alias("rules"))
 
 
 def _spans(rule: Rule, rank: int, text: str) -> str:
@@ -123,21 +149,37 @@ def _spans(rule: Rule, rank: int, text: str) -> str:
     found = f"regexp_extract_all({text}, {quoted}, 0)"
     kept = f"regexp_extract_all({text}, {quoted}, {rule.group})" if rule.group else found
     gaps = f"split({text}, {quoted}, -1)"
-    # Running place: each gap, then each match; a match is kept if its group is long enough.
-    step = f"named_struct('at', a.at + char_length(x.`0`) + char_length(x.f), 'out', if(char_length(x.`2`) >= {rule.least}, concat(a.out, array(named_struct('start', a.at + char_length(x.`0`), 'rank', {rank}, 'kind', '{rule.kind}', 'stop', a.at + char_length(x.`0`) + char_length(x.f)))), a.out))"
+    struct = lambda start, stop: f"named_struct('start', {start}, 'rank', {rank}, 'kind', '{rule.kind}', 'stop', {stop})"
+    begin = "a.at + char_length(x.`0`)"
+    end = f"{begin} + char_length(x.f)"
+    # Running place within a block: each gap, then each match; a match is kept if its group is long enough.
+    step = f"named_struct('at', {end}, 'out', if(char_length(x.`2`) >= {rule.least}, concat(a.out, array({struct(begin, end)})), a.out))"
     none = "cast(array() as array<struct<start:int,rank:int,kind:string,stop:int>>)"
     zipped = f"arrays_zip(slice({gaps}, 1, size(f)), f, {kept})"
-    return f"transform(array({found}), f -> if(size(f) = 0, {none}, aggregate({zipped}, named_struct('at', 0, 'out', {none}), (a, x) -> {step}, a -> a.out)))[0]"
+    blocks = f"transform(sequence(0, cast((size(z) - 1) div {BLOCK_SPANS} as int)), b -> aggregate(slice(z, b * {BLOCK_SPANS} + 1, {BLOCK_SPANS}), named_struct('at', 0, 'out', {none}), (a, x) -> {step}))"
+    # Each block's own place is the sum of the blocks before it.
+    places = "slice(aggregate(p, array(0), (a, x) -> concat(a, array(element_at(a, -1) + x.at))), 1, size(p))"
+    moved = f"flatten(zip_with(p, {places}, (x, at) -> transform(x.out, s -> {struct('s.start + at', 's.stop + at')})))"
+    return f"transform(array({found}), f -> if(size(f) = 0, {none}, transform(array({zipped}), z -> transform(array({blocks}), p -> {moved})[0])[0]))[0]"
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", out_col: str = "secrets") -> DataFrame:
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", out_col: str = "secrets", chunk_texts: int = CHUNK_TEXTS) -> DataFrame:
     """`docs` with an array of all spans (start, rank, kind, stop), ordered by start, then rule."""
-    text, grams = "__tm_text", "__tm_grams"
-    rows = docs.withColumn(text, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    rows = rows.withColumn(grams, _present(F.col(text), rules))
+    text, key = "__tm_text", "__tm_key"
+    grams = written(text_grams(docs, rules, text_col), "grams")
+    likely = written(candidates(postings(grams, chunk_texts), rules), "candidates").select(F.col("key").alias(key), F.col("rules").alias("__tm_rules"))
+    hot = hot_keys(grams.groupBy("key").count(), "key", "count")
+    rows = docs.withColumn(text, F.coalesce(F.col(text_col).cast("string"), F.lit(""))).withColumn(key, F.xxhash64(text))
+    rows = spread_join(rows, likely, key, hot)
     none = F.expr("cast(array() as array<struct<start:int,rank:int,kind:string,stop:int>>)")
-    found = [F.when(_candidate(r, F.col(grams)), F.expr(_spans(r, i, text))).otherwise(none) for i, r in enumerate(rules)]
-    return rows.withColumn(out_col, F.array_sort(F.concat(*found))).drop(text, grams)
+    found = []
+    for i, r in enumerate(rules):
+        if trigram_query(r.pattern) is None:
+            runs = F.col(text).rlike(r.pattern)
+        else:
+            runs = F.coalesce(F.col("__tm_rules"), F.lit(0)).bitwiseAND(1 << i) != 0
+        found.append(F.when(runs, F.expr(_spans(r, i, text))).otherwise(none))
+    return rows.withColumn(out_col, F.array_sort(F.concat(*found))).select(*docs.columns, out_col)
 
 
 def listed(spans: Column) -> Column:
