@@ -394,6 +394,21 @@ def test_topk_odd_vectors(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_topk_over_many_shards_and_blocks(spark):
+    draw = np.random.default_rng(11)
+    centres = draw.normal(size=(6, 8)) * 3
+    rows = [(i // 2 if i < 60 else i, (centres[i % 6] + draw.normal(size=8) * 0.2).round(2).tolist()) for i in range(900)] + [(2000 + i, [1.0, 0.5]) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = tuples(topk.top_k(df, df.filter("vec_id % 5 = 0"), k=7, shard_rows=40, block_rows=16, leaf_rows=4), "query_id", "rank", "vec_id", "score")
+    cells = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows]
+    want = []
+    for q in sorted({i for i, _ in rows if i % 5 == 0}):
+        # An id with several vectors gets the best of all of them, a candidate as often as it is found.
+        hits = sorted((-int(a @ b), j) for i, a in cells if i == q for j, b in cells if j != q and len(a) == len(b))
+        want += [(q, r + 1, j, -s) for r, (s, j) in enumerate(hits[:7])]
+    assert got == sorted(want, key=str)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

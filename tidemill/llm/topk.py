@@ -2,13 +2,19 @@
 
 Vectors are cut to integers, floor(scale * x). Candidates are dealt at random into shards of bounded size, each of
 which becomes one packed row: the tree's leaves (median splits on the widest side) and the tight bounding box of
-every node. Queries are packed into blocks. Each block first searches one shard; the kth score found there is
-propagated as the starting bound of the search in every other shard, so that whole shards and subtrees whose box
-cannot reach it are skipped. Only what beats the bound leaves a shard, and the shards' lists are merged by rank.
+every node. Queries are packed into blocks with a box of their own. Each block first searches one shard; the kth score
+found there is propagated as the starting bound of the search in every other shard, so that subtrees whose box cannot
+reach it are skipped. Which blocks meet which shards is settled before any vectors move: the pairs of numbers are dealt
+from the shards' side, and those whose boxes cannot score what the block's least kth score asks for are dropped. A pair's
+vectors come together as a group of one row, so that a task holds one shard and one block at a time. Only what
+beats the bound leaves a shard, and the shards' lists are merged by rank.
+
+Shards and blocks grow with the input up to SHARD_ROWS and BLOCK_ROWS: the vectors that move are all pairs' shards and blocks.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part. Vectors are compared only
 with vectors of the same length. Ties go to the smaller id. Rows that repeat an id are candidates each; a query's own
-id is never its candidate. Queries given twice (same id and vector) are answered once. An empty table gives no rows.
+id is never its candidate. Queries given twice (same id and vector) are answered once, and an id with several query
+vectors gets one list, the best of all of them. An empty table gives no rows. Ids are longs.
 Scores beyond 64 bits are clamped.
 """
 
@@ -19,15 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import order_hash, written
 
-SHARD_ROWS = 8192
-BLOCK_ROWS = 2048
+SHARD_ROWS = 65_536
+BLOCK_ROWS = 16_384
 LEAF_ROWS = 256
-_PACKED = "dim int, part long, ids binary, cells binary, leaves binary, boxes binary"
+_PACKED = "dim int, part long, ids binary, cells binary, leaves binary, boxes binary, box array<double>"
 _FOUND = "query_id long, vec_id long, score long"
 
 
@@ -38,7 +44,7 @@ def quantise(vector: Column, scale: int = 64) -> Column:
     return F.when(vector.isNotNull() & ~bad, F.when(F.size(vector) >= 0, cells))
 
 
-def _tree(x: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]], np.ndarray]:
+def _tree(x: np.ndarray, leaf_rows: int) -> tuple[np.ndarray, list[tuple[int, int, int, int]], np.ndarray]:
     """Row order, nodes (start, stop, left, right; -1: leaf) and boxes (lows, then highs) of a KD-tree."""
     order, nodes, boxes = np.arange(len(x)), [], []
 
@@ -48,7 +54,7 @@ def _tree(x: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]], n
         at = len(nodes)
         nodes.append((lo, hi, -1, -1))
         boxes.append(np.concatenate([low, high]))
-        if hi - lo > LEAF_ROWS and part.shape[1] and (wide := int(np.argmax(high - low))) >= 0 and high[wide] > low[wide]:
+        if hi - lo > leaf_rows and part.shape[1] and (wide := int(np.argmax(high - low))) >= 0 and high[wide] > low[wide]:
             mid = (hi - lo) // 2
             order[lo:hi] = order[lo:hi][np.argpartition(part[:, wide], mid, kind="introselect")]
             left = grow(lo, lo + mid)
@@ -59,12 +65,14 @@ def _tree(x: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]], n
     return order, nodes, np.array(boxes)
 
 
-def _pack(key: tuple, pdf: pd.DataFrame, tree: bool) -> pd.DataFrame:
+def _pack(key: tuple, pdf: pd.DataFrame, leaf_rows: int) -> pd.DataFrame:
+    """One packed row of a group; without leaf_rows it has no tree."""
     pdf = pdf.sort_values(["vec_id"], kind="stable")
     dim, ids = int(key[0]), pdf["vec_id"].to_numpy(np.int64)
     x = np.array(pdf["cells"].tolist(), np.float64).reshape(len(pdf), dim)
-    order, nodes, boxes = _tree(x) if tree else (np.arange(len(x)), [], np.empty(0))
-    return pd.DataFrame({"dim": [dim], "part": [key[1]], "ids": [ids[order].tobytes()], "cells": [_small(x[order])], "leaves": [np.array(nodes, np.int64).tobytes()], "boxes": [boxes.tobytes()]})
+    order, nodes, boxes = _tree(x, leaf_rows) if leaf_rows else (np.arange(len(x)), [], np.empty(0))
+    box = np.concatenate([x.min(axis=0), x.max(axis=0)]) if dim else np.empty(0)
+    return pd.DataFrame({"dim": [dim], "part": [key[1]], "ids": [ids[order].tobytes()], "cells": [_small(x[order])], "leaves": [np.array(nodes, np.int64).tobytes()], "boxes": [boxes.tobytes()], "box": [box]})
 
 
 def _small(x: np.ndarray) -> bytes:
@@ -111,57 +119,69 @@ def _search(q_ids: np.ndarray, q: np.ndarray, start: np.ndarray, ids: np.ndarray
             yield int(own), vec, -score
 
 
-def _searched(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for r in pdf.itertuples():
-            q_ids, ids, nodes = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.ids, np.int64), np.frombuffer(r.leaves, np.int64).reshape(-1, 4)
-            q, x = _cells(r.q_cells, len(q_ids), r.dim), _cells(r.cells, len(ids), r.dim)
-            start = np.frombuffer(r.bounds) if r.bounds else np.full(len(q_ids), -np.inf)
-            found = list(_search(q_ids, q, start, ids, x, nodes, np.frombuffer(r.boxes).reshape(len(nodes), 2 * r.dim), k))
-            yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+def _searched(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
+    """What one block finds in one shard."""
+    found: list[tuple[int, int, int]] = []
+    for r in pdf.itertuples():
+        q_ids, ids, nodes = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.ids, np.int64), np.frombuffer(r.leaves, np.int64).reshape(-1, 4)
+        q, x = _cells(r.q_cells, len(q_ids), r.dim), _cells(r.cells, len(ids), r.dim)
+        start = np.frombuffer(r.bounds) if r.bounds else np.full(len(q_ids), -np.inf)
+        found += _search(q_ids, q, start, ids, x, nodes, np.frombuffer(r.boxes).reshape(len(nodes), 2 * r.dim), k)
+    return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+
+
+def _box_reach(a: str, b: str, dim: str) -> Column:
+    """The most that a vector in box a can score with one in box b (each: lows, then highs), with slack for rounding."""
+    ends = lambda box: f"transform(sequence(0, {dim} - 1), i -> named_struct('lo', {box}[i], 'hi', {box}[i + {dim}]))"
+    most = f"aggregate(zip_with({ends(a)}, {ends(b)}, (x, y) -> greatest(x.lo * y.lo, x.lo * y.hi, x.hi * y.lo, x.hi * y.hi)), 0D, (s, v) -> s + v)"
+    return F.expr(f"if({dim} = 0, 0D, transform(array({most}), m -> m + abs(m) * 1e-9)[0])")
 
 
-def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
+def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k candidates of highest integer inner product for every query."""
+    cores = candidates.sparkSession.sparkContext.defaultParallelism
 
-    def parts(df: DataFrame, rows: int, seed: str) -> DataFrame:
+    def parts(df: DataFrame, most: int, seed: str) -> DataFrame:
         df = df.select(F.col(id_col).cast("long").alias("vec_id"), quantise(F.col(vector_col), scale).alias("cells")).filter("cells is not null and vec_id is not null")
         n = df.count()
-        deal = F.pmod(order_hash("vec_id", seed=seed), F.lit(max(1, -(-n // rows))))
+        rows = max(1, min(most, -(-n // cores)))  # every core gets a part before parts grow to their bound
+        # Rows that repeat an id are dealt apart.
+        deal = F.pmod(order_hash("vec_id", F.monotonically_increasing_id(), seed=seed), F.lit(max(1, -(-n // rows))))
         return df.select(F.size("cells").alias("dim"), deal.alias("part"), "vec_id", "cells")
 
-    shards = parts(candidates, SHARD_ROWS, "shard").groupBy("dim", "part").applyInPandas(lambda key, pdf: _pack(key, pdf, True), _PACKED)
-    blocks = parts(queries, BLOCK_ROWS, "block").dropDuplicates().groupBy("dim", "part").applyInPandas(lambda key, pdf: _pack(key, pdf, False), _PACKED)
+    shards = parts(candidates, shard_rows, "shard").groupBy("dim", "part").applyInPandas(lambda key, pdf: _pack(key, pdf, leaf_rows), _PACKED)
+    blocks = parts(queries.select(id_col, vector_col).dropDuplicates(), block_rows, "block").groupBy("dim", "part").applyInPandas(lambda key, pdf: _pack(key, pdf, 0), _PACKED)
+    # Parts are numbered from 0 within each dimension, for pairs to be dealt by number.
+    number = F.row_number().over(Window.partitionBy("dim").orderBy("part")) - 1
     shards, blocks = written(shards, "shards"), written(blocks, "blocks")
-    blocks = blocks.select("dim", F.col("part").alias("block"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"))
-    n_shards = shards.groupBy("dim").agg(F.count_distinct("part").alias("n_parts"), F.sort_array(F.collect_set("part")).alias("parts"))
-    homes = blocks.join(n_shards, "dim").select("dim", "block", F.expr("parts[int(pmod(block, n_parts))]").alias("part"))
+    shard_no = written(shards.select("dim", "part", "box").withColumn("shard", number), "shard-numbers")
+    block_no = written(blocks.select("dim", F.col("part").alias("q_part"), F.col("box").alias("q_box")).withColumn("block", F.row_number().over(Window.partitionBy("dim").orderBy("q_part")) - 1), "block-numbers")
+    n_shards = shard_no.groupBy("dim").agg(F.count("*").alias("n_shards"))
+    n_blocks = block_no.groupBy("dim").agg(F.count("*").alias("n_blocks"))
+    homes = block_no.join(n_shards, "dim").withColumn("shard", (F.col("block") % F.col("n_shards")).cast("int")).join(shard_no.select("dim", "shard", "part"), ["dim", "shard"]).select("dim", "q_part", "part")
+    payload = blocks.select("dim", F.col("part").alias("q_part"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"))
 
     def search(pairs: DataFrame) -> DataFrame:
-        # A pair of a block and a shard is one row of work; dealt round robin so that no task gets them all.
-        pairs = pairs.repartition(max(2, spark.sparkContext.defaultParallelism))
-        return pairs.mapInPandas(lambda it: _searched(it, k), _FOUND)
+        # The pair is a group of its own: one shard and one block in memory at a time.
+        work = pairs.join(payload, ["dim", "q_part"]).join(shards.drop("box"), ["dim", "part"])
+        return work.groupBy("dim", "part", "q_part").applyInPandas(lambda pdf: _searched(pdf, k), _FOUND)
 
-    spark = candidates.sparkSession
-    pairs = blocks.join(shards, "dim")
     # First round: each block in its home shard. The kth score found is a bound for all other shards.
-    first = written(search(blocks.join(homes, ["dim", "block"]).join(shards, ["dim", "part"]).withColumn("bounds", F.lit(None).cast("binary"))), "first")
-    kth = first.groupBy("query_id").agg(F.expr(f"sort_array(collect_list(score), false)[{k - 1}]").alias("kth"))
-    q_rows = blocks.select("dim", "block", F.posexplode(_longs("q_ids")).alias("i", "query_id"))
-    bounds = q_rows.join(kth, "query_id", "left").groupBy("dim", "block").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "kth"))), lambda s: s["kth"].cast("double")).alias("b"))
-    bounds = bounds.select("dim", "block", _doubles("b").alias("bounds"))
-    rest = pairs.join(homes.withColumnRenamed("part", "home"), ["dim", "block"]).filter("part <> home").join(bounds, ["dim", "block"])
-    found = first.unionByName(search(rest.drop("home")))
-    best = F.row_number().over(_by_score())
+    first = written(search(homes.withColumn("bounds", F.lit(None).cast("binary"))), "first")
+    kth = first.groupBy("query_id").agg(F.expr(f"get(sort_array(collect_list(score), false), {k - 1})").alias("kth"))
+    q_rows = payload.select("dim", "q_part", F.posexplode(_longs("q_ids")).alias("i", "query_id"))
+    bounds = q_rows.join(kth, "query_id", "left").groupBy("dim", "q_part").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "kth"))), lambda s: s["kth"].cast("double")).alias("b"))
+    least = F.when(F.exists("b", lambda v: v.isNull()), F.lit(float("-inf"))).otherwise(F.array_min("b")).alias("least")
+    bounds = written(bounds.select("dim", "q_part", _doubles("b").alias("bounds"), least), "bounds")
+    asked = block_no.join(bounds.select("dim", "q_part", "least"), ["dim", "q_part"])
+    # The stated queries against all rows, in blocks: pairs of numbers, without vectors, and only where the boxes reach.
+    pairs = shard_no.join(n_blocks, "dim").withColumn("block", F.explode(F.expr("sequence(0, cast(n_blocks - 1 as int))"))).join(asked, ["dim", "block"])
+    pairs = pairs.filter(_box_reach("q_box", "box", "dim") >= F.col("least")).select("dim", "part", "q_part").join(homes, ["dim", "part", "q_part"], "left_anti")
+    found = first.unionByName(search(pairs.join(bounds.drop("least"), ["dim", "q_part"])))
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.select("query_id", best.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
 
 
-def _by_score():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-
-
 def _longs(name: str) -> Column:
     @F.pandas_udf("array<long>")
     def unpack(s: pd.Series) -> pd.Series:
