@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
+import xxhash
 
 WORD10 = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 BLANKS = re.compile("[^\x20\x09-\x0d]+")
@@ -125,3 +127,57 @@ def url_scores(learn, tune, urls, order=5, lam=2.0):
 
     (ma, sa), (mb, sb) = ((np.mean(x), np.std(x) + 1e-9) for x in ([score(u) for u, a in set(tune) if a == y] for y in (True, False)))
     return [score(u) for u in urls], (ma * sb + mb * sa) / (sa + sb)
+
+
+def toxicity_scores(docs, labels, bits=31, min_z=4.5, epochs=300, decay=2e-4):
+    """Scores of the documents by dense non-negative positive-unlabelled logistic regression on screened words."""
+    held = lambda d: d is None or zlib.crc32(str(d).encode()) % 5 == 0
+    words = lambda t: {xxhash.xxh3_64_intdigest(w) % (1 << bits) for w in re.findall(r"\w+", (t or "").casefold())}
+    known = [(d, y) for d, y in labels if not held(d)]
+    prior = float(np.mean([y for _, y in known if y in (0, 1)]))
+    toxic = {d for d, y in known if y == 1}
+    sets = [(d, words(t)) for d, t in docs]
+    p, u = [s for d, s in sets if d in toxic], [s for d, s in sets if not held(d)]
+    vocabulary = []
+    for w in sorted(set().union(*p)):
+        a, b = sum(w in s for s in p), sum(w in s for s in u)
+        sp, su, both = a / len(p), (b + 0.5) / (len(u) + 1), (a + b) / (len(p) + len(u))
+        z = (sp - su) / math.sqrt(both * (1 - both) * (1 / len(p) + 1 / len(u)) + 1e-12)
+        if a >= 2 and z >= min_z and sp >= 2 * su:
+            vocabulary.append(w)
+    dense = lambda rows: np.array([[w in s for w in vocabulary] + [True] for s in rows], float)
+    xp, xu, sig = dense(p), dense(u), lambda g: 1 / (1 + np.exp(-g))
+    w, m, v = np.zeros(len(vocabulary) + 1), 0.0, 0.0
+    for t in range(1, epochs + 1):
+        gp, gu = xp @ w, xu @ w
+        up = -prior * ((1 - sig(gp))[:, None] * xp).mean(0)
+        down = (sig(gu)[:, None] * xu).mean(0) - prior * (sig(gp)[:, None] * xp).mean(0)
+        below = np.log1p(np.exp(gu)).mean() - prior * np.log1p(np.exp(gp)).mean() < 0
+        grad = (-down if below else up + down) + decay * np.append(w[:-1], 0)
+        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
+        w = w - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+    return len(vocabulary), sig(dense([s for _, s in sets]) @ w)
+
+
+def quality_statistics(text):
+    """The statistics of a text, character by character and word by word."""
+    text = text or ""
+    kinds = Counter()
+    for ch in text:
+        kinds["mark" if ch in ".,;:'\"?-()" else "beyond" if ord(ch) > 127 else "lower" if ch.islower() else "upper" if ch.isupper() else "digit" if ch.isdigit() else "blank" if ch.isspace() else "symbol"] += 1
+    share = lambda k: kinds[k] / max(1, len(text))
+    logit = lambda x: math.log((x + 0.002) / (1.002 - x))
+    words = text.split()
+    n, lengths = len(words), [len(w) for w in words]
+    mean = sum(lengths) / n if n else 0.0
+    spread = math.sqrt(sum((x - mean) ** 2 for x in lengths) / n) if n else 0.0
+    tally = Counter(words)
+    parts = [q for q in (x.strip() for x in re.split(r"[.\n]+", text)) if q]
+    letters = share("lower") + share("upper") + share("beyond")
+    of = lambda x: logit(x / n if n else 0.0)
+    return [
+        math.log1p(len(text)), math.log1p(n), math.log1p(mean), math.log1p(spread), math.log1p(max(lengths, default=0)),
+        logit(letters), logit(share("upper") / letters if letters else 0.0), logit(share("digit")), logit(share("blank")), logit(share("mark")), logit(share("symbol")),
+        of(len(tally)), math.log1p(len(tally)) / math.log1p(n) if n else 0.0, of(max(tally.values(), default=0)), of(sum(c == 1 for c in tally.values())),
+        logit(1 - len(set(parts)) / len(parts) if parts else 0.0), math.log1p(n / len(parts)) if parts else 0.0, of(sum(x <= 2 for x in lengths)),
+    ]

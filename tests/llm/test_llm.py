@@ -306,10 +306,28 @@ def test_discriminant_is_the_textbook_one(spark):
 
 def test_risk_does_not_turn_negative():
     draw = random.Random(1)
-    rows = lambda words, n: [np.array(sorted(set(draw.choices(words, k=6))), np.int32) for _ in range(n)]
+    rows = lambda words, n: [sorted(set(draw.choices(words, k=6))) for _ in range(n)]
     toxic, clean = list(range(10)), list(range(10, 60))
-    model = toxicity.train(rows(toxic, 60), rows(toxic, 30) + rows(clean, 270), 0.1)
-    assert len(model.words) and (model.weights[np.isin(model.words, toxic)] > 0).all()
+    p, u = rows(toxic, 60), rows(toxic, 30) + rows(clean, 270)
+    model = toxicity.fit(np.arange(60), toxicity.Rows(p, [1] * 60), toxicity.Rows(u, [1] * 300), 0.1)
+    assert (model.weights[toxic] > 0).all()
+    merged = toxicity.fit(np.arange(60), toxicity.Rows(p[:30] + p[30:], [1] * 60), toxicity.Rows(u[:150] + u[150:] + u[:5], [1] * 300 + [0] * 5), 0.1)
+    assert np.allclose(model.weights, merged.weights)
+
+
+def test_toxicity_is_the_plain_one(spark):
+    sf = SF.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    n, want = brute.toxicity_scores(rows, [(r.doc_id, r.toxic) for r in labels.collect()])
+    got = {r.doc_id: r.score for r in queries.op1_toxicity(spark, sf).collect()}
+    assert n > 3 and np.allclose([got[d] for d, _ in rows], want, atol=1e-6)
+
+
+def test_quality_statistics_are_the_plain_ones():
+    texts = [t for _, t in fixture()] + ["Ünï code. Ünï code.\n\n(x) 12-3; \x1c\u2003 \u00a0A\n"]
+    for t in texts:
+        assert np.allclose(quality.statistics(t), brute.quality_statistics(t), atol=1e-9), t
 
 
 def test_licenses(spark, no_docs):
