@@ -99,7 +99,7 @@ def url_scores(learn, tune, urls, order=5, lam=2.0):
     """Scores of URLs by the two smoothed models of all (url, accepted) rows of `learn`, and the cut by `tune`."""
 
     def grams(url):
-        t = "\x02" * (order - 1) + re.sub("^[^:]*://", "", url).lower() + "\x03"
+        t = "\x02" * (order - 1) + (url.partition("://")[2] or url).lower() + "\x03"
         return [[t[i - k : i] for k in range(1, order + 1)] for i in range(order, len(t) + 1)]
 
     counts, contexts = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import random
 import zlib
@@ -371,7 +372,7 @@ def test_url_model_counts_all_urls(spark):
     rows = [(f"http://{host()}.org/article/{i}", "allow") for i in range(5400)] + [(f"http://{host()}.biz/buy?id={i}", "block") for i in range(5400)]
     labelled = spark.createDataFrame(rows, "url string, verdict string")
     held_back = {r.url for r in labelled.filter(F.pmod(common.order_hash("url", seed="part"), F.lit(5)) == 0).collect()}
-    open_urls = ["http://abcde.org/buy", "http://xyz.info/article/77", "http://decade.biz/article?id=1", "http://ééé/0"]
+    open_urls = ["http://abcde.org/buy", "http://xyz.info/article/77", "http://decade.biz/article?id=1", "http://ééé/0", "a:b://decade.biz/buy", "x" * 4000 + "://" + "decade" * 900]
     want, cut = brute.url_scores([(u, v == "allow") for u, v in rows if u not in held_back], [(u, v == "allow") for u, v in rows if u in held_back], open_urls)
     got = urlfilter.judge(spark.createDataFrame(list(enumerate(open_urls)), "page_id long, url string"), rules=(urlfilter.UrlRule("none", "/", "allow"),), labelled=labelled).orderBy("page_id").collect()
     assert np.allclose([r.score for r in got], want, atol=1e-9)
@@ -393,6 +394,45 @@ def test_warc_round_trip(spark):
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_of_other_writers(spark, tmp_path):
+    def record(kind, block, *fields):
+        return b"WARC/1.0\r\n" + b"".join(f.encode() + b"\r\n" for f in (f"WARC-Type: {kind}", *fields, f"content-length:{len(block)}")) + b"\r\n" + block + b"\r\n\r\n"
+
+    page = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>one</p>\r\n\r\nWARC/1.0"
+    records = [
+        record("warcinfo", b"software: x\r\n", "WARC-Record-ID: <w>"),
+        record("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Record-ID: <q1>", "WARC-Target-URI: http://a/"),
+        record("response", page, "warc-record-id: <r1>", "WARC-Concurrent-To: <q1>", "WARC-Target-URI: http://a/\r\n  x", "WARC-Date: 2020-01-01T00:00:00Z"),
+        record("metadata", b"fetchTimeMs: 3\r\n", "WARC-Record-ID: <m1>", "WARC-Refers-To: <r1>", "no colon here"),
+        record("response", b"not http", "WARC-Record-ID: <r2>"),
+        record("resource", b"raw", "WARC-Record-ID: <s>"),
+        record("response", b"HTTP/1.1 404\r\nContent-Length: x\r\n\r\n", "WARC-Record-ID: <r3>"),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    (tmp_path / "b.warc").write_bytes(b"".join(records)[:-40])
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(b"".join(records)) + gzip.compress(records[1]))
+    (tmp_path / "ignored.cdx").write_text("x")
+    rows = warc.read_archives(spark, f"file://{tmp_path}", batch_rows=2).collect()
+    by_file = {name: [r for r in rows if r.file.endswith(name)] for name in ("a.warc.gz", "b.warc", "c.warc.gz")}
+    assert [r.record_id for r in by_file["a.warc.gz"]] == ["<w>", "<q1>", "<r1>", "<m1>", "<r2>", "<s>", "<r3>"]
+    assert [len(by_file[n]) for n in ("b.warc", "c.warc.gz")] == [6, 8]
+    got = {r.record_id: r for r in by_file["a.warc.gz"]}
+    assert bytes(got["<r1>"].payload) == page.split(b"\r\n\r\n", 1)[1] and got["<r1>"].payload_bytes == len(got["<r1>"].payload)
+    assert bytes(got["<r2>"].payload) == b"not http" and bytes(got["<s>"].payload) == b"raw" and got["<r3>"].payload_bytes == 0
+    assert got["<w>"].target_uri is None and got["<r1>"].target_uri == "http://a/ x"
+    one = warc.assemble(warc.read_archives(spark, f"file://{tmp_path}").filter("file like '%a.warc.gz'")).filter("record_id = '<r1>'").collect()
+    assert len(one) == 1 and one[0].request.record_id == "<q1>" and one[0].metadata.record_id == "<m1>"
+
+
+def test_warc_over_many_files(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i % 7}/{i}", f"page {i % 40} " * 200) for i in range(300)], "page_id long, url string, html string")
+    path = warc.write_archives(pages, common.scratch_path(spark, "warc"), file_bytes=20_000, task_bytes=100_000)
+    records = warc.read_archives(spark, path)
+    assert records.select("file").distinct().count() > 20 and records.count() == 900
+    got = warc.resolved(warc.assemble(records, with_payload=False)).orderBy("capture_id").collect()
+    assert [(r.capture_id, r.record_type, r.refers_to) for r in got] == [(i, "response", None) if i >= 260 else (i, "revisit", max(j for j in range(300) if j % 40 == i % 40)) for i in range(300)]
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()

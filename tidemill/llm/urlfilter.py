@@ -72,7 +72,7 @@ def decide(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> Co
 
 def _longest(urls: DataFrame, keep: list[str]) -> DataFrame:
     """One row for each character of a URL (and its end mark): the ORDER characters that end there as t, and the kept columns."""
-    text = F.concat(F.lit(_PAD), _lower(F.regexp_replace("url", r"^[^:]*://", "")), F.lit(_END))
+    text = F.concat(F.lit(_PAD), _lower(F.expr("substring(url, if(instr(url, '://') > 0, instr(url, '://') + 3, 1))")), F.lit(_END))
     rows = urls.select(*keep, text.alias("t")).select(*keep, "t", F.explode(F.sequence(F.lit(ORDER), F.length("t"))).alias("i"))
     return rows.select(*keep, F.expr(f"substring(t, i - {ORDER - 1}, {ORDER})").alias("t"))
 

@@ -6,9 +6,15 @@ of at least `min_revisit_bytes` the one with the largest id is stored in full, t
 to it. Records are built by DataFrame expressions and written by Spark's text writer, whose line separator is the blank
 line pair that ends every WARC record, so that archives are byte-exact wherever Spark can write.
 
-Reading: each archive file is one row of binaryFile, cut into records by Content-Length. `file_bytes` bounds the bytes
-that a file gets (records longer than that have a file's worth of their own), which bounds a task's memory. Transactions are
-assembled by joining request, response and metadata records through their concurrent-to ids into one nested row.
+Files: tasks write about TASK_BYTES each, as files that are rolled after as many records as make FILE_BYTES on average, so
+that neither tasks nor what a reader holds grow with the input.
+
+Reading: each archive file (*.warc, *.warc.gz, *.txt, *.txt.gz) is one row of binaryFile, whose gzip members are unpacked one
+after the other and cut into records by Content-Length; memory holds one member's rest and one record. Archives of
+other writers are read too: names of header fields in any case, folded lines, several concurrent-to ids (the first counts),
+warcinfo and other records without a target, HTTP heads without a length or of any status, resource and conversion
+records. A truncated last record ends its file. Transactions are assembled by joining request, response and
+metadata records through their concurrent-to ids, whichever side names the other, into one nested row.
 
 Defined cases: null html is an empty payload; null urls are written as `about:blank`; captures with a null id are
 written and returned with a null id, and are stored in full. Rows that repeat an id are captures each; those that repeat
@@ -17,9 +23,10 @@ the stored capture's id and payload are stored in full too. Empty tables give an
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +36,7 @@ CRLF = "\r\n"
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 16 << 20
+TASK_BYTES = 256 << 20
 _RECORD = "file string, warc_type string, record_id string, concurrent_to string, refers_to string, target_uri string, date string, payload_digest string, capture_id long, payload_bytes long, payload binary, metadata string"
 
 
@@ -60,10 +68,14 @@ def plan_captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     return dealt.repartition(files, *keys).join(refers.hint("shuffle_hash"), keys, "left")
 
 
-def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, compression: str = "gzip", **columns) -> str:
+def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, task_bytes: int = TASK_BYTES, compression: str = "gzip", **columns) -> str:
     """Write all captures as WARC files of about `file_bytes` under `path`; returns the path."""
-    total = pages.select(F.sum(F.octet_length(F.coalesce(F.col(columns.get("html_col", "html")), F.lit(""))) + 2000)).first()[0] or 0
-    caps = plan_captures(pages, files=int(max(1, -(-total // file_bytes))), **columns)
+    sized = pages.select(F.sum(F.octet_length(F.coalesce(F.col(columns.get("html_col", "html")), F.lit(""))) + 2000), F.count("*"))
+    total, rows = (x or 0 for x in sized.first())
+    # As many tasks as make files of their own, but no more than cores unless tasks would pass their bound.
+    tasks = max(min(-(-total // file_bytes), 2 * pages.sparkSession.sparkContext.defaultParallelism), -(-total // task_bytes), 1)
+    records = 3 * max(1, rows * file_bytes // max(1, total))
+    caps = plan_captures(pages, files=int(tasks), **columns)
     caps = caps.withColumn("key", F.coalesce(F.col("capture_id").cast("string"), F.concat(F.lit("null "), F.col("deal").cast("string"))))
     main, uri = _uuid("response", F.col("key")), F.regexp_replace("url", r"[\r\n]+", " ")
     host = F.regexp_extract("url", r"://([^/?#]*)", 1)
@@ -77,32 +89,78 @@ def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, co
     request = _record([*base(F.lit("request"), _uuid("request", F.col("key"))), ("WARC-Concurrent-To", main), ("Content-Type", F.lit("application/http; msgtype=request"))], F.concat(F.lit("GET "), uri, F.lit(" HTTP/1.1\r\nHost: "), host, F.lit(END)))
     about = F.concat(F.lit("capture-id: "), F.coalesce(F.col("capture_id").cast("string"), F.lit("")), F.lit("\r\nrefers-to-capture: "), F.coalesce(F.col("refers_to").cast("string"), F.lit("")), F.lit(CRLF))
     meta = _record([*base(F.lit("metadata"), _uuid("metadata", F.col("key"))), ("WARC-Concurrent-To", main), ("Content-Type", F.lit("application/warc-fields"))], about)
-    caps.select(F.explode(F.array(request, response, meta)).alias("value")).write.option("lineSep", END).option("compression", compression).text(path)
+    caps.select(F.explode(F.array(request, response, meta)).alias("value")).write.option("lineSep", END).option("compression", compression).option("maxRecordsPerFile", int(records)).text(path)
     return path
 
 
-def _parse(name: str, data: bytes) -> Iterator[tuple]:
+def _unpacked(data: bytes) -> Iterator[bytes]:
+    """A file's bytes: its gzip members' one by one, or the file itself."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    rest = memoryview(data)
+    while len(rest) and bytes(rest[:2]) == b"\x1f\x8b":
+        one = zlib.decompressobj(31)
+        yield one.decompress(rest)
+        if not one.eof:  # a truncated member ends the file
+            return
+        rest = rest[len(rest) - len(one.unused_data) :]
+
+
+def _fields(head: bytes) -> dict[str, str]:
+    """Header fields by lower-case name, the first of each; a line that begins with a blank continues the one before."""
+    out: dict[str, str] = {}
+    lines = re.sub(r"\r?\n[ \t]+", " ", head.decode("utf-8", "replace")).splitlines()
+    for line in lines[1:]:
+        name, colon, value = line.partition(":")
+        if colon:
+            out.setdefault(name.strip().lower(), value.strip())
+    return out
+
+
+def _whole(text: str | None) -> int | None:
+    return int(text) if text and text.isascii() and text.isdigit() else None
+
+
+def _row(name: str, head: dict[str, str], block: bytes) -> tuple:
+    kind, payload, size, capture, fields = head.get("warc-type", ""), None, None, None, None
+    if kind in ("response", "revisit"):
+        payload = block
+        if block.startswith(b"HTTP/"):
+            http, _, payload = block.partition(b"\r\n\r\n")
+            size = _whole(_fields(http).get("content-length"))
+        payload = payload if kind == "response" else None
+    elif kind in ("resource", "conversion"):
+        payload = block
+    elif kind in ("metadata", "warcinfo"):
+        fields = block.decode("utf-8", "replace")
+        capture = _whole(_fields(b"\n" + block).get("capture-id"))
+    if size is None and payload is not None:
+        size = len(payload)
+    get = head.get
+    return name, kind, get("warc-record-id"), get("warc-concurrent-to"), get("warc-refers-to"), get("warc-target-uri"), get("warc-date"), get("warc-payload-digest"), capture, size, payload, fields
+
+
+def parse(name: str, data: bytes) -> Iterator[tuple]:
     """The records of one archive in order."""
-    import gzip
-
-    data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-    at = 0
-    while at < len(data):
-        head_end = data.index(b"\r\n\r\n", at)
-        head = dict(x.split(": ", 1) for x in data[at:head_end].decode("utf-8", "replace").split(CRLF)[1:])
-        start = head_end + 4
-        block = data[start : start + int(head["Content-Length"])]
-        at = start + len(block) + 4
-        kind, payload, size, capture, fields = head["WARC-Type"], None, None, None, None
-        if kind in ("response", "revisit"):
-            http, _, body = block.partition(b"\r\n\r\n")
-            size = int(http.rsplit(b"Content-Length: ", 1)[1].split(b"\r\n")[0])
-            payload = body if kind == "response" else None
-        elif kind == "metadata":
-            fields = block.decode("utf-8", "replace")
-            pairs = dict(x.partition(": ")[::2] for x in fields.split(CRLF) if x)
-            capture = int(pairs["capture-id"]) if pairs.get("capture-id") else None
-        yield name, kind, head["WARC-Record-ID"], head.get("WARC-Concurrent-To"), head.get("WARC-Refers-To"), head["WARC-Target-URI"], head["WARC-Date"], head.get("WARC-Payload-Digest"), capture, size, payload, fields
+    held = b""
+    for part in _unpacked(data):
+        held, at = held + part if held else part, 0
+        while True:
+            while held[at : at + 2] == b"\r\n" or held[at : at + 1] == b"\n":
+                at += 2 if held[at : at + 1] == b"\r" else 1
+            end = held.find(b"\r\n\r\n", at)
+            if end < 0:
+                break
+            head = _fields(held[at:end])
+            start, n = end + 4, _whole(head.get("content-length"))
+            if n is None:
+                raise ValueError(f"{name}: a record without Content-Length")
+            if len(held) < start + n:
+                break
+            yield _row(name, head, held[start : start + n])
+            at = start + n
+        held = held[at:]
 
 
 def read_archives(spark: SparkSession, path: str, batch_rows: int = 512) -> DataFrame:
@@ -114,7 +172,7 @@ def read_archives(spark: SparkSession, path: str, batch_rows: int = 512) -> Data
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = []
-                for row in _parse(name, data):
+                for row in parse(name, data):
                     found.append(row)
                     if len(found) == batch_rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), _arrow(), strict=True)], names=_names())
@@ -122,7 +180,7 @@ def read_archives(spark: SparkSession, path: str, batch_rows: int = 512) -> Data
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), _arrow(), strict=True)], names=_names())
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{txt,warc,txt.gz,warc.gz}").option("recursiveFileLookup", "true").load(path).select("path", "content")
     # One file at a time in a Python worker: Arrow batches are cut by bytes as well as rows.
     return files.mapInArrow(records, _RECORD)
 
@@ -147,7 +205,11 @@ def assemble(records: DataFrame, with_payload: bool = True) -> DataFrame:
         hashed = written(hashed.drop("payload"), "records")
     kept = ["file", "record_id", "warc_type", "target_uri", "date", "refers_to", "payload_digest", "payload_bytes", "stored_digest", "stored_bytes", *(["payload"] if with_payload else [])]
     main = hashed.filter(F.col("warc_type").isin("response", "revisit")).select(F.col("record_id").alias("rid"), F.struct(*kept).alias("response"))
-    side = hashed.filter(F.col("warc_type").isin("request", "metadata")).select(F.col("concurrent_to").alias("rid"), "warc_type", F.struct("record_id", "target_uri", "date", "capture_id", "metadata").alias("r"))
+    side = hashed.filter(F.col("warc_type").isin("request", "metadata")).select("record_id", "concurrent_to", "refers_to", "warc_type", F.struct("record_id", "target_uri", "date", "capture_id", "metadata").alias("r"))
+    named = side.select(F.coalesce("concurrent_to", F.when(F.col("warc_type") == "metadata", F.col("refers_to"))).alias("rid"), "warc_type", "r").filter("rid is not null")
+    # Other writers may let the response name its request.
+    back = hashed.filter(F.col("warc_type").isin("response", "revisit") & F.col("concurrent_to").isNotNull()).select(F.col("concurrent_to").alias("record_id"), F.col("record_id").alias("rid"))
+    side = named.unionByName(side.filter("concurrent_to is null").drop("concurrent_to", "refers_to").join(back, "record_id").select("rid", "warc_type", "r"))
     side = side.groupBy("rid").agg(F.max(F.when(F.col("warc_type") == "request", F.col("r"))).alias("request"), F.max(F.when(F.col("warc_type") == "metadata", F.col("r"))).alias("metadata"))
     return main.join(side, "rid", "left").select(F.col("rid").alias("record_id"), "request", "response", "metadata")
 
