@@ -181,3 +181,34 @@ def quality_statistics(text):
         of(len(tally)), math.log1p(len(tally)) / math.log1p(n) if n else 0.0, of(max(tally.values(), default=0)), of(sum(c == 1 for c in tally.values())),
         logit(1 - len(set(parts)) / len(parts) if parts else 0.0), math.log1p(n / len(parts)) if parts else 0.0, of(sum(x <= 2 for x in lengths)),
     ]
+
+
+def licence_paragraphs(text):
+    """The word lists of a text's lines and sentences."""
+    return [w for p in re.split(r"\n+|(?<=[.!?;])\s+", (text or "").lower(), flags=re.ASCII) if (w := re.findall(r"[a-z]+|[0-9]+(?:\.[0-9]+)*", p))]
+
+
+def word_pairs(words):
+    return set(zip(words, words[1:], strict=False))
+
+
+def template_shares(words, pairs):
+    """For each family the best share of the shorter's 2-grams that a paragraph and a template have in common."""
+    own = word_pairs(words)
+    return {f: max(len(own & t) / max(min(len(own), len(t)), 2) for t in ts) for f, ts in pairs.items()}
+
+
+def licence_hits(paragraphs, families, weights, intercepts, templates, cut, confirm):
+    """Family and probability of paragraphs (text: shares) by the softmax of their 1- and 2-grams."""
+    grams = lambda w: {*w, *map(" ".join, word_pairs(w))}
+    place = {g: i for i, g in enumerate(sorted(set().union(*(grams(t.split()) for ts in templates.values() for t in ts))))}
+    out = {}
+    for text, shares in paragraphs.items():
+        x = np.zeros(len(place))
+        x[[place[g] for g in grams(text.split()) if g in place]] = 1
+        m = weights @ x + intercepts
+        p = (np.exp(m - m.max()) / np.exp(m - m.max()).sum())[1:]
+        best = int(p.argmax())
+        if p[best] >= cut and shares[best] >= confirm:
+            out[text] = (families[best], p[best])
+    return out
