@@ -120,6 +120,24 @@ def test_near_duplicates_on_tables(spark):
     assert tuples(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(want, key=str)
 
 
+def test_near_duplicates_over_many_blocks(spark):
+    """Families around a shared passage: members meet in the same buckets, link in chains, and lie in several blocks."""
+    draw = random.Random(12)
+    words = [f"w{i}" for i in range(4000)]
+    rows = []
+    for family in range(3):
+        base = draw.sample(words, 200)
+        for member in range(40):
+            text = list(base)
+            for at in draw.sample(range(200), draw.choice([2, 8, 14, 20, 26])):
+                text[at] = draw.choice(words)
+            rows.append((family * 100 + member, " ".join(text)))
+    rows += [(900 + i, rows[5][1]) for i in range(30)] + [((1 << 53) + 1, rows[0][1]), (None, rows[50][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.near_duplicates(df, block_shingles=1500, block_nodes=7)
+    assert tuples(got, "doc_id", "n_shingles", "component_id", "kept") == sorted(brute.near_duplicates(rows), key=str)
+
+
 def test_registers_merge_and_estimate():
     draw = np.random.default_rng(5)
     a = draw.integers(0, 2**63, 4000, dtype=np.uint64)
@@ -285,7 +303,9 @@ def test_classifiers_on_odd_rows(spark, docs, no_docs):
         stats = docs.select("doc_id", quality.text_statistics("text").alias("stats"))
         model = quality.teach(stats, some)
         assert stats.select(quality.score(model, F.col("stats")).alias("s")).filter("s between 0 and 1").count() == docs.count()
-        assert quality.drop_rejected(docs, model).columns == docs.columns
+        left = quality.drop_rejected(docs, model)
+        again = quality.drop_rejected(docs.withColumn("stats", quality.text_statistics("text")), model, stats_col="stats")
+        assert left.columns == again.columns == docs.columns and tuples(left, "doc_id", "text") == tuples(again, "doc_id", "text")
     assert toxicity.score(no_docs, toxicity.teach(no_docs, labels)).count() == 0
 
 

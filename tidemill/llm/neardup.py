@@ -9,13 +9,14 @@ A bucket never gives all its pairs as rows: it links its members to one pivot (a
 others, and each of these pairs passes a joint maximum-likelihood estimate from its registers' order (MARGIN below the
 threshold, about six standard errors) before the full sets are compared. Links are contracted to components by
 alternating stars. Members that met under the same pivot but are in different components are then compared with each
-other, full set with full set, in bounded blocks that give only links between components. A pair within one component
-needs no link of its own. So every pair of texts that shares a band is compared, excluded by its estimate with the pivot as
-one end, or already connected.
+other in bounded blocks: first registers with registers, which names the members that have a likely partner in another
+component, then the full sets of those alone; only links between components come out. A pair within one component
+needs no link of its own. So every pair of texts that shares a band is compared, excluded by its registers, or already
+connected. Buckets and pivots that very many nodes meet in are dealt over all partitions.
 
 A pair of similarity 0.8 shares none of 40 bands of 5 registers with probability (1 - 0.8**5)**40, about 1e-7.
 
-Defined cases: null, empty or blank texts have an empty set and are linked with nothing. Rows with a null id are
+Defined cases: ids are longs. Null, empty or blank texts have an empty set and are linked with nothing. Rows with a null id are
 grouped like others but can't name a component: theirs is named by the least known id, and they are kept only when no
 id is known. Rows that share an id are one document to `kept`. Empty tables give no rows.
 """
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import blank_words, gram_hashes, mix, word_hashes, written
+from tidemill.llm.common import blank_words, gram_hashes, hot_keys, mix, spread_join, word_hashes, written
 
 SHINGLE_WORDS = 2
 BANDS, ROWS = 40, 5
@@ -38,6 +39,7 @@ M = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 MARGIN = 0.17
 BLOCK_SHINGLES = 1_500_000
+BLOCK_NODES = 4096
 _MULTIPLY = mix(np.arange(1, M + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(1001, M + 1001, dtype=np.uint64))
 
@@ -90,10 +92,11 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sizes.append(len(s))
                 nodes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 regs.append(registers(s).tobytes() if len(s) else None)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "th": pdf["th"], "n_shingles": sizes, "node": nodes, "regs": regs})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "th": pdf["th"], "n_shingles": sizes, "node": nodes, "regs": regs})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, "doc_id long, th long, n_shingles long, node binary, regs binary")
+    # Ids pass Python as text: a batch with nulls would turn longs into doubles.
+    rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInPandas(run, "doc_id string, th long, n_shingles long, node binary, regs binary").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
@@ -200,23 +203,50 @@ def block_links(sets: list[np.ndarray], nids: list[int], comps: list[int], left:
     return out
 
 
-def _crossing(members: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """Links across components among nodes that met in buckets of the same pivot.
+def likely_partners(regs: np.ndarray, sizes: np.ndarray, comps: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Which members have one on the other side, in another component, whose size and registers allow the threshold."""
+    found = np.zeros(len(sizes), bool)
+    ys = np.flatnonzero(right)
+    for x in np.flatnonzero(left):
+        near = ys[(comps[ys] != comps[x]) & (np.minimum(sizes[ys], sizes[x]) >= np.maximum(sizes[ys], sizes[x]) * (threshold - 1e-9))]
+        near = near[(regs[near] == regs[x]).sum(1) >= (threshold - MARGIN) * M]
+        found[near] = True
+        found[x] |= len(near) > 0
+    return found
 
-    Each such group's main component lies apart from the rest; both are dealt into blocks of about BLOCK_SHINGLES
-    shingles, and every pair of blocks but two of the main component is one bounded task that compares full sets.
-    Pairs are compared there and never made as rows; a task gives at most one link for each two components."""
-    group = written(members.select("pivot", "nid").distinct().join(labels, "nid", "left").withColumn("comp", F.coalesce("comp", "nid")).join(nodes.select("nid", "n"), "nid"), "groups")
-    parts = group.groupBy("pivot", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
-    mains = parts.groupBy("pivot").agg(F.max(F.struct("c", "comp", "n")).alias("main"), F.count("*").alias("k"), F.sum("c").alias("m"), F.sum("n").alias("n")).filter("k > 1 and m > 2")
-    blocks = lambda n: F.ceil(n / BLOCK_SHINGLES).cast("int")
-    mains = mains.select("pivot", F.col("main.comp").alias("main"), blocks(F.col("main.n")).alias("bm"), blocks(F.col("n") - F.col("main.n")).alias("br"))
-    rows = group.join(mains, "pivot").withColumn("is_main", F.col("comp") == F.col("main"))
+
+def _dealt(group: DataFrame, size: Column, per_block: int, least: int) -> DataFrame:
+    """pivot, i, j, own, nid, comp: the members of each pivot's group, dealt into blocks of about per_block, once for every
+    pair (i, j) of blocks that has to meet. The group's main component lies in blocks apart, and no two of these meet."""
+    parts = group.groupBy("pivot", "comp").agg(F.count("*").alias("c"), F.sum(size).alias("n"))
+    mains = parts.groupBy("pivot").agg(F.max(F.struct("c", "comp", "n")).alias("main"), F.count("*").alias("k"), F.sum("c").alias("m"), F.sum("n").alias("n")).filter(f"k > 1 and m >= {least}")
+    blocks = lambda n: F.ceil(n / per_block).cast("int")
+    mains = mains.select("pivot", "m", F.col("main.comp").alias("main"), blocks(F.col("main.n")).alias("bm"), blocks(F.col("n") - F.col("main.n")).alias("br"))
+    mains = written(mains, "mains")
+    rows = spread_join(group, mains.drop("m"), "pivot", hot_keys(mains, "pivot", "m"), "inner").withColumn("is_main", F.col("comp") == F.col("main"))
     rows = rows.withColumn("own", F.when(F.col("is_main"), F.pmod(F.xxhash64("nid"), "bm")).otherwise(F.pmod(F.xxhash64("nid"), "br") + F.col("bm")).cast("int"))
     rest = "transform(sequence(bm, bm + br - 1), r -> named_struct('i', least(own, r), 'j', greatest(own, r)))"
     main = "transform(sequence(0, bm - 1), b -> named_struct('i', b, 'j', own))"
     rows = rows.withColumn("ij", F.explode(F.expr(f"if(is_main, {rest}, concat({main}, {rest}))")))
-    rows = rows.select("pivot", "ij.i", "ij.j", "own", "nid", "comp")
+    return rows.select("pivot", "ij.i", "ij.j", "own", "nid", "comp")
+
+
+def _crossing(members: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int, block_shingles: int, block_nodes: int) -> DataFrame:
+    """Links across components among nodes that met in buckets of the same pivot.
+
+    Pairs are compared within tasks of two blocks and never made as rows: registers first, from which only the members that
+    have a likely partner come, then full sets, from which at most one link for each two components comes."""
+    group = written(members.select("pivot", "nid").distinct().join(labels, "nid", "left").withColumn("comp", F.coalesce("comp", "nid")).join(nodes.select("nid", "n"), "nid"), "groups")
+
+    def likely(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(len(pdf), M)
+        own = pdf["own"].to_numpy()
+        found = likely_partners(regs, pdf["n"].to_numpy(), pdf["comp"].to_numpy(), own == key[1], own == key[2], percent / 100)
+        return pd.DataFrame({"pivot": pdf.loc[found, "pivot"], "nid": pdf.loc[found, "nid"]})
+
+    rows = _dealt(group, F.lit(1), block_nodes, 3)  # of two members one is the pivot: they were compared
+    marked = rows.join(nodes.select("nid", "n", "regs"), "nid").groupBy("pivot", "i", "j").applyInPandas(likely, "pivot long, nid long")
+    group = written(group.join(marked.distinct(), ["pivot", "nid"]), "likely-groups")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         sets = [_checked_set(t, n) for t, n in zip(pdf["text"], pdf["node"], strict=True)]
@@ -224,6 +254,7 @@ def _crossing(members: DataFrame, labels: DataFrame, nodes: DataFrame, docs: Dat
         found = block_links(sets, pdf["nid"].tolist(), pdf["comp"].tolist(), left.tolist(), right.tolist(), percent) if left.any() and right.any() else []
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
+    rows = _dealt(group, F.col("n"), block_shingles, 2)
     texts = _texts(rows.select("nid").distinct(), nodes, docs, id_col, text_col)
     return rows.join(texts, "nid").groupBy("pivot", "i", "j").applyInPandas(run, "a long, b long")
 
@@ -253,7 +284,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     return spark.createDataFrame([], "nid long, comp long") if not now[0] else edges.select(F.col("u").alias("nid"), F.col("v").alias("comp")).unionByName(roots)
 
 
-def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str, block_shingles: int = BLOCK_SHINGLES, block_nodes: int = BLOCK_NODES) -> DataFrame:
     """doc_id, th (hash of the text), n_shingles, component_id, kept for every row."""
     threshold = percent / 100
     rows = written(_sketch(docs, id_col, text_col), "sketches")
@@ -262,16 +293,17 @@ def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataF
     bands = nodes.select("nid", F.explode(_band_keys("regs")).alias("key"))
     # The pivot of a bucket is the member that meets the most others over all its buckets: the text that copies were
     # made from is nearer to each of them than they are to each other.
-    crowd = bands.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    met = written(bands.join(crowd, "key"), "met")
+    crowd = written(bands.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "crowd")
+    hot = hot_keys(crowd, "key", "c")
+    met = written(spread_join(bands, crowd, "key", hot, "inner"), "met")
     degree = met.groupBy("nid").agg(F.sum("c").alias("degree"))
     ranked = met.join(degree, "nid").groupBy("key").agg(F.max(F.struct("degree", (-F.col("nid")).alias("low"))).alias("top"))
-    members = written(met.select("key", "nid").join(ranked.select("key", (-F.col("top.low")).alias("pivot")), "key"), "members")
+    members = written(spread_join(met.select("key", "nid"), ranked.select("key", (-F.col("top.low")).alias("pivot")), "key", hot, "inner"), "members")
     stars = members.filter("nid <> pivot").select(F.least("pivot", "nid").alias("a"), F.greatest("pivot", "nid").alias("b")).distinct()
     likely = written(_estimated(stars, nodes, threshold), "likely")
     links = written(_verified(likely, nodes, docs, id_col, text_col, percent), "verified")
     labels = written(components(links), "labels")
-    more = written(_crossing(members, labels, nodes, docs, id_col, text_col, percent), "crossing")
+    more = written(_crossing(members, labels, nodes, docs, id_col, text_col, percent, block_shingles, block_nodes), "crossing")
     if more.limit(1).count():
         labels = written(components(links.unionByName(more)), "labels")
     comps = nodes.select("nid", "node", "rep.doc_id").join(labels, "nid", "left").withColumn("comp", F.coalesce("comp", "nid"))
@@ -282,9 +314,9 @@ def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataF
     return out.select("doc_id", "th", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
-    return _grouped(docs, percent, id_col, text_col).drop("th")
+def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **blocks) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row. `blocks`: block_shingles and block_nodes bound a task's work."""
+    return _grouped(docs, percent, id_col, text_col, **blocks).drop("th")
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -143,8 +143,10 @@ def teach(docs_stats: DataFrame, labels: DataFrame, label_col: str = "quality",
     return fit(train.join(known, F.col("__tm_doc") == F.col("__tm_id")).select("stats", "label"))
 
 
-def drop_rejected(docs: DataFrame, model: Discriminant, threshold: float = KEEP_AT, text_col: str = "text") -> DataFrame:
-    """The rows whose text scores at least `threshold`."""
+def drop_rejected(docs: DataFrame, model: Discriminant, threshold: float = KEEP_AT, text_col: str = "text", stats_col: str | None = None) -> DataFrame:
+    """The rows whose text scores at least `threshold`; with `stats_col`, by statistics that are there already, which are dropped."""
+    if stats_col:
+        return docs.filter(score(model, F.col(stats_col)) >= threshold).drop(stats_col)
 
     @F.pandas_udf("boolean")
     def good(texts: pd.Series) -> pd.Series:
