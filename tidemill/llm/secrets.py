@@ -108,16 +108,16 @@ def _vocabulary(rules: tuple[Rule, ...]) -> list[str]:
     return sorted({t for r in rules for alt in trigram_query(r.pattern) or [] for t in alt})
 
 
-def _present(text: Column, rules: tuple[Rule, ...]) -> Column:
-    """The trigrams of the rules' queries that a text holds."""
-    low = F.lower(text)
-    return F.filter(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in _vocabulary(rules)]), lambda t: t.isNotNull())
+def _present(low: str, rules: tuple[Rule, ...]) -> Column:
+    """The trigrams of the rules' queries that a lower-cased text column holds."""
+    return F.array_remove(F.array(*[F.when(F.contains(F.col(low), F.lit(t)), F.lit(t)).otherwise("") for t in _vocabulary(rules)]), "")
 
 
 def text_grams(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """(key, grams) for every row: its text's hash and the trigrams of the rules' queries that the text holds."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.xxhash64(text).alias("key"), _present(text, rules).alias("grams"))
+    # The lower-cased text is a column of its own, so that it is made once and not for every trigram.
+    return docs.select(F.xxhash64(text).alias("key"), F.lower(text).alias("low")).select("key", _present("low", rules).alias("grams"))
 
 
 def postings(grams: DataFrame, chunk_texts: int = CHUNK_TEXTS) -> DataFrame:
