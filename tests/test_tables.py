@@ -6,6 +6,7 @@ import json
 
 import pytest
 
+from tidemill.operators import layers
 from tidemill.operators.layers import Step
 from tidemill.sources import snapshots, tables
 
@@ -80,3 +81,46 @@ def test_bad_input_isnt_imported(spark, tmp_path):
         with pytest.raises(ValueError, match=match):
             tables.import_lines(spark, str(tmp_path / name), schema, str(tmp_path / f"{name}-t"))
         assert tables.versions(spark, str(tmp_path / f"{name}-t")) == []
+
+
+def test_lines_are_numbered_and_read_like_tables(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from tidemill.operators.records import RecordQuery
+    from tidemill.sources import jsonl
+
+    schema = StructType().add("id", "string").add("language", "string")
+    text = "".join(f'{{"id":"r{i}","language":"{"en" if i % 3 else "de"}"}}\n' if i % 10 else ("\n" if i % 20 else "{broken\n") for i in range(400))
+    (tmp_path / "a.jsonl").write_text(text)
+    (tmp_path / "b.jsonl").write_text("\n" + text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        numbered = jsonl.numbered_lines(spark, f"file://{tmp_path}/a.jsonl").collect()
+        assert len({r.line_no for r in numbered}) == 400 and all(r.value == text.split("\n")[r.line_no - 1] for r in numbered)
+        good, bad = jsonl.read_lines(spark, f"file://{tmp_path}/*.jsonl", schema)
+        assert good.count() == 720
+        found = sorted((r.file[-7:], r.line_no) for r in bad.collect())
+        assert found == sorted([("a.jsonl", i + 1) for i in range(0, 400, 20)] + [("b.jsonl", i + 2) for i in range(0, 400, 20)])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    table = str(tmp_path / "table")
+    jsonl.read_lines(spark, f"file://{tmp_path}/a.jsonl", schema)[0].drop("file").write.parquet(table)
+    query = RecordQuery(language="de")
+    left, right = (sorted(map(tuple, jsonl.read_records(spark, s, schema, query).collect())) for s in (f"file://{tmp_path}/a.jsonl", table))
+    assert left == right and len(left) == 120
+    made = jsonl.export_verified(spark.read.parquet(table), str(tmp_path / "out"))
+    assert made["count"] == 360 and len(made["digest"]) == 64
+
+
+def test_written_layers(spark, tmp_path):
+    parent = spark.createDataFrame([("a", '{"language":"en"}', True), ("b", "{}", True), ("c", "{}", False)], "id string, record_json string, retained boolean")
+    step = layers.Step("s", ("metadata", "$membership"))
+    layer = spark.createDataFrame([("b", {}, "delete"), ("a", {"metadata.x": "1"}, "keep")], "id string, changes map<string,string>, status string")
+    counts = layers.written_layer(layer, parent, step, 3, str(tmp_path / "l")).first()
+    assert (counts.input_count, counts.output_count, counts.parent_record_count, counts.result_record_count) == (2, 1, 2, 1)
+    for wrong in ([("c", {}, "keep")], [("a", {}, "other")], [("a", {}, "keep"), ("a", {}, "keep")], [(None, {}, "keep")], [("a", {"target": "1"}, "keep")], []):
+        with pytest.raises(ValueError):
+            layers.written_layer(spark.createDataFrame(wrong, layer.schema), parent, step, 3, str(tmp_path / "w"))
+    assert layers.check_step(layers.Step("s", ("target.x", "metadata", "labels.", "audio")), []) == ["target.x: not a field that layers write", "labels.: not a field that layers write", "audio: not a field that layers write"]
+    assert layers.check_step(layers.Step("s", ("metadata.x.y",), ("metadata.x",)), [layers.Step("old", ("metadata",))]) == []
+    assert layers.check_step(layers.Step("s", ("metadata",), ("metadata.x",)), [layers.Step("old", ("metadata.x",))]) != []

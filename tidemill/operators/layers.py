@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The fields that a layer may write; others end in `.*` below these.
+from tidemill.operators.measures import multiset_digest
+
+#: The fields that a layer may write, and those of them that have fields below.
 ROOTS = ("target", "language", "hotwords", "metadata", "labels", "$membership")
+NESTED = ("metadata", "labels")
 
 
 @dataclass(frozen=True)
@@ -27,15 +31,41 @@ def meet(a: str, b: str) -> bool:
     return a == b or a.startswith(b + ".") or b.startswith(a + ".")
 
 
+def covered(paths: tuple[str, ...], path: str) -> bool:
+    """Whether a path is one of some paths or lies within one."""
+    return any(path == p or path.startswith(p + ".") for p in paths)
+
+
 def check_step(step: Step, earlier: list[Step]) -> list[str]:
     """What is wrong with a step after the earlier ones; empty if nothing is."""
-    out = [f"{p}: not a field that layers write" for p in step.writes if p.split(".")[0] not in ROOTS or (p.split(".")[0] in ("metadata", "labels") and "." not in p)]
-    out += [f"{p}: overrides what it doesn't write" for p in step.overrides if p not in step.writes]
+    parts = {p: p.split(".") for p in step.writes}
+    out = [f"{p}: not a field that layers write" for p, x in parts.items() if x[0] not in ROOTS or not all(x) or (len(x) > 1 and x[0] not in NESTED)]
     for old in earlier:
-        out += [f"{p}: also written by {old.name}" for p in step.writes if any(meet(p, q) for q in old.writes) and p not in step.overrides]
+        out += [f"{p}: also written by {old.name}" for p in step.writes if any(meet(p, q) for q in old.writes) and not covered(step.overrides, p)]
     return out
 
 
+def dotted(path: Column) -> Column:
+    """A dotted path and all above it, shortest first."""
+    parts = F.split(path, r"\.")
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "."))
+
+
+def step_problems(writes: DataFrame) -> DataFrame:
+    """chain, step, field, problem for a table of declared writes (chain, step, field, overrides): the rules of check_step
+    over many chains of steps. Whether paths meet is an equi-join on the paths above them."""
+    parts, root = F.split("field", r"\."), F.split_part("field", F.lit("."), F.lit(1))
+    bad = ~root.isin(*ROOTS) | F.array_contains(parts, "") | ((F.size(parts) > 1) & ~root.isin(*NESTED))
+    wrong = writes.filter(bad).select("chain", "step", "field", F.lit("not a field").alias("problem"))
+    ups = writes.select("chain", "step", "field", "overrides", F.explode(dotted(F.col("field"))).alias("up"))
+    above = ups.join(writes.groupBy("chain", F.col("field").alias("up")).agg(F.min("step").alias("first")), ["chain", "up"])
+    below = writes.join(ups.groupBy("chain", F.col("up").alias("field")).agg(F.min("step").alias("first")), ["chain", "field"])
+    cols = ["chain", "step", "field", "overrides", "first"]
+    free = F.exists("overrides", lambda o: (F.col("field") == o) | F.startswith("field", F.concat(o, F.lit("."))))
+    met = above.select(*cols).unionByName(below.select(*cols)).filter((F.col("first") < F.col("step")) & ~free)
+    return wrong.unionByName(met.select("chain", "step", "field", F.lit("written before").alias("problem"))).distinct()
+
+
 def canonical(value) -> str:
     """One spelling of a JSON value: sorted keys, no blanks."""
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
@@ -44,20 +74,22 @@ def canonical(value) -> str:
 def patched(document: str, changes: dict[str, str], step: Step) -> str:
     """A record with changes (dotted path to JSON) applied; a breach of the rules raises ValueError."""
     paths = sorted(changes)
-    if any(meet(a, b) for a, b in zip(paths, paths[1:], strict=False)):
+    if any(".".join(parts[:n]) in changes for parts in (p.split(".") for p in paths) for n in range(1, len(parts))):
         raise ValueError("paths of one patch meet")
     record = json.loads(document)
     for path in paths:
-        if not any(path == w or path.startswith(w + ".") for w in step.writes):
+        if path == "$membership" or not covered(step.writes, path):
             raise ValueError(f"{path} isn't declared")
         *parents, leaf = path.split(".")
+        if not all((*parents, leaf)):
+            raise ValueError(f"{path}: an empty name")
         node = record
         for name in parents:
             node = node.setdefault(name, {})
             if not isinstance(node, dict):
                 raise ValueError(f"{path}: {name} is no object")
         new = json.loads(changes[path])
-        if leaf in node and node[leaf] != new and not any(path == o or path.startswith(o + ".") for o in step.overrides):
+        if leaf in node and node[leaf] != new and not covered(step.overrides, path):
             raise ValueError(f"{path}: would override a value")
         node[leaf] = new
     return canonical(record)
@@ -81,14 +113,47 @@ def replay(records: DataFrame, layer: DataFrame, step: Step, key: str = "id", do
     new = layer.select(F.col("id").alias(key), "changes", "status")
     rows = records.join(new, key, "left").withColumn("__r", run(F.col(document), F.col("changes")))
     gone = F.col("status") == "delete"
-    kept = F.col("retained") & F.coalesce(~gone, F.lit(True))
+    kept = F.col("retained") & F.coalesce(~gone | F.lit("$membership" not in step.writes), F.lit(True))
     hidden = F.when(F.col("status").isNotNull() & ~F.col("retained"), "patch of a deleted record")
     barred = F.when(gone & F.lit("$membership" not in step.writes), "delete isn't declared")
     return rows.select(key, F.col("__r.document").alias(document), kept.alias("retained"), F.coalesce(hidden, barred, F.col("__r.error")).alias("error"))
 
 
 def layer_problems(layer: DataFrame, parent: DataFrame, key: str = "id") -> DataFrame:
-    """id and problem: patches given twice, and patches without a visible parent."""
-    twice = layer.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id", F.lit("given twice").alias("problem"))
+    """id and problem: patches without an id or a known status, given twice, or without a visible parent."""
+    found = [layer.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id", F.lit("given twice").alias("problem"))]
+    if "status" in layer.columns:
+        found.append(layer.filter(~F.coalesce(F.col("status").isin("keep", "delete"), F.lit(False))).select("id", F.lit("no such status").alias("problem")))
+    found.append(layer.filter(F.coalesce(F.col("id").cast("string") == "", F.lit(True))).select("id", F.lit("no id").alias("problem")))
     visible = parent.filter("retained").select(F.col(key).alias("id"))
-    return twice.unionByName(layer.join(visible, "id", "left_anti").select("id", F.lit("no visible parent").alias("problem")))
+    found.append(layer.join(visible, "id", "left_anti").select("id", F.lit("no visible parent").alias("problem")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def layer_rows(layer: DataFrame, parent_version: int) -> DataFrame:
+    """The rows that a layer is stored as: id, changes, status, parent_version, patch_hash, ordered by id within each file.
+
+    The hash is the sha256 of the row's canonical JSON, made of columns; values of `changes` are JSON already."""
+    quoted = lambda c: F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)")
+    pairs = F.transform(F.array_sort(F.map_entries("changes")), lambda e: F.concat(F.substring(F.to_json(F.array(e["key"])), F.lit(2), F.length(F.to_json(F.array(e["key"]))) - 2), F.lit(":"), e["value"]))
+    text = F.concat(F.lit('{"changes":{'), F.array_join(pairs, ","), F.lit('},"id":'), quoted("cast(id as string)"), F.lit(f',"parent_version":{parent_version},"status":'), quoted("status"), F.lit("}"))
+    return layer.select("id", "changes", "status", F.lit(parent_version).cast("long").alias("parent_version"), F.sha2(text, 256).alias("patch_hash")).sortWithinPartitions("id")
+
+
+def layer_counts(rows: DataFrame, parent: DataFrame) -> DataFrame:
+    """One row: patches, those that keep their record, the parent's visible rows, those of the result, and a digest of the
+    stored rows that doesn't depend on their order (eight sums)."""
+    own = rows.agg(F.count("*").alias("input_count"), F.count_if(F.col("status") == "keep").alias("output_count"), *multiset_digest(F.col("patch_hash")))
+    seen = parent.filter("retained").agg(F.count("*").alias("parent_record_count"))
+    both = own.join(seen)  # one row each
+    return both.withColumn("result_record_count", F.col("parent_record_count") - F.col("input_count") + F.col("output_count"))
+
+
+def written_layer(layer: DataFrame, parent: DataFrame, step: Step, parent_version: int, path: str, key: str = "id", document: str = "record_json") -> DataFrame:
+    """Check a layer against its parent, write its rows to a new folder and give its counts. Nothing is written if a patch is wrong."""
+    problems = layer_problems(layer, parent, key).limit(1).collect()
+    broken = replay(parent, layer, step, key, document).filter("error is not null").limit(1).collect()
+    if problems or broken or not layer.limit(1).count():
+        raise ValueError(str((problems or broken or ["an empty layer"])[0]))
+    layer_rows(layer, parent_version).write.mode("errorifexists").parquet(path)
+    return layer_counts(layer.sparkSession.read.parquet(path), parent)
