@@ -30,6 +30,12 @@ def compact(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, "[^a-zA-Z0-9]+", ""))
 
 
+def script_compact(text: Column, language: Column) -> Column:
+    """The plain form of a text, for Chinese without blanks."""
+    out = plain(text)
+    return F.when(language == "zh", F.replace(out, F.lit(" "), F.lit(""))).otherwise(out)
+
+
 def holds_word(text: Column, word: Column, spaced: bool = True) -> Column:
     """Whether a word stands in a text: as a whole word in spaced scripts, anywhere in others."""
     return F.contains(F.concat(F.lit(" "), text, F.lit(" ")), F.concat(F.lit(" "), word, F.lit(" "))) if spaced else F.contains(text, word)
@@ -76,3 +82,84 @@ def first_reason(rules: list[tuple[str, Column]]) -> Column:
     for name, rule in rules:
         out = out.when(F.coalesce(rule, F.lit(False)), name)
     return out
+
+
+def without_accents(text: Column) -> Column:
+    """Latin letters without their accents; the tilde of n stays."""
+    return F.translate(text, "áàâäãéèêëíìîïóòôöõúùûüçÁÀÂÄÃÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÇ", "aaaaaeeeeiiiiooooouuuucAAAAAEEEEIIIIOOOOOUUUUC")
+
+
+def reading_key(word: Column, rules: list[tuple[str, str]]) -> Column:
+    """How a word is read: lower case without accents, rewritten by rules in order, repeats collapsed."""
+    out = without_accents(F.lower(word))
+    for pattern, new in rules:
+        out = F.regexp_replace(out, pattern, new)
+    return F.regexp_replace(out, r"(.)\1+", "$1")
+
+
+def variant_key(word: Column) -> Column:
+    """Spellings that differ only in case, hyphens, dots, apostrophes or blanks have one key."""
+    return F.lower(F.regexp_replace(word, r"[-.'’\s]+", ""))
+
+
+def foreign_spans(text: Column, longest: int = 3, least: int = 2, fillers: tuple[str, ...] = ()) -> Column:
+    """Distinct runs of 1 to `longest` Latin words with `least` letters or more, without fillers at either end, lower-cased."""
+    filler = F.array(*map(F.lit, fillers)) if fillers else F.array().cast("array<string>")
+    words = F.transform(F.regexp_extract_all(text, F.lit(r"[A-Za-z]+(?: [A-Za-z]+)*"), F.lit(0)), lambda s: F.split(F.lower(s), " "))
+
+    def trimmed(w: Column) -> Column:
+        first = F.array_position(F.transform(w, lambda x: ~F.array_contains(filler, x)), True).cast("int")
+        back = F.array_position(F.transform(F.reverse(w), lambda x: ~F.array_contains(filler, x)), True).cast("int")
+        return F.when(first > 0, F.slice(w, F.greatest(first, F.lit(1)), F.greatest(F.size(w) - first - back + 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
+
+    spans = F.transform(F.transform(words, trimmed), lambda w: F.when((F.size(w) > 0) & (F.size(w) <= longest), F.array_join(w, " ")).otherwise(""))
+    return F.array_distinct(F.filter(spans, lambda s: F.length(F.replace(s, F.lit(" "), F.lit(""))) >= least))
+
+
+def fields_at(document: Column, name: str) -> Column:
+    """All texts that stand under a name, anywhere in a JSON document, in order of the text."""
+    found = F.regexp_extract_all(document, F.lit(rf'"{name}"\s*:\s*("(?:[^"\\]|\\.)*")'), F.lit(1))
+    return F.transform(found, lambda q: F.try_variant_get(F.try_parse_json(q), "$", "string"))
+
+
+def rendered(variants: list[str], seed: int, key: Column, values: dict[str, Column]) -> Column:
+    """One of some prompts, drawn by sha256(seed:key), with its {names} filled in; a name without a value is an error."""
+    import re
+
+    missing = {n for v in variants for n in re.findall(r"\{(\w+)\}", v)} - set(values)
+    if missing:
+        raise KeyError(sorted(missing)[0])
+    draw = F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), key.cast("string")), 256), 1, 8), 16, 10).cast("long")
+    out = F.element_at(F.array(*map(F.lit, variants)), (draw % len(variants) + 1).cast("int"))
+    for name, value in values.items():
+        out = F.replace(out, F.lit(f"{{{name}}}"), F.coalesce(value.cast("string"), F.lit("")))
+    return out
+
+
+def message_refs(messages: Column, kind: str = "audio") -> Column:
+    """The references of one kind in the order of messages (array of struct<parts: array<struct<kind, ref>>>)."""
+    return F.flatten(F.transform(messages, lambda m: F.transform(F.filter(m["parts"], lambda p: p["kind"] == kind), lambda p: p["ref"])))
+
+
+def portable_path(path: Column, roots: dict[str, str]) -> Column:
+    """Struct (alias, relative) by the longest root that holds a path; null where none does."""
+    hits = [F.when((path == root) | F.startswith(path, F.lit(root.rstrip("/") + "/")), F.struct(F.lit(len(root)).alias("n"), F.lit(alias).alias("alias"), F.ltrim(F.substring(path, F.lit(len(root) + 1), F.length(path)), F.lit("/")).alias("relative"))) for alias, root in roots.items()]
+    best = F.greatest(*hits) if len(hits) > 1 else hits[0]
+    return F.when(best.isNotNull(), F.struct(best["alias"].alias("alias"), best["relative"].alias("relative")))
+
+
+def scrubbed(document: Column, names: tuple[str, ...]) -> tuple[Column, Column]:
+    """A flat JSON object without the fields of some names, and how many were dropped."""
+    fields = F.from_json(document, "map<string,string>")
+    bad = F.map_filter(fields, lambda k, v: k.isin(*names))
+    return F.to_json(F.map_filter(fields, lambda k, v: ~k.isin(*names))), F.size(bad)
+
+
+def dot(a: Column, b: Column) -> Column:
+    """Dot product of two vectors, in double."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """Cosine of two vectors; null where one has no length."""
+    return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))

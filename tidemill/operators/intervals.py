@@ -156,3 +156,28 @@ def others_length(windows: DataFrame, df: DataFrame, keys: list[str], who: str,
     cut = hits.select(F.col("l_id").alias("window"), F.greatest("l_start", "r_start").alias("start"), F.least("l_stop", "r_stop").alias("stop"), F.col("r_id").alias("id"))
     found = union_length(cut, ["window"]).withColumnRenamed("window", "id")
     return windows.select("id").join(found, "id", "left").select("id", F.coalesce("covered", F.lit(0)).alias("others"))
+
+
+def spoken_inside(windows: DataFrame, speech: DataFrame, keys: list[str], width: float) -> DataFrame:
+    """id and length of speech within each window that holds any (windows and speech: keys, id, start, stop)."""
+    hits = overlap_join(windows, speech, keys, width)
+    return hits.groupBy(F.col("l_id").alias("id")).agg(F.sum(F.least("l_stop", "r_stop") - F.greatest("l_start", "r_start")).alias("spoken"))
+
+
+def turn_windows(df: DataFrame, keys: list[str], seconds: float, width: float) -> DataFrame:
+    """id, hi, n_turns, spoken, crossed: for each turn the window from its start to the end of the last turn that ends within
+    some seconds, the whole turns inside, their length, and whether a turn crosses the window's end."""
+    heads = df.select(*keys, "id", "start", (F.col("start") + seconds).alias("stop"))
+    hits = overlap_join(heads, df.select(*keys, "id", "start", "stop"), keys, width)
+    inside = (F.col("r_start") >= F.col("l_start")) & (F.col("r_stop") <= F.col("l_stop"))
+    ends = hits.filter(inside).groupBy("l_id").agg(F.max("r_stop").alias("hi"), F.count("*").alias("n_turns"), F.sum(F.col("r_stop") - F.col("r_start")).alias("spoken"))
+    over = hits.join(ends, "l_id").groupBy("l_id").agg(F.max((F.col("r_start") < F.col("hi")) & (F.col("r_stop") > F.col("hi"))).alias("crossed"))
+    return ends.join(over, "l_id").select(F.col("l_id").alias("id"), "hi", "n_turns", "spoken", "crossed")
+
+
+def timeline_findings(windows: DataFrame, speech: DataFrame, keys: list[str], who: str, width: float) -> DataFrame:
+    """id and finding of windows (keys, id, start, stop, who, present): no_annotation, absent_target_speaks or present_target_silent; null: consistent."""
+    hits = overlap_join(windows.select(*keys, "id", "start", "stop", who), speech.select(*keys, "id", "start", "stop", who), keys, width)
+    found = hits.groupBy(F.col("l_id").alias("id")).agg(F.max(F.col(f"l_{who}") == F.col(f"r_{who}")).alias("speaks"))
+    finding = F.when(F.col("speaks").isNull(), "no_annotation").when(F.col("speaks") & ~F.col("present"), "absent_target_speaks").when(~F.col("speaks") & F.col("present"), "present_target_silent")
+    return windows.join(found, "id", "left").select("id", finding.alias("finding"))

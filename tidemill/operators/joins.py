@@ -96,3 +96,21 @@ def attached(parents: DataFrame, labels: DataFrame, key: str, columns: list[str]
     problems = found.agg(F.sum("__n").alias("n_labels"), F.count_if(F.col("__n") > 1).alias("n_twice"), F.count_if(~F.col("__there")).alias("n_without_parent")).withColumn("n_clashes", F.lit(clash))
     kept = found.filter("__there").drop(*columns, "__parent", "__there", "__n")
     return kept.select("*", "__row.*").drop("__row"), problems
+
+
+def contained(needles: DataFrame, texts: DataFrame, id_col: str, needle: str, text_id: str, text: str, gram: int = 3) -> DataFrame:
+    """id and in how many texts a needle stands as it is. Candidates share some of the needle's blank-separated words, by hash;
+    only they are compared whole. Needles of one or two words count where they stand as whole words."""
+    words, spaced = F.split(needle, " "), lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    # A needle may begin or end within a word: neither its first word nor its last one is in the key.
+    key = F.when(F.size(words) > 2, F.slice(words, F.lit(2), F.least(F.size(words) - 2, F.lit(gram)))).otherwise(words)
+    wanted = needles.select(id_col, needle, key.alias("__key"))
+    sizes = range(1, max(gram, 2) + 1)
+    rows = texts.select(text_id, F.split(text, " ").alias("__t"))
+    places = lambda n: F.when(F.size("__t") >= n, F.sequence(F.lit(1), F.size("__t") - (n - 1))).otherwise(F.array().cast("array<int>"))
+    grams = F.array_distinct(F.flatten(F.array(*[F.transform(places(n), lambda i: F.xxhash64(F.slice("__t", i, F.lit(n)))) for n in sizes])))  # noqa: B023
+    # Keys are met without texts first; only texts that hold one are read again.
+    keys = rows.select(text_id, F.explode(grams).alias("__h")).join(wanted.select(id_col, F.xxhash64("__key").alias("__h")), "__h").select(text_id, id_col).distinct()
+    held = F.when(F.size(words) > 2, F.contains(text, needle)).otherwise(F.contains(spaced(F.col(text)), spaced(F.col(needle))))
+    counts = keys.join(texts.select(text_id, text), text_id).join(needles.select(id_col, needle), id_col).filter(held).groupBy(id_col).agg(F.count("*").alias("n_docs"))
+    return needles.select(id_col).join(counts, id_col, "left").select(id_col, F.coalesce("n_docs", F.lit(0)).alias("n_docs"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import ancestors
@@ -67,3 +67,63 @@ def stretched(counts: DataFrame, amount: float, key: str, count: str) -> DataFra
     # Levels rise up to the first row whose count passes its level and fall after it: that row's is the greatest there.
     level = F.max(F.when(F.col(count) >= F.col("level"), F.col("level"))).over(Window.partitionBy())
     return levels.select(key, F.least(F.col(count).cast("double"), F.coalesce(level, F.col(count).cast("double"))).alias("share"))
+
+
+def resolved_views(requests: DataFrame, views: DataFrame) -> DataFrame:
+    """name, version asked for (or null), version found and problem: without a version a name must have one version only."""
+    known = views.groupBy("name").agg(F.count_distinct("version").alias("n"), F.min("version").alias("only"))
+    exact = views.select("name", F.col("version").alias("found")).distinct()
+    rows = requests.join(known, "name", "left").join(exact.withColumn("version", F.col("found")), ["name", "version"], "left")
+    found = F.when(F.col("version").isNotNull(), F.col("found")).when(F.col("n") == 1, F.col("only"))
+    problem = F.when(F.col("n").isNull(), "unknown view").when(F.col("version").isNull() & (F.col("n") > 1), "version required").when(F.col("version").isNotNull() & F.col("found").isNull(), "unknown version")
+    return rows.select("name", "version", found.alias("found"), problem.alias("problem"))
+
+
+def deepest_round(rounds: DataFrame, base: str, n: str) -> DataFrame:
+    """base and the last of its rounds 1, 2, ... before the first gap; 0 where round 1 isn't there."""
+    rows = rounds.select(base, n).distinct().withColumn("__r", F.row_number().over(Window.partitionBy(base).orderBy(n)))
+    return rows.groupBy(base).agg(F.coalesce(F.max(F.when(F.col(n) == F.col("__r"), F.col(n))), F.lit(0)).alias("head"))
+
+
+def exact_patched(rows: DataFrame, patches: DataFrame, key: str, column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with patches (key, from, to) applied where the value is the one that the patch names; and the patches that don't
+    fit (key, problem: missing or stale), for which the caller should stop."""
+    new = patches.select(key, F.col("from").alias("__from"), F.col("to").alias("__to"))
+    met = rows.join(new, key, "left")
+    fits = F.col("__from").eqNullSafe(F.col(column)) & F.col("__to").isNotNull()
+    fixed = met.withColumn(column, F.when(fits, F.col("__to")).otherwise(F.col(column))).select(*rows.columns)
+    stale = met.filter(F.col("__to").isNotNull() & ~fits).select(key, F.lit("stale").alias("problem"))
+    return fixed, stale.unionByName(new.join(rows.select(key), key, "left_anti").select(key, F.lit("missing").alias("problem")))
+
+
+def protocol_problems(protocol: DataFrame, files: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+    """key and the first thing wrong between a protocol (key, label), the files and the labels (key, label)."""
+    rows = protocol.select(key, F.col(label).alias("a"), F.lit(True).alias("p")).join(files.select(key, F.lit(True).alias("f")).distinct(), key, "full").join(labels.select(key, F.col(label).alias("b"), F.lit(True).alias("l")), key, "full")
+    problem = F.when(F.col("p").isNull() & F.col("f").isNotNull(), "stray file").when(F.col("p").isNull(), "stray label").when(F.col("f").isNull(), "missing file").when(F.col("l").isNull(), "missing label").when(~F.col("a").eqNullSafe(F.col("b")), "labels disagree")
+    return rows.select(key, problem.alias("problem")).filter("problem is not null")
+
+
+def inventory(specs: DataFrame) -> DataFrame:
+    """dataset_id, kind, family of the specs that no other supersedes (columns dataset_id, supersedes, planned, n_parts, family):
+    planned, mixture (of several parts) or single; a family is named by its least dataset."""
+    gone = specs.filter("supersedes is not null").select(F.col("supersedes").alias("dataset_id")).distinct()
+    rows = specs.join(gone, "dataset_id", "left_anti")
+    named = rows.groupBy("family").agg(F.min("dataset_id").alias("head"))
+    kind = F.when(F.col("planned"), "planned").when(F.col("n_parts") > 1, "mixture").otherwise("single")
+    return rows.join(named, "family").select("dataset_id", kind.alias("kind"), "head")
+
+
+def storage_findings(paths: DataFrame, zones: DataFrame) -> DataFrame:
+    """category, path, n_bytes: paths (path, n_bytes, zone or null) in no zone, zones (zone, budget) over their budget, and zones that hold nothing."""
+    loose = paths.filter("zone is null").select(F.lit("unregistered").alias("category"), "path", "n_bytes")
+    sums = zones.join(paths.groupBy("zone").agg(F.sum("n_bytes").alias("n_bytes")), "zone", "left")
+    over = sums.filter("n_bytes > budget").select(F.lit("over_budget").alias("category"), F.col("zone").alias("path"), "n_bytes")
+    none = sums.filter("n_bytes is null").select(F.lit("missing").alias("category"), F.col("zone").alias("path"), F.lit(0).cast("long").alias("n_bytes"))
+    return loose.unionByName(over).unionByName(none)
+
+
+def role_totals(rows: DataFrame, key: str, roles: tuple[str, ...], value: str) -> DataFrame:
+    """key, role, total: the sum of a value over the first role, in order of precedence, that a key has any row of."""
+    sums = rows.groupBy(key).agg(*[F.sum(F.when(F.col("role") == r, F.col(value))).alias(r) for r in roles])
+    role = F.coalesce(*[F.when(F.col(r).isNotNull(), F.lit(r)) for r in roles])
+    return sums.select(key, role.alias("role"), F.coalesce(*roles).alias("total")).filter("role is not null")
