@@ -44,3 +44,67 @@ def test_disjoint_picks(spark):
                 want.add(i)
     df = spark.createDataFrame(rows, "id long, k string, who string, start double, stop double")
     assert {r["id"] for r in intervals.disjoint_picks(df, ["k"], 0.5).collect()} == want
+
+
+def _drawn(key, seed, lo, hi):
+    import hashlib
+
+    return lo + int(hashlib.sha256(f"{seed}:{key}".encode()).hexdigest()[:12], 16) / 16**12 * (hi - lo)
+
+
+def _some_spans(seed):
+    import random
+
+    draw, rows, at = random.Random(seed), [], 0.0
+    for i in range(160):
+        at += draw.choice([0.1, 0.5, 1.0, 3.0, 20.0])
+        rows.append((i % 2, i, at, at + draw.choice([0.3, 1.0, 2.5])))
+    return rows
+
+
+def test_clean_windows(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(f"file://{tmp_path}")
+    rows = _some_spans(3)
+    got = intervals.clean_windows(spark.createDataFrame(rows, "k int, id int, start double, stop double"), ["k"], 0.4, 3.0, 12.0, 5)
+    want = []
+    for k in (0, 1):
+        own = sorted((a, b, i) for kk, i, a, b in rows if kk == k)
+        reach = [max(b for _, b, _ in own[: n + 1]) for n in range(len(own))]
+        clean = [n + 1 == len(own) or own[n + 1][0] - reach[n] >= 0.4 for n in range(len(own))]
+        i = 0
+        while i < len(own):
+            if i and not clean[i - 1]:
+                i += 1
+                continue
+            length = _drawn(own[i][2], 5, 3.0, 12.0)
+            fits = [j for j in range(i, len(own)) if clean[j] and reach[j] - own[i][0] <= length]
+            if not fits:
+                i += 1
+                continue
+            want.append((k, own[i][2], own[i][0], reach[max(fits)], max(fits) - i + 1))
+            i = max(fits) + 1
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 10
+
+
+def test_closed_windows(spark):
+    rows = _some_spans(4)
+    got = intervals.closed_windows(spark.createDataFrame(rows, "k int, id int, start double, stop double"), ["k"], 2.0, 6.0, 15.0, 0.5, 8)
+    want = []
+    for k in (0, 1):
+        own = sorted((a, b, i) for kk, i, a, b in rows if kk == k)
+        cursor = float("-inf")
+        for a, _, i in own:
+            if a < cursor:
+                continue
+            lo, hi = a, a + _drawn(i, 8, 2.0, 6.0)
+            while True:
+                inside = [(x, y) for x, y, _ in own if x < hi and y > lo]
+                wider = min([lo, *(x for x, _ in inside)]), max([hi, *(y for _, y in inside)])
+                if wider == (lo, hi):
+                    break
+                lo, hi = wider
+            if hi - lo > 15.0 or lo < cursor:
+                continue
+            want.append((k, i, lo, hi))
+            cursor = hi + 0.5
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 10

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import ancestors
@@ -45,17 +45,20 @@ def outermost(paths: DataFrame, path: str = "path") -> DataFrame:
     return paths.select(path).distinct().join(inner, path, "left_anti")
 
 
-def growth(old: DataFrame, new: DataFrame, least: int, path: str = "path", size: str = "n_bytes") -> DataFrame:
-    """path and growth of the deepest paths that grew by at least so much: none of their children did."""
-    both = new.join(old.select(path, F.col(size).alias("was")), path, "left").select(path, (F.col(size) - F.coalesce("was", F.lit(0))).alias("growth")).filter(F.col("growth") >= least)
-    parent = F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
-    return both.join(both.select(parent.alias(path)).distinct(), path, "left_anti")
+def growth(old: DataFrame, new: DataFrame, least: int, path: str = "path", size: str = "n_bytes", children: int = 3, share: float = 0.1) -> DataFrame:
+    """path, growth, children: the deepest paths that grew by at least so much (none of their children did), each with at most
+    `children` of its children, as path=growth, that made at least a share of its growth, the largest first."""
+    every = new.join(old.select(path, F.col(size).alias("was")), path, "left").select(path, (F.col(size) - F.coalesce("was", F.lit(0))).alias("growth"))
+    both, parent = every.filter(F.col("growth") >= least), F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+    deepest = both.join(both.select(parent.alias(path)).distinct(), path, "left_anti")
+    below = every.select(parent.alias(path), F.col(path).alias("child"), F.col("growth").alias("grown")).join(deepest, path).filter(F.col("grown") >= F.col("growth") * share)
+    rank = F.row_number().over(Window.partitionBy(path).orderBy(F.desc("grown"), "child"))
+    named = below.withColumn("r", rank).filter(F.col("r") <= children).groupBy(path).agg(F.array_sort(F.collect_list(F.struct("r", F.concat("child", F.lit("="), F.col("grown").cast("string")).alias("c")))).alias("c"))
+    return deepest.join(named.select(path, F.array_join("c.c", ",").alias("children")), path, "left").select(path, "growth", F.coalesce("children", F.lit("")).alias("children"))
 
 
 def allowed_moves(states: DataFrame, moves: set[tuple[str, str]], order: Column) -> DataFrame:
     """State changes that the transition table doesn't allow: key, from, to."""
-    from pyspark.sql import Window
-
     rows = states.withColumn("before", F.lag("state").over(Window.partitionBy("key").orderBy(order))).filter("before is not null")
     bad = ~F.concat_ws(">", "before", "state").isin(*[f"{a}>{b}" for a, b in moves])
     return rows.filter(bad).select("key", F.col("before").alias("from"), F.col("state").alias("to"))

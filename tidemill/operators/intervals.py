@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import ensure_checkpoints
+
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: float) -> DataFrame:
     """Pairs whose [start, stop) overlap within a key. Both are dealt into bins of a width, which keeps hot keys apart;
@@ -107,8 +110,11 @@ def in_order(df: DataFrame, keys: list[str], rule, schema: str, gap: float | Non
 def merged_turns(df: DataFrame, keys: list[str], who: str, gap: float, cap: float, order: str = "id") -> DataFrame:
     """Turns: consecutive intervals of one speaker, with pauses of at most a gap and a span of at most a cap.
 
-    A turn ends as well where anyone else starts, which the order of starts shows."""
+    A turn ends as well where anyone else starts, which the order of starts shows. Windows cut each key where the speaker
+    changes, and each speaker's run at pauses; only such a run, which the cap alone can cut further, is held by one task."""
     types = dict(df.dtypes)
+    w = Window.partitionBy(*keys).orderBy("start", "stop", order)
+    runs = df.withColumn("__new", F.when(F.lag(who).over(w).eqNullSafe(F.col(who)), 0).otherwise(1)).withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", {who} {types[who]}, first double, last double, n long"
 
     def rule(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -120,7 +126,7 @@ def merged_turns(df: DataFrame, keys: list[str], who: str, gap: float, cap: floa
                 out.append([name, start, stop, 1])
         return pd.DataFrame([(*key[: len(keys)], *o) for o in out], columns=[*keys, who, "first", "last", "n"])
 
-    return in_order(df, keys, rule, schema, gap, order)
+    return in_order(runs, [*keys, "__run"], rule, schema, gap, order)
 
 
 def disjoint_picks(df: DataFrame, keys: list[str], share: float, order: str = "id") -> DataFrame:
@@ -181,3 +187,80 @@ def timeline_findings(windows: DataFrame, speech: DataFrame, keys: list[str], wh
     found = hits.groupBy(F.col("l_id").alias("id")).agg(F.max(F.col(f"l_{who}") == F.col(f"r_{who}")).alias("speaks"))
     finding = F.when(F.col("speaks").isNull(), "no_annotation").when(F.col("speaks") & ~F.col("present"), "absent_target_speaks").when(~F.col("speaks") & F.col("present"), "present_target_silent")
     return windows.join(found, "id", "left").select("id", finding.alias("finding"))
+
+
+def drawn_length(key: Column, seed: int, lo: float, hi: float) -> Column:
+    """A length between two bounds, drawn by sha256(seed:key): the same on every run."""
+    share = F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed)), key.cast("string")), 256), 1, 12), 16, 10).cast("double") / float(16**12)
+    return F.lit(lo) + share * (hi - lo)
+
+
+def followed(hops: DataFrame, heads: DataFrame, rounds: int = 40) -> DataFrame:
+    """The nodes (key, node) that are reached from each key's head by following `next`, by doubling: each round the nodes known
+    so far are joined with twice the step before. Rounds are cut by checkpoints; their number grows with the logarithm of a key's length."""
+    ensure_checkpoints(hops.sparkSession)
+    seen, step = heads.select("key", "node"), hops.filter("next is not null").select("key", "node", "next")
+    for _ in range(rounds):
+        more = seen.join(step, ["key", "node"]).select("key", F.col("next").alias("node"))
+        seen = seen.unionByName(more).distinct().checkpoint()
+        step = step.join(step.select("key", F.col("node").alias("next"), F.col("next").alias("then")), ["key", "next"]).select("key", "node", F.col("then").alias("next")).checkpoint()
+        if not step.limit(1).count():
+            break
+    return seen
+
+
+def clean_windows(df: DataFrame, keys: list[str], pause: float, lo: float, hi: float, seed: int, order: str = "id") -> DataFrame:
+    """Disjoint windows of whole intervals (key, first id, lo, hi, n): each begins after a clean cut and ends at the last clean cut
+    within a length drawn for its first interval; where there is none, the next clean start is tried.
+
+    Where a start leads depends on the start alone, so that the sequence is a chain of pointers: clean cuts and
+    drawn ends are met by one sort, and the chain is followed by doubling. No task holds a key's rows."""
+    w = Window.partitionBy(*keys).orderBy("start", "stop", order)
+    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    rows = df.withColumn("reach", F.max("stop").over(up)).withColumn("at", F.row_number().over(w)).withColumn("__next", F.lead("start").over(w))
+    rows = rows.withColumn("clean", F.col("__next").isNull() | (F.col("__next") - F.col("reach") >= pause))
+    rows = rows.withColumn("opens", F.coalesce(F.lag("clean").over(w), F.lit(True)))
+    starts = rows.filter("opens").select(*keys, "at", "start", F.col(order).alias("id"), (F.col("start") + drawn_length(F.col(order), seed, lo, hi)).alias("t"))
+    cuts = rows.filter("clean").select(*keys, F.col("at").alias("cut"), F.col("reach").alias("t"))
+    both = cuts.withColumn("q", F.lit(0)).unionByName(starts.select(*keys, "t", F.col("at").alias("own"), F.lit(1).alias("q")), allowMissingColumns=True)
+    last = F.max(F.when(F.col("q") == 0, F.struct("cut", F.col("t").alias("hi")))).over(Window.partitionBy(*keys).orderBy("t", "q").rowsBetween(Window.unboundedPreceding, 0))
+    ends = both.withColumn("end", last).filter("q = 1").select(*keys, F.col("own").alias("at"), "end")
+    found = starts.join(ends, [*keys, "at"]).withColumn("fits", F.coalesce(F.col("end.cut") >= F.col("at"), F.lit(False)))
+    after = F.lead("at").over(Window.partitionBy(*keys).orderBy("at"))
+    found = found.withColumn("next", F.when(F.col("fits"), F.col("end.cut") + 1).otherwise(after)).withColumn("key", F.struct(*keys)).withColumn("node", F.col("at"))
+    # A clean cut is followed by a clean start, so that every pointer leads to one or past the end.
+    reached = followed(found.select("key", "node", F.col("next").cast("int").alias("next")), found.groupBy("key").agg(F.min("node").alias("node")))
+    picked = found.filter("fits").join(reached, ["key", "node"], "left_semi")
+    return picked.select(*keys, "id", F.col("start").alias("lo"), F.col("end.hi").alias("hi"), (F.col("end.cut") - F.col("at") + 1).cast("long").alias("n"))
+
+
+def closed_windows(df: DataFrame, keys: list[str], lo: float, hi: float, longest: float, rest: float, seed: int, order: str = "id") -> DataFrame:
+    """Windows over a key's intervals that don't overlap (keys, id, lo, hi): from an interval that begins at or after the cursor, of a
+    drawn length, widened to whole intervals; one that is too long or reaches back is left out; the cursor moves `rest` past its end.
+
+    Runs of intervals that touch are what windows are widened to, so that runs between pauses longer than `rest` are each dealt
+    with alone: one run is held by one task."""
+
+    def rule(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out, cursor = [], -np.inf
+        start, stop = pdf["start"].to_numpy(float), pdf["stop"].to_numpy(float)
+        for name, at, length in pdf[[order, "start", "__length"]].itertuples(index=False):
+            if at < cursor:
+                continue
+            a, b = at, at + length
+            while True:
+                inside = (start < b) & (stop > a)
+                wider = min(a, start[inside].min(initial=a)), max(b, stop[inside].max(initial=b))
+                if wider == (a, b):
+                    break
+                a, b = wider
+            if b - a > longest or a < cursor:
+                continue
+            out.append((*key[: len(keys)], name, a, b))
+            cursor = b + rest
+        return pd.DataFrame(out, columns=[*keys, order, "lo", "hi"])
+
+    types = dict(df.dtypes)
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", {order} {types[order]}, lo double, hi double"
+    rows = df.withColumn("__length", drawn_length(F.col(order), seed, lo, hi))
+    return in_order(rows, keys, rule, schema, longest + hi + rest, order)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -52,13 +52,20 @@ def key_overlap(rows: DataFrame, held: DataFrame, id_col: str, keys: Column, key
 
 
 def near_words(words: DataFrame, limit: int, top: int) -> DataFrame:
-    """For each distinct word its `top` nearest other words within an edit distance: candidates share a length bucket."""
+    """For each distinct word its `top` nearest other words within an edit distance.
+
+    A word is cut into limit + 1 pieces: any word within the distance holds one of them, shifted by at most the limit. So
+    candidates are an equi-join on (length, piece, text); only words shorter than their number of pieces meet all of a length."""
     distinct = words.select("word").distinct()
-    queries = distinct.select(F.col("word").alias("query"), F.explode(F.sequence(F.length("word") - limit, F.length("word") + limit)).alias("len"))
-    pairs = queries.join(distinct.withColumn("len", F.length("word")), "len").filter("query <> word")
+    edge = lambda length, i: f"int(({length}) * ({i}) div {limit + 1})"
+    pieces = f"transform(sequence(0, {limit}), i -> named_struct('len', length(word), 'i', i, 'text', substring(word, {edge('length(word)', 'i')} + 1, {edge('length(word)', 'i + 1')} - {edge('length(word)', 'i')})))"
+    index = distinct.select("word", F.explode(F.expr(pieces)).alias("p")).select("word", "p.*")
+    at, size = edge("l", "i"), f"({edge('l', 'i + 1')} - {edge('l', 'i')})"
+    probes = f"""flatten(flatten(transform(sequence(greatest(0, length(word) - {limit}), length(word) + {limit}), l -> transform(sequence(0, {limit}), i -> filter(transform(sequence(-{limit}, {limit}),
+      s -> if({at} + s >= 0 and {at} + s + {size} <= length(word), named_struct('len', l, 'i', i, 'text', substring(word, {at} + s + 1, {size})), null)), x -> x is not null)))))"""
+    queries = distinct.select(F.col("word").alias("query"), F.explode(F.array_distinct(F.expr(probes))).alias("p")).select("query", "p.*")
+    pairs = queries.join(index, ["len", "i", "text"]).filter("query <> word").select("query", "word").distinct()
     near = pairs.withColumn("distance", F.levenshtein("query", "word", limit)).filter("distance >= 0")
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("query").orderBy("distance", "word"))
     return near.select("query", "word", "distance", rank.alias("rank")).filter(F.col("rank") <= top)
 

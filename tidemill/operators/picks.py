@@ -21,17 +21,30 @@ def winners(df: DataFrame, key: list[str], ok: Column, seq: str, columns: list[s
     return df.groupBy(*key).agg(F.max_by(F.struct(*columns), F.struct(ok.cast("int"), F.col(seq))).alias("__row")).select(*key, *[f"__row.{c}" for c in columns])
 
 
-def dealt(df: DataFrame, group: list[str], order: list, size: int) -> DataFrame:
-    """Rows dealt round robin in order into as many hands of about `size` as fit (one at least): `hand` from 0."""
+def hash_place(df: DataFrame, group: list[str], key: Column, name: str = "place") -> DataFrame:
+    """The place of each row in its group by a hexadecimal hash, from 1, and the group's size as `name`_of.
+
+    Rows are ranked within groups of one prefix of the hash (four digits), to which the counts of the prefixes before are added:
+    no task sorts a whole group, however large it is."""
+    rows = df.withColumn("__key", key).withColumn("__prefix", F.substring("__key", 1, 4))
+    counts = rows.groupBy(*group, "__prefix").agg(F.count("*").alias("n"))
     w = Window.partitionBy(*group)
-    hands = F.greatest(F.lit(1), F.rint(F.count("*").over(w) / size).cast("int"))
-    return df.withColumn("hand", ((F.row_number().over(w.orderBy(*order)) - 1) % hands).cast("int"))
+    before = counts.select(*group, "__prefix", (F.sum("n").over(w.orderBy("__prefix")) - F.col("n")).alias("__before"), F.sum("n").over(w).alias(f"{name}_of"))
+    own = F.row_number().over(Window.partitionBy(*group, "__prefix").orderBy("__key"))
+    return rows.withColumn("__own", own).join(before, [*group, "__prefix"]).withColumn(name, F.col("__before") + F.col("__own")).drop("__key", "__prefix", "__own", "__before")
+
+
+def dealt(df: DataFrame, group: list[str], key: Column, size: int) -> DataFrame:
+    """Rows dealt round robin in the order of a hash into as many hands of about `size` as fit (one at least): `hand` from 0."""
+    rows = hash_place(df, group, key, "__at")
+    hands = F.greatest(F.lit(1), F.rint(F.col("__at_of") / size).cast("int"))
+    return rows.withColumn("hand", ((F.col("__at") - 1) % hands).cast("int")).drop("__at", "__at_of")
 
 
-def paired(df: DataFrame, group: list[str], order: list, id_col: str) -> DataFrame:
-    """Neighbours in order as pairs: first with second, third with fourth; an odd last row stays alone."""
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("__r", rank).groupBy(*group, F.ceil(F.col("__r") / 2).alias("pair")).agg(F.min_by(id_col, "__r").alias("first"), F.max_by(id_col, "__r").alias("second"), F.count("*").alias("n")).filter("n = 2").drop("n")
+def paired(df: DataFrame, group: list[str], key: Column, id_col: str) -> DataFrame:
+    """Neighbours in the order of a hash as pairs: first with second, third with fourth; an odd last row stays alone."""
+    rows = hash_place(df, group, key, "__r").groupBy(*group, F.ceil(F.col("__r") / 2).alias("pair"))
+    return rows.agg(F.min_by(id_col, "__r").alias("first"), F.max_by(id_col, "__r").alias("second"), F.count("*").alias("n")).filter("n = 2").drop("n")
 
 
 def matched(df: DataFrame, group: list[str], kind: str, order: list) -> DataFrame:

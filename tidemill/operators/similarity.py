@@ -40,10 +40,10 @@ def cosine_top(queries: DataFrame, candidates: DataFrame, k: int, id_col: str, v
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, b, s in _products(batches):
             s = np.where(a[:, None] == b[None, :], -np.inf, s)
-            for i, q in enumerate(a):
-                order = np.lexsort((b, -np.round(s[i], 6)))[:k]
-                order = order[np.isfinite(s[i][order])]
-                yield pd.DataFrame({"query_id": q, "vec_id": b[order], "score": s[i][order]})
+            tops = [np.lexsort((b, -np.round(row, 6)))[:k] for row in s]
+            tops = [o[np.isfinite(row[o])] for o, row in zip(tops, s, strict=True)]
+            at, to = np.repeat(np.arange(len(a)), [len(o) for o in tops]), np.concatenate([*tops, np.empty(0, np.int64)]).astype(np.int64)
+            yield pd.DataFrame({"query_id": a[at], "vec_id": b[to], "score": s[at, to]})
 
     pairs = _blocks(queries, id_col, vector_col, "a").join(_blocks(candidates, id_col, vector_col, "b"), "dim")
     found = pairs.mapInPandas(best, "query_id long, vec_id long, score double")
@@ -56,12 +56,13 @@ def similar_pairs(df: DataFrame, least: float, id_col: str, vector_col: str) ->
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, b, s in _products(batches):
-            i, j = np.nonzero((s >= least) & (a[:, None] < b[None, :]))
-            yield pd.DataFrame({"a": a[i], "b": b[j], "score": s[i, j]})
+            i, j = np.nonzero((s >= least) & (a[:, None] != b[None, :]))
+            yield pd.DataFrame({"a": np.minimum(a[i], b[j]), "b": np.maximum(a[i], b[j]), "score": s[i, j]})
 
     blocks = _blocks(df, id_col, vector_col, "a")
     other = blocks.select("dim", F.col("a").alias("b"), F.col("a_ids").alias("b_ids"), F.col("a_cells").alias("b_cells"))
-    return blocks.join(other, "dim").mapInPandas(near, "a long, b long, score double")
+    # Each two blocks meet once; within a block a pair is found from either end.
+    return blocks.join(other, "dim").filter("a <= b").mapInPandas(near, "a long, b long, score double").dropDuplicates(["a", "b"])
 
 
 def unit_cells(df: DataFrame, id_col: str, vector_col: str, *keep: str) -> DataFrame:
@@ -74,9 +75,13 @@ def unit_cells(df: DataFrame, id_col: str, vector_col: str, *keep: str) -> DataF
 def group_fit(df: DataFrame, id_col: str, vector_col: str, group: str) -> DataFrame:
     """id, group and cosine to the centroid of the group's other vectors (null for the only one).
 
-    Only one row per group and position is joined back; no vectors of a group meet in one task."""
+    Sums per group and position are added up by partial aggregates; one array per group is joined back to its rows."""
     cells = unit_cells(df, id_col, vector_col, group)
-    sums = cells.groupBy(group, "pos").agg(F.sum("x").alias("total"))
-    rest = cells.join(sums, [group, "pos"]).withColumn("rest", F.col("total") - F.col("x"))
-    fit = rest.groupBy(id_col, group).agg(F.sum(F.col("x") * F.col("rest")).alias("dot"), F.sqrt(F.sum(F.col("rest") * F.col("rest"))).alias("len"))
+    sums = cells.groupBy(group, "pos").agg(F.sum("x").alias("total")).groupBy(group).agg(F.array_sort(F.collect_list(F.struct("pos", "total"))).alias("s")).select(group, F.col("s.total").alias("total"))
+    rows = df.filter(F.col(vector_col).isNotNull()).select(id_col, group, F.transform(vector_col, lambda x: x.cast("double")).alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    rows = rows.withColumn("norm", norm).filter("norm > 0").join(sums, group)
+    rest = F.zip_with(F.transform("v", lambda x: x / F.col("norm")), "total", lambda x, t: F.struct(x.alias("x"), (t - x).alias("r")))
+    sum_of = lambda f: F.aggregate("rest", F.lit(0.0), lambda a, c: a + f(c))
+    fit = rows.withColumn("rest", rest).select(id_col, group, sum_of(lambda c: c["x"] * c["r"]).alias("dot"), F.sqrt(sum_of(lambda c: c["r"] * c["r"])).alias("len"))
     return fit.select(id_col, group, F.when(F.col("len") > 1e-9, F.col("dot") / F.col("len")).alias("fit"))

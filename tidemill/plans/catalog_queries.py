@@ -66,9 +66,11 @@ def filled(spark, sf):
     "SELECT lang, count(*) AS n, count(*) FILTER (WHERE n_chars <> length(text)) AS n_span, count(*) FILTER (WHERE text IN (SELECT text FROM benchmark)) AS n_text, count(*) FILTER (WHERE doc_id IN (SELECT item_id FROM benchmark)) AS n_id FROM documents GROUP BY 1",
 )
 def contamination_report(spark, sf):
+    digest = F.sha2("text", 256).alias("digest")
     held = table(spark, sf, "benchmark")
-    rows = table(spark, sf, "documents").join(held.select("text").distinct().withColumn("t", F.lit(True)), "text", "left").join(held.select(F.col("item_id").alias("doc_id")).distinct().withColumn("i", F.lit(True)), "doc_id", "left")
-    return rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("n_chars") != F.length("text")).alias("n_span"), F.count_if(F.col("t")).alias("n_text"), F.count_if(F.col("i")).alias("n_id"))
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars", F.length("text").alias("length"), digest)
+    rows = docs.join(held.select(digest).distinct().withColumn("t", F.lit(True)), "digest", "left").join(held.select(F.col("item_id").alias("doc_id")).distinct().withColumn("i", F.lit(True)), "doc_id", "left")
+    return rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("n_chars") != F.col("length")).alias("n_span"), F.count_if(F.col("t")).alias("n_text"), F.count_if(F.col("i")).alias("n_id"))
 
 
 @query(

@@ -17,10 +17,11 @@ k AS (SELECT *, row_number() OVER (PARTITION BY reason, text ORDER BY key) AS pl
 SELECT doc_id, coalesce(reason, CASE WHEN place > 1 THEN 'repeated' ELSE 'kept' END) AS reason FROM k""",
 )
 def candidates(spark, sf):
-    held = table(spark, sf, "benchmark").select("text").distinct().withColumn("held", F.lit(True))
-    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").join(held, "text", "left")
+    digest = F.sha2("text", 256).alias("digest")
+    held = table(spark, sf, "benchmark").select(digest).distinct().withColumn("held", F.lit(True))
+    rows = table(spark, sf, "documents").select("doc_id", "n_chars", digest).join(table(spark, sf, "labels"), "doc_id", "left").join(held, "digest", "left")
     reason = text.first_reason([("toxic", F.col("toxic") == 1), ("held out", F.col("held")), ("short", F.col("n_chars") < 200)])
-    named = rows.select("doc_id", F.sha2("text", 256).alias("digest"), reason.alias("reason"), order_key(11, "doc_id").alias("key"))
+    named = rows.select("doc_id", "digest", reason.alias("reason"), order_key(11, "doc_id").alias("key"))
     # The first of each text among the rows without a reason: an aggregate, so that a text with very many copies is no hot window.
     first = named.filter("reason is null").groupBy("digest").agg(F.min("key").alias("first"))
     place = F.when(F.col("key") == F.col("first"), "kept").otherwise("repeated")

@@ -52,7 +52,16 @@ def outermost(spark, sf):
     return catalog.outermost(paths.unionByName(hosts))
 
 
-@query("A12_growth", None)
+_ROLLED = "SELECT up AS path, CAST(sum(n) AS BIGINT) AS n FROM (SELECT length(html) AS n, unnest(list_transform(range(1, len(string_split(p, '/')) + 1), lambda i: array_to_string(list_slice(string_split(p, '/'), 1, i), '/'))) AS up FROM (SELECT html, regexp_replace(split_part(split_part(url, '://', 2), '?', 1), '/$', '') AS p FROM pages {0})) GROUP BY 1"
+
+
+@query(
+    "A12_growth",
+    f"""WITH o AS ({_ROLLED.format("WHERE page_id % 2 = 0")}), w AS ({_ROLLED.format("")}), b AS (SELECT path, w.n - coalesce(o.n, 0) AS growth, regexp_extract(path, '^(.*)/[^/]*$', 1) AS parent FROM w LEFT JOIN o USING (path)),
+g AS (SELECT * FROM b WHERE growth >= 5000), d AS (SELECT path, growth FROM g WHERE path NOT IN (SELECT parent FROM g)), c AS (SELECT d.path, b.path AS child, b.growth AS grown, row_number() OVER (PARTITION BY d.path ORDER BY b.growth DESC, b.path) AS r FROM d JOIN b ON b.parent = d.path AND b.growth >= d.growth * 0.1),
+k AS (SELECT path, string_agg(child || '=' || grown, ',' ORDER BY r) AS children FROM c WHERE r <= 3 GROUP BY 1)
+SELECT d.path, d.growth, coalesce(children, '') AS children FROM d LEFT JOIN k USING (path)""",
+)
 def growth(spark, sf):
     pages = table(spark, sf, "pages")
     path = F.regexp_replace(F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("?"), F.lit(1)), "/$", "")
@@ -67,13 +76,13 @@ def state_moves(spark, sf):
     return catalog.allowed_moves(events, {(k, k) for k in kinds} | {("view", "click")}, F.col("event_id"))
 
 
-@query("W02_gap_sessions", None)
+@query("W02_gap_sessions", "WITH e AS (SELECT user_id, epoch_us(ts) AS t, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events), s AS (SELECT *, sum(CASE WHEN before IS NULL OR t - before > 86400000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t) AS s FROM e) SELECT user_id, min(t) AS start, max(t) + 86400000000 AS stop, count(*) AS n FROM s GROUP BY user_id, s")
 def gap_sessions(spark, sf):
     rows = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     return sessions.gap_sessions(rows, "user_id", "ts", "1 day", "2 days").select("user_id", F.unix_micros("start").alias("start"), F.unix_micros("stop").alias("stop"), "n")
 
 
-@query("S06_shards", None)
+@query("S06_shards", "SELECT source, CAST((row_number() OVER (ORDER BY sha256('1:2:' || source), source) - 1) % 4 AS INTEGER) AS shard FROM (SELECT DISTINCT source FROM documents)")
 def shards(spark, sf):
     from tidemill.operators.picks import shard_of
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.functions import text
+from tidemill.functions import transcripts as T
 from tidemill.functions.order import order_key
 from tidemill.operators import decisions, picks
 from tidemill.plans.registry import query, table
@@ -218,3 +219,32 @@ def first_examples(spark, sf):
     rows = table(spark, sf, "documents").filter("n_chars > 700").select("lang", "doc_id", F.lit(0).alias("tie"))
     ten = picks.smallest(rows, ["lang"], "doc_id", "tie", 10)
     return ten.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list("doc_id")).cast("array<string>"), ",").alias("examples"))
+
+
+def _heard(spark, sf):
+    """The words of a name, and the same with some words before it and one behind."""
+    words = F.split("p_name", " ")
+    before = F.array_repeat(F.lit("zz"), (F.col("p_size") % 4).cast("int"))
+    return table(spark, sf, "part").select("p_partkey", "p_name", words.alias("words"), F.concat(before, words, F.array(F.lit("qq"))).alias("heard"))
+
+
+@query("F15_inner_errors", "SELECT p_partkey, 0 AS errors FROM part")
+def inner_errors(spark, sf):
+    return _heard(spark, sf).select("p_partkey", T.errors_between_edges(F.col("words"), F.col("heard")).alias("errors"))
+
+
+@query("F16_inserted_run", "SELECT p_partkey, CAST(greatest(p_size % 4, 1) AS INTEGER) AS run FROM part")
+def inserted_run(spark, sf):
+    return _heard(spark, sf).select("p_partkey", T.longest_inserted_run(F.col("words"), F.col("heard")).alias("run"))
+
+
+@query("F17_tokens_missed", "SELECT p_partkey, 1 AS missed FROM part")
+def tokens_missed(spark, sf):
+    return _heard(spark, sf).select("p_partkey", T.tokens_missed(F.concat("words", F.array(F.lit("yy"))), F.col("heard")).alias("missed"))
+
+
+@query("F04_occurrences", "SELECT p_partkey, '0:' || p_name || ',' || length(p_name) + 2 || ':' || split_part(p_name, ' ', 1) AS found FROM part")
+def occurrences(spark, sf):
+    first = F.split_part("p_name", F.lit(" "), F.lit(1))
+    found = T.occurrences(F.concat("p_name", F.lit(", "), first), F.array(first, F.col("p_name"), F.lit("none")))
+    return table(spark, sf, "part").select("p_partkey", F.array_join(F.transform(found, lambda f: F.concat(f["at"].cast("string"), F.lit(":"), f["word"])), ",").alias("found"))

@@ -53,3 +53,13 @@ def priority_draw(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "lang", F.xxhash64("text").alias("h1"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("h2"), F.struct(rank.alias("r"), order_key(3, "doc_id").alias("k")).alias("key"))
     once = rows.groupBy("h1", "h2").agg(F.min_by(F.struct("doc_id", "lang", "key"), F.struct("key", "doc_id")).alias("row")).select("row.*")
     return picks.smallest(once, ["lang"], "key", "doc_id", 20).select("doc_id")
+
+
+@query("W04_clean_windows", None)
+def clean_windows(spark, sf):
+    return intervals.clean_windows(_spans(spark, sf), ["user_id"], 600.0, 3600.0, 200_000.0, 3)
+
+
+@query("W06_closed_windows", None)
+def closed_windows(spark, sf):
+    return intervals.closed_windows(_spans(spark, sf), ["user_id"], 3600.0, 20_000.0, 60_000.0, 600.0, 4)

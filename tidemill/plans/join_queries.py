@@ -10,8 +10,9 @@ from tidemill.plans.registry import query, table
 
 @query("J08_unseen", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND text NOT IN (SELECT text FROM conversations WHERE text IS NOT NULL)")
 def unseen(spark, sf):
-    docs = table(spark, sf, "documents").filter("text is not null")
-    return docs.join(table(spark, sf, "labels"), "doc_id", "left_anti").join(table(spark, sf, "conversations").select("text"), "text", "left_anti").select("doc_id")
+    digest = F.sha2("text", 256).alias("digest")  # texts themselves aren't shuffled
+    docs = table(spark, sf, "documents").filter("text is not null").select("doc_id", digest)
+    return docs.join(table(spark, sf, "labels"), "doc_id", "left_anti").join(table(spark, sf, "conversations").select(digest), "digest", "left_anti").select("doc_id")
 
 
 @query("J10_three_way", "SELECT l_orderkey, l_linenumber, o_orderpriority, CASE WHEN p_type = 'PROMO' THEN p_name END AS promo FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'")
@@ -91,7 +92,8 @@ def split_lists(spark, sf):
 
 @query("U06_disjoint", "SELECT 'text' AS kind, count(DISTINCT text) AS n FROM documents WHERE text IN (SELECT text FROM benchmark) UNION ALL SELECT 'id', count(DISTINCT doc_id) FROM documents WHERE doc_id IN (SELECT item_id FROM benchmark)")
 def disjoint(spark, sf):
-    docs, held = table(spark, sf, "documents"), table(spark, sf, "benchmark").withColumnRenamed("item_id", "doc_id")
+    digests = lambda df: df.withColumn("text", F.sha2("text", 256))
+    docs, held = digests(table(spark, sf, "documents")), digests(table(spark, sf, "benchmark").withColumnRenamed("item_id", "doc_id"))
     shared = lambda kind, c: docs.select(c).join(held.select(c), c, "left_semi").agg(F.count_distinct(c).alias("n")).select(F.lit(kind).alias("kind"), "n")
     return shared("text", "text").unionByName(shared("id", "doc_id"))
 

@@ -97,7 +97,11 @@ def percentiles(spark, sf):
 
 @query("A24_distinct_sizes", "SELECT lang, count(DISTINCT source) AS sources, count(DISTINCT text) AS texts FROM documents GROUP BY 1")
 def distinct_sizes(spark, sf):
-    return table(spark, sf, "documents").groupBy("lang").agg(F.count_distinct("source").alias("sources"), F.count_distinct("text").alias("texts"))
+    # Texts are told apart by digest, so that none is shuffled; a first step spreads each language over its texts.
+    docs = table(spark, sf, "documents")
+    texts = docs.select("lang", F.sha2("text", 256).alias("digest")).distinct().groupBy("lang").agg(F.count("digest").alias("texts"))
+    sources = docs.groupBy("lang").agg(F.count_distinct("source").alias("sources"))
+    return texts.join(sources, "lang").select("lang", "sources", "texts")
 
 
 @query("A25_multiset_digest", "SELECT CAST(sum(CAST('0x' || substr(h, 1, 8) AS BIGINT)) AS DOUBLE) AS w0, CAST(sum(CAST('0x' || substr(h, 57, 8) AS BIGINT)) AS DOUBLE) AS w7 FROM (SELECT sha256(doc_id || ':' || lang) AS h FROM documents)")
@@ -177,6 +181,11 @@ def cosine_top(spark, sf):
     return similarity.cosine_top(rows.filter("vec_id % 50 = 0"), rows, 10, "vec_id", "embedding").select("query_id", "vec_id", "rank", F.round("score", 4).alias("score"))
 
 
+@query("J18_nearer_pairs", "SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS score FROM embeddings a, embeddings b WHERE a.vec_id < b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3")
+def nearer_pairs(spark, sf):
+    return similarity.similar_pairs(table(spark, sf, "embeddings"), 0.3, "vec_id", "embedding").select("a", "b", F.round("score", 4).alias("score"))
+
+
 @query("J18_similar_pairs", "SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS score FROM embeddings a, embeddings b WHERE a.vec_id < b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.9")
 def similar_pairs(spark, sf):
     return similarity.similar_pairs(table(spark, sf, "embeddings"), 0.9, "vec_id", "embedding").select("a", "b", F.round("score", 4).alias("score"))
@@ -187,7 +196,10 @@ def holds_word(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.holds_word(F.col("text"), F.lit("the")).alias("has"))
 
 
-@query("F09_bigram_jaccard", None)
+_PAIRS = "list_distinct(list_transform(range(1, length({0})), lambda i: substr({0}, i, 2)))"
+
+
+@query("F09_bigram_jaccard", f"SELECT p_partkey, CAST(len(list_intersect({_PAIRS.format('p_name')}, {_PAIRS.format('p_brand')})) AS DOUBLE) / len(list_distinct(list_concat({_PAIRS.format('p_name')}, {_PAIRS.format('p_brand')}))) AS score FROM part")
 def bigram_jaccard(spark, sf):
     rows = table(spark, sf, "part").select("p_partkey", text.jaccard(text.bigrams(F.col("p_name")), text.bigrams(F.col("p_brand"))).alias("score"))
     return rows

@@ -36,6 +36,11 @@ def quoted(spark, sf):
     return spark.sql("SELECT doc_id FROM {docs} WHERE lang = :lang", args={"lang": "e'n' OR 1=1"}, docs=table(spark, sf, "documents"))
 
 
+@query("P02_quoted_value", "SELECT doc_id FROM documents WHERE lang || chr(39) || '; --' = 'en' || chr(39) || '; --'")
+def quoted_value(spark, sf):
+    return spark.sql("SELECT doc_id FROM {docs} WHERE concat(lang, :tail) = :value", args={"tail": "'; --", "value": "en'; --"}, docs=table(spark, sf, "documents"))
+
+
 @query("P03_free_predicate", "SELECT doc_id, n_chars FROM documents WHERE n_chars <= 300 AND lang <> 'en'")
 def free_predicate(spark, sf):
     return table(spark, sf, "documents").filter(F.expr("n_chars <= 300 AND lang <> 'en'")).select("doc_id", "n_chars")
@@ -195,7 +200,7 @@ def capped(spark, sf):
 
 @query("W17_round_robin", "SELECT doc_id, CAST((row_number() OVER (PARTITION BY lang ORDER BY sha256('4:' || doc_id)) - 1) % greatest(1, CAST(round_even(count(*) OVER (PARTITION BY lang) / 50.0, 0) AS INTEGER)) AS INTEGER) AS hand FROM documents")
 def round_robin(spark, sf):
-    return picks.dealt(table(spark, sf, "documents"), ["lang"], [order.order_key(4, "doc_id")], 50).select("doc_id", "hand")
+    return picks.dealt(table(spark, sf, "documents").select("doc_id", "lang"), ["lang"], order.order_key(4, "doc_id"), 50).select("doc_id", "hand")
 
 
 @query("W18_winner", "SELECT user_id, arg_max(event_id, (CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) * 1000000000 + event_id) AS event_id FROM events GROUP BY 1")
@@ -220,10 +225,10 @@ def matched(spark, sf):
 
 @query("W23_pairs", "WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256('6:' || doc_id)) r FROM documents) SELECT a.lang, CAST(ceil(a.r / 2.0) AS BIGINT) AS pair, a.doc_id AS first, b.doc_id AS second FROM r a JOIN r b ON a.lang = b.lang AND b.r = a.r + 1 WHERE a.r % 2 = 1")
 def pairs(spark, sf):
-    return picks.paired(table(spark, sf, "documents"), ["lang"], [order.order_key(6, "doc_id")], "doc_id").withColumn("pair", F.col("pair").cast("long"))
+    return picks.paired(table(spark, sf, "documents").select("doc_id", "lang"), ["lang"], order.order_key(6, "doc_id"), "doc_id").withColumn("pair", F.col("pair").cast("long"))
 
 
-@query("F42_bucket", None)
+@query("F42_bucket", "SELECT doc_id, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(sha256(CAST(doc_id AS VARCHAR)), ''), lambda c: CAST('0x' || c AS BIGINT))), lambda a, d: (a * 16 + d) % 97) AS bucket FROM documents")
 def bucket(spark, sf):
     return table(spark, sf, "documents").select("doc_id", order.bucket(F.col("doc_id"), 97).alias("bucket"))
 
@@ -249,6 +254,15 @@ def split_leaks(spark, sf):
     return table(spark, sf, "documents").groupBy("source").agg(F.count_distinct(F.col("doc_id") % 3).alias("n")).filter("n > 1")
 
 
+@query("J25_planted_texts", "WITH d AS (SELECT doc_id, text FROM documents UNION ALL SELECT -1 - item_id, replace(text, ' ', ', ') FROM benchmark WHERE item_id % 3 = 0) SELECT d.doc_id, min(b.item_id) AS item_id FROM d JOIN benchmark b ON lower(regexp_replace(d.text, '[^a-zA-Z0-9]+', '', 'g')) = lower(regexp_replace(b.text, '[^a-zA-Z0-9]+', '', 'g')) GROUP BY 1")
+def planted_texts(spark, sf):
+    held = table(spark, sf, "benchmark")
+    planted = held.filter("item_id % 3 = 0").select((-1 - F.col("item_id")).alias("doc_id"), F.replace("text", F.lit(" "), F.lit(", ")).alias("text"))
+    key = F.sha2(text.compact(F.col("text")), 256).alias("k")
+    docs = table(spark, sf, "documents").select("doc_id", "text").unionByName(planted).select("doc_id", key)
+    return docs.join(held.groupBy(key).agg(F.min("item_id").alias("item_id")), "k").select("doc_id", "item_id")
+
+
 @query("J25_text_contamination", "SELECT d.doc_id, min(b.item_id) AS item_id FROM documents d JOIN benchmark b ON lower(regexp_replace(d.text, '[^a-zA-Z0-9]+', '', 'g')) = lower(regexp_replace(b.text, '[^a-zA-Z0-9]+', '', 'g')) GROUP BY 1")
 def text_contamination(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.sha2(text.compact(F.col("text")), 256).alias("k"))

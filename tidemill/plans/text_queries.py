@@ -10,7 +10,7 @@ from tidemill.operators import measures
 from tidemill.plans.registry import query, table
 
 
-@query("F05_scoring_form", r"SELECT doc_id, md5(lower(regexp_replace(text, '[^\p{L}\p{N}]+', '', 'g'))) AS form FROM documents")
+@query("F05_scoring_form", r"SELECT doc_id, md5(regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g')) AS form FROM documents")
 def scoring_form(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.md5(T.scoring_form(F.col("text"))).alias("form"))
 
@@ -86,9 +86,16 @@ def source_keys(spark, sf):
     return table(spark, sf, "events").select("event_id", F.concat(F.lit("event:"), key).alias("key")).filter("key is not null")
 
 
-@query("F33_sizes", "SELECT doc_id, CASE WHEN n_chars >= 1024 THEN printf('%.1f K', n_chars / 1024.0) ELSE n_chars || ' B' END AS size FROM documents WHERE n_chars < 1048576")
+@query(
+    "F33_sizes",
+    """WITH s AS (SELECT doc_id, 0 AS power, n_chars AS n FROM documents UNION ALL SELECT doc_id, power, (n_chars + 1) * CAST(1024 ** power AS BIGINT) FROM documents, (SELECT unnest([1, 2, 3]) AS power))
+SELECT doc_id, power, CASE WHEN n >= 1024.0 ** 4 THEN printf('%.1f T', n / 1024.0 ** 4) WHEN n >= 1024.0 ** 3 THEN printf('%.1f G', n / 1024.0 ** 3) WHEN n >= 1024.0 ** 2 THEN printf('%.1f M', n / 1024.0 ** 2) WHEN n >= 1024 THEN printf('%.1f K', n / 1024.0) ELSE n || ' B' END AS size FROM s""",
+)
 def sizes(spark, sf):
-    return table(spark, sf, "documents").filter("n_chars < 1048576").select("doc_id", T.size_text(F.col("n_chars")).alias("size"))
+    # Every document's size, and larger ones made of it, so that each unit occurs.
+    n = F.when(F.col("power") == 0, F.col("n_chars")).otherwise((F.col("n_chars") + 1) * F.expr("shiftleft(1L, 10 * power)"))
+    rows = table(spark, sf, "documents").select("doc_id", "n_chars", F.explode(F.array(*map(F.lit, range(4)))).alias("power"))
+    return rows.select("doc_id", "power", T.size_text(n).alias("size"))
 
 
 @query("F38_uri_parts", r"SELECT page_id, regexp_extract(url, '^([a-z]+)://([^/?#]*)(/[^?#]*)?', 1) AS scheme, regexp_extract(url, '^([a-z]+)://([^/?#]*)(/[^?#]*)?', 2) AS host, regexp_extract(url, '^([a-z]+)://([^/?#]*)(/[^?#]*)?', 3) AS key FROM pages")

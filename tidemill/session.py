@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -26,3 +27,13 @@ def build_session(app: str = "tidemill", master: str | None = None, shuffle_part
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
+
+
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """See to it that checkpoint() has a folder: the cluster's (spark.checkpoint.dir) or, in local sessions alone, a temporary one."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='tidemill-')}")
