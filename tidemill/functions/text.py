@@ -163,3 +163,22 @@ def dot(a: Column, b: Column) -> Column:
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two vectors; null where one has no length."""
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+
+
+def value_at(document: Column, path: str) -> Column:
+    """The value at a dotted path of a JSON document: texts as they are, other values as JSON, absent and null as null."""
+    value = F.try_variant_get(F.try_parse_json(document), "$." + path, "variant")
+    kind = F.schema_of_variant(value)
+    return F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).when(kind != "VOID", F.to_json(value))
+
+
+def mixed_script_blanks(text: Column) -> Column:
+    """How many single blanks stand between a Han character and a Latin letter, either way round."""
+    return F.size(F.regexp_extract_all(text, F.lit(r"[\u4e00-\u9fff] [A-Za-z]|[A-Za-z] [\u4e00-\u9fff]"), F.lit(0)))
+
+
+def without_framing(text: Column, openings: tuple[str, ...], quotes: str = "\"'“”「」") -> Column:
+    """A model's reply without its opening phrase (up to a colon) and the quotation marks around it."""
+    start = "|".join(openings)
+    out = F.regexp_replace(F.trim(text), rf"^(?i:(?:{start})[^:：\n]*[:：])\s*", "")
+    return F.regexp_replace(out, rf"^[{quotes}]+|[{quotes}]+$", "")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import text
 from tidemill.functions.order import order_key
-from tidemill.operators import measures, records
+from tidemill.operators import decisions, intervals, measures, records
+from tidemill.operators import registry_checks as checks
+from tidemill.plans.interval_queries import _DAY, _days
 from tidemill.plans.registry import query, table
 
 
@@ -77,3 +80,58 @@ def overview(spark, sf):
 
     rows = records.RecordQuery().apply(_records(spark, sf))
     return rows.groupBy("task").agg(F.count_if(F.col("language") == "en").alias("english"), F.count("*").alias("n"), F.round(F.sum("n_chars").cast("double") / 1000, 4).alias("size"))
+
+
+@query(
+    "Q09_label_sets",
+    """WITH r AS (SELECT p_brand, p_size / 10 AS seconds, length(p_name) AS n, levenshtein(p_name, substr(p_name, 1, greatest(1, length(p_name) - p_size % 7))) AS e FROM part), k AS (SELECT *, seconds < 2 OR 100 * e < 30 * n AS keep FROM r)
+SELECT p_brand, count(*) AS n_full, count(*) FILTER (WHERE keep) AS n_kept, round(CAST(sum(e) AS DOUBLE) / greatest(sum(n), 1), 6) AS rate, round(coalesce(CAST(sum(e) FILTER (WHERE keep) AS DOUBLE), 0) / greatest(coalesce(sum(n) FILTER (WHERE keep), 0), 1), 6) AS kept_rate FROM k GROUP BY 1""",
+)
+def label_sets(spark, sf):
+    heard = F.expr("substring(p_name, 1, greatest(1, length(p_name) - p_size % 7))")
+    rows = table(spark, sf, "part").select("p_brand", F.col("p_name"), (F.col("p_size") / 10).alias("seconds"), F.length("p_name").alias("n"), F.levenshtein("p_name", heard).alias("e"))
+    keep, _ = decisions.keep_rule(F.col("p_name"), F.col("seconds"), F.col("e"), F.col("n"))
+    only = lambda c: F.coalesce(F.sum(F.when(F.col("keep"), F.col(c))), F.lit(0))
+    rate = lambda e, n: F.round(e.cast("double") / F.greatest(n, F.lit(1)), 6)
+    return rows.withColumn("keep", keep).groupBy("p_brand").agg(F.count("*").alias("n_full"), F.count_if("keep").alias("n_kept"), rate(F.sum("e"), F.sum("n")).alias("rate"), rate(only("e"), only("n")).alias("kept_rate"))
+
+
+@query(
+    "Q11_transcripts",
+    """WITH t AS (SELECT p_partkey AS id, p_size % 6 AS cut, ['a', 'b', 'c'] AS who, [p_name, substr(p_name, 1 + p_size % 6), CASE WHEN p_size % 2 = 0 THEN p_name ELSE lower(p_type) END] AS said FROM part), r AS (SELECT id, unnest(who) AS who, unnest(said) AS said FROM t)
+SELECT x.who AS a, y.who AS b, count(*) AS n, count(*) FILTER (WHERE x.said = y.said) AS n_same, round(CAST(sum(levenshtein(x.said, y.said)) AS DOUBLE) / greatest(sum(length(x.said)), 1), 6) AS rate FROM r x JOIN r y ON x.id = y.id AND x.who < y.who GROUP BY 1, 2""",
+)
+def transcripts_agree(spark, sf):
+    part = table(spark, sf, "part")
+    said = {"a": F.col("p_name"), "b": F.expr("substring(p_name, 1 + p_size % 6)"), "c": F.when(F.col("p_size") % 2 == 0, F.col("p_name")).otherwise(F.lower("p_type"))}
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), said[a].alias("x"), said[b].alias("y")) for a in said for b in said if a < b])
+    rows = part.select(F.explode(pairs).alias("p")).select("p.*")
+    return rows.groupBy("a", "b").agg(F.count("*").alias("n"), F.count_if(F.col("x") == F.col("y")).alias("n_same"), F.round(measures.ratio(F.levenshtein("x", "y").cast("double"), F.length("x")), 6).alias("rate"))
+
+
+@query(
+    "Q14_families",
+    """WITH s AS (SELECT p_partkey AS id, p_brand AS family, CASE WHEN p_size % 10 = 0 THEN p_partkey - 1 END AS sup, p_type = 'PROMO' AS planned, p_retailprice AS hours FROM part), l AS (SELECT * FROM s WHERE id NOT IN (SELECT sup FROM s WHERE sup IS NOT NULL)),
+f AS (SELECT family, count(*) AS n, count(*) FILTER (WHERE planned) AS n_planned, max(hours) FILTER (WHERE NOT planned) AS hours FROM l GROUP BY 1) SELECT family, n, n_planned, hours, row_number() OVER (ORDER BY hours DESC NULLS LAST, family) AS place FROM f""",
+)
+def family_overview(spark, sf):
+    specs = table(spark, sf, "part").select(F.col("p_partkey").alias("dataset_id"), F.col("p_brand").alias("family"), F.when(F.col("p_size") % 10 == 0, F.col("p_partkey") - 1).alias("supersedes"), (F.col("p_type") == "PROMO").alias("planned"), F.lit(1).alias("n_parts"))
+    live = checks.inventory(specs).join(table(spark, sf, "part").select(F.col("p_partkey").alias("dataset_id"), F.col("p_brand").alias("family"), "p_retailprice"), "dataset_id")
+    cells = live.groupBy("family").agg(F.count("*").alias("n"), F.count_if(F.col("kind") == "planned").alias("n_planned"), F.max(F.when(F.col("kind") != "planned", F.col("p_retailprice"))).alias("hours"))
+    # One row for each family: small enough for one ordered window.
+    return cells.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("hours"), "family")).cast("long"))
+
+
+@query(
+    "Q07_window_pairs",
+    f"""WITH d AS ({_DAY}), w AS (SELECT id, user_id, start - 3600 AS start, stop + 3600 AS stop, who FROM d WHERE id % 7 = 0), k AS (SELECT w.id, x.who AS target FROM w, (SELECT DISTINCT who FROM d) x), h AS (SELECT w.id, d.who AS target, sum(least(w.stop, d.stop) - greatest(w.start, d.start)) AS spoken FROM w JOIN d ON w.user_id = d.user_id AND w.start < d.stop AND d.start < w.stop GROUP BY 1, 2)
+SELECT k.id, k.target, CASE WHEN spoken IS NULL THEN 'negative' ELSE 'positive' END AS kind, coalesce(spoken, 0) AS spoken FROM k LEFT JOIN h USING (id, target)""",
+)
+def window_pairs(spark, sf):
+    days = _days(spark, sf)
+    windows = days.filter("id % 7 = 0").select("user_id", "id", (F.col("start") - 3600).alias("start"), (F.col("stop") + 3600).alias("stop"))
+    kinds = [r[0] for r in days.select("who").distinct().collect()]  # the speakers' names
+    hits = intervals.overlap_join(windows, days.select("user_id", "id", "start", "stop", "who"), ["user_id"], 7200.0)
+    spoken = hits.groupBy(F.col("l_id").alias("id"), F.col("r_who").alias("target")).agg(F.sum(F.least("l_stop", "r_stop") - F.greatest("l_start", "r_start")).alias("spoken"))
+    every = windows.select("id", F.explode(F.array(*map(F.lit, kinds))).alias("target"))
+    return every.join(spoken, ["id", "target"], "left").select("id", "target", F.when(F.col("spoken").isNull(), "negative").otherwise("positive").alias("kind"), F.coalesce("spoken", F.lit(0)).alias("spoken"))

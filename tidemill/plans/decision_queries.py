@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import text
@@ -248,3 +249,80 @@ def occurrences(spark, sf):
     first = F.split_part("p_name", F.lit(" "), F.lit(1))
     found = T.occurrences(F.concat("p_name", F.lit(", "), first), F.array(first, F.col("p_name"), F.lit("none")))
     return table(spark, sf, "part").select("p_partkey", F.array_join(F.transform(found, lambda f: F.concat(f["at"].cast("string"), F.lit(":"), f["word"])), ",").alias("found"))
+
+
+@query(
+    "A18_fragile_conditions",
+    """WITH c AS (SELECT lang AS family, source AS condition, count(*) AS n, avg(n_chars - 1000) AS delta, avg(n_chars - 1000) - 1.96 * stddev_samp(n_chars) / sqrt(count(*)) AS low FROM documents GROUP BY 1, 2 HAVING count(*) > 1), f AS (SELECT *, row_number() OVER (ORDER BY delta DESC, family, condition) AS place, delta = max(delta) OVER (PARTITION BY family) AS worst FROM c WHERE low > 0)
+SELECT family, condition, round(delta, 4) AS delta, round(low, 4) AS low, place, worst FROM f WHERE place <= 8 OR worst""",
+)
+def fragile_conditions(spark, sf):
+    value = F.col("n_chars")
+    cells = table(spark, sf, "documents").groupBy(F.col("lang").alias("family"), F.col("source").alias("condition")).agg(F.count("*").alias("n"), F.avg(value - 1000).alias("delta"), (F.avg(value - 1000) - 1.96 * F.stddev_samp(value) / F.sqrt(F.count("*"))).alias("low"))
+    # One row for each condition from here on.
+    rows = cells.filter("n > 1 and low > 0").withColumn("place", F.row_number().over(Window.orderBy(F.desc("delta"), "family", "condition")).cast("long"))
+    rows = rows.withColumn("worst", F.col("delta") == F.max("delta").over(Window.partitionBy("family"))).filter("place <= 8 or worst")
+    return rows.select("family", "condition", F.round("delta", 4).alias("delta"), F.round("low", 4).alias("low"), "place", "worst")
+
+
+@query("A34_split_twins", "WITH s AS (SELECT page_id // 2 AS i, page_id % 2 AS split, md5(url[:24]) AS d FROM pages) SELECT count(*) AS n, count(*) FILTER (WHERE a.d = b.d) AS n_same, round(avg(CASE WHEN a.d = b.d THEN 1.0 ELSE 0.0 END), 6) AS share, count(*) FILTER (WHERE a.d <> b.d) <= 0.99 * count(*) AS bounded FROM s a JOIN s b ON a.i = b.i AND a.split = 0 AND b.split = 1")
+def split_twins(spark, sf):
+    rows = table(spark, sf, "pages").select(F.floor(F.col("page_id") / 2).alias("i"), (F.col("page_id") % 2).alias("split"), F.md5(F.substring("url", 1, 24)).alias("d"))
+    both = rows.filter("split = 0").join(rows.filter("split = 1").select("i", F.col("d").alias("e")), "i")
+    same = F.col("d") == F.col("e")
+    return both.agg(F.count("*").alias("n"), F.count_if(same).alias("n_same"), F.round(F.avg(same.cast("double")), 6).alias("share"), (F.count_if(~same) <= 0.99 * F.count("*")).alias("bounded"))
+
+
+@query(
+    "A21_audit_reasons",
+    """WITH r AS (SELECT CASE WHEN quality = 0 AND toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'poor' ELSE 'none' END AS reason, CASE WHEN n_chars % 5 = 0 THEN 'rewrite' ELSE 'keep_original' END AS action, n_chars / 15.0 AS seconds, n_chars % 5 = 0 AS changed FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+SELECT reason, action, reason = 'none' AS passed, count(*) AS n, round(sum(seconds), 4) AS seconds, count(*) FILTER (WHERE changed) AS n_changed FROM r GROUP BY 1, 2""",
+)
+def audit_reasons(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", "n_chars").join(table(spark, sf, "labels"), "doc_id")
+    changed = F.col("n_chars") % 5 == 0
+    reason = F.coalesce(text.first_reason([("toxic", (F.col("quality") == 0) & (F.col("toxic") == 1)), ("poor", F.col("quality") == 0)]), F.lit("none"))
+    cells = rows.groupBy(reason.alias("reason"), F.when(changed, "rewrite").otherwise("keep_original").alias("action"))
+    return cells.agg(F.count("*").alias("n"), F.round(F.sum(F.col("n_chars") / 15.0), 4).alias("seconds"), F.count_if(changed).alias("n_changed")).withColumn("passed", F.col("reason") == "none")
+
+
+@query(
+    "W25_pool_draw",
+    """WITH p AS (SELECT doc_id, md5(text) AS t, unnest(list_filter([CASE WHEN n_chars < 800 THEN 'short' END, CASE WHEN source <> 'src0' THEN 'other' END], lambda x: x IS NOT NULL)) AS pool, CASE source WHEN 'src0' THEN 0 ELSE 1 END AS split, sha256('12:' || doc_id) AS key FROM documents),
+c AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY split, key, pool) AS copy FROM p), q AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY split, key, pool) AS place FROM c WHERE copy <= 2) SELECT doc_id, pool, row_number() OVER (ORDER BY place, pool) AS turn FROM q WHERE place <= 20""",
+)
+def pool_draw(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "n_chars", "source", F.md5("text").alias("t"))
+    rows = decisions.pools(docs, {"short": F.col("n_chars") < 800, "other": F.col("source") != "src0"})
+    split = F.when(F.col("source") == "src0", 0).otherwise(1)
+    order = [split.alias("split"), order_key(12, "doc_id").alias("key"), F.col("pool").alias("p")]
+    taken = decisions.drawn(rows, "pool", order, "t", 2, 20)
+    # Twenty rows of each pool from here on: pools take turns.
+    return taken.select("doc_id", "pool", F.row_number().over(Window.orderBy("place", "pool")).cast("long").alias("turn"))
+
+
+@query("F22_mixed_blanks", "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 4 ELSE 1 END AS n FROM part")
+def mixed_blanks(spark, sf):
+    marked = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("中 "), "p_name", F.lit(" 国b 中a  国 b"))).otherwise(F.concat("p_name", F.lit(" 国，中  a")))
+    return table(spark, sf, "part").select("p_partkey", text.mixed_script_blanks(marked).alias("n"))
+
+
+@query("F30_dotted_values", """SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN p_name WHEN 1 THEN p_size::VARCHAR WHEN 2 THEN '{"z":[1,"' || p_brand || '"]}' WHEN 3 THEN 'true' END AS value FROM part""")
+def dotted_values(spark, sf):
+    case = F.col("p_size") % 5
+    inner = F.when(case == 0, F.concat(F.lit('"'), "p_name", F.lit('"'))).when(case == 1, F.col("p_size").cast("string")).when(case == 2, F.concat(F.lit('{"z": [1, "'), "p_brand", F.lit('"]}'))).when(case == 3, "true").otherwise("null")
+    return table(spark, sf, "part").select("p_partkey", text.value_at(F.concat(F.lit('{"a": {"b": '), inner, F.lit("}}")), "a.b").alias("value"))
+
+
+@query("F26_framing", "SELECT p_partkey, p_name AS plain FROM part")
+def framing(spark, sf):
+    case = F.col("p_size") % 3
+    reply = F.when(case == 0, F.concat(F.lit("Sure, here is the text: “"), "p_name", F.lit("”"))).when(case == 1, F.concat(F.lit("  Transcription:\n"), "p_name")).otherwise(F.col("p_name"))
+    return table(spark, sf, "part").select("p_partkey", text.without_framing(reply, ("sure", "here is", "transcription")).alias("plain"))
+
+
+@query("K04_exported_lines", """SELECT doc_id, '{"id":"' || doc_id || '","language":"' || lang || '","slots":[{"cut_id":"' || source || '-' || doc_id || '","duration":' || n_chars || '}]}' AS line FROM documents WHERE source = 'src1'""")
+def exported_lines(spark, sf):
+    slot = F.struct(F.concat("source", F.lit("-"), F.col("doc_id").cast("string")).alias("cut_id"), F.col("n_chars").alias("duration"))
+    record = F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("language"), F.array(slot).alias("slots"))
+    return table(spark, sf, "documents").filter("source = 'src1'").select("doc_id", F.to_json(record).alias("line"))
