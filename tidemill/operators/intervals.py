@@ -74,7 +74,7 @@ def greedy_windows(df: DataFrame, keys: list[str], limit: float, gap: float, ord
 
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         out, first, last, n = [], None, None, 0
-        for start, stop in pdf.sort_values(["start", "stop", order])[["start", "stop"]].itertuples(index=False):
+        for start, stop in pdf[["start", "stop"]].itertuples(index=False):
             if n and (stop - start > limit or max(stop, last) - first > limit or start - last > gap):
                 out.append((first, last, n))
                 n = 0
@@ -84,7 +84,7 @@ def greedy_windows(df: DataFrame, keys: list[str], limit: float, gap: float, ord
             out.append((first, last, n))
         return pd.DataFrame([(*key, i, *o) for i, o in enumerate(out)], columns=[*keys, "island", "pack", "first", "last", "n"])
 
-    return runs.groupBy(*keys, "island").applyInPandas(pack, schema)
+    return _by_runs(runs, [*keys, "island"], pack, schema, order)
 
 
 def sessions(df: DataFrame, keys: list[str], at: str, gap: float, order: str) -> DataFrame:
@@ -94,17 +94,26 @@ def sessions(df: DataFrame, keys: list[str], at: str, gap: float, order: str) ->
     return df.withColumn("__new", new).withColumn("session", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
 
 
+def _by_runs(rows: DataFrame, run: list[str], rule, schema: str, order: str, rows_per_task: int = 20_000) -> DataFrame:
+    """Apply a rule to each run of rows (its key, its frame in order). Short runs share a task's frame, as most are short."""
+    parts = max(1, -(-rows.count() // rows_per_task))
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def each(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["start", "stop", order], kind="stable")
+        found = [rule(key, part) for key, part in pdf.groupby(run, sort=False, dropna=False)]
+        return pd.concat(found) if found else pd.DataFrame(columns=names)
+
+    return rows.withColumn("__task", F.pmod(F.xxhash64(*run), F.lit(parts))).groupBy("__task").applyInPandas(lambda pdf: each(pdf), schema)
+
+
 def in_order(df: DataFrame, keys: list[str], rule, schema: str, gap: float | None = None, order: str = "id") -> DataFrame:
     """Apply a sequential rule to the intervals of each key in order of (start, stop, order).
 
     With a gap the rows of a key are first cut at pauses wider than it, which the rule must treat alone; only such a run
     is held by one task. The rule takes (key, frame in order) and returns rows of the schema."""
     rows = islands(df, keys, gap, order) if gap is not None else df.withColumn("island", F.lit(0).cast("long"))
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return rule(key, pdf.sort_values(["start", "stop", order]))
-
-    return rows.groupBy(*keys, "island").applyInPandas(run, schema)
+    return _by_runs(rows, [*keys, "island"], rule, schema, order)
 
 
 def merged_turns(df: DataFrame, keys: list[str], who: str, gap: float, cap: float, order: str = "id") -> DataFrame:
