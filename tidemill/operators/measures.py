@@ -36,12 +36,16 @@ def bootstrap(df: DataFrame, group: list[str], delta: str, weight: str, rounds:
         for pdf in batches:
             for key, part in pdf.groupby(group, dropna=False, sort=False):
                 draws = np.array([np.random.default_rng([seed, h & 0x7FFFFFFF]).poisson(1.0, rounds) for h in part["__h"]])
-                yield pd.DataFrame([(*key, (draws * part[[delta]].to_numpy()).sum(0).tolist(), (draws * part[[weight]].to_numpy()).sum(0).tolist())], columns=[*group, "d", "w"])
+                key = [None if k != k else k for k in key]  # a null group, which pandas gives as NaN
+                out = pd.DataFrame([(*key, (draws * part[[delta]].to_numpy()).sum(0).tolist(), (draws * part[[weight]].to_numpy()).sum(0).tolist())], columns=[*group, "d", "w"])
+                yield out.astype(dict.fromkeys(group, object))
 
     sums = df.withColumn("__h", F.xxhash64(*df.columns)).mapInPandas(partial, ", ".join(f"{g} {types[g]}" for g in group) + ", d array<double>, w array<double>")
     cells = sums.select(*group, F.posexplode(F.arrays_zip("d", "w")).alias("i", "x")).groupBy(*group, "i").agg((F.sum("x.d") / F.greatest(F.sum("x.w"), F.lit(1.0))).alias("r"))
     ends = cells.groupBy(*group).agg(F.sort_array(F.collect_list("r")).alias("r")).select(*group, F.expr(f"r[{int(0.025 * rounds)}]").alias("low"), F.expr(f"r[{int(0.975 * rounds)}]").alias("high"))
-    return df.groupBy(*group).agg(ratio(F.col(delta), F.col(weight)).alias("point")).join(ends, group)
+    points = df.groupBy(*group).agg(ratio(F.col(delta), F.col(weight)).alias("point"))
+    same = [points[g].eqNullSafe(ends[g]) for g in group]
+    return points.join(ends, same).select(*[points[g] for g in group], "point", "low", "high")
 
 
 def multiset_digest(row_text: Column) -> list[Column]:

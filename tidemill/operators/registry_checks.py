@@ -127,3 +127,20 @@ def role_totals(rows: DataFrame, key: str, roles: tuple[str, ...], value: str) -
     sums = rows.groupBy(key).agg(*[F.sum(F.when(F.col("role") == r, F.col(value))).alias(r) for r in roles])
     role = F.coalesce(*[F.when(F.col(r).isNotNull(), F.lit(r)) for r in roles])
     return sums.select(key, role.alias("role"), F.coalesce(*roles).alias("total")).filter("role is not null")
+
+
+def registration_problems(artifacts: DataFrame, aliases: DataFrame, files: DataFrame) -> DataFrame:
+    """name and the first thing wrong with artifacts (name, alias, path, n_bytes): an alias that isn't known (aliases: alias), a file that
+    isn't there (files: alias, path, size) or one of another size."""
+    known = aliases.select("alias", F.lit(True).alias("__known")).distinct()
+    rows = artifacts.join(known, "alias", "left").join(files.select("alias", "path", F.col("size").alias("__size")), ["alias", "path"], "left")
+    problem = F.when(F.col("__known").isNull(), "unknown alias").when(F.col("__size").isNull(), "missing file").when(F.col("__size") != F.col("n_bytes"), "other size")
+    return rows.select("name", problem.alias("problem")).filter("problem is not null")
+
+
+def samples(rows: DataFrame, annotations: DataFrame | None, key: str, text: str) -> DataFrame:
+    """Rows with a text: their own, or, with annotations (key, text, status), that of the annotation that went well alone."""
+    if annotations is None:
+        return rows.filter(F.col(text).isNotNull())
+    good = annotations.filter("status = 'ok'").select(key, F.col(text).alias("__text"))
+    return rows.join(good, key).withColumn(text, F.col("__text")).drop("__text").filter(F.col(text).isNotNull())

@@ -131,3 +131,40 @@ SELECT i.id, hi, n_turns, spoken, EXISTS (SELECT 1 FROM d b WHERE b.user_id = i.
 )
 def turn_windows(spark, sf):
     return intervals.turn_windows(_days(spark, sf).select("user_id", "id", "start", "stop"), ["user_id"], 40000.0, 20000.0)
+
+
+@query(
+    "G03_registration",
+    """WITH a AS (SELECT p_partkey AS name, 'r' || p_size % 7 AS alias, p_brand AS path, p_size AS n_bytes FROM part), f AS (SELECT 'r' || p_size % 7 AS alias, p_brand AS path, min(p_size) AS size FROM part WHERE p_size > 9 GROUP BY 1, 2)
+SELECT name, problem FROM (SELECT name, CASE WHEN a.alias IN ('r5', 'r6') THEN 'unknown alias' WHEN size IS NULL THEN 'missing file' WHEN size <> n_bytes THEN 'other size' END AS problem FROM a LEFT JOIN f USING (alias, path)) WHERE problem IS NOT NULL""",
+)
+def registration(spark, sf):
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("name"), F.concat(F.lit("r"), (F.col("p_size") % 7).cast("string")).alias("alias"), F.col("p_brand").alias("path"), F.col("p_size").alias("n_bytes"))
+    files = part.filter("n_bytes > 9").groupBy("alias", "path").agg(F.min("n_bytes").alias("size"))
+    return checks.registration_problems(part, part.select("alias").filter("alias not in ('r5', 'r6')"), files)
+
+
+@query("S08_samples", "SELECT doc_id, lang FROM documents WHERE doc_id % 5 > 0")
+def samples(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", "lang", F.when(F.col("doc_id") % 5 > 0, F.col("source")).alias("text"))
+    return checks.samples(rows, None, "doc_id", "text").select("doc_id", "lang")
+
+
+@query("S08_annotated_samples", "SELECT d.doc_id, 'q' || quality AS text FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE toxic = 0")
+def annotated_samples(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", F.lit(None).cast("string").alias("text"))
+    found = table(spark, sf, "labels").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("text"), F.when(F.col("toxic") == 0, "ok").otherwise("failed").alias("status"))
+    return checks.samples(rows, found, "doc_id", "text").select("doc_id", "text")
+
+
+@query(
+    "Q06_dropped_windows",
+    f"""WITH d AS ({_DAY}), i AS (SELECT a.id, a.user_id, a.start, max(b.stop) AS hi, count(*) AS n_turns, sum(b.stop - b.start) AS spoken FROM d a JOIN d b ON a.user_id = b.user_id AND b.start >= a.start AND b.stop <= a.start + 40000 GROUP BY 1, 2, 3),
+c AS (SELECT *, EXISTS (SELECT 1 FROM d b WHERE b.user_id = i.user_id AND b.start < hi AND b.stop > hi AND b.stop > i.start AND b.start < i.start + 40000) AS crossed FROM i)
+SELECT CASE WHEN crossed THEN 'crossed' WHEN n_turns < 2 THEN 'one turn' WHEN spoken < 0.1 * (hi - start) THEN 'sparse' ELSE 'kept' END AS verdict, count(*) AS n, sum(n_turns)::BIGINT AS n_turns FROM c GROUP BY 1""",
+)
+def dropped_windows(spark, sf):
+    days = _days(spark, sf).select("user_id", "id", "start", "stop")
+    rows = intervals.turn_windows(days, ["user_id"], 40000.0, 20000.0).join(days.select("id", "start"), "id")
+    verdict = F.when(F.col("crossed"), "crossed").when(F.col("n_turns") < 2, "one turn").when(F.col("spoken") < 0.1 * (F.col("hi") - F.col("start")), "sparse").otherwise("kept")
+    return rows.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"), F.sum("n_turns").alias("n_turns"))
