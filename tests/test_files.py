@@ -39,3 +39,13 @@ def test_files_against_their_declaration(spark, tmp_path):
     got = {(r.s, r.id) for r in files.sampled_rows(rows, "s", key, 7).collect()}
     want = {(s, i) for s in (0, 1) for i in sorted(range(s, 500, 2), key=lambda i: sha(str(i).encode()))[:7]}
     assert got == want
+
+
+def test_audio_samples_read_bytes_on_demand(spark, tmp_path):
+    rows = spark.createDataFrame([("a", (bytearray(b"xyz"), "p/a.wav")), ("b", (None, "p/b.wav"))], "id string, audio struct<bytes:binary,path:string>")
+    rows.write.parquet(str(tmp_path / "s"))
+    short = files.audio_samples(spark, str(tmp_path / "s"), ("id",))
+    assert sorted(map(tuple, short.collect())) == [("a", "p/a.wav"), ("b", "p/b.wav")]
+    assert "bytes" not in short._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    whole = files.audio_samples(spark, str(tmp_path / "s"), ("id",), with_bytes=True).filter("id = 'a'").first()
+    assert whole.n_bytes == 3 and bytes(whole.audio_bytes) == b"xyz"

@@ -144,3 +144,12 @@ def samples(rows: DataFrame, annotations: DataFrame | None, key: str, text: str)
         return rows.filter(F.col(text).isNotNull())
     good = annotations.filter("status = 'ok'").select(key, F.col(text).alias("__text"))
     return rows.join(good, key).withColumn(text, F.col("__text")).drop("__text").filter(F.col(text).isNotNull())
+
+
+def shared_between(rows: DataFrame, split: str, kinds: dict[str, Column]) -> DataFrame:
+    """kind, a, b, n: how many different keys of each kind two splits share. A key meets the list of its splits, which is as long
+    as there are splits at most; no two rows are paired."""
+    keyed = rows.select(F.col(split).alias("split"), F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), c.cast("string").alias("key")) for k, c in kinds.items()])).alias("x")).select("split", "x.*").filter("key is not null")
+    held = keyed.groupBy("kind", "key").agg(F.array_sort(F.collect_set("split")).alias("s")).filter("size(s) > 1")
+    pairs = F.flatten(F.transform("s", lambda a, i: F.transform(F.slice("s", i + 2, F.size("s")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    return held.select("kind", F.explode(pairs).alias("p")).groupBy("kind", "p.a", "p.b").agg(F.count("*").alias("n"))

@@ -326,3 +326,11 @@ def exported_lines(spark, sf):
     slot = F.struct(F.concat("source", F.lit("-"), F.col("doc_id").cast("string")).alias("cut_id"), F.col("n_chars").alias("duration"))
     record = F.struct(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("language"), F.array(slot).alias("slots"))
     return table(spark, sf, "documents").filter("source = 'src1'").select("doc_id", F.to_json(record).alias("line"))
+
+
+@query("F24_rule_phrases", "SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'said' WHEN 1 THEN 'parts,said' WHEN 2 THEN 'parts' ELSE '' END AS rules FROM part")
+def rule_phrases(spark, sf):
+    case = F.col("p_size") % 6
+    said = F.when(case == 0, "灰色的灰。").when(case == 1, "弓长张，是张大的张然后").when(case == 2, "弓长张的好").when(case == 3, "灰色的灰尘多").when(case == 4, "我们的我").otherwise("灰一二三四的灰")
+    rules = T.rule_phrases(F.concat("p_name", said), {"parts": ["弓长张", "木子李"]}, "said", "我你的是", "，。", ["然后"])
+    return table(spark, sf, "part").select("p_partkey", F.array_join(rules, ",").alias("rules"))

@@ -168,3 +168,43 @@ def dropped_windows(spark, sf):
     rows = intervals.turn_windows(days, ["user_id"], 40000.0, 20000.0).join(days.select("id", "start"), "id")
     verdict = F.when(F.col("crossed"), "crossed").when(F.col("n_turns") < 2, "one turn").when(F.col("spoken") < 0.1 * (F.col("hi") - F.col("start")), "sparse").otherwise("kept")
     return rows.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("n"), F.sum("n_turns").alias("n_turns"))
+
+
+@query(
+    "U08_shared_between_splits",
+    """WITH k AS (SELECT DISTINCT source AS s, 'text' AS kind, md5(text) AS key FROM documents WHERE text IS NOT NULL UNION SELECT DISTINCT source, 'size', CAST(n_chars AS VARCHAR) FROM documents)
+SELECT a.kind, a.s AS a, b.s AS b, count(*) AS n FROM k a JOIN k b ON a.kind = b.kind AND a.key = b.key AND a.s < b.s GROUP BY 1, 2, 3""",
+)
+def shared_between_splits(spark, sf):
+    return checks.shared_between(table(spark, sf, "documents"), "source", {"text": F.md5("text"), "size": F.col("n_chars")})
+
+
+@query("W19_last_values", "SELECT user_id, event_type, arg_max(round(value, 2), event_id) AS value FROM events GROUP BY 1, 2")
+def last_values(spark, sf):
+    return table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.max_by(F.round("value", 2), "event_id").alias("value"))
+
+
+@query(
+    "A05_duration_ladder",
+    """WITH r AS (SELECT l_orderkey, CASE WHEN l_linenumber = 7 THEN 'legacy' WHEN l_linestatus = 'O' THEN 'top' ELSE 'split' END AS role, l_quantity AS q FROM lineitem), s AS (SELECT l_orderkey, sum(q) FILTER (WHERE role = 'legacy') AS a, sum(q) FILTER (WHERE role = 'top') AS b, sum(q) FILTER (WHERE role = 'split') AS c FROM r GROUP BY 1)
+SELECT l_orderkey, CASE WHEN a IS NOT NULL THEN 'legacy' WHEN b IS NOT NULL THEN 'top' ELSE 'split' END AS role, coalesce(a, b, c) AS total FROM s""",
+)
+def duration_ladder(spark, sf):
+    role = F.when(F.col("l_linenumber") == 7, "legacy").when(F.col("l_linestatus") == "O", "top").otherwise("split")
+    return checks.role_totals(table(spark, sf, "lineitem").withColumn("role", role), "l_orderkey", ("legacy", "top", "split"), "l_quantity")
+
+
+@query("J04_located_or_missing", "SELECT l_orderkey, l_linenumber, l_partkey, coalesce(p_brand, '') AS place, p_partkey IS NULL AS missing FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 3) ON l_partkey = p_partkey")
+def located_or_missing(spark, sf):
+    facts = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    places = table(spark, sf, "part").filter("p_size > 3").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("place"))
+    found, missing = joins.located(facts, places, "l_partkey")
+    rows = found.withColumn("missing", F.lit(False)).unionByName(missing.withColumn("place", F.lit("")).withColumn("missing", F.lit(True)))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "place", "missing")
+
+
+@query("A04_merged_parts", "SELECT lang, count(*) AS n, sum(n_chars)::BIGINT AS n_chars, max(n_chars) AS longest FROM documents GROUP BY 1")
+def merged_parts(spark, sf):
+    # Parts of 1000 documents, as a run writes them, and then their sums: parts can be added in any order.
+    parts = table(spark, sf, "documents").groupBy("lang", F.floor(F.col("doc_id") / 1000).alias("part")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"), F.max("n_chars").alias("longest"))
+    return parts.groupBy("lang").agg(F.sum("n").alias("n"), F.sum("n_chars").alias("n_chars"), F.max("longest").alias("longest"))

@@ -55,3 +55,13 @@ def sampled_rows(rows: DataFrame, split: str, key: Column, n: int) -> DataFrame:
     salted = rows.withColumn("__k", key).withColumn("__part", F.substring("__k", 1, 2))
     few = salted.withColumn("__r", F.row_number().over(Window.partitionBy(split, "__part").orderBy("__k"))).filter(F.col("__r") <= n)
     return few.withColumn("__r", place).filter(F.col("__r") <= n).drop("__r", "__k", "__part")
+
+
+def audio_samples(spark: SparkSession, path: str, columns: tuple[str, ...], audio: str = "audio", with_bytes: bool = False) -> DataFrame:
+    """Samples of a Parquet dataset that holds its audio (a struct of bytes and path): the columns and the audio's path,
+    with its size and bytes only where they are asked for, so that a scan without them doesn't read them."""
+    rows = spark.read.parquet(path)
+    extra = [F.col(f"{audio}.path").alias("audio_path")]
+    if with_bytes:
+        extra += [F.octet_length(f"{audio}.bytes").alias("n_bytes"), F.col(f"{audio}.bytes").alias("audio_bytes")]
+    return rows.select(*columns, *extra)
