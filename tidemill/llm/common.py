@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MASK = (1 << 64) - 1
+SALTS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,10 +57,11 @@ def hot_keys(counts: DataFrame, key: str, n: str, share: int = 1000) -> list:
 
 def spread_join(rows: DataFrame, table: DataFrame, key: str, hot: list, how: str = "left", also: tuple[str, ...] = ()) -> DataFrame:
     """`rows` joined with `table`, which has few entries a key (and `also`, more columns that have to be equal). Rows of
-    hot keys are dealt over all shuffle partitions and meet a copy of their entries in each: no key makes a large task."""
+    hot keys are dealt over the shuffle partitions (SALTS at most) and meet a copy of their entries in each, so that no key
+    makes a large task and the copies stay few."""
     if not hot:
         return rows.join(table, [key, *also], how)
-    salts, salt = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "__tm_salt"
+    salts, salt = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), SALTS), "__tm_salt"
     is_hot = F.col(key).isin(hot)
     rows = rows.withColumn(salt, F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
     table = table.withColumn(salt, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
