@@ -492,6 +492,17 @@ def test_warc_over_many_files(spark):
     assert [(r.capture_id, r.record_type, r.refers_to) for r in got] == [(i, "response", None) if i >= 260 else (i, "revisit", max(j for j in range(300) if j % 40 == i % 40)) for i in range(300)]
 
 
+def test_warc_captures_repeated_very_often(spark):
+    page = "<p>again</p>" * 120
+    rows = [(3, "http://a/", page)] * 400 + [(9, "http://b/", page), (5, "http://c/", "x")] + [(7, "http://d/", page + "!")] * 300
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = warc.write_archives(pages, common.scratch_path(spark, "warc"), file_bytes=40_000, task_bytes=80_000)
+    files = warc.read_archives(spark, path).filter("warc_type in ('response', 'revisit')").groupBy("file").count().collect()
+    assert sum(r["count"] for r in files) == len(rows) and max(r["count"] for r in files) < 150
+    got = warc.plan_captures(pages).groupBy("capture_id", "refers_to").count().collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(3, 9, 400), (9, None, 1), (5, None, 1), (7, None, 300)], key=str)
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()

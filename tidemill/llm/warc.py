@@ -30,7 +30,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import scratch_path, written
+from tidemill.llm.common import SALTS, hot_keys, scratch_path, written
 
 CRLF = "\r\n"
 END = "\r\n\r\n"
@@ -56,13 +56,18 @@ def plan_captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     Which capture is stored is found from ids and digests alone: partial maxima, then a join with the short table of
     repeated payloads, which a skew join may split where a third of all pages share one. Payloads are shuffled once, by
-    id and digest, to the file that they are written to; `deal` spreads captures without an id."""
+    id and digest, to the file that they are written to; `deal` spreads captures without an id and those repeated very often."""
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("capture_id"), F.coalesce(F.col(url_col), F.lit("about:blank")).alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"))
-    short = rows.filter((F.octet_length("html") >= min_revisit_bytes) & F.col("capture_id").isNotNull()).select("capture_id", "digest")
+    narrow = written(rows.select("capture_id", "digest", (F.octet_length("html") >= min_revisit_bytes).alias("large")).filter("capture_id is not null"), "capture-keys")
+    pair = F.xxhash64("capture_id", "digest")
+    hot = hot_keys(narrow.groupBy(pair.alias("pair")).count(), "pair", "count")  # a capture that is repeated very often
+    short = narrow.filter("large").select("capture_id", "digest")
     first = short.groupBy("digest").agg(F.max("capture_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    refers = short.join(written(first, "stored"), "digest").filter("capture_id <> refers_to").withColumn("deal", F.lit(0).cast("long")).dropDuplicates(["capture_id", "digest", "deal"])
-    dealt = rows.withColumn("deal", F.when(F.col("capture_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    deals = F.when(pair.isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>")
+    refers = short.join(written(first, "stored"), "digest").filter("capture_id <> refers_to").dropDuplicates(["capture_id", "digest"]).withColumn("deal", F.explode(deals))
+    number = F.monotonically_increasing_id()
+    dealt = rows.withColumn("deal", F.when(F.col("capture_id").isNull(), number).when(pair.isin(hot), F.pmod(number, F.lit(SALTS))).otherwise(F.lit(0)))
     keys = ["capture_id", "digest", "deal"]
     # The hash table holds the short rows of one file's captures; payloads are neither sorted nor shuffled again.
     return dealt.repartition(files, *keys).join(refers.hint("shuffle_hash"), keys, "left")
