@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemill.llm import decontam, neardup, packing, quality, secrets
 from tidemill.llm.common import written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Fit the discriminant on the labelled documents and drop what it rejects."""
-    stats = written(docs.select("doc_id", quality.text_statistics("text").alias("stats")), "stats")
-    model = quality.teach(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.drop_rejected(docs, model)
+    """Fit the discriminant on the labelled documents and drop what it rejects; each text's statistics are made once."""
+    stats = written(docs.withColumn("__tm_stats", quality.text_statistics("text")), "stats")
+    model = quality.teach(stats.select("doc_id", F.col("__tm_stats").alias("stats")), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.drop_rejected(stats, model, stats_col="__tm_stats")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
