@@ -145,9 +145,9 @@ def _least_pairs() -> int:
 
 def may_confirm(words: Column) -> Column:
     """Whether a paragraph's 2-grams hold as many of any templates' as the least demanding template asks for."""
-    known = F.array(*map(F.lit, _template_pairs()))
+    known = _template_pairs()
     own = F.array_distinct(F.transform(F.slice(words, 1, F.size(words) - 1), lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1))))
-    enough = lambda o: F.size(F.array_intersect(o, known)) >= CONFIRM * F.greatest(F.least(F.size(o), F.lit(_least_pairs())), F.lit(2))
+    enough = lambda o: F.size(F.filter(o, lambda g: g.isin(known))) >= CONFIRM * F.greatest(F.least(F.size(o), F.lit(_least_pairs())), F.lit(2))
     return F.when(F.size(words) > 1, F.get(F.transform(F.array(own), enough), F.lit(0))).otherwise(False)
 
 
@@ -155,8 +155,8 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """row (a number), doc_id and the paragraphs, as arrays of words, that hold a word of some template's every 2-gram."""
     words = f"transform(split(lower(cast({text_col} as string)), r'{PARAGRAPH}'), p -> regexp_extract_all(p, r'{_TOKEN}', 0))"
     # Words are made once, within the array.
-    some = F.array(*map(F.lit, _cover(_template_pairs())))
-    found = F.filter(F.expr(words), lambda w: F.arrays_overlap(w, some))
+    some = _cover(_template_pairs())
+    found = F.filter(F.expr(words), lambda w: F.exists(w, lambda x: x.isin(some)))
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.coalesce(found, F.array().cast("array<array<string>>")).alias("found"))
 
 
