@@ -66,6 +66,8 @@ def plan_captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     first = short.groupBy("digest").agg(F.max("capture_id").alias("refers_to"), F.count("*").alias("n")).filter("n > 1").drop("n")
     deals = F.when(pair.isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))).cast("array<bigint>")
     refers = short.join(written(first, "stored"), "digest").filter("capture_id <> refers_to").dropDuplicates(["capture_id", "digest"]).withColumn("deal", F.explode(deals))
+    # As a table it has no partitioning of its own that payloads would have to be shuffled once more for.
+    refers = written(refers, "refers")
     number = F.monotonically_increasing_id()
     dealt = rows.withColumn("deal", F.when(F.col("capture_id").isNull(), number).when(pair.isin(hot), F.pmod(number, F.lit(SALTS))).otherwise(F.lit(0)))
     keys = ["capture_id", "digest", "deal"]
