@@ -7,8 +7,8 @@ tournament tree that holds the largest free room below each node. Only (id, star
 token ids stay where they were made. A sequence is padded to the capacity unless its length is a power of two.
 
 Tokens: a text is cut before single blanks between visible characters. The tokenizer's own first split always begins a
-new piece there, so that each segment's ids are independent of its neighbours and can be kept in a bounded cache; texts
-that hold one of the tokenizer's special strings are given to it whole.
+new piece there, so that each segment's ids are independent of its neighbours and can be kept in a cache; texts
+that hold one of the tokenizer's special strings are given to it whole. The cache is bounded by bytes and keeps no long segments.
 
 Defined cases: ids are longs. Null and empty texts are one end token. Documents with equal or null ids are packed each for itself
 (pieces carry the id as it is). Empty tables give no rows. Piece order within a sequence is by length, descending.
@@ -35,7 +35,11 @@ from tidemill.llm.common import written
 
 CAPACITY = 1024
 GROUP_PIECES = 8192
-CACHE_SEGMENTS = 600_000
+#: What a task's cache of segments may hold, and the characters of the longest segment that it keeps.
+CACHE_BYTES = 128 << 20
+CACHE_CHARS = 64
+#: Characters of the documents that are encoded together.
+BATCH_CHARS = 1 << 20
 _PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, draw long"
 
 
@@ -75,6 +79,7 @@ class SegmentEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        self.held = 0
         self.ranked = ranked_encoder(tokenizer_file)
 
     def _segment_ids(self, segments: list[str]) -> list[bytes]:
@@ -115,12 +120,27 @@ class SegmentEncoder:
         cut = [[] if w else self.segments(t) for t, w in zip(texts, whole, strict=True)]
         known = self.cache
         used = set().union(*cut)
+        long = [x for x in used if len(x) > CACHE_CHARS]
+        used.difference_update(long)
         new = used.difference(known)
-        if len(known) + len(new) > CACHE_SEGMENTS:
+        # Twice, as the stems of words with marks are kept too.
+        cost = 2 * sum(map(self._cost, new))
+        if self.held + cost > CACHE_BYTES:
             known.clear()
-            new = used
+            new, self.held = used, 0
+            cost = 2 * sum(map(self._cost, new))
         self._learn(new)
-        return [self._encode([t])[0] if w else b"".join(map(known.__getitem__, segs)) for t, w, segs in zip(texts, whole, cut, strict=True)]
+        self.held += cost
+        known.update(zip(long, self._segment_ids(long), strict=True))
+        out = [self._encode([t])[0] if w else b"".join(map(known.__getitem__, segs)) for t, w, segs in zip(texts, whole, cut, strict=True)]
+        for x in long:
+            del known[x]
+        return out
+
+    @staticmethod
+    def _cost(segment: str) -> int:
+        """About the bytes that a segment and its ids take, entry included."""
+        return 250 + 16 * len(segment)
 
 
 @lru_cache(maxsize=1)
@@ -129,14 +149,24 @@ def encoder_of(tokenizer_file: str) -> SegmentEncoder:
     return SegmentEncoder(tokenizer_file)
 
 
+def lots(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """A batch in parts of at most 256 documents and BATCH_CHARS characters, or one document."""
+    begin, chars = 0, 0
+    for i, size in enumerate(pdf["text"].map(lambda t: len(t or ""))):
+        if i > begin and (chars + size > BATCH_CHARS or i - begin == 256):
+            yield pdf.iloc[begin:i]
+            begin, chars = i, 0
+        chars += size
+    yield pdf.iloc[begin:]
+
+
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document cut into pieces of at most `capacity` tokens, with start, length and checksum (and ids)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, end = encoder_of(tokenizer_file), np.array([end_id], "<u4").tobytes()
         for pdf in batches:
-            for lo in range(0, len(pdf), 256):
-                part = pdf.iloc[lo : lo + 256]
+            for part in lots(pdf):
                 rows = []
                 for doc, row, ids in zip(part["doc_id"], part["row"], encoder.encode([t or "" for t in part["text"]]), strict=True):
                     ids += end

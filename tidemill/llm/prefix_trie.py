@@ -192,24 +192,18 @@ def prefix_trie(steps: DataFrame, convs: DataFrame, bucket_rows: int = BUCKET_RO
         off = split.filter(F.col("pos") == level).groupBy("key").agg(F.first("parent_key").alias("parent_key"), F.first("chars").alias("chars"), F.max(F.when(ended, F.col("rep"))).alias("end_conv_id"), F.max(F.when(ended, F.col("n"))).alias("end_n"))
         taken_off.append(written(off, "taken-off"))
         rest = written(split.filter(F.col("pos") > level).drop("split", "parent_key"), "rest")
-    everything, owners, top = nodes[0], None, None
+    everything, owners = nodes[0], None
     for n in nodes[1:]:
         everything = everything.unionByName(n)
     for depth in range(len(taken_off) - 1, -1, -1):
-        children = everything.filter(F.col("parent_key").isNotNull() & (F.col("depth") == depth + 1))
-        sums = children.groupBy(F.col("parent_key").alias("key")).agg(F.min("conv_id").alias("conv_id"), F.sum("n_convs").alias("n_convs"), F.count("*").alias("n_children"), F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens"))
-        zero = F.lit(0).cast("long")
-        off = taken_off[depth]
-        # The root may have no turnless conversation, every other node taken off is in its list.
-        off = off.join(sums, "key", "full" if depth == 0 else "left")
-        n_convs = F.coalesce("n_convs", zero) + F.coalesce("end_n", zero)
-        top = written(
-            off.select(
-                "key", "parent_key", F.least("conv_id", "end_conv_id").alias("conv_id"), F.lit(depth).cast("long").alias("depth"), n_convs.alias("n_convs"), F.coalesce("n_children", zero).alias("n_children"),
-                F.coalesce("n_leaves", F.lit(1).cast("long")).alias("n_leaves"), (F.coalesce("saved_tokens", zero) + (n_convs - 1) * F.coalesce("chars", zero)).alias("saved_tokens"), "end_conv_id",
-            ),
-            "summed",
-        )
+        zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+        children = everything.filter(F.col("parent_key").isNotNull() & (F.col("depth") == depth + 1)).select(F.col("parent_key").alias("key"), "conv_id", "n_convs", one.alias("n_children"), "n_leaves", "saved_tokens")
+        # The sequence that ends at the node counts beside its children.
+        own = taken_off[depth].select("key", "parent_key", "chars", "end_conv_id", F.col("end_conv_id").alias("conv_id"), F.coalesce("end_n", zero).alias("n_convs"))
+        both = children.unionByName(own, allowMissingColumns=True).groupBy("key")
+        sums = both.agg(F.max("parent_key").alias("parent_key"), F.max("chars").alias("chars"), F.max("end_conv_id").alias("end_conv_id"), F.min("conv_id").alias("conv_id"), *[F.coalesce(F.sum(c), zero).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")])
+        saved = F.col("saved_tokens") + (F.col("n_convs") - 1) * F.coalesce("chars", zero)
+        top = written(sums.select("key", "parent_key", "conv_id", F.lit(depth).cast("long").alias("depth"), "n_convs", "n_children", F.greatest("n_leaves", one).alias("n_leaves"), saved.alias("saved_tokens"), "end_conv_id"), "summed")
         everything = everything.unionByName(top.drop("key"), allowMissingColumns=True)
         own = top.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("own"))
         owners = own if owners is None else owners.unionByName(own)

@@ -9,18 +9,21 @@ from the shards' side, and those whose boxes cannot score what the block's least
 vectors come together as a group of one row, so that a task holds one shard and one block at a time. Only what
 beats the bound leaves a shard, and the shards' lists are merged by rank.
 
-Shards and blocks grow with the input up to SHARD_ROWS and BLOCK_ROWS: the vectors that move are all pairs' shards and blocks.
+The number of shards and of blocks is what their bounds SHARD_ROWS and BLOCK_ROWS ask for, and on a small input about the root of
+twice the cores each, with LEAST_SHARD and LEAST_BLOCK rows at least: pairs come to a few times the cores until the bounds hold, and the
+vectors that move are all pairs' shards and blocks.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take no part. Vectors are compared only
 with vectors of the same length. Ties go to the smaller id. Rows that repeat an id are candidates each; a query's own
 id is never its candidate. Queries given twice (same id and vector) are answered once, and an id with several query
 vectors gets one list, the best of all of them. An empty table gives no rows. Ids are longs.
-Scores beyond 64 bits are clamped.
+Cut components and scores beyond 64 bits are clamped.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +36,8 @@ from tidemill.llm.common import order_hash, written
 SHARD_ROWS = 65_536
 BLOCK_ROWS = 16_384
 LEAF_ROWS = 256
+LEAST_SHARD = 512
+LEAST_BLOCK = 64
 _PACKED = "dim int, part long, ids binary, cells binary, leaves binary, boxes binary, box array<double>"
 _FOUND = "query_id long, vec_id long, score long"
 
@@ -137,25 +142,33 @@ def _box_reach(a: str, b: str, dim: str) -> Column:
     return F.expr(f"if({dim} = 0, 0D, transform(array({most}), m -> m + abs(m) * 1e-9)[0])")
 
 
-def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+def n_parts(rows: int, most: int, least: int, cores: int) -> int:
+    """How many shards or blocks that many rows are dealt into."""
+    return max(1, -(-rows // most), min(-(-rows // least), math.isqrt(2 * cores - 1) + 1))
+
+
+def top_k(candidates: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS, leaf_rows: int = LEAF_ROWS, cores: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the k candidates of highest integer inner product for every query."""
-    cores = candidates.sparkSession.sparkContext.defaultParallelism
+    cores = cores or candidates.sparkSession.sparkContext.defaultParallelism
 
     def parts(df: DataFrame, most: int, seed: str) -> DataFrame:
         df = df.select(F.col(id_col).cast("long").alias("vec_id"), quantise(F.col(vector_col), scale).alias("cells")).filter("cells is not null and vec_id is not null")
-        n = df.count()
-        rows = max(1, min(most, -(-n // cores)))  # every core gets a part before parts grow to their bound
+        n = n_parts(df.count(), most, min(most, LEAST_SHARD if seed == "shard" else LEAST_BLOCK), cores)
         # Rows that repeat an id are dealt apart.
-        deal = F.pmod(order_hash("vec_id", F.monotonically_increasing_id(), seed=seed), F.lit(max(1, -(-n // rows))))
+        deal = F.pmod(order_hash("vec_id", F.monotonically_increasing_id(), seed=seed), F.lit(n))
         return df.select(F.size("cells").alias("dim"), deal.alias("part"), "vec_id", "cells")
 
     shards = parts(candidates, shard_rows, "shard").groupBy("dim", "part").applyInPandas(lambda key, pdf: _pack(key, pdf, leaf_rows), _PACKED)
     blocks = parts(queries.select(id_col, vector_col).dropDuplicates(), block_rows, "block").groupBy("dim", "part").applyInPandas(lambda key, pdf: _pack(key, pdf, 0), _PACKED)
-    # Parts are numbered from 0 within each dimension, for pairs to be dealt by number.
-    number = F.row_number().over(Window.partitionBy("dim").orderBy("part")) - 1
     shards, blocks = written(shards, "shards"), written(blocks, "blocks")
-    shard_no = written(shards.select("dim", "part", "box").withColumn("shard", number), "shard-numbers")
-    block_no = written(blocks.select("dim", F.col("part").alias("q_part"), F.col("box").alias("q_box")).withColumn("block", F.row_number().over(Window.partitionBy("dim").orderBy("q_part")) - 1), "block-numbers")
+
+    def numbered(packed: DataFrame, name: str) -> DataFrame:
+        # Parts are numbered from 0 within each dimension, for pairs to be dealt by number; boxes join afterwards.
+        number = F.row_number().over(Window.partitionBy("dim").orderBy("part")) - 1
+        return written(packed.select("dim", "part").withColumn(name, number).join(packed.select("dim", "part", "box"), ["dim", "part"]), f"{name}-numbers")
+
+    shard_no = numbered(shards, "shard")
+    block_no = numbered(blocks, "block").select("dim", F.col("part").alias("q_part"), F.col("box").alias("q_box"), "block")
     n_shards = shard_no.groupBy("dim").agg(F.count("*").alias("n_shards"))
     n_blocks = block_no.groupBy("dim").agg(F.count("*").alias("n_blocks"))
     homes = block_no.join(n_shards, "dim").withColumn("shard", (F.col("block") % F.col("n_shards")).cast("int")).join(shard_no.select("dim", "shard", "part"), ["dim", "shard"]).select("dim", "q_part", "part")

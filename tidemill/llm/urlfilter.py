@@ -13,8 +13,12 @@ These sums are made once for each distinct gram, from the shortest up, and joine
 The sum divided by the URL's length is compared with a cut that is calibrated on the labelled URLs that were held back
 (the point as many standard deviations from either class's mean).
 
-Defined cases: null urls and urls without `://` have empty host and path and no characters: their score is 0. Without
-URLs of both classes every score and the cut are 0 (allow). Every row gives a row; equal URLs are scored once.
+Long URLs are cut into overlapping pieces before their characters become rows, and rows carry the URL's number, not its text: the
+work grows in proportion to a URL's length.
+
+Defined cases: null urls and urls without `://` have empty host and path and no characters: their score is 0. URLs with `://` and an
+empty host are scored like all others. Without URLs of both classes every score and the cut are 0 (allow). Every row gives
+a row; equal URLs are scored once.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from tidemill.llm.common import order_hash, written
 
 ORDER = 5
 LAMBDA = 2.0
+PIECE = 256
 _PAD, _END = "\x02" * (ORDER - 1), "\x03"
 
 
@@ -72,8 +77,11 @@ def decide(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> Co
 
 def _longest(urls: DataFrame, keep: list[str]) -> DataFrame:
     """One row for each character of a URL (and its end mark): the ORDER characters that end there as t, and the kept columns."""
-    text = F.concat(F.lit(_PAD), _lower(F.expr("substring(url, if(instr(url, '://') > 0, instr(url, '://') + 3, 1))")), F.lit(_END))
-    rows = urls.select(*keep, text.alias("t")).select(*keep, "t", F.explode(F.sequence(F.lit(ORDER), F.length("t"))).alias("i"))
+    text = F.concat(_lower(F.expr("substring(url, if(instr(url, '://') > 0, instr(url, '://') + 3, 1))")), F.lit(_END))
+    # Every piece begins with the last characters of the one before it.
+    pieces = urls.select(*keep, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("p"))
+    led = F.transform("p", lambda x, i: F.concat(F.when(i == 0, F.lit(_PAD)).otherwise(F.right(F.get("p", i - 1), F.lit(ORDER - 1))), x))
+    rows = pieces.select(*keep, F.explode(led).alias("t")).select(*keep, "t", F.explode(F.sequence(F.lit(ORDER), F.length("t"))).alias("i"))
     return rows.select(*keep, F.expr(f"substring(t, i - {ORDER - 1}, {ORDER})").alias("t"))
 
 
@@ -106,7 +114,8 @@ def train(urls: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def score(urls: DataFrame, weights: DataFrame, contexts: DataFrame) -> DataFrame:
     """(url, score): the length-normalised log-likelihood difference, accepted minus rejected, of distinct URLs."""
-    rows = _longest(urls.select("url").distinct(), ["url"])
+    urls = written(urls.select("url").distinct().withColumn("no", F.monotonically_increasing_id()), "urls")
+    rows = _longest(urls, ["no"])
     grams = _grams(rows.select("t").distinct(), []).distinct().withColumn("c", F.expr("substring(g, 1, k - 1)"))
     own = written(grams.join(weights, "g", "left").join(contexts, "c", "left").select("k", "g", F.coalesce("w", "bow", F.lit(0.0)).alias("v")), "own")
     # A gram's sum is its own weight and its suffix's sum; no more grams share a suffix than there are characters.
@@ -114,7 +123,7 @@ def score(urls: DataFrame, weights: DataFrame, contexts: DataFrame) -> DataFrame
     for k in range(2, ORDER + 1):
         level = own.filter(F.col("k") == k).withColumn("s", F.expr("substring(g, 2)"))
         sums = level.join(sums.select(F.col("g").alias("s"), F.col("v").alias("below")), "s").select("g", (F.col("v") + F.col("below")).alias("v"))
-    return rows.join(written(sums.withColumnRenamed("g", "t"), "sums"), "t").groupBy("url").agg(F.avg("v").alias("score"))
+    return rows.join(written(sums.withColumnRenamed("g", "t"), "sums"), "t").groupBy("no").agg(F.avg("v").alias("score")).join(urls, "no").select("url", "score")
 
 
 def _labelled(decided: DataFrame, held_back: bool) -> DataFrame:
@@ -139,7 +148,7 @@ def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labelled: DataFr
     stats = score(tune, weights, contexts).join(tune, "url").groupBy("accepted").agg(F.avg("score").alias("m"), F.coalesce(F.stddev_pop("score"), F.lit(0.0)).alias("s"))
     known = {r["accepted"]: (r["m"], r["s"] + 1e-9) for r in stats.collect()}  # two rows
     cut = 0.0 if len(known) < 2 else (known[1][0] * known[0][1] + known[0][0] * known[1][1]) / (known[0][1] + known[1][1])
-    open_urls = rows.filter("rule is null and host <> ''").select("url")
+    open_urls = rows.filter("rule is null and instr(url, '://') > 0").select("url")
     scored = score(open_urls, weights, contexts)
     out = rows.join(scored, "url", "left")
     value = F.when(F.col("rule").isNull(), F.coalesce("score", F.lit(0.0)))
