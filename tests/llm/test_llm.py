@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import random
+import time
 import zlib
 
 import duckdb
@@ -555,3 +556,55 @@ def test_pipeline(spark):
             assert all(after[d] == t for d, t in before if not brute.secrets(t) and "[SECRET]" not in (after[d] or ""))
         docs = left
     held_to_packing(corpus_pipeline.run(spark, SF).collect(), token_ids([(r.doc_id, r.text) for r in docs.collect()]))
+
+
+def test_urls_of_any_length_and_empty_hosts(spark):
+    """Every URL with :// is scored, and a very long one takes time in proportion to its length."""
+    rows = [(f"http://good{i}.org/article/{i}", "allow") for i in range(200)] + [(f"http://cheap{i}.biz/buy?id={i}", "block") for i in range(200)]
+    labelled = spark.createDataFrame(rows, "url string, verdict string")
+    held_back = {r.url for r in labelled.filter(F.pmod(common.order_hash("url", seed="part"), F.lit(5)) == 0).collect()}
+    open_urls = ["file:///x", "http:///article/9", ":///", "data://" + "buy?id=" * 30_000, "a://" + "é" * 1000, "x://" + "buy?id=cheap.biz/" * 15, "no scheme", None]
+    want, cut = brute.url_scores([(u, v == "allow") for u, v in rows if u not in held_back], [(u, v == "allow") for u, v in rows if u in held_back], [u for u in open_urls if "://" in (u or "")])
+    began = time.time()
+    got = urlfilter.judge(spark.createDataFrame(list(enumerate(open_urls)), "page_id long, url string"), rules=(urlfilter.UrlRule("none", "/", "allow"),), labelled=labelled).orderBy("page_id").collect()
+    assert time.time() - began < 60
+    assert np.allclose([r.score for r in got], [*want, 0.0, 0.0], rtol=1e-9, atol=1e-9)
+    assert [r.verdict for r in got] == ["allow" if w >= cut else "block" for w in [*want, 0.0, 0.0]]
+
+
+def test_segment_cache_is_bounded_by_bytes(monkeypatch):
+    draw = random.Random(11)
+    monkeypatch.setattr(packing, "CACHE_BYTES", 4 << 20)
+    encoder = packing.SegmentEncoder(TOKENIZER)
+    texts = ["".join(chr(draw.randrange(0x4E00, 0x9FFF)) for _ in range(3000)) for _ in range(40)] + [" ".join(f"w{draw.randrange(10**6)}." for _ in range(500)) for _ in range(40)]
+    got = []
+    for at in range(0, len(texts), 8):
+        got += encoder.encode(texts[at : at + 8])
+        assert sum(250 + 16 * len(s) for s in encoder.cache) <= 4 << 20 and max(map(len, encoder.cache), default=0) <= packing.CACHE_CHARS
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [ids[:-1] for _, ids in token_ids(enumerate(texts))]
+
+
+def test_documents_are_encoded_in_lots():
+    import pandas as pd
+
+    sizes = [0, 5, 1 << 20, 3, 1 << 21] + [1] * 600
+    parts = list(packing.lots(pd.DataFrame({"text": [None] + ["x" * n for n in sizes[1:]]})))
+    assert sum(map(len, parts)) == len(sizes) and [i for p in parts for i in p.index] == list(range(len(sizes)))
+    assert all(len(p) <= 256 and (len(p) == 1 or p["text"].map(lambda t: len(t or "")).sum() <= packing.BATCH_CHARS) for p in parts)
+
+
+def test_topk_pairs_follow_the_work_not_the_cores(spark):
+    for cores in (4, 64, 1000, 4000):
+        for n in (100, 2000, 10**6):
+            assert topk.n_parts(n, topk.SHARD_ROWS, topk.LEAST_SHARD, cores) * topk.n_parts(n // 20, topk.BLOCK_ROWS, topk.LEAST_BLOCK, cores) <= 2 * cores + 200
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(3000, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    cells = np.floor(64 * x).astype(np.int64)
+    got = {}
+    for r in topk.top_k(df, df.filter("vec_id % 20 = 0"), k=5, cores=1000).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q in range(0, 3000, 20):
+        scores = cells @ cells[q]
+        best = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
+        assert sorted(got[q]) == [(j + 1, i, -s) for j, (s, i) in enumerate(best)]
