@@ -26,23 +26,18 @@ class Step:
     overrides: tuple[str, ...] = field(default=())
 
 
-def meet(a: str, b: str) -> bool:
-    """Whether two dotted paths are equal or one lies within the other."""
-    return a == b or a.startswith(b + ".") or b.startswith(a + ".")
-
-
-def covered(paths: tuple[str, ...], path: str) -> bool:
-    """Whether a path is one of some paths or lies within one."""
-    return any(path == p or path.startswith(p + ".") for p in paths)
+def upwards(path: str) -> set[str]:
+    """A dotted path and all above it."""
+    parts = path.split(".")
+    return {".".join(parts[:n]) for n in range(1, len(parts) + 1)}
 
 
 def check_step(step: Step, earlier: list[Step]) -> list[str]:
-    """What is wrong with a step after the earlier ones; empty if nothing is."""
+    """What is wrong with a step after the earlier ones; empty if nothing is. Two paths meet where one is among those above the other."""
     parts = {p: p.split(".") for p in step.writes}
     out = [f"{p}: not a field that layers write" for p, x in parts.items() if x[0] not in ROOTS or not all(x) or (len(x) > 1 and x[0] not in NESTED)]
-    for old in earlier:
-        out += [f"{p}: also written by {old.name}" for p in step.writes if any(meet(p, q) for q in old.writes) and not covered(step.overrides, p)]
-    return out
+    guarded = [p for p in step.writes if upwards(p).isdisjoint(step.overrides)]
+    return out + [f"{p}: also written by {old.name}" for old in earlier for p in guarded if any(q in upwards(p) or p in upwards(q) for q in old.writes)]
 
 
 def dotted(path: Column) -> Column:
@@ -71,52 +66,76 @@ def canonical(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
-def patched(document: str, changes: dict[str, str], step: Step) -> str:
-    """A record with changes (dotted path to JSON) applied; a breach of the rules raises ValueError."""
-    paths = sorted(changes)
-    if any(".".join(parts[:n]) in changes for parts in (p.split(".") for p in paths) for n in range(1, len(parts))):
-        raise ValueError("paths of one patch meet")
-    record = json.loads(document)
-    for path in paths:
-        if path == "$membership" or not covered(step.writes, path):
-            raise ValueError(f"{path} isn't declared")
-        *parents, leaf = path.split(".")
-        if not all((*parents, leaf)):
-            raise ValueError(f"{path}: an empty name")
-        node = record
-        for name in parents:
-            node = node.setdefault(name, {})
-            if not isinstance(node, dict):
-                raise ValueError(f"{path}: {name} is no object")
-        new = json.loads(changes[path])
-        if leaf in node and node[leaf] != new and not covered(step.overrides, path):
-            raise ValueError(f"{path}: would override a value")
-        node[leaf] = new
-    return canonical(record)
+def change_problem(changes: Column, step: Step) -> Column:
+    """The first rule that a patch breaks by its paths alone (null: none): paths of which one lies within another, then by path
+    those that aren't declared and those with an empty name."""
+    paths = F.array_sort(F.map_keys(changes))
+    nested = F.exists(paths, lambda p: F.size(F.array_intersect(dotted(p), paths)) > 1)
+    declared = F.array(*map(F.lit, sorted(set(step.writes) - {"$membership"}))) if set(step.writes) - {"$membership"} else F.array().cast("array<string>")
+    wrong = lambda p: F.when(~F.arrays_overlap(dotted(p), declared), F.concat(p, F.lit(" isn't declared"))).when(F.array_contains(F.split(p, r"\."), ""), F.concat(p, F.lit(": an empty name")))
+    return F.when(nested, "paths of one patch meet").otherwise(F.get(F.filter(F.transform(paths, wrong), lambda x: x.isNotNull()), F.lit(0)))
+
+
+class _Set:
+    """A new value in a tree of changes."""
+
+    def __init__(self, path: str, value):
+        self.path, self.value = path, value
+
+
+def _tree(changes: dict[str, str]) -> dict:
+    """Changes by dotted path as nested objects."""
+    root: dict = {}
+    for path, value in sorted(changes.items()):
+        *names, leaf = path.split(".")
+        reduce(lambda node, name: node.setdefault(name, {}), names, root)[leaf] = _Set(path, json.loads(value))
+    return root
+
+
+def _first(tree) -> str:
+    return tree.path if isinstance(tree, _Set) else _first(next(iter(tree.values())))
+
+
+def grafted(old, tree, overrides: frozenset[str], name: str = ""):
+    """`old` with a tree of changes put in; objects that are missing are made. Nothing that is there is changed in place."""
+    if isinstance(tree, _Set):
+        if old is not _NOTHING and old != tree.value and upwards(tree.path).isdisjoint(overrides):
+            raise ValueError(f"{tree.path}: would override a value")
+        return tree.value
+    if old is _NOTHING:
+        old = {}
+    if not isinstance(old, dict):
+        raise ValueError(f"{_first(tree)}: {name} is no object")
+    return old | {k: grafted(old.get(k, _NOTHING), sub, overrides, k) for k, sub in tree.items()}
+
+
+_NOTHING = object()
 
 
 def replay(records: DataFrame, layer: DataFrame, step: Step, key: str = "id", document: str = "record_json") -> DataFrame:
     """Records (key, document, retained) with a layer (id, changes map, status) applied: key, document, retained, error.
 
-    Deleted rows stay with retained = false. An error leaves the document as it was and says why."""
+    Deleted rows stay with retained = false. An error leaves the document as it was and says why. Paths are checked as columns;
+    only patched documents pass through Python, for Spark has no function that sets a value in JSON."""
+    overrides = frozenset(step.overrides)
 
     @F.pandas_udf("document string, error string")
     def run(docs: pd.Series, changes: pd.Series) -> pd.DataFrame:
         out = []
         for doc, change in zip(docs, changes, strict=True):
             try:
-                out.append((patched(doc, dict(change), step) if change is not None and len(change) else doc, None))
+                out.append((canonical(grafted(json.loads(doc), _tree(dict(change)), overrides)) if change is not None else doc, None))
             except ValueError as e:
                 out.append((doc, str(e)))
         return pd.DataFrame(out, columns=["document", "error"])
 
-    new = layer.select(F.col("id").alias(key), "changes", "status")
-    rows = records.join(new, key, "left").withColumn("__r", run(F.col(document), F.col("changes")))
+    new = layer.select(F.col("id").alias(key), F.when(F.size("changes") > 0, F.col("changes")).alias("changes"), "status", change_problem(F.col("changes"), step).alias("__wrong"))
+    rows = records.join(new, key, "left").withColumn("__r", run(F.col(document), F.when(F.col("__wrong").isNull(), F.col("changes"))))
     gone = F.col("status") == "delete"
     kept = F.col("retained") & F.coalesce(~gone | F.lit("$membership" not in step.writes), F.lit(True))
     hidden = F.when(F.col("status").isNotNull() & ~F.col("retained"), "patch of a deleted record")
     barred = F.when(gone & F.lit("$membership" not in step.writes), "delete isn't declared")
-    return rows.select(key, F.col("__r.document").alias(document), kept.alias("retained"), F.coalesce(hidden, barred, F.col("__r.error")).alias("error"))
+    return rows.select(key, F.col("__r.document").alias(document), kept.alias("retained"), F.coalesce(hidden, barred, F.col("__wrong"), F.col("__r.error")).alias("error"))
 
 
 def layer_problems(layer: DataFrame, parent: DataFrame, key: str = "id") -> DataFrame:

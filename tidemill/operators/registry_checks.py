@@ -86,14 +86,16 @@ def deepest_round(rounds: DataFrame, base: str, n: str) -> DataFrame:
 
 
 def exact_patched(rows: DataFrame, patches: DataFrame, key: str, column: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with patches (key, from, to) applied where the value is the one that the patch names; and the patches that don't
-    fit (key, problem: missing or stale), for which the caller should stop."""
-    new = patches.select(key, F.col("from").alias("__from"), F.col("to").alias("__to"))
+    """Rows with patches (key, from, to) applied where the value is the one that the patch names; and the patches that don't fit (key,
+    problem), for which the caller should stop: keys that are patched twice, patches to null, missing rows, stale values."""
+    new = patches.groupBy(key).agg(F.count("*").alias("__n"), F.first("from").alias("__from"), F.first("to").alias("__to"))
     met = rows.join(new, key, "left")
-    fits = F.col("__from").eqNullSafe(F.col(column)) & F.col("__to").isNotNull()
+    good = (F.col("__n") == 1) & F.col("__to").isNotNull()
+    fits = good & F.col("__from").eqNullSafe(F.col(column))
     fixed = met.withColumn(column, F.when(fits, F.col("__to")).otherwise(F.col(column))).select(*rows.columns)
-    stale = met.filter(F.col("__to").isNotNull() & ~fits).select(key, F.lit("stale").alias("problem"))
-    return fixed, stale.unionByName(new.join(rows.select(key), key, "left_anti").select(key, F.lit("missing").alias("problem")))
+    stale = met.filter(good & ~fits).select(key, F.lit("stale").alias("problem"))
+    odd = new.filter(~good).select(key, F.when(F.col("__n") > 1, "patched twice").otherwise("to null").alias("problem"))
+    return fixed, stale.unionByName(odd).unionByName(new.filter(good).join(rows.select(key), key, "left_anti").select(key, F.lit("missing").alias("problem")))
 
 
 def protocol_problems(protocol: DataFrame, files: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
