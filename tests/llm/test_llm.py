@@ -580,7 +580,8 @@ def test_segment_cache_is_bounded_by_bytes(monkeypatch):
     got = []
     for at in range(0, len(texts), 8):
         got += encoder.encode(texts[at : at + 8])
-        assert sum(250 + 16 * len(s) for s in encoder.cache) <= 4 << 20 and max(map(len, encoder.cache), default=0) <= packing.CACHE_CHARS
+        assert encoder.held == sum(packing.ENTRY_BYTES + 2 * len(s) + len(ids) for s, ids in encoder.cache.items()) <= 6 << 20
+        assert max(map(len, encoder.cache), default=0) <= packing.CACHE_CHARS
     assert [np.frombuffer(b, "<u4").tolist() for b in got] == [ids[:-1] for _, ids in token_ids(enumerate(texts))]
 
 

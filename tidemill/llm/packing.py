@@ -35,8 +35,10 @@ from tidemill.llm.common import written
 
 CAPACITY = 1024
 GROUP_PIECES = 8192
-#: What a task's cache of segments may hold, and the characters of the longest segment that it keeps.
-CACHE_BYTES = 128 << 20
+#: What a task's cache of segments may hold before it is emptied, what an entry takes besides its characters and ids, and the
+#: characters of the longest segment that is kept.
+CACHE_BYTES = 160 << 20
+ENTRY_BYTES = 200
 CACHE_CHARS = 64
 #: Characters of the documents that are encoded together.
 BATCH_CHARS = 1 << 20
@@ -111,37 +113,31 @@ class SegmentEncoder:
         fresh = list({x for s in new for x in tails.get(s, (s,)) if x not in known})
         for at in range(0, len(fresh), 4096):
             part = fresh[at : at + 4096]
-            known.update(zip(part, self._segment_ids(part), strict=True))
+            ids = self._segment_ids(part)
+            known.update(zip(part, ids, strict=True))
+            self.held += ENTRY_BYTES * len(part) + 2 * sum(map(len, part)) + sum(map(len, ids))
         for s, (stem, marks) in tails.items():
-            known[s] = known[stem] + known[marks]
+            ids = known[s] = known[stem] + known[marks]
+            self.held += ENTRY_BYTES + 2 * len(s) + len(ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [any(s in t for s in self.special) for t in texts]
         cut = [[] if w else self.segments(t) for t, w in zip(texts, whole, strict=True)]
         known = self.cache
+        if self.held > CACHE_BYTES:
+            known.clear()
+            self.held = 0
         used = set().union(*cut)
-        long = [x for x in used if len(x) > CACHE_CHARS]
-        used.difference_update(long)
         new = used.difference(known)
-        # Twice, as the stems of words with marks are kept too.
-        cost = 2 * sum(map(self._cost, new))
-        if self.held + cost > CACHE_BYTES:
-            known.clear()
-            new, self.held = used, 0
-            cost = 2 * sum(map(self._cost, new))
+        long = [x for x in new if len(x) > CACHE_CHARS]
+        new.difference_update(long)
         self._learn(new)
-        self.held += cost
         known.update(zip(long, self._segment_ids(long), strict=True))
         out = [self._encode([t])[0] if w else b"".join(map(known.__getitem__, segs)) for t, w, segs in zip(texts, whole, cut, strict=True)]
         for x in long:
             del known[x]
         return out
 
-    @staticmethod
-    def _cost(segment: str) -> int:
-        """About the bytes that a segment and its ids take, entry included."""
-        return 250 + 16 * len(segment)
-
 
 @lru_cache(maxsize=1)
 def encoder_of(tokenizer_file: str) -> SegmentEncoder:
