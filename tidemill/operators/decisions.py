@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.retrieval import character_pairs, ranked_terms
+
 
 def error_share(a: Column, b: Column, by: Column | None = None) -> Column:
     """Edit distance of two texts over the length of the first (or a given length), of 1 at least."""
@@ -82,19 +84,17 @@ def retrieval_score(word: Column, query: Column) -> Column:
     similarity of character bigrams. Both normalised, without blanks."""
     chars = F.filter(F.split(word, ""), lambda c: c != "")
     shared = F.size(F.filter(chars, lambda c: F.contains(query, c))) / F.greatest(F.size(chars), F.lit(1))
-    pairs = lambda t: F.when(F.length(t) < 2, F.filter(F.array(t), lambda x: x != "")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 1, F.lit(1))), lambda i: F.substring(t, i, F.lit(2)))))
-    union = F.size(F.array_union(pairs(word), pairs(query)))
-    jaccard = F.when(union > 0, F.size(F.array_intersect(pairs(word), pairs(query))) / union).otherwise(0.0)
+    union = F.size(F.array_union(character_pairs(word), character_pairs(query)))
+    jaccard = F.when(union > 0, F.size(F.array_intersect(character_pairs(word), character_pairs(query))) / union).otherwise(0.0)
     return F.when((word != "") & F.contains(query, word), 2.0).otherwise(0.0) + 0.5 * shared + 0.3 * jaccard
 
 
 def best_terms(queries: DataFrame, terms: DataFrame, pool: str, n: int) -> DataFrame:
     """query_id, rank, term, score: the n best terms of a query's own pool by retrieval_score, ties by sha256 of the term.
 
-    `terms` (pool, term) holds a bounded list for each pool; queries (query_id, pool, query) meet only their pool's."""
-    scored = queries.join(terms, pool).withColumn("score", F.round(retrieval_score(F.col("term"), F.col("query")), 6))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.sha2("term", 256)))
-    return scored.select("query_id", rank.alias("rank"), "term", "score").filter(F.col("rank") <= n)
+    queries (query_id, pool, query) meet the terms (pool, term) that share a character or bigram with them, through an index."""
+    asked = queries.select("query_id", F.col(pool).alias("pool"), F.col("query").alias("form"))
+    return ranked_terms(asked, terms.select(F.col(pool).alias("pool"), "term", F.col("term").alias("form")), n, units=False)
 
 
 def word_lists(rows: DataFrame, gold: str, pool: DataFrame, text: str, size: int, seed: int, near: DataFrame | None = None, salts: int = 4) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,19 +107,51 @@ def attached(parents: DataFrame, labels: DataFrame, key: str, columns: list[str]
     return kept.select("*", "__row.*").drop("__row"), problems
 
 
-def contained(needles: DataFrame, texts: DataFrame, id_col: str, needle: str, text_id: str, text: str, gram: int = 3) -> DataFrame:
-    """id and in how many texts a needle stands as it is. Candidates share some of the needle's blank-separated words, by hash;
-    only they are compared whole. Needles of one or two words count where they stand as whole words."""
-    words, spaced = F.split(needle, " "), lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    # A needle may begin or end within a word: neither its first word nor its last one is in the key.
+#: Slots of a filter of keys: 16 for each key, between these bounds (one byte a slot).
+LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 22
+
+
+def key_filter(keys: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A function of a hashed key: whether one of some keys (longs) falls into the same slot of a bitmap of bounded size. It
+    lets through all keys and few others; where keys pass the bound, more others."""
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (16 * keys.count()).bit_length()))
+    held = bytearray(slots)
+    for r in keys.select(F.pmod(F.col(key), F.lit(slots)).cast("int")).distinct().toLocalIterator():  # at most one int a slot
+        held[r[0]] = 1
+    table = F.lit(bytes(held))
+    return lambda h: F.substring(table, F.pmod(h, F.lit(slots)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+
+
+def needle_keys(needles: DataFrame, id_col: str, needle: str, gram: int = 3) -> DataFrame:
+    """Needles (id, needle) with `__h`: the hash of the words that a text has to hold whole. A needle may begin or end within a
+    word: neither its first word nor its last one is in the key, if it has others."""
+    words = F.split(needle, " ")
     key = F.when(F.size(words) > 2, F.slice(words, F.lit(2), F.least(F.size(words) - 2, F.lit(gram)))).otherwise(words)
-    wanted = needles.select(id_col, needle, key.alias("__key"))
-    sizes = range(1, max(gram, 2) + 1)
+    return needles.select(id_col, needle, F.xxhash64(key).alias("__h"), F.size(key).alias("__n"))
+
+
+def met_grams(texts: DataFrame, text_id: str, text: str, wanted: DataFrame, gram: int = 3) -> DataFrame:
+    """(text_id, __h): the hashed runs of words of each text that pass the filter of the needles' keys, of the lengths they have. Runs are dropped
+    where they are made; what is exploded grows with the hits, not with the texts."""
+    lengths = sorted(r[0] for r in wanted.select("__n").distinct().collect() if r[0])  # at most `gram` numbers
+    if not lengths:
+        return texts.select(text_id, F.lit(0).cast("long").alias("__h")).limit(0)
+    keep = key_filter(wanted, "__h")
     rows = texts.select(text_id, F.split(text, " ").alias("__t"))
     places = lambda n: F.when(F.size("__t") >= n, F.sequence(F.lit(1), F.size("__t") - (n - 1))).otherwise(F.array().cast("array<int>"))
-    grams = F.array_distinct(F.flatten(F.array(*[F.transform(places(n), lambda i: F.xxhash64(F.slice("__t", i, F.lit(n)))) for n in sizes])))  # noqa: B023
-    # Keys are met without texts first; only texts that hold one are read again.
-    keys = rows.select(text_id, F.explode(grams).alias("__h")).join(wanted.select(id_col, F.xxhash64("__key").alias("__h")), "__h").select(text_id, id_col).distinct()
+    grams = F.flatten(F.array(*[F.transform(places(n), lambda i: F.xxhash64(F.slice("__t", i, F.lit(n)))) for n in lengths]))  # noqa: B023
+    return rows.select(text_id, F.explode(F.array_distinct(F.filter(grams, keep))).alias("__h"))
+
+
+def contained(needles: DataFrame, texts: DataFrame, id_col: str, needle: str, text_id: str, text: str, gram: int = 3) -> DataFrame:
+    """id and in how many texts a needle stands as it is. Candidates share some of the needle's blank-separated words, by hash;
+    only they are compared whole. Needles of one or two words count where they stand as whole words.
+
+    Keys are met without texts first; only texts that hold one are read again. A needle of a common word meets every text that holds
+    it: Spark splits such a key's part of the join."""
+    words, spaced = F.split(needle, " "), lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    wanted = needle_keys(needles, id_col, needle, gram)
+    keys = met_grams(texts, text_id, text, wanted, gram).join(wanted.select(id_col, "__h"), "__h").select(text_id, id_col).distinct()
     held = F.when(F.size(words) > 2, F.contains(text, needle)).otherwise(F.contains(spaced(F.col(text)), spaced(F.col(needle))))
     counts = keys.join(texts.select(text_id, text), text_id).join(needles.select(id_col, needle), id_col).filter(held).groupBy(id_col).agg(F.count("*").alias("n_docs"))
     return needles.select(id_col).join(counts, id_col, "left").select(id_col, F.coalesce("n_docs", F.lit(0)).alias("n_docs"))

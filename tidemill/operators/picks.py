@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import kept
+
 
 def capped(df: DataFrame, group: list[str], order: list, cap: int) -> DataFrame:
     """At most `cap` rows of each group, first in order."""
@@ -67,7 +69,48 @@ def quotas(cells: DataFrame, amount: int, weight: str, cell: str) -> DataFrame:
 def shard_of(files: DataFrame, seed: int, epoch: int, shards: int, name: str = "file") -> DataFrame:
     """Files in the order of an epoch and the shard that reads each: every file in exactly one."""
     key = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.lit(str(epoch)), F.col(name)), 256)
-    return files.withColumn("__k", key).withColumn("shard", ((F.row_number().over(Window.orderBy("__k", name)) - 1) % shards).cast("int")).drop("__k")
+    return hash_place(files, [], key, "__at").withColumn("shard", ((F.col("__at") - 1) % shards).cast("int")).drop("__at", "__at_of")
+
+
+def capped_in_order(rows: DataFrame, keys: str, order: str, cap: int, n: int | None = None) -> DataFrame:
+    """id columns and `status` (chosen, capped or over) of rows that are let in one after the other in order: a row is chosen unless one of its
+    keys was in `cap` chosen rows already, and the first n chosen count. `order` is different for every row.
+
+    Rounds of reservations stand for the scan. A row that is among the first of each of its keys, as many as the key still has
+    room for, is chosen whatever becomes of those before it; rows with a key that is full are capped; the others wait. The
+    first row that waits is always settled. Within a round a key needs only its first rows: parts of a hot key are cut down before they meet.
+    Rows without a key are chosen. A key given twice in a row counts once."""
+    waiting = rows.select(F.col(order).alias("__o"), F.array_distinct(F.filter(F.coalesce(F.col(keys), F.array()), lambda k: k.isNotNull())).alias("__k"))
+    free = waiting.filter(F.size("__k") == 0).select("__o", F.lit("chosen").alias("status"))
+    waiting, settled, used = kept(waiting.filter(F.size("__k") > 0), "waiting"), [free], None
+    while not waiting.isEmpty():
+        pairs = waiting.select("__o", F.size("__k").alias("of"), F.explode("__k").alias("k"))
+        pairs = pairs.withColumn("room", F.lit(cap)) if used is None else pairs.join(used, "k", "left").withColumn("room", cap - F.coalesce("used", F.lit(0))).drop("used")
+        first = pairs.withColumn("part", F.pmod(F.xxhash64("__o"), F.lit(64)))
+        for keyed in (["k", "part"], ["k"]):
+            first = first.withColumn("r", F.row_number().over(Window.partitionBy(*keyed).orderBy("__o"))).filter(F.col("r") <= F.col("room"))
+        sure = first.groupBy("__o", "of").agg(F.count("*").alias("met")).filter("met = of").select("__o", F.lit(True).alias("sure"))
+        marked = kept(waiting.join(sure, "__o", "left"), "marked")
+        settled.append(marked.filter("sure").select("__o", F.lit("chosen").alias("status")))
+        new = marked.filter("sure").select(F.explode("__k").alias("k")).groupBy("k").agg(F.count("*").alias("used"))
+        new = new if cap else pairs.select("k").distinct().withColumn("used", F.lit(0).cast("long"))
+        used = kept(new if used is None else used.unionByName(new).groupBy("k").agg(F.sum("used").alias("used")), "used")
+        rest = marked.filter("sure is null").drop("sure")
+        full = rest.select("__o", F.explode("__k").alias("k")).join(used.filter(F.col("used") >= cap), "k", "left_semi").select("__o", F.lit(True).alias("full")).distinct()
+        marked = kept(rest.join(full, "__o", "left"), "waiting")
+        settled.append(marked.filter("full").select("__o", F.lit("capped").alias("status")))
+        waiting = marked.filter("full is null").drop("full")
+    found = settled[0]
+    for s in settled[1:]:
+        found = found.unionByName(s)
+    if n is not None:
+        # The nth chosen row's place: rows behind it are over, whatever their keys.
+        first = found.filter("status = 'chosen'").withColumn("part", F.pmod(F.xxhash64("__o"), F.lit(64)))
+        first = first.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("__o"))).filter(F.col("r") <= n).orderBy("__o").limit(n)
+        end = first.agg(F.count("*").alias("c"), F.max("__o").alias("end")).first()
+        if end["c"] == n:
+            found = found.withColumn("status", F.when(F.col("__o") > F.lit(end["end"]), "over").otherwise(F.col("status")))
+    return rows.join(found.withColumnRenamed("__o", order), order)
 
 
 def smallest(df: DataFrame, group: list[str], key: str, tie: str, n: int, salts: int = 64) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -37,3 +38,16 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         if not folder and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='tidemill-')}")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder of this application below spark.checkpoint.dir (in local sessions alone a temporary one)."""
+    ensure_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/tidemill"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """A table written into the shared folder and read back: computed once, its lineage cut, safe from lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
