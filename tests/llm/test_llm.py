@@ -609,3 +609,18 @@ def test_topk_pairs_follow_the_work_not_the_cores(spark):
         scores = cells @ cells[q]
         best = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
         assert sorted(got[q]) == [(j + 1, i, -s) for j, (s, i) in enumerate(best)]
+
+
+#: Lines written once the templates stood, and looked at once.
+SPDX_LINES = {
+    "SPDX-License-Identifier: MIT": "mit", "// SPDX-License-Identifier: Apache-2.0": "apache-2.0", "# SPDX-License-Identifier: GPL-2.0-or-later": "gpl", "SPDX-License-Identifier: BSD-3-Clause": "bsd",
+    "SPDX-License-Identifier: LGPL-2.1-only": "lgpl", "SPDX-License-Identifier: Zlib": "zlib", "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by-sa", "SPDX-License-Identifier: CC0-1.0": "cc0", "SPDX-License-Identifier: AGPL-3.0-only": "agpl",
+    "SPDX-License-Identifier: Foo-1.0": "", "SPDX-License-Identifier: NONE": "", "SPDX-License-Identifier: LicenseRef-custom": "", "see the SPDX license list for names": "",
+}
+
+
+def test_spdx_lines_are_named(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    rows = spark.createDataFrame([(-1 - i, line) for i, line in enumerate(SPDX_LINES)], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in licenses.scan(docs.unionByName(rows)).filter("doc_id < 0").collect()}
+    assert {line: got[-1 - i] for i, line in enumerate(SPDX_LINES)} == SPDX_LINES

@@ -6,8 +6,8 @@ unknown without more ado, as none could confirm them: the test is derived from t
 others are kept once each, however many documents repeat them. Sparse word 1- and 2-grams feed a multinomial logistic
 regression over licence families and an unknown class. It is trained on the templates, on parts of them and on variants that drop
 words, against the notices of `NEAR` and a bounded sample of the corpus's hardest unknowns: at most MAX_UNKNOWN different
-paragraphs that share 2-grams with templates but that none confirms (the half by hash of all of them, those with the least hash). The cut
-for the unknown class is calibrated on all of the other half: the CUT_QUANTILE of their family probability, within CUT_RANGE. A
+paragraphs that share 2-grams with templates but that none confirms (the half by hash of all of them, those with the least hash). SPDX lines
+are notices of their own. The cut for the unknown class is calibrated on all of the other half: the CUT_QUANTILE of their family probability, within CUT_RANGE. A
 prediction counts when it passes the cut and a template of its family confirms it.
 
 Defined cases: null and empty texts have no paragraph and no licence. Every row gives a row, judged by its own text, also where ids
@@ -64,7 +64,7 @@ TEMPLATES = {
     "cc-by-nc": ["licensed under cc by nc 4.0", "this work is licensed under a creative commons attribution noncommercial 4.0 international license"],
     "cc-by-nd": ["licensed under cc by nd 4.0", "this work is licensed under a creative commons attribution noderivatives 4.0 international license"],
     "cc-by-sa": ["licensed under cc by sa 4.0", "this work is licensed under a creative commons attribution sharealike 4.0 international license"],
-    "cc0": ["to the extent possible under law the author has waived all copyright and related rights", "released under cc0 1.0 universal public domain dedication"],
+    "cc0": ["to the extent possible under law the author has waived all copyright and related rights", "released under cc 0 1.0 universal public domain dedication"],
     "epl-2.0": ["this program and the accompanying materials are made available under the terms of the eclipse public license 2.0", "licensed under the eclipse public license version 2.0"],
     "gpl": [
         "licensed under the gnu general public license version 3",
@@ -114,8 +114,17 @@ TEMPLATES = {
         "released under the zlib license",
     ],
 }
+#: The identifiers that an SPDX line may name for each family, as words.
+SPDX = {
+    "agpl": ["agpl 3.0", "agpl 3.0 only", "agpl 3.0 or later"], "apache-2.0": ["apache 2.0"], "bsd": ["bsd 2 clause", "bsd 3 clause"], "bsl-1.0": ["bsl 1.0"],
+    "cc-by": ["cc by 4.0"], "cc-by-nc": ["cc by nc 4.0"], "cc-by-nd": ["cc by nd 4.0"], "cc-by-sa": ["cc by sa 4.0"], "cc0": ["cc 0 1.0"], "epl-2.0": ["epl 2.0"],
+    "gpl": ["gpl 2.0", "gpl 2.0 only", "gpl 2.0 or later", "gpl 3.0 only", "gpl 3.0 or later"], "isc": ["isc"], "lgpl": ["lgpl 2.1", "lgpl 2.1 only", "lgpl 2.1 or later", "lgpl 3.0 only"],
+    "mit": ["mit"], "mpl": ["mpl 2.0"], "odbl": ["odbl 1.0"], "unlicense": ["unlicense"], "wtfpl": ["wtfpl"], "zlib": ["zlib"],
+}
+for _family, _ids in SPDX.items():
+    TEMPLATES[_family] += [f"spdx license identifier {i}" for i in _ids]
 #: Wordings near to notices that name no family.
-NEAR = ["all rights reserved", "see the license file for details", "a driver license is required", "the license of this work is unknown", "licensed under the terms of the agreement", "released under the new name", "version 2.0 was released", "the general public is free to use this", "permission was granted by the city", "this work is under the water", "copyright belongs to the author", "this software is free of charge"]
+NEAR = ["spdx license identifier none", "spdx license identifier proprietary", "the spdx license list", "a license identifier is missing", "all rights reserved", "see the license file for details", "a driver license is required", "the license of this work is unknown", "licensed under the terms of the agreement", "released under the new name", "version 2.0 was released", "the general public is free to use this", "permission was granted by the city", "this work is under the water", "copyright belongs to the author", "this software is free of charge"]
 
 
 def _grams(words: Column | str) -> str:
