@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.session import ensure_checkpoints
+from tidemill.session import ensure_checkpoints, kept
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: float) -> DataFrame:
@@ -273,3 +273,63 @@ def closed_windows(df: DataFrame, keys: list[str], lo: float, hi: float, longest
     schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", {order} {types[order]}, lo double, hi double"
     rows = df.withColumn("__length", drawn_length(F.col(order), seed, lo, hi))
     return in_order(rows, keys, rule, schema, longest + hi + rest, order)
+
+
+def target_windows(df: DataFrame, keys: list[str], who: str, lead: tuple[float, float], length: tuple[float, float], longest: float, rest: float, seed: int, ends: DataFrame | None = None, order: str = "id") -> DataFrame:
+    """Windows around one speaker's intervals (keys, who, id, lo, hi); those of one speaker don't overlap.
+
+    A window opens up to a drawn lead before an interval that begins at or after the cursor, but not before the end of the speaker's last interval
+    that had ended, the cursor or 0. It runs a drawn length from the interval's start, and on to the end of the speaker's intervals that
+    begin within that length. Longer ones than `longest`, and those that pass their key's end (`ends`: keys, end), are left out; after a window the
+    cursor stands `rest` past its end.
+
+    Where a window leads depends on it alone: to the first interval past its cursor that makes a window from any cursor or, within `longest` of
+    the cursor, from this one. So windows are a chain of pointers, found by sorted look-ups and followed by doubling."""
+    own = [*keys, who]
+    draw = lambda what, bounds: drawn_length(F.concat_ws(":", F.lit(what), F.col("id").cast("string")), seed, *bounds)
+    rows = df.select(*own, F.col(order).alias("id"), "start", "stop").withColumn("no", F.row_number().over(Window.partitionBy(*own).orderBy("start", "stop", "id")))
+    rows = kept(rows.withColumn("drawn", F.col("start") + draw("length", length)).withColumn("open", F.col("start") - draw("lead", lead)), "turns")
+    # The speaker's last end at or before each start: one sort of ends and starts.
+    marks = rows.select(*own, F.col("stop").alias("t"), F.lit(0).alias("q"), F.col("stop").alias("end"), F.lit(None).cast("int").alias("no")).unionByName(rows.select(*own, F.col("start").alias("t"), F.lit(1).alias("q"), F.lit(None).cast("double").alias("end"), "no"))
+    before = F.max("end").over(Window.partitionBy(*own).orderBy("t", "q").rowsBetween(Window.unboundedPreceding, 0))
+    ended = marks.withColumn("before", before).filter("q = 1").select(*own, "no", "before")
+    # The ends of the speaker's intervals that begin within the drawn length.
+    spans = rows.select(*own, F.col("no").alias("id"), "start", F.col("drawn").alias("stop"))
+    inside = overlap_join(spans, rows.select(*own, F.col("no").alias("id"), "start", F.greatest("stop", F.col("start") + 1e-9).alias("stop")), own, length[1]).filter((F.col("r_start") >= F.col("l_start")) & (F.col("r_start") < F.col("l_stop")))
+    reach = inside.groupBy(*own, F.col("l_id").alias("no")).agg(F.max("r_stop").alias("reach"))
+    rows = rows.join(ended, [*own, "no"]).join(reach, [*own, "no"], "left")
+    rows = rows.select(*own, "id", "no", "start", F.greatest("open", F.coalesce("before", F.lit(0.0)), F.lit(0.0)).alias("lo"), F.greatest("drawn", F.coalesce("reach", "drawn")).alias("hi"))
+    if ends is not None:
+        rows = rows.join(ends, keys, "left").withColumn("fits", F.coalesce(F.col("hi") <= F.col("end"), F.lit(True))).drop("end")
+    else:
+        rows = rows.withColumn("fits", F.lit(True))
+    rows = kept(rows.withColumn("cursor", F.col("hi") + rest).withColumn("any", F.col("fits") & (F.col("hi") - F.col("lo") <= longest)), "candidates")
+    # From a cursor: the first interval at or after it that fits from any cursor, met by one sort ...
+    starts = rows.filter("any").select(*own, F.col("start").alias("t"), F.lit(1).alias("q"), F.col("no").alias("to"), F.lit(None).cast("int").alias("no"))
+    cursors = rows.filter("fits").select(*own, F.col("cursor").alias("t"), F.lit(0).alias("q"), F.lit(None).cast("int").alias("to"), "no")
+    first = F.min("to").over(Window.partitionBy(*own).orderBy(F.desc("t"), F.desc("q")).rowsBetween(Window.unboundedPreceding, 0))
+    later = starts.unionByName(cursors).withColumn("next", first).filter("q = 0").select(*own, "no", "next")
+    # ... or one that fits from this cursor alone, which begins and ends within `longest` of it.
+    near = rows.filter("fits").select(*own, F.col("no").alias("id"), F.col("cursor").alias("start"), (F.col("cursor") + longest).alias("stop"))
+    some = rows.filter("fits and not any").select(*own, F.col("no").alias("id"), "start", "hi", F.greatest("hi", F.col("start") + 1e-9).alias("stop"))
+    met = overlap_join(near, some, own, longest).filter((F.col("r_start") >= F.col("l_start")) & (F.col("r_stop") - F.col("l_start") <= longest))
+    close = met.groupBy(*own, F.col("l_id").alias("no")).agg(F.min("r_id").alias("close"))
+    hops = kept(later.join(close, [*own, "no"], "left").select(F.struct(*own).alias("key"), F.col("no").alias("node"), F.least("next", "close").alias("next")), "hops")
+    # The first window has no cursor before it.
+    head = rows.filter("any").select(F.struct(*own).alias("key"), "no").groupBy("key").agg(F.min("no").alias("node"))
+    reached = kept(followed(hops, head), "reached")
+    led = hops.join(reached, ["key", "node"], "left_semi").filter("next is not null").select("key", F.col("next").alias("no"), F.col("node").alias("from"))
+    picked = rows.withColumn("key", F.struct(*own)).join(reached.withColumnRenamed("node", "no"), ["key", "no"], "left_semi").join(led, ["key", "no"], "left")
+    cursor = rows.select(F.struct(*own).alias("key"), F.col("no").alias("from"), F.col("cursor").alias("since"))
+    picked = picked.join(cursor, ["key", "from"], "left")
+    return picked.select(*own, "id", F.greatest("lo", F.coalesce("since", "lo")).alias("lo"), "hi")
+
+
+def window_turns(windows: DataFrame, df: DataFrame, keys: list[str], who: str, width: float) -> DataFrame:
+    """window, id, start, stop, clipped: what stands in windows (keys, who, id, lo, hi): the target's intervals that lie inside, whole, and the others', clipped to the edges."""
+    spans = windows.select(*keys, "id", who, F.col("lo").alias("start"), F.col("hi").alias("stop"))
+    hits = overlap_join(spans, df.select(*keys, "id", who, "start", "stop"), keys, width)
+    target = F.col(f"l_{who}") == F.col(f"r_{who}")
+    whole = (F.col("r_start") >= F.col("l_start")) & (F.col("r_stop") <= F.col("l_stop"))
+    hits = hits.filter(~target | whole)
+    return hits.select(F.col("l_id").alias("window"), F.col("r_id").alias("id"), F.greatest("l_start", "r_start").alias("start"), F.least("l_stop", "r_stop").alias("stop"), (~whole).alias("clipped"))

@@ -1,68 +1,175 @@
-"""Cosine similarity by blocks: vectors are packed into rows of bounded size and multiplied block by block."""
+"""Cosine similarity by blocks around pivots: vectors are packed into rows of bounded size, and only blocks that can hold
+what is asked for are multiplied.
 
-from __future__ import annotations
+Vectors are brought to length 1 and dealt to the nearest of some pivots (vectors of the table, chosen by hash); a pivot's vectors lie in blocks of bounded size, each a
+shell between two angles to the pivot. By the triangle inequality of angles two blocks hold no pair nearer than the angle of their pivots less both
+their radii, nor nearer than shells lie apart: pairs of block numbers are dropped by that before any vector moves, and each pair that is left is multiplied as a group of its own.
+
+Defined cases: null vectors, those of length 0 and null ids take no part. Vectors meet those of their length only.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import kept
+
 BLOCK_ROWS = 2048
+#: Pivots of each length of vectors, at most: what every task holds to deal vectors.
+PIVOTS = 256
+_BLOCK = "dim int, pivot int, block long, ids binary, cells binary, n int, inner double, radius double"
 
 
-def _blocks(df: DataFrame, id_col: str, vector_col: str, name: str) -> DataFrame:
-    """(dim, block, ids, cells): unit vectors in double; null vectors and those of length 0 take no part."""
-    rows = df.filter(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.size(vector_col).alias("dim"), F.transform(vector_col, lambda x: x.cast("double")).alias("v"))
-    parts = max(1, -(-rows.count() // BLOCK_ROWS))
+def _unit(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    rows = df.filter(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.size(vector_col).alias("dim"), F.transform(vector_col, lambda x: x.cast("double")).alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    return rows.withColumn("norm", norm).filter("norm > 0").select("id", "dim", F.transform("v", lambda x: x / F.col("norm")).alias("v"))
 
-    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(pdf["v"].tolist(), np.float64).reshape(len(pdf), int(key[0]))
-        norm = np.sqrt((x * x).sum(1))
-        ok = norm > 0
-        return pd.DataFrame({"dim": [key[0]], name: [key[1]], f"{name}_ids": [pdf["id"].to_numpy(np.int64)[ok].tobytes()], f"{name}_cells": [(x[ok] / norm[ok, None]).tobytes()]})
 
-    dealt = rows.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(parts)))
-    return dealt.groupBy("dim", name).applyInPandas(pack, f"dim int, {name} long, {name}_ids binary, {name}_cells binary")
+def _pivots(rows: DataFrame, n: int) -> dict[int, np.ndarray]:
+    """For each length of vectors at most PIVOTS of them, those of least hash."""
+    count = max(1, min(PIVOTS, round(n**0.5 / 2)))
+    first = rows.withColumn("h", F.xxhash64("id")).withColumn("part", F.pmod("h", F.lit(64)))
+    first = first.withColumn("r", F.row_number().over(Window.partitionBy("dim", "part").orderBy("h", "id")))
+    least = first.filter(F.col("r") <= count).withColumn("r", F.row_number().over(Window.partitionBy("dim").orderBy("h", "id"))).filter(F.col("r") <= count)
+    out: dict[int, list] = {}
+    for r in least.select("dim", "v").collect():  # PIVOTS vectors
+        out.setdefault(r["dim"], []).append(r["v"])
+    return {d: np.array(v, np.float64) for d, v in out.items()}
 
 
-def _products(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    for pdf in batches:
-        for r in pdf.itertuples():
-            a, b = np.frombuffer(r.a_ids, np.int64), np.frombuffer(r.b_ids, np.int64)
-            yield a, b, np.frombuffer(r.a_cells).reshape(len(a), r.dim) @ np.frombuffer(r.b_cells).reshape(len(b), r.dim).T
+def _angles(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1.0, 1.0))
 
 
-def cosine_top(queries: DataFrame, candidates: DataFrame, k: int, id_col: str, vector_col: str) -> DataFrame:
-    """query_id, vec_id, score, rank: the k nearest by cosine (rounded to 6 digits, then by id), itself excluded."""
+def _blocks(rows: DataFrame, pivots: dict[int, np.ndarray], block_rows: int) -> DataFrame:
+    """Rows of `_unit` as packed blocks; a pivot's vectors are dealt by hash where they are many."""
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for a, b, s in _products(batches):
-            s = np.where(a[:, None] == b[None, :], -np.inf, s)
-            tops = [np.lexsort((b, -np.round(row, 6)))[:k] for row in s]
-            tops = [o[np.isfinite(row[o])] for o, row in zip(tops, s, strict=True)]
-            at, to = np.repeat(np.arange(len(a)), [len(o) for o in tops]), np.concatenate([*tops, np.empty(0, np.int64)]).astype(np.int64)
-            yield pd.DataFrame({"query_id": a[at], "vec_id": b[to], "score": s[at, to]})
+    @F.pandas_udf("struct<pivot:int,angle:double>")
+    def nearest(dims: pd.Series, vectors: pd.Series) -> pd.DataFrame:
+        out = np.zeros(len(dims), [("pivot", np.int32), ("angle", np.float64)])
+        for d in dims.unique():
+            at = np.flatnonzero(dims.to_numpy() == d)
+            c = np.array(vectors.iloc[at].tolist(), np.float64).reshape(len(at), int(d)) @ pivots[int(d)].T
+            out["pivot"][at], out["angle"][at] = c.argmax(1), _angles(c.max(1))
+        return pd.DataFrame(out)
 
-    pairs = _blocks(queries, id_col, vector_col, "a").join(_blocks(candidates, id_col, vector_col, "b"), "dim")
-    found = pairs.mapInPandas(best, "query_id long, vec_id long, score double")
+    near = kept(rows.withColumn("p", nearest("dim", "v")).select("id", "dim", "v", "p.pivot", "p.angle"), "vectors")
+    # Shells of a pivot's vectors by angle, so that far ones don't widen the blocks of near ones; a shell of equal angles is dealt by hash.
+    stats = near.groupBy("dim", "pivot").agg(F.least(F.ceil(F.count("*") / block_rows), F.lit(100)).alias("shells"), F.percentile_approx("angle", [i / 100 for i in range(1, 100)], 1000).alias("q"))
+    level = F.floor(F.size(F.filter("q", lambda x: x < F.col("angle"))) * F.col("shells") / 100).cast("int")
+    near = near.join(F.broadcast(stats), ["dim", "pivot"]).withColumn("shell", level).drop("q", "shells")  # at most PIVOTS rows a length
+    parts = near.groupBy("dim", "pivot", "shell").agg(F.ceil(F.count("*") / (1.5 * block_rows)).alias("parts"))
+    dealt = near.join(F.broadcast(parts), ["dim", "pivot", "shell"]).withColumn("part", F.col("shell") * (1 << 24) + F.pmod(F.xxhash64("id"), F.col("parts")))  # at most 100 * PIVOTS rows a length
+
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.array(pdf["v"].tolist(), np.float64).reshape(len(pdf), int(key[0]))
+        return pd.DataFrame({"dim": [key[0]], "pivot": [key[1]], "block": [int(key[1]) << 32 | int(key[2])], "ids": [pdf["id"].to_numpy(np.int64).tobytes()], "cells": [x.tobytes()], "n": [len(pdf)], "inner": [float(pdf["angle"].min())], "radius": [float(pdf["angle"].max())]})
+
+    return dealt.groupBy("dim", "pivot", "part").applyInPandas(pack, _BLOCK)
+
+
+def _apart(pivots: dict[int, np.ndarray]):
+    """The least angle between vectors of two blocks: that of their pivots less both radii, or from the other side what one
+    block's inner radius is above the pivots' angle and the other's radius; 0 at least."""
+
+    @F.pandas_udf("double")
+    def least(dims: pd.Series, a: pd.Series, b: pd.Series, ra: pd.Series, rb: pd.Series, ia: pd.Series, ib: pd.Series) -> pd.Series:
+        out = np.zeros(len(dims))
+        for d in dims.unique():
+            at = np.flatnonzero(dims.to_numpy() == d)
+            p, q = pivots[int(d)][a.iloc[at]], pivots[int(d)][b.iloc[at]]
+            between, far_a, far_b, near_a, near_b = _angles((p * q).sum(1)), *(c.iloc[at].to_numpy() for c in (ra, rb, ia, ib))
+            out[at] = np.maximum.reduce([between - far_a - far_b, near_a - between - far_b, near_b - between - far_a])
+        # Rounding of arc cosines near 1 is coarse.
+        return pd.Series(np.maximum(out - 1e-7, 0.0))
+
+    return least
+
+
+def block_pairs(a: DataFrame, b: DataFrame, pivots: dict[int, np.ndarray], salts: int = 16) -> DataFrame:
+    """(dim, a, b, apart): pairs of block numbers of one length, and the least angle that their vectors can have. Numbers alone
+    are paired; one side is dealt over salts, so that a length that all vectors have isn't one task's."""
+    own = a.select("dim", F.col("block").alias("a"), F.col("pivot").alias("pa"), F.col("radius").alias("ra"), F.col("inner").alias("ia"), F.pmod(F.xxhash64("block"), F.lit(salts)).alias("salt"))
+    other = b.select("dim", F.col("block").alias("b"), F.col("pivot").alias("pb"), F.col("radius").alias("rb"), F.col("inner").alias("ib"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+    return own.join(other, ["dim", "salt"]).select("dim", "a", "b", _apart(pivots)("dim", "pa", "pb", "ra", "rb", "ia", "ib").alias("apart"))
+
+
+def _multiplied(pairs: DataFrame, a: DataFrame, b: DataFrame, rule, schema: str) -> DataFrame:
+    """Each pair of blocks as a group of one row: the rule gets the ids of both and their products."""
+
+    def each(pdf: pd.DataFrame) -> pd.DataFrame:
+        r = pdf.iloc[0]
+        i, j = np.frombuffer(r["a_ids"], np.int64), np.frombuffer(r["b_ids"], np.int64)
+        return rule(i, j, np.frombuffer(r["a_cells"]).reshape(len(i), r["dim"]) @ np.frombuffer(r["b_cells"]).reshape(len(j), r["dim"]).T)
+
+    left = a.select("dim", F.col("block").alias("a"), F.col("ids").alias("a_ids"), F.col("cells").alias("a_cells"))
+    right = b.select("dim", F.col("block").alias("b"), F.col("ids").alias("b_ids"), F.col("cells").alias("b_cells"))
+    return pairs.join(left, ["dim", "a"]).join(right, ["dim", "b"]).groupBy("dim", "a", "b").applyInPandas(each, schema)
+
+
+def cosine_top(queries: DataFrame, candidates: DataFrame, k: int, id_col: str, vector_col: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """query_id, vec_id, score, rank: the k nearest by cosine (rounded to 6 digits, then by id), itself excluded.
+
+    A block of queries first meets its nearest blocks, as many as hold k others; the kth score found there bounds the others that it meets."""
+    rows = _unit(candidates, id_col, vector_col)
+    n = rows.count()
+    if not n:
+        return rows.select(F.col("id").alias("query_id"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"), F.lit(1).alias("rank")).limit(0)
+    pivots = _pivots(rows, n)
+    asked = _unit(queries, id_col, vector_col).filter(F.col("dim").isin(list(pivots)))
+    a, b = kept(_blocks(asked, pivots, block_rows), "queries"), kept(_blocks(rows, pivots, block_rows), "blocks")
+
+    def best(i: np.ndarray, j: np.ndarray, s: np.ndarray) -> pd.DataFrame:
+        s = np.where(i[:, None] == j[None, :], -np.inf, s)
+        tops = [np.lexsort((j, -np.round(row, 6)))[:k] for row in s]
+        tops = [o[np.isfinite(row[o])] for o, row in zip(tops, s, strict=True)]
+        at, to = np.repeat(np.arange(len(i)), [len(o) for o in tops]), np.concatenate([*tops, np.empty(0, np.int64)]).astype(np.int64)
+        return pd.DataFrame({"query_id": i[at], "vec_id": j[to], "score": s[at, to]})
+
+    schema = "query_id long, vec_id long, score double"
+    pairs = kept(block_pairs(a, b, pivots), "pairs")
+    sizes = b.select("dim", F.col("block").alias("b"), "n")
+    held = F.sum("n").over(Window.partitionBy("dim", "a").orderBy("apart", "b").rowsBetween(Window.unboundedPreceding, -1))
+    ordered = kept(pairs.join(sizes, ["dim", "b"]).withColumn("before", F.coalesce(held, F.lit(0))), "ordered")
+    first = kept(_multiplied(ordered.filter(F.col("before") <= k).select("dim", "a", "b"), a, b, best, schema), "first")
+    kth = first.groupBy("query_id").agg(F.expr(f"get(sort_array(collect_list(score), false), {k - 1})").alias("kth"))
+    members = a.select("dim", F.col("block").alias("a"), F.explode(_ids("ids")).alias("query_id"))
+    least = members.join(kth, "query_id", "left").groupBy("dim", "a").agg(F.min(F.coalesce("kth", F.lit(-2.0))).alias("least"))
+    # A little is added for rounding: scores are compared at six digits.
+    rest = ordered.filter(F.col("before") > k).join(least, ["dim", "a"]).filter(F.cos("apart") >= F.col("least") - 2e-6)
+    found = first.unionByName(_multiplied(rest.select("dim", "a", "b"), a, b, best, schema))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 6)), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def similar_pairs(df: DataFrame, least: float, id_col: str, vector_col: str) -> DataFrame:
+def similar_pairs(df: DataFrame, least: float, id_col: str, vector_col: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """a, b, score: pairs of different ids, a < b, whose cosine reaches a threshold."""
 
-    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for a, b, s in _products(batches):
-            i, j = np.nonzero((s >= least) & (a[:, None] != b[None, :]))
-            yield pd.DataFrame({"a": np.minimum(a[i], b[j]), "b": np.maximum(a[i], b[j]), "score": s[i, j]})
+    def near(i: np.ndarray, j: np.ndarray, s: np.ndarray) -> pd.DataFrame:
+        x, y = np.nonzero((s >= least) & (i[:, None] != j[None, :]))
+        return pd.DataFrame({"a": np.minimum(i[x], j[y]), "b": np.maximum(i[x], j[y]), "score": s[x, y]})
 
-    blocks = _blocks(df, id_col, vector_col, "a")
-    other = blocks.select("dim", F.col("a").alias("b"), F.col("a_ids").alias("b_ids"), F.col("a_cells").alias("b_cells"))
+    rows = _unit(df, id_col, vector_col)
+    n = rows.count()
+    if not n:
+        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("score")).limit(0)
+    pivots = _pivots(rows, n)
+    blocks = kept(_blocks(rows, pivots, block_rows), "blocks")
     # Each two blocks meet once; within a block a pair is found from either end.
-    return blocks.join(other, "dim").filter("a <= b").mapInPandas(near, "a long, b long, score double").dropDuplicates(["a", "b"])
+    pairs = block_pairs(blocks, blocks, pivots).filter((F.col("a") <= F.col("b")) & (F.cos("apart") >= least - 1e-9))
+    return _multiplied(pairs.select("dim", "a", "b"), blocks, blocks, near, "a long, b long, score double").dropDuplicates(["a", "b"])
+
+
+def _ids(name: str):
+    @F.pandas_udf("array<long>")
+    def unpack(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: np.frombuffer(x, np.int64))
+
+    return unpack(name)
 
 
 def unit_cells(df: DataFrame, id_col: str, vector_col: str, *keep: str) -> DataFrame:

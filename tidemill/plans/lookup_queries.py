@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemill.functions import transcripts as T
+from tidemill.functions import transfer
 from tidemill.functions.order import order_key
-from tidemill.operators import picks, retrieval
+from tidemill.operators import intervals, picks, retrieval
 from tidemill.plans.registry import query, table
 from tidemill.session import shared_folder
 from tidemill.sources import clustered
@@ -100,3 +101,35 @@ def word_occurrences(spark, sf):
     second = F.split_part("p_name", F.lit(" "), F.lit(2))
     said = F.concat(F.lit("«"), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("», "), second, F.lit("!"))
     return table(spark, sf, "part").select("p_partkey", F.array_join(T.word_occurrences(said, F.array(F.upper("p_name"), second, F.lit("none")), F.lit("en")), ",").alias("found"))
+
+
+@query(
+    "L21_transferred",
+    r"""WITH t AS (SELECT doc_id, text, regexp_replace(regexp_replace(text, '[.,]', '', 'g'), '\s+', ' ', 'g') AS target, doc_id % 3 AS c, strpos(text, ', ') AS pl FROM documents WHERE text IS NOT NULL),
+q AS (SELECT *, doc_id % 5 = 0 AS broken, CASE WHEN pl > 0 THEN substr(text, pl - 1, 4) ELSE 'none' END AS quote FROM t)
+SELECT doc_id, CASE WHEN broken THEN CASE c WHEN 0 THEN 'quarantine' WHEN 1 THEN 'unchanged' ELSE 'not_hit' END ELSE CASE c WHEN 0 THEN 'quarantine' WHEN 1 THEN 'consistent' ELSE 'not_hit' END END AS decision,
+ CASE WHEN broken OR NOT regexp_matches(quote, '[\p{L}\p{N}]') THEN quote ELSE regexp_extract(regexp_replace(regexp_replace(quote, '[.,]', '', 'g'), '\s+', ' ', 'g'), '[\p{L}\p{N}](.*[\p{L}\p{N}])?', 0) END AS quote,
+ CASE WHEN broken AND c = 1 THEN 'transfer_text_differs,judged' ELSE 'judged' END AS reasons FROM q""",
+)
+def transferred(spark, sf):
+    rows = table(spark, sf, "documents").filter("text is not null")
+    other = F.regexp_replace(F.regexp_replace("text", "[.,]", ""), r"\s+", " ")
+    target = F.when(F.col("doc_id") % 5 == 0, F.concat(other, F.lit(" more"))).otherwise(other)
+    decision = F.element_at(F.array(F.lit("quarantine"), F.lit("consistent"), F.lit("not_hit")), (F.col("doc_id") % 3 + 1).cast("int"))
+    at = F.instr("text", ", ")
+    quote = F.when(at > 0, F.substring("text", at - 1, F.lit(4))).otherwise("none")
+    none = F.array()
+    found = transfer.transferred(F.col("text"), target, decision, F.lit(None).cast("string"), none.cast("array<int>"), F.array(quote), F.array(F.lit("judged")))
+    return rows.select("doc_id", found.alias("x")).select("doc_id", "x.decision", F.get("x.quotes", F.lit(0)).alias("quote"), F.array_join("x.reasons", ",").alias("reasons"))
+
+
+@query("W07_target_windows")
+def target_windows(spark, sf):
+    """Without SQL, as a window's place depends on the one before; held against a plain scan in tests."""
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    rows = table(spark, sf, "events").select(F.floor(seconds / 86_400).alias("day"), "event_type", F.col("event_id").alias("id"), (seconds % 86_400).alias("start"))
+    rows = rows.withColumn("stop", F.col("start") + 30 + F.col("id") % 600)
+    windows = intervals.target_windows(rows, ["day"], "event_type", (0.0, 120.0), (900.0, 2400.0), 3600.0, 30.0, 7, order="id")
+    turns = intervals.window_turns(windows, rows, ["day"], "event_type", 3600.0)
+    held = turns.groupBy(F.col("window").alias("id")).agg(F.count("*").alias("n_turns"), F.count_if("clipped").alias("n_clipped"))
+    return windows.join(held, "id", "left").select("id", "day", "event_type", F.round("lo", 3).alias("lo"), F.round("hi", 3).alias("hi"), "n_turns", "n_clipped")
