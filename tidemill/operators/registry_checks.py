@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import ancestors
@@ -124,6 +124,43 @@ def storage_findings(paths: DataFrame, zones: DataFrame) -> DataFrame:
     return loose.unionByName(over).unionByName(none)
 
 
+def zone_findings(folders: DataFrame, zones: DataFrame, today, min_bytes: int) -> DataFrame:
+    """category, path, n_bytes, zone of registered zones (path, budget, child_budget, stale_days, expires; each may be null) and the
+    folders right below them (path, parent, n_bytes, age_days): zones over their budget or past their date, folders over what
+    each may hold, and folders of some size that nothing was changed in for too long."""
+    own = folders.select(F.col("path").alias("zone"), "n_bytes")
+    at = zones.withColumnRenamed("path", "zone").join(own, "zone")
+    below = folders.join(zones.withColumnRenamed("path", "parent"), "parent").withColumn("zone", F.col("parent"))
+
+    def found(rows: DataFrame, category: str, wrong, path: str) -> DataFrame:
+        return rows.filter(wrong).select(F.lit(category).alias("category"), F.col(path).alias("path"), "n_bytes", "zone")
+
+    old = (F.col("age_days") > F.col("stale_days")) & (F.col("n_bytes") >= min_bytes)
+    out = found(at, "over_budget", F.col("n_bytes") > F.col("budget"), "zone").unionByName(found(at, "expired", F.col("expires") < F.lit(today), "zone"))
+    return out.unionByName(found(below, "over_budget", F.col("n_bytes") > F.col("child_budget"), "path")).unionByName(found(below, "stale", old, "path"))
+
+
+def leans_on(alias: Column, path: Column, wanted: str, prefix: str) -> Column:
+    """Whether a place (alias and path) is one that a dependency names: the same alias, and the path or one below it."""
+    return (alias == wanted) & ((path == prefix) | F.startswith(path, F.lit(prefix.rstrip("/") + "/")))
+
+
+def selected(artifacts: DataFrame, key: list[str], order: str, name: str, **wanted: str | None) -> DataFrame:
+    """key, names: what each key's artifacts of the wanted mode, language, task or role are, in the order in which they were
+    declared; a condition of None asks for nothing. The artifacts of one key are a short list."""
+    rows = artifacts
+    for column, value in wanted.items():
+        if value is not None:
+            rows = rows.filter(F.col(column) == value)
+    return rows.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(order, name))).alias("x")).select(*key, F.col(f"x.{name}").alias("names"))
+
+
+def dead_references(versions: DataFrame, references: DataFrame) -> DataFrame:
+    """Of live versions (ref, superseded_by null) the references (ref, to) that name none of them."""
+    alive = versions.filter("superseded_by is null").select("ref")
+    return references.join(alive, "ref", "left_semi").join(alive.select(F.col("ref").alias("to")), "to", "left_anti").select("ref", "to")
+
+
 def role_totals(rows: DataFrame, key: str, roles: tuple[str, ...], value: str) -> DataFrame:
     """key, role, total: the sum of a value over the first role, in order of precedence, that a key has any row of."""
     sums = rows.groupBy(key).agg(*[F.sum(F.when(F.col("role") == r, F.col(value))).alias(r) for r in roles])

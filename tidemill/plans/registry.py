@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("slice_queries", "record_queries", "measure_queries", "contract_queries", "text_queries", "join_queries", "interval_queries", "catalog_queries", "composed_queries", "index_queries", "decision_queries", "ledger_queries", "lookup_queries")
+_MODULES = ("slice_queries", "record_queries", "measure_queries", "contract_queries", "text_queries", "join_queries", "interval_queries", "catalog_queries", "composed_queries", "index_queries", "decision_queries", "ledger_queries", "lookup_queries", "rule_queries")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemill.operators import layers
+from tidemill.session import kept
 from tidemill.sources import jsonl, snapshots
 from tidemill.sources.snapshots import Manifest
 
@@ -59,7 +60,7 @@ def applied(rows: DataFrame, layer: DataFrame, step: layers.Step, key: str = "id
     problem = layers.layer_problems(layer, rows, key).limit(1).collect()
     if problem:
         raise ValueError(f"{problem[0]['id']}: {problem[0]['problem']}")
-    new = layers.replay(rows, layer, step, key, document)
+    new = kept(layers.replay(rows, layer, step, key, document), "replayed")  # once, for the check and for the table
     broken = new.filter("error is not null").limit(1).collect()
     if broken:
         raise ValueError(f"{broken[0][key]}: {broken[0]['error']}")
