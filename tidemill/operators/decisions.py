@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.picks import hash_place
 from tidemill.operators.retrieval import character_pairs, ranked_terms
+from tidemill.session import kept
 
 
 def error_share(a: Column, b: Column, by: Column | None = None) -> Column:
@@ -97,19 +100,42 @@ def best_terms(queries: DataFrame, terms: DataFrame, pool: str, n: int) -> DataF
     return ranked_terms(asked, terms.select(F.col(pool).alias("pool"), "term", F.col("term").alias("form")), n, units=False)
 
 
-def word_lists(rows: DataFrame, gold: str, pool: DataFrame, text: str, size: int, seed: int, near: DataFrame | None = None, salts: int = 4) -> DataFrame:
-    """id, words: a list of `size` words for each row: its gold words, then words near to them (word, near), then words of the
-    pool in the order of sha256(seed:id:word). A distractor never stands in the row's text. The pool is a bounded vocabulary."""
+def next_prime(n: int) -> int:
+    """The least prime from n on."""
+    n = max(n, 2)
+    while any(n % d == 0 for d in range(2, math.isqrt(n) + 1)):
+        n += 1
+    return n
+
+
+def word_lists(rows: DataFrame, gold: str, pool: DataFrame, text: str, size: int, seed: int, near: DataFrame | None = None) -> DataFrame:
+    """id, words: a list of `size` words for each row: its gold words, then words near to them (word, near), both in the order of
+    sha256(seed:id:word), then words of the pool. A distractor never stands in the row's text.
+
+    Words of the pool are numbered by hash and probed: row and seed give a start and a step, both below the next prime, so that the
+    probes of a row reach every number once. Rows are joined with what they probe alone; those whose list isn't full
+    go on with twice as many probes, until all numbers were seen."""
+    words = kept(hash_place(pool.filter("word is not null").select("word").distinct(), [], F.sha2("word", 256), "no").select("word", F.col("no").cast("long").alias("no")), "vocabulary")
+    prime = next_prime(words.count())
     gold_rows = rows.select("id", text, F.explode(gold).alias("word"))
     parts = [gold_rows.select("id", text, "word", F.lit(0).alias("kind"))]
     if near is not None:
         parts.append(gold_rows.join(near, "word").select("id", text, F.col("near").alias("word"), F.lit(1).alias("kind")))
-    buckets = pool.select("word", F.pmod(F.xxhash64("word"), F.lit(salts)).alias("salt"))
-    dealt = rows.select("id", text, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
-    parts.append(dealt.join(buckets, "salt").select("id", text, "word", F.lit(2).alias("kind")))
-    every = reduce(DataFrame.unionByName, parts).filter((F.col("kind") == 0) | ~F.contains(text, "word"))
-    once = every.groupBy("id", "word").agg(F.min("kind").alias("kind"))
-    key = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"), "word"), 256)
-    place = F.row_number().over(Window.partitionBy("id").orderBy("kind", key, "word"))
-    picked = once.withColumn("place", place).filter(F.col("place") <= size)
+    own = reduce(DataFrame.unionByName, parts).filter((F.col("kind") == 0) | ~F.contains(text, "word"))
+    found = kept(own.groupBy("id", "word").agg(F.min("kind").alias("kind")).withColumn("k", F.lit(0).cast("long")), "words")
+    draw = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string")), 256)
+    number = lambda at: F.conv(F.substring(draw, at, 8), 16, 10).cast("long")
+    seekers = rows.select("id", text, (number(1) % prime).alias("begin"), (number(9) % (prime - 1) + 1 if prime > 2 else F.lit(1)).alias("step"))
+    first, last = 0, 2 * size
+    while first < prime:
+        full = found.groupBy("id").count().filter(F.col("count") >= size)
+        probes = seekers.join(full, "id", "left_anti").withColumn("k", F.explode(F.sequence(F.lit(first).cast("long"), F.lit(min(last, prime) - 1).cast("long"))))
+        hits = probes.withColumn("no", (F.col("begin") + F.col("k") * F.col("step")) % prime + 1).join(words, "no").filter(~F.contains(text, "word"))
+        new = kept(hits.select("id", "word", F.lit(2).alias("kind"), "k").join(found.select("id", "word"), ["id", "word"], "left_anti"), "words")
+        if new.isEmpty() and seekers.join(full, "id", "left_anti").isEmpty():
+            break
+        found, first, last = found.unionByName(new), last, 3 * last
+    key = F.when(F.col("kind") < 2, F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string"), "word"), 256)).otherwise("")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("kind", "k", key, "word"))
+    picked = found.withColumn("place", place).filter(F.col("place") <= size)
     return picked.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("w")).select("id", F.col("w.word").alias("words"))

@@ -168,27 +168,29 @@ def script_compact(spark, sf):
 
 @query(
     "Q02_word_lists",
-    """WITH r AS (SELECT p_partkey AS id, p_name AS t, string_split(p_name, ' ') AS gold FROM part WHERE p_size < 10), v AS (SELECT DISTINCT lower(p_type) AS word FROM part UNION SELECT DISTINCT split_part(p_name, ' ', 1) FROM part), n AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS word, split_part(p_name, ' ', 2) AS near FROM part WHERE p_size > 45),
-g AS (SELECT id, t, unnest(gold) AS word FROM r), e AS (SELECT id, t, word, 0 AS kind FROM g UNION ALL SELECT id, t, near, 1 FROM g JOIN n USING (word) UNION ALL SELECT id, t, word, 2 FROM r, v),
-o AS (SELECT id, word, min(kind) AS kind FROM e WHERE kind = 0 OR NOT contains(t, word) GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY kind, sha256('9:' || id || ':' || word), word) AS place FROM o)
-SELECT id, string_agg(word, ',' ORDER BY place) AS words FROM k WHERE place <= 6 GROUP BY 1""",
+    """WITH r AS (SELECT p_partkey AS id, p_name AS t, string_split(p_name, ' ') AS gold FROM part), w AS (SELECT DISTINCT lower(p_type) AS word FROM part UNION SELECT DISTINCT split_part(p_name, ' ', 1) FROM part), v AS (SELECT word, row_number() OVER (ORDER BY sha256(word)) - 1 AS no FROM w),
+n AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS word, split_part(p_name, ' ', 2) AS near FROM part WHERE p_size > 45), c AS (SELECT min(x) AS p FROM (SELECT unnest(range(greatest(count(*), 2), 2 * count(*) + 3)) AS x FROM v) WHERE len(list_filter(range(2, x), lambda d: x % d = 0)) = 0),
+g AS (SELECT id, t, unnest(gold) AS word FROM r), b AS (SELECT id, t, p, CAST('0x' || substr(sha256('9:' || id), 1, 8) AS BIGINT) % p AS start, CAST('0x' || substr(sha256('9:' || id), 9, 8) AS BIGINT) % (p - 1) + 1 AS step, unnest(range(p)) AS k FROM r, c),
+e AS (SELECT id, t, word, 0 AS kind, 0 AS k FROM g UNION ALL SELECT id, t, near, 1, 0 FROM g JOIN n USING (word) UNION ALL SELECT id, t, word, 2, k FROM b JOIN v ON no = (start + k * step) % p),
+o AS (SELECT id, word, min(kind) AS kind, arg_min(k, kind) AS k FROM e WHERE kind = 0 OR NOT contains(t, word) GROUP BY 1, 2), l AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY kind, k, CASE WHEN kind < 2 THEN sha256('9:' || id || ':' || word) ELSE '' END, word) AS place FROM o)
+SELECT id, string_agg(word, ',' ORDER BY place) AS words FROM l WHERE place <= 6 GROUP BY 1""",
 )
 def word_lists(spark, sf):
     part = table(spark, sf, "part")
     first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
     pool = part.select(F.lower("p_type").alias("word")).union(part.select(first)).distinct()
     near = part.filter("p_size > 45").select(first.alias("word"), second.alias("near")).distinct()
-    rows = part.filter("p_size < 10").select(F.col("p_partkey").alias("id"), "p_name", F.split("p_name", " ").alias("gold"))
+    rows = part.select(F.col("p_partkey").alias("id"), "p_name", F.split("p_name", " ").alias("gold"))
     return decisions.word_lists(rows, "gold", pool, "p_name", 6, 9, near).select("id", F.array_join("words", ",").alias("words"))
 
 
 @query(
     "Q04_judged",
-    """WITH a AS (SELECT user_id, event_type AS judge, arg_max(CASE WHEN value > 20 THEN 'high' ELSE 'low' END, event_id) AS a FROM events WHERE event_id % 17 < 3 GROUP BY 1, 2), c AS (SELECT user_id, count(*) AS n_judges, count(DISTINCT a) AS n_answers, min(a) AS answer FROM a GROUP BY 1)
+    """WITH a AS (SELECT user_id, event_type AS judge, arg_max(CASE WHEN value > 20 THEN 'high' ELSE 'low' END, event_id) AS a FROM events GROUP BY 1, 2), c AS (SELECT user_id, count(*) AS n_judges, count(DISTINCT a) AS n_answers, min(a) AS answer FROM a GROUP BY 1)
 SELECT user_id, CASE WHEN n_judges < 2 THEN 'open' WHEN n_answers = 1 AND answer = 'low' THEN 'unchanged' WHEN n_answers = 1 THEN 'corrected' ELSE 'quarantined' END AS verdict, CASE WHEN n_judges >= 2 AND n_answers = 1 AND answer <> 'low' THEN answer END AS text, n_judges, n_answers FROM c""",
 )
 def judged(spark, sf):
-    rows = table(spark, sf, "events").filter("event_id % 17 < 3").select("user_id", "event_type", "event_id", F.lit("low").alias("original"), F.when(F.col("value") > 20, "high").otherwise("low").alias("answer"))
+    rows = table(spark, sf, "events").select("user_id", "event_type", "event_id", F.lit("low").alias("original"), F.when(F.col("value") > 20, "high").otherwise("low").alias("answer"))
     return decisions.judged(rows, ["user_id"], "original", "event_type", "answer", "event_id")
 
 

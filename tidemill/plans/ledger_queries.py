@@ -12,14 +12,14 @@ from tidemill.plans.registry import query, table
 
 @query(
     "L14_resolved_views",
-    """WITH v AS (SELECT DISTINCT p_brand AS name, p_size AS version FROM part WHERE p_partkey % 40 = 0), q AS (SELECT p_partkey, p_brand AS name, CASE WHEN p_partkey % 3 > 0 THEN p_size END AS version FROM part WHERE p_size < 20), k AS (SELECT name, count(*) AS n, min(version) AS lone FROM v GROUP BY 1)
+    """WITH v AS (SELECT DISTINCT p_brand AS name, p_size AS version FROM part WHERE p_partkey % 40 = 0), q AS (SELECT p_partkey, p_brand AS name, CASE WHEN p_partkey % 3 > 0 THEN p_size END AS version FROM part), k AS (SELECT name, count(*) AS n, min(version) AS lone FROM v GROUP BY 1)
 SELECT name, coalesce(q.version, -1) AS version, coalesce(CASE WHEN q.version IS NOT NULL THEN v.version WHEN n = 1 THEN lone END, -1) AS found, CASE WHEN n IS NULL THEN 'unknown view' WHEN q.version IS NULL AND n > 1 THEN 'version required' WHEN q.version IS NOT NULL AND v.version IS NULL THEN 'unknown version' END AS problem
 FROM q LEFT JOIN k USING (name) LEFT JOIN v USING (name, version)""",
 )
 def resolved_views(spark, sf):
     part = table(spark, sf, "part")
     views = part.filter("p_partkey % 40 = 0").select(F.col("p_brand").alias("name"), F.col("p_size").alias("version"))
-    asked = part.filter("p_size < 20").select(F.col("p_brand").alias("name"), F.when(F.col("p_partkey") % 3 > 0, F.col("p_size")).alias("version"))
+    asked = part.select(F.col("p_brand").alias("name"), F.when(F.col("p_partkey") % 3 > 0, F.col("p_size")).alias("version"))
     return checks.resolved_views(asked, views).select("name", F.coalesce("version", F.lit(-1)).alias("version"), F.coalesce("found", F.lit(-1)).alias("found"), "problem")
 
 
