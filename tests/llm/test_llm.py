@@ -507,7 +507,7 @@ def test_warc_captures_repeated_very_often(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings", "documents"):
+    for t in ("pages", "embeddings", "documents", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.execute(queries.SQL[name])
     cols = [c[0] for c in want.description]

@@ -7,12 +7,10 @@ import random
 import re
 import zlib
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_queries import SF, TABLES, rows_of
-from tidemill.llm import infill, mixing, prefix_trie, queries
+from tidemill.llm import infill, mixing, prefix_trie
 
 DOCS = "doc_id long, text string, source string, size string, key int, target string"
 BLANK = " \t\n\v\f\r"
@@ -23,15 +21,6 @@ def prose(seed: int, n: int) -> str:
     return "".join(draw.choice("river stone Été 日本 🙂 lamp".split()) + draw.choice([" ", "  ", "\n", "\t", ". ", " "]) for _ in range(n))
 
 
-@pytest.mark.parametrize("name", ["op11_mixing", "op12_infill", "op13_prefix_trie"])
-def test_queries_give_what_sql_gives(spark, name):
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    got, want = queries.QUERIES[name](spark, SF).toPandas(), con.execute(queries.SQL[name]).df()
-    assert sorted(got.columns) == sorted(want.columns) and rows_of(got) == rows_of(want)
-
-
 def docs_of(spark, rows):
     return spark.createDataFrame([(d, t, s, "clash", 1, "clash") for d, t, s in rows], DOCS)
 
