@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from tidemill.operators import intervals
 
 
@@ -30,6 +32,8 @@ def test_merged_turns(spark):
     df = spark.createDataFrame(rows, "id long, k string, who string, start double, stop double")
     got = intervals.merged_turns(df, ["k"], "who", 3.0, 30.0).select("k", "who", "first", "last", "n").collect()
     assert sorted(map(list, got)) == sorted(want)
+    got = intervals.merged_turns(df, ["k"], "who", 3.0, 30.0, slice_rows=10).select("k", "who", "first", "last", "n").collect()
+    assert sorted(map(list, got)) == sorted(want)
     assert intervals.merged_turns(df.limit(0), ["k"], "who", 3.0, 30.0).count() == 0
 
 
@@ -44,6 +48,47 @@ def test_disjoint_picks(spark):
                 want.add(i)
     df = spark.createDataFrame(rows, "id long, k string, who string, start double, stop double")
     assert {r["id"] for r in intervals.disjoint_picks(df, ["k"], 0.5).collect()} == want
+    assert {r["id"] for r in intervals.disjoint_picks(df, ["k"], 0.5, slice_rows=12).collect()} == want
+
+
+def packed(rows, limit, gap):
+    """Packs of a plain loop over (key, id, start, stop)."""
+    out = []
+    for k in {r[0] for r in rows}:
+        pack = None
+        for start, stop, i in sorted((a, b, i) for kk, i, a, b in rows if kk == k):
+            if pack and (stop - start > limit or max(stop, pack[3]) - pack[2] > limit or start - pack[3] > gap):
+                pack = None
+            if stop - start <= limit:
+                if pack is None:
+                    out.append(pack := [k, i, start, stop, 0])
+                pack[3:] = [max(stop, pack[3]), pack[4] + 1]
+    return out
+
+
+def test_greedy_windows_over_slices(spark):
+    # One key without pauses, intervals beyond the limit, repeated rows, a key of null, and rows that take no part.
+    rng = random.Random(9)
+    rows = [("hot", i, i * 0.5, i * 0.5 + rng.choice([0.2, 0.4, 1.0, 7.0])) for i in range(300)] + [(None, i, float(i * rng.choice([1, 3])), i * 3.0 + 1) for i in range(40)]
+    rows += [rows[5], rows[5], ("one", 7, 0.0, 0.0)]
+    df = spark.createDataFrame([*rows, ("hot", 900, None, 1.0), ("hot", 901, 1.0, float("nan"))], "k string, id long, start double, stop double").withColumn("label", F.lit("x"))
+    want = sorted(packed(rows, 6.0, 1.5), key=str)
+    for size in (50, 20_000):
+        got = intervals.greedy_windows(df, ["k"], 6.0, 1.5, slice_rows=size).select("k", "head", "first", "last", "n").collect()
+        assert sorted(map(list, got), key=str) == want
+    assert intervals.greedy_windows(df.limit(0), ["k"], 6.0, 1.5).count() == 0
+
+
+def test_a_state_is_carried_through_every_slice(spark):
+    # A rule that never forgets: the number of rows so far. Two keys, so that a slice begins in the middle of one.
+    rows = [(k, i, float(i), float(i)) for k in "ab" for i in range(200)]
+
+    def rule(state, numbers, *_):
+        at = state[0] if state else 0
+        return [at + i for i in range(1, len(numbers) + 1)], [at + len(numbers)]
+
+    got = intervals.in_slices(spark.createDataFrame(rows, "k string, id int, start double, stop double"), ["k"], rule, slice_rows=60)
+    assert {(r.k, r.id): r.label for r in got.collect()} == {(k, i): i + 1 for k, i, _, _ in rows}
 
 
 def _drawn(key, seed, lo, hi):

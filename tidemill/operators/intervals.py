@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import json
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemill.session import ensure_checkpoints, kept
 
+SLICE_ROWS = 20_000  # rows that one task of a sequential rule holds
+
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: float) -> DataFrame:
     """Pairs whose [start, stop) overlap within a key. Both are dealt into bins of a width, which keeps hot keys apart;
@@ -63,28 +68,81 @@ def clipped(start: Column, stop: Column, lo: Column, hi: Column) -> tuple[Column
     return F.greatest(start, lo) - lo, F.least(stop, hi) - lo, (start < lo) | (stop > hi)
 
 
-def greedy_windows(df: DataFrame, keys: list[str], limit: float, gap: float, order: str = "id") -> DataFrame:
-    """Packs of consecutive intervals: a new one begins where the span would pass the limit or the gap is too wide;
-    an interval longer than the limit is left out, and a new pack begins after it.
-
-    The gaps split a key first, by windows; only the runs between wide gaps, which the rule treats alone, are packed in order."""
-    runs = islands(df, keys, gap, order)
-    types = dict(df.dtypes)
-    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", island long, pack long, first double, last double, n long"
-
-    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out, first, last, n = [], None, None, 0
-        for start, stop in pdf[["start", "stop"]].itertuples(index=False):
-            if n and (stop - start > limit or max(stop, last) - first > limit or start - last > gap):
-                out.append((first, last, n))
-                n = 0
+def in_slices(df: DataFrame, keys: list[str], rule, order: str = "id", who: str | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """keys, order, start, stop (and who) with `label`: what a sequential rule says of the intervals of each key, in order of (start, stop, order).
+
+    The rule takes the state left by the interval before (None at a key's begin) and lists of numbers, starts, stops and names; it returns
+    a label (a long or None) for each interval and the state it leaves, a list of plain values. Rows without start or stop take no part.
+
+    All rows are sorted at once and cut into slices of about `slice_rows`, wherever keys begin or end. Each slice is worked through
+    as if nothing came before it, and then again while the slice before it hands on another state than it began with. A key's first
+    slice is right at once, and each right slice makes the next one right. Rounds are few where a rule soon forgets; there are never more
+    than the longest key has slices. A task holds one slice; a state is as long as what the rule keeps open."""
+    names = [*keys, order, *([who] if who else [])]
+    ok = F.nanvl(F.col("start").cast("double"), F.lit(None)).isNotNull() & F.nanvl(F.col("stop").cast("double"), F.lit(None)).isNotNull()
+    rows = kept(df.filter(ok).select(*names, *[F.col(c).cast("double").alias(c) for c in ("start", "stop")]), "intervals")
+    parts = max(1, -(-rows.count() // slice_rows))
+    of = F.to_json(F.struct(*keys), {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreNullFields": "false"})
+    by = ["__key", "start", "stop", order]
+    rows = rows.withColumn("__key", of).repartitionByRange(parts, *by).sortWithinPartitions(*by).withColumn("__no", F.monotonically_increasing_id())
+    rows = kept(rows.withColumn("__slice", F.shiftright("__no", 33)), "slices")
+    ends = "label long, came string, left string, first_key string, last_key string"
+    schema = StructType([*rows.schema.fields, *StructType.fromDDL(ends).fields])
+
+    def work(own: pa.Table, handed: pa.Table) -> pa.Table:
+        own = own.sort_by("__no")
+        of_key, numbers, starts, stops = (own.column(c).to_pylist() for c in ("__key", "__no", "start", "stop"))
+        called = own.column(who).to_pylist() if who else [None] * len(numbers)
+        came = handed.column("came")[0].as_py() if handed.num_rows else None
+        labels, state, at = [], json.loads(came) if came else None, 0
+        for to in [*(i for i in range(1, len(of_key)) if of_key[i] != of_key[i - 1]), len(of_key)]:
+            state = state if at == 0 else None
+            found, state = rule(state, numbers[at:to], starts[at:to], stops[at:to], called[at:to])
+            labels, at = labels + found, to
+        end = {"__slice": own.column("__slice")[0].as_py(), "came": came, "left": json.dumps(state) if state else None, "first_key": of_key[0], "last_key": of_key[-1]}
+        strings = [pa.field(c, pa.string()) for c in ("came", "left", "first_key", "last_key")]
+        out = own.append_column("label", pa.array(labels, pa.int64()))
+        for f in strings:
+            out = out.append_column(f, pa.nulls(len(labels), pa.string()))
+        last = pa.Table.from_arrays([pa.array([end.get(f.name)], f.type) for f in out.schema], names=out.column_names)
+        return pa.concat_tables([out, last])
+
+    todo, states, done = None, None, []
+    while todo is None or todo.limit(1).count():
+        some = rows if todo is None else rows.join(todo.select("__slice"), "__slice", "left_semi")
+        handed = rows.sparkSession.createDataFrame([], "__slice long, came string") if todo is None else todo
+        out = kept(some.groupBy("__slice").cogroup(handed.groupBy("__slice")).applyInArrow(work, schema), "round")
+        done.append(out)
+        new = out.filter("__no is null").select("__slice", "came", "left", "first_key", "last_key", F.lit(len(done)).alias("round"))
+        states = kept(new if states is None else states.join(new, "__slice", "left_anti").unionByName(new), "states")
+        before = states.select((F.col("__slice") + 1).alias("__slice"), F.col("left").alias("gives"), F.col("last_key").alias("key"))
+        hands = states.join(before, "__slice").select("__slice", F.col("came").alias("had"), F.when(F.col("key") == F.col("first_key"), F.col("gives")).alias("came"))
+        todo = kept(hands.filter(~F.col("had").eqNullSafe(F.col("came"))).select("__slice", "came"), "todo")
+    n = states.agg(F.count("*").alias("n"), F.max("__slice").alias("top")).first()
+    if n["n"] and n["n"] != n["top"] + 1:
+        raise ValueError("a slice without rows hides what stood before it")
+    last = [out.withColumn("round", F.lit(i)) for i, out in enumerate(done, 1)]
+    found = reduce(DataFrame.unionByName, last).filter("__no is not null").join(states.select("__slice", "round"), ["__slice", "round"], "left_semi") if len(last) > 1 else last[0].filter("__no is not null")
+    return found.select(*names, "start", "stop", "label", "__no")
+
+
+def greedy_windows(df: DataFrame, keys: list[str], limit: float, gap: float, order: str = "id", slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Packs of consecutive intervals (keys, head: the first one's order, first, last, n): a new one begins where the span would pass
+    the limit or the gap is too wide; an interval longer than the limit is left out, and a new pack begins after it."""
+
+    def rule(state, numbers, starts, stops, _):
+        out = []
+        for no, start, stop in zip(numbers, starts, stops):
+            if state and (stop - start > limit or max(stop, state[2]) - state[1] > limit or start - state[2] > gap):
+                state = None
             if stop - start <= limit:
-                first, last, n = (first, max(stop, last), n + 1) if n else (start, stop, 1)
-        if n:
-            out.append((first, last, n))
-        return pd.DataFrame([(*key, i, *o) for i, o in enumerate(out)], columns=[*keys, "island", "pack", "first", "last", "n"])
+                state = [state[0], state[1], max(stop, state[2])] if state else [no, start, stop]
+            out.append(state and state[0])
+        return out, state
 
-    return _by_runs(runs, [*keys, "island"], pack, schema, order)
+    rows = in_slices(df, keys, rule, order, None, slice_rows).filter("label is not null")
+    packs = rows.groupBy(*keys, "label").agg(F.min_by(order, "__no").alias("head"), F.min("start").alias("first"), F.max("stop").alias("last"), F.count("*").alias("n"))
+    return packs.drop("label")
 
 
 def sessions(df: DataFrame, keys: list[str], at: str, gap: float, order: str) -> DataFrame:
@@ -94,66 +152,40 @@ def sessions(df: DataFrame, keys: list[str], at: str, gap: float, order: str) ->
     return df.withColumn("__new", new).withColumn("session", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
 
 
-def _by_runs(rows: DataFrame, run: list[str], rule, schema: str, order: str, rows_per_task: int = 20_000) -> DataFrame:
-    """Apply a rule to each run of rows (its key, its frame in order). Short runs share a task's frame, as most are short."""
-    parts = max(1, -(-rows.count() // rows_per_task))
-    names = [f.split()[0] for f in schema.split(", ")]
-
-    def each(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["start", "stop", order], kind="stable")
-        found = [rule(key, part) for key, part in pdf.groupby(run, sort=False, dropna=False)]
-        return pd.concat(found) if found else pd.DataFrame(columns=names)
-
-    return rows.withColumn("__task", F.pmod(F.xxhash64(*run), F.lit(parts))).groupBy("__task").applyInPandas(lambda pdf: each(pdf), schema)
-
+def merged_turns(df: DataFrame, keys: list[str], who: str, gap: float, cap: float, order: str = "id", slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Turns (keys, who, first, last, n): consecutive intervals of one speaker, with pauses of at most a gap and a span of at most a cap.
 
-def in_order(df: DataFrame, keys: list[str], rule, schema: str, gap: float | None = None, order: str = "id") -> DataFrame:
-    """Apply a sequential rule to the intervals of each key in order of (start, stop, order).
+    A turn ends as well where anyone else starts, which the order of starts shows. Nameless intervals are one speaker's."""
 
-    With a gap the rows of a key are first cut at pauses wider than it, which the rule must treat alone; only such a run
-    is held by one task. The rule takes (key, frame in order) and returns rows of the schema."""
-    rows = islands(df, keys, gap, order) if gap is not None else df.withColumn("island", F.lit(0).cast("long"))
-    return _by_runs(rows, [*keys, "island"], rule, schema, order)
-
-
-def merged_turns(df: DataFrame, keys: list[str], who: str, gap: float, cap: float, order: str = "id") -> DataFrame:
-    """Turns: consecutive intervals of one speaker, with pauses of at most a gap and a span of at most a cap.
-
-    A turn ends as well where anyone else starts, which the order of starts shows. Windows cut each key where the speaker
-    changes, and each speaker's run at pauses; only such a run, which the cap alone can cut further, is held by one task."""
-    types = dict(df.dtypes)
-    w = Window.partitionBy(*keys).orderBy("start", "stop", order)
-    runs = df.withColumn("__new", F.when(F.lag(who).over(w).eqNullSafe(F.col(who)), 0).otherwise(1)).withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
-    schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", {who} {types[who]}, first double, last double, n long"
-
-    def rule(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for start, stop, name in pdf[["start", "stop", who]].itertuples(index=False):
-            if out and out[-1][0] == name and start - out[-1][2] <= gap and max(stop, out[-1][2]) - out[-1][1] <= cap:
-                out[-1][2:] = [max(stop, out[-1][2]), out[-1][3] + 1]
+    def rule(state, numbers, starts, stops, names):
+        out = []
+        for no, start, stop, name in zip(numbers, starts, stops, names):
+            if state and state[1] == name and start - state[3] <= gap and max(stop, state[3]) - state[2] <= cap:
+                state = [*state[:3], max(stop, state[3])]
             else:
-                out.append([name, start, stop, 1])
-        return pd.DataFrame([(*key[: len(keys)], *o) for o in out], columns=[*keys, who, "first", "last", "n"])
+                state = [no, name, start, stop]
+            out.append(state[0])
+        return out, state
 
-    return in_order(runs, [*keys, "__run"], rule, schema, gap, order)
+    rows = in_slices(df, keys, rule, order, who, slice_rows)
+    turns = rows.groupBy(*keys, "label").agg(F.min_by(who, "__no").alias(who), F.min("start").alias("first"), F.max("stop").alias("last"), F.count("*").alias("n"))
+    return turns.drop("label")
 
 
-def disjoint_picks(df: DataFrame, keys: list[str], share: float, order: str = "id") -> DataFrame:
-    """Windows taken greedily in order, each overlapping every taken one by at most a share of the shorter."""
-    types = dict(df.dtypes)
-    schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", {order} {types[order]}"
+def disjoint_picks(df: DataFrame, keys: list[str], share: float, order: str = "id", slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Windows (keys, order) taken greedily in order, each overlapping every taken one by at most a share of the shorter."""
 
-    def rule(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        taken: list[tuple] = []
-        open_: list[tuple] = []
-        for start, stop, name in pdf[["start", "stop", order]].itertuples(index=False):
+    def rule(state, numbers, starts, stops, _):
+        out, open_ = [], state or []
+        for start, stop in zip(starts, stops):
             open_ = [t for t in open_ if t[1] > start]
-            if all(min(stop, b) - max(start, a) <= share * min(stop - start, b - a) for a, b, _ in open_):
-                taken.append((start, stop, name))
-                open_.append(taken[-1])
-        return pd.DataFrame([(*key[: len(keys)], t[2]) for t in taken], columns=[*keys, order])
+            fits = all(min(stop, b) - max(start, a) <= share * min(stop - start, b - a) for a, b in open_)
+            if fits:
+                open_.append([start, stop])
+            out.append(1 if fits else None)
+        return out, open_
 
-    return in_order(df, keys, rule, schema, 0.0, order)
+    return in_slices(df, keys, rule, order, None, slice_rows).filter("label = 1").select(*keys, order)
 
 
 def closures(df: DataFrame, keys: list[str], order: str = "id") -> DataFrame:
@@ -247,32 +279,25 @@ def closed_windows(df: DataFrame, keys: list[str], lo: float, hi: float, longest
     """Windows over a key's intervals that don't overlap (keys, id, lo, hi): from an interval that begins at or after the cursor, of a
     drawn length, widened to whole intervals; one that is too long or reaches back is left out; the cursor moves `rest` past its end.
 
-    Runs of intervals that touch are what windows are widened to, so that runs between pauses longer than `rest` are each dealt
-    with alone: one run is held by one task."""
-
-    def rule(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out, cursor = [], -np.inf
-        start, stop = pdf["start"].to_numpy(float), pdf["stop"].to_numpy(float)
-        for name, at, length in pdf[[order, "start", "__length"]].itertuples(index=False):
-            if at < cursor:
-                continue
-            a, b = at, at + length
-            while True:
-                inside = (start < b) & (stop > a)
-                wider = min(a, start[inside].min(initial=a)), max(b, stop[inside].max(initial=b))
-                if wider == (a, b):
-                    break
-                a, b = wider
-            if b - a > longest or a < cursor:
-                continue
-            out.append((*key[: len(keys)], name, a, b))
-            cursor = b + rest
-        return pd.DataFrame(out, columns=[*keys, order, "lo", "hi"])
-
-    types = dict(df.dtypes)
-    schema = ", ".join(f"{k} {types[k]}" for k in keys) + f", {order} {types[order]}, lo double, hi double"
-    rows = df.withColumn("__length", drawn_length(F.col(order), seed, lo, hi))
-    return in_order(rows, keys, rule, schema, longest + hi + rest, order)
+    What a window is widened to are islands: the one it begins in, and the last one that begins before its drawn end. So a window depends
+    on its interval alone, and the windows are a chain of pointers from each to the first that begins at or after its cursor: sorted
+    look-ups, followed by doubling. No task holds a key's rows."""
+    w = Window.partitionBy(*keys).orderBy("start", "stop", order)
+    reach = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = df.withColumns({c: F.col(c).cast("double") for c in ("start", "stop")}).withColumn("at", F.row_number().over(w)).withColumn("new", reach.isNull() | (F.col("start") >= reach))
+    rows = rows.withColumn("lo", F.max(F.when(F.col("new"), F.col("start"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = kept(rows.select(*keys, "at", F.col(order).alias("id"), "lo", "stop", (F.col("start") + drawn_length(F.col(order), seed, lo, hi)).alias("t")), "windows")
+    isles = rows.groupBy(*keys, "lo").agg(F.max("stop").alias("hi")).select(*keys, F.col("lo").alias("t"), F.lit(1).alias("q"), "hi", F.lit(None).cast("int").alias("at"))
+    asked = rows.select(*keys, "t", F.lit(0).alias("q"), F.lit(None).cast("double").alias("hi"), "at")
+    up = Window.partitionBy(*keys).orderBy("t", "q").rowsBetween(Window.unboundedPreceding, 0)
+    ends = isles.unionByName(asked).withColumn("hi", F.max("hi").over(up)).filter("q = 0").select(*keys, "at", F.greatest("t", "hi").alias("hi"))
+    fit = kept(rows.join(ends, [*keys, "at"]).filter(F.col("hi") - F.col("lo") <= longest).select(F.struct(*keys).alias("key"), *keys, "at", "id", "lo", "hi"), "fits")
+    starts = fit.select("key", F.col("lo").alias("t"), F.lit(1).alias("q"), F.col("at").alias("to"), F.lit(None).cast("int").alias("at"))
+    cursors = fit.select("key", (F.col("hi") + rest).alias("t"), F.lit(0).alias("q"), F.lit(None).cast("int").alias("to"), "at")
+    down = Window.partitionBy("key").orderBy(F.desc("t"), F.desc("q")).rowsBetween(Window.unboundedPreceding, 0)
+    hops = kept(starts.unionByName(cursors).withColumn("next", F.min("to").over(down)).filter("q = 0").select("key", F.col("at").alias("node"), "next"), "hops")
+    reached = followed(hops, fit.groupBy("key").agg(F.min("at").alias("node")))
+    return fit.join(reached.withColumnRenamed("node", "at"), ["key", "at"], "left_semi").select(*keys, F.col("id").alias(order), "lo", "hi")
 
 
 def target_windows(df: DataFrame, keys: list[str], who: str, lead: tuple[float, float], length: tuple[float, float], longest: float, rest: float, seed: int, ends: DataFrame | None = None, order: str = "id") -> DataFrame:
