@@ -170,7 +170,13 @@ def clean_cuts(spark, sf):
     return intervals.clean_cuts(_spans(spark, sf), ["user_id"], 600).select("id", "reach")
 
 
-@query("W01_greedy_windows", None)
+@query(
+    "W01_greedy_windows",
+    f"""WITH RECURSIVE s AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY start, stop, id) AS r FROM ({_SPAN})),
+g AS (SELECT DISTINCT user_id, 0::BIGINT AS r, NULL::BIGINT AS head, 0::BIGINT AS first, 0::BIGINT AS last FROM s
+UNION ALL SELECT user_id, r, CASE WHEN stop - start > 36000 THEN NULL WHEN goes THEN head ELSE id END, CASE WHEN goes THEN first ELSE start END, CASE WHEN goes THEN greatest(last, stop) ELSE stop END FROM (SELECT s.*, g.head, g.first, g.last, g.head IS NOT NULL AND greatest(s.stop, last) - first <= 36000 AND s.start - last <= 86400 AS goes FROM g JOIN s ON s.user_id = g.user_id AND s.r = g.r + 1))
+SELECT user_id, head, CAST(max(first) AS DOUBLE) AS first, CAST(max(last) AS DOUBLE) AS last, count(*) AS n FROM g WHERE head IS NOT NULL GROUP BY 1, 2""",
+)
 def greedy_windows(spark, sf):
     return intervals.greedy_windows(_spans(spark, sf), ["user_id"], 36000.0, 86400.0)
 
