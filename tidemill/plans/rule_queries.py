@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.functions import text
 from tidemill.functions import transcripts as T
 from tidemill.operators import registry_checks as checks
 from tidemill.plans.registry import query, table
+from tidemill.sources import audio_sources
 
 
 @query("F01_plain", r"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(lower(nfc_normalize(text)), '[\p{P}\p{S}]', ' ', 'g'), '\s+', ' ', 'g'))) AS plain FROM documents")
@@ -106,3 +108,36 @@ def selected_artifacts(spark, sf):
 def dead_references(spark, sf):
     rows = table(spark, sf, "customer").select(F.col("c_custkey").alias("ref"), F.when(F.col("c_acctbal") < 0, F.lit("x")).alias("superseded_by"))
     return checks.dead_references(rows, rows.select("ref", (F.col("ref") * 7 % 1000).alias("to")))
+
+
+@query(
+    "S12_audio_sources",
+    """WITH p AS (SELECT p_partkey AS id, p_size % 5 AS form, CAST(p_size AS BIGINT) AS size, p_name AS name, p_brand AS brand FROM part), r AS (
+SELECT id, form, 0 AS i, 'file' AS kind, '/data/' || brand || '/' || id || '.wav' AS path, NULL AS member, NULL AS skip, NULL AS size, NULL AS problem FROM p WHERE form IN (0, 3)
+UNION ALL SELECT id, form, 1, 'file', '/rooms/' || size || '.wav', NULL, NULL, NULL, NULL FROM p WHERE form = 3
+UNION ALL SELECT id, form, 0, 'tar', '/data/' || brand || '.tar', name || '.wav', NULL, NULL, NULL FROM p WHERE form = 1
+UNION ALL SELECT id, form, 0, 'dd', '/data/' || name, NULL, id, size, NULL FROM p WHERE form = 2
+UNION ALL SELECT id, form, 1, NULL, NULL, NULL, NULL, NULL, 'unsupported command' FROM p WHERE form = 2
+UNION ALL SELECT id, form, 0, NULL, NULL, NULL, NULL, NULL, 'cut without recording' FROM p WHERE form = 4)
+SELECT id, i, kind, path, member, skip, size, problem FROM r""",
+)
+def audio_sources_expanded(spark, sf):
+    """Items of five forms from parts: recordings, cuts of a tar's member, mixed cuts of a file's range and of an unknown command, recordings with a room, cuts without anything."""
+    key, form = F.col("p_partkey").cast("string"), F.col("p_size") % 5
+    source = lambda kind, *text: F.struct(F.lit(kind).alias("type"), F.concat(*text).alias("source"))
+    recording = lambda *sources: F.struct(F.array(*sources).alias("sources"), F.lit(16000).alias("sampling_rate"))
+    cut = lambda of: F.struct(F.lit("MonoCut").alias("type"), of.alias("recording"))
+    file = source("file", F.lit("x/.././"), "p_brand", F.lit("/"), key, F.lit(".wav"))
+    room = recording(source("file", F.lit("/rooms/"), F.col("p_size").cast("string"), F.lit(".wav")))
+    echo = F.array(F.struct(F.lit("ReverbWithImpulseResponse").alias("name"), F.struct(room.alias("rir")).alias("kwargs")))
+    tar = source("command", F.lit("tar -xOf '"), "p_brand", F.lit(".tar' \""), "p_name", F.lit('.wav"'))
+    timed = F.lit("timeout --signal=TERM --kill-after=5s 60s dd 'if=")
+    dd = source("command", timed, "p_name", F.lit("' iflag=skip_bytes,count_bytes skip="), key, F.lit(" count="), F.col("p_size").cast("string"), F.lit(" status=none"))
+    tracks = F.array(*[F.struct(F.to_json(x).alias("cut")) for x in (F.struct(F.lit("PaddingCut").alias("type")), cut(recording(dd)), cut(recording(source("command", F.lit("cat "), key))))])
+    # Cuts of a mixed cut differ in their fields, so that they are joined as texts.
+    mixed = F.concat(F.lit('{"type":"MixedCut","tracks":['), F.array_join(F.transform(tracks, lambda t: F.concat(F.lit('{"cut":'), t["cut"], F.lit("}"))), ","), F.lit("]}"))
+    item = F.when(form == 0, F.to_json(recording(file))).when(form == 1, F.to_json(cut(recording(tar)))).when(form == 2, mixed)
+    item = item.when(form == 3, F.to_json(F.struct(F.array(file).alias("sources"), F.lit(16000).alias("sampling_rate"), echo.alias("transforms")))).otherwise(F.lit('{"type":"MonoCut"}'))
+    found = audio_sources.expanded_sources(table(spark, sf, "part").select("p_partkey", item.alias("item")), "p_partkey", "item", "/data")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("place")) - 1
+    return found.withColumn("i", place).drop("place")
