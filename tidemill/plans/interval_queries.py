@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemill.operators import intervals, picks
 from tidemill.plans.measure_queries import _SPAN, _spans
 from tidemill.plans.registry import query, table
-from tidemill.streaming import sessions
 
 _DAY = f"SELECT s.id, s.start // 86400 AS day, s.user_id, event_type AS who, s.start, s.stop FROM ({_SPAN}) s JOIN events e ON e.event_id = s.id"
 
@@ -87,15 +86,3 @@ def clean_windows(spark, sf):
 @query("W06_closed_windows", _CLOSED)
 def closed_windows(spark, sf):
     return intervals.closed_windows(_spans(spark, sf), ["user_id"], 3600.0, 20_000.0, 60_000.0, 600.0, 4)
-
-
-@query(
-    "W02_stream_sessions",
-    """WITH e AS (SELECT user_id, epoch_us(ts) AS t FROM events WHERE ts IS NOT NULL), f AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t) <= 21600000000 THEN 0 ELSE 1 END AS new FROM e), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY t) AS session FROM f)
-SELECT user_id, min(t) AS start, max(t) + 21600000000 AS stop, count(*) AS n FROM s GROUP BY user_id, session""",
-)
-def stream_sessions(spark, sf):
-    """The rule of the stream over the whole table; `tests/test_streams.py` holds a stream against it."""
-    events = table(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    found = sessions.gap_sessions(events, "user_id", "ts", "6 hours", "1 hour")
-    return found.select("user_id", F.unix_micros("start").alias("start"), F.unix_micros("stop").alias("stop"), "n")
