@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.records import frame_span, primary_slot
+from tidemill.session import kept
 
 #: The JSON types that a typed fact may have, by what it is to become.
 _TYPES = {"double": ("BIGINT", "DOUBLE", "DECIMAL"), "long": ("BIGINT",), "boolean": ("BOOLEAN",), "string": ("STRING",)}
@@ -43,15 +44,15 @@ def record_index(records: DataFrame, cuts: DataFrame) -> DataFrame:
 
     Slots are exploded, located in `cuts` (cut_id, rate, frames) by one equi-join and gathered again by record. Ids given twice
     are a problem of all their rows."""
-    # Rows are named by their content: a running number could differ between the two readings of a plan.
-    rows = records.withColumn("__row", F.sha2(F.to_json(F.struct("id", "slots")), 256))
+    # Rows are named by their content, and written first: gathered slots may stand in another order at each reading of a plan.
+    rows = kept(records.withColumn("__row", F.sha2(F.to_json(F.struct("id", "slots")), 256)), "records")
     slots = rows.select("__row", "slots").dropDuplicates(["__row"]).select("__row", F.posexplode_outer("slots").alias("pos", "s"))
     found = slots.select("__row", "pos", "s.*").join(cuts.select("cut_id", "rate", "frames"), "cut_id", "left")
     first, length = frame_span(F.col("start"), F.col("duration"), F.col("rate"), F.col("frames"))
     slot = F.struct("pos", "name", "purpose", "cut_id", first.alias("start_frame"), length.alias("num_frames"))
     lost = F.count_if(F.col("cut_id").isNotNull() & F.col("rate").isNull()).alias("lost")
     gathered = found.groupBy("__row").agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), slot))).alias("slots"), lost)
-    twice = records.groupBy("id").agg(F.count("*").alias("__n"))
+    twice = rows.groupBy("id").agg(F.count("*").alias("__n"))
     out = rows.drop("slots").join(gathered, "__row").join(twice, "id").withColumn("main", primary_slot(F.col("slots")))
     problem = F.when(F.col("__n") > 1, "id given twice").when(F.col("lost") > 0, "cut isn't indexed").when(F.col("main").isNull(), "no main slot")
     return out.select(*[c for c in records.columns if c != "slots"], "slots", F.col("main.cut_id").alias("cut_id"), F.col("main.start_frame").alias("start_frame"), F.col("main.num_frames").alias("num_frames"), problem.alias("problem"))
