@@ -91,3 +91,10 @@ def test_queries_that_ask_the_same_are_ranked_once(spark):
     for r in retrieval.ranked_terms(rows, terms, 2, excluded=left_out).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.term))
     assert len(got) == 400 and all(sorted(got[i]) == sorted(got[i % 8]) for i in got) and (1, "ab") in got[1] and sorted(got[0]) == [(1, "b0"), (2, "abc")]
+
+
+def test_no_table_of_queries_is_broadcast(spark):
+    rows = spark.range(50).selectExpr("id AS query_id", "'x' AS pool", "concat('ab', id) AS form")
+    terms = spark.createDataFrame([("x", "ab", "ab")], "pool string, term string, form string")
+    plan = retrieval.ranked_terms(rows, terms, 1, units=False)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [query_id" not in plan and "BroadcastHashJoin [__first" not in plan
