@@ -64,3 +64,20 @@ def test_target_windows(spark, seed):
 def test_no_target_windows(spark):
     empty = spark.createDataFrame([], "k string, who string, id long, start double, stop double")
     assert intervals.target_windows(empty, ["k"], "who", LEAD, LENGTH, LONGEST, REST, SEED).count() == 0
+
+
+@pytest.mark.parametrize("length", [(8.0, 22.0), (0.0, 22.0)])
+def test_last_ends_meet_no_pairs(spark, length):
+    draw = random.Random(5)
+    rows = []
+    for n in range(150):
+        start = round(draw.random() * 60, 1)
+        rows.append(("ab"[n % 2], n, start, start + draw.choice([0.0, 1.0, 9.0, 40.0]), start + length[0] + draw.random() * (length[1] - length[0])))
+    df = spark.createDataFrame(rows, "k string, no int, start double, stop double, until double")
+    found = intervals._last_ends(df, ["k"], length, 16)
+    got = {r.no: r.reach for r in found.collect()}
+    want = {n: max((d for k2, _, c, d, _ in rows if k2 == k and s <= c < u), default=None) for k, n, s, _, u in rows}
+    assert {n: got.get(n) for n in want} == want
+    if length[0]:
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "begin#" not in plan

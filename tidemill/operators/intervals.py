@@ -300,6 +300,34 @@ def closed_windows(df: DataFrame, keys: list[str], lo: float, hi: float, longest
     return fit.join(reached.withColumnRenamed("node", "at"), ["key", "at"], "left_semi").select(*keys, F.col("id").alias(order), "lo", "hi")
 
 
+def _last_ends(rows: DataFrame, own: list[str], length: tuple[float, float], most: int = 256) -> DataFrame:
+    """own, no, reach: the last end (`stop`) of the intervals that begin from each one's `start` on and before its `until`, a length within bounds away.
+
+    Starts are dealt into bins narrower than the least length, so that each stretch is the rest of its first bin, whole bins, and the begin of its
+    last: two sorts in bins, and ends of whole bins, met once for each interval. However dense intervals lie, none meets another. Bins are
+    `most` to the greatest length at most; a shorter stretch may end in its first bin, and is joined with the intervals of that bin alone."""
+    width = max(0.999 * length[0], length[1] / most, 1e-6)
+    rows = rows.withColumns({"bin": F.floor(F.col("start") / width), "to": F.floor(F.col("until") / width)})
+    rest = F.max("stop").over(Window.partitionBy(*own, "bin").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = kept(rows.withColumn("rest", rest), "stretches")
+    marks = rows.select(*own, "bin", F.col("start").alias("t"), F.lit(1).alias("q"), F.col("stop").alias("end"), F.lit(None).cast("int").alias("no"))
+    marks = marks.unionByName(rows.filter("to > bin").select(*own, F.col("to").alias("bin"), F.col("until").alias("t"), F.lit(0).alias("q"), F.lit(None).cast("double").alias("end"), "no"))
+    begun = F.max("end").over(Window.partitionBy(*own, "bin").orderBy("t", "q").rowsBetween(Window.unboundedPreceding, 0))
+    begins = marks.withColumn("begun", begun).filter("q = 0").select(*own, "no", "begun")
+    whole = rows.groupBy(*own, "bin").agg(F.max("stop").alias("end"))
+    steps = F.explode(F.sequence(F.lit(1), F.lit(int(length[1] / width) + 2))).alias("n")
+    ahead = whole.select(*own, (F.col("bin")).alias("at"), "end", steps).select(*own, (F.col("at") - F.col("n")).alias("bin"), "at", "end")
+    ahead = ahead.join(whole.select(*own, "bin"), [*own, "bin"], "left_semi").groupBy(*own, "bin").agg(F.collect_list(F.struct("at", "end")).alias("ahead"))
+    between = F.array_max(F.transform(F.filter("ahead", lambda x: x["at"] < F.col("to")), lambda x: x["end"]))
+    far = rows.filter("to > bin").join(begins, [*own, "no"]).join(ahead, [*own, "bin"], "left")
+    far = far.select(*own, "no", F.greatest("rest", "begun", between).alias("reach"))
+    if length[0] * 0.999 >= width:
+        return far
+    near, other = rows.filter("to = bin").select(*own, "bin", "no", "start", "until"), rows.select(*own, "bin", F.col("start").alias("begin"), "stop")
+    near = near.join(other, [*own, "bin"]).filter((F.col("begin") >= F.col("start")) & (F.col("begin") < F.col("until"))).groupBy(*own, "no").agg(F.max("stop").alias("reach"))
+    return far.unionByName(near)
+
+
 def target_windows(df: DataFrame, keys: list[str], who: str, lead: tuple[float, float], length: tuple[float, float], longest: float, rest: float, seed: int, ends: DataFrame | None = None, order: str = "id") -> DataFrame:
     """Windows around one speaker's intervals (keys, who, id, lo, hi); those of one speaker don't overlap.
 
@@ -318,10 +346,7 @@ def target_windows(df: DataFrame, keys: list[str], who: str, lead: tuple[float,
     marks = rows.select(*own, F.col("stop").alias("t"), F.lit(0).alias("q"), F.col("stop").alias("end"), F.lit(None).cast("int").alias("no")).unionByName(rows.select(*own, F.col("start").alias("t"), F.lit(1).alias("q"), F.lit(None).cast("double").alias("end"), "no"))
     before = F.max("end").over(Window.partitionBy(*own).orderBy("t", "q").rowsBetween(Window.unboundedPreceding, 0))
     ended = marks.withColumn("before", before).filter("q = 1").select(*own, "no", "before")
-    # The ends of the speaker's intervals that begin within the drawn length.
-    spans = rows.select(*own, F.col("no").alias("id"), "start", F.col("drawn").alias("stop"))
-    inside = overlap_join(spans, rows.select(*own, F.col("no").alias("id"), "start", F.greatest("stop", F.col("start") + 1e-9).alias("stop")), own, length[1]).filter((F.col("r_start") >= F.col("l_start")) & (F.col("r_start") < F.col("l_stop")))
-    reach = inside.groupBy(*own, F.col("l_id").alias("no")).agg(F.max("r_stop").alias("reach"))
+    reach = _last_ends(rows.select(*own, "no", "start", "stop", F.col("drawn").alias("until")), own, length)
     rows = rows.join(ended, [*own, "no"]).join(reach, [*own, "no"], "left")
     rows = rows.select(*own, "id", "no", "start", F.greatest("open", F.coalesce("before", F.lit(0.0)), F.lit(0.0)).alias("lo"), F.greatest("drawn", F.coalesce("reach", "drawn")).alias("hi"))
     if ends is not None:
