@@ -254,6 +254,13 @@ def split_leaks(spark, sf):
     return table(spark, sf, "documents").groupBy("source").agg(F.count_distinct(F.col("doc_id") % 3).alias("n")).filter("n > 1")
 
 
+def _same_texts(docs, items):
+    """doc_id and the least item_id of the items with the same compact text. A key that can't be null is made once: the join asks no more of it."""
+    key = F.coalesce(F.sha2(text.compact(F.col("text")), 256), F.lit("")).alias("k")
+    docs, items = (df.filter("text is not null") for df in (docs, items))
+    return docs.select("doc_id", key).join(items.groupBy(key).agg(F.min("item_id").alias("item_id")), "k").select("doc_id", "item_id")
+
+
 @query("J25_planted_texts", "WITH d AS (SELECT doc_id, text FROM documents UNION ALL SELECT -1 - item_id, replace(text, ' ', ', ') FROM benchmark WHERE item_id % 3 = 0) SELECT d.doc_id, min(b.item_id) AS item_id FROM d JOIN benchmark b ON lower(regexp_replace(d.text, '[^a-zA-Z0-9]+', '', 'g')) = lower(regexp_replace(b.text, '[^a-zA-Z0-9]+', '', 'g')) GROUP BY 1")
 def planted_texts(spark, sf):
     held = table(spark, sf, "benchmark")
@@ -265,6 +272,4 @@ def planted_texts(spark, sf):
 
 @query("J25_text_contamination", "SELECT d.doc_id, min(b.item_id) AS item_id FROM documents d JOIN benchmark b ON lower(regexp_replace(d.text, '[^a-zA-Z0-9]+', '', 'g')) = lower(regexp_replace(b.text, '[^a-zA-Z0-9]+', '', 'g')) GROUP BY 1")
 def text_contamination(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.sha2(text.compact(F.col("text")), 256).alias("k"))
-    items = table(spark, sf, "benchmark").groupBy(F.sha2(text.compact(F.col("text")), 256).alias("k")).agg(F.min("item_id").alias("item_id"))
-    return docs.join(items, "k").select("doc_id", "item_id")
+    return _same_texts(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
