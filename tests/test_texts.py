@@ -17,7 +17,7 @@ def test_compact_texts(spark):
     assert {r.i: r.k for r in rows} == {i: None if t is None else re.sub("[^a-zA-Z0-9]+", "", t).lower() for i, t in enumerate(texts)}
 
 
-@pytest.mark.parametrize("name", ["J25_text_contamination"])
+@pytest.mark.parametrize("name", ["J25_text_contamination", "J25_planted_texts"])
 def test_keys_of_texts_are_made_once(spark, name):
     plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan  # eight times slower

@@ -265,9 +265,7 @@ def _same_texts(docs, items):
 def planted_texts(spark, sf):
     held = table(spark, sf, "benchmark")
     planted = held.filter("item_id % 3 = 0").select((-1 - F.col("item_id")).alias("doc_id"), F.replace("text", F.lit(" "), F.lit(", ")).alias("text"))
-    key = F.sha2(text.compact(F.col("text")), 256).alias("k")
-    docs = table(spark, sf, "documents").select("doc_id", "text").unionByName(planted).select("doc_id", key)
-    return docs.join(held.groupBy(key).agg(F.min("item_id").alias("item_id")), "k").select("doc_id", "item_id")
+    return _same_texts(table(spark, sf, "documents").select("doc_id", "text").unionByName(planted), held)
 
 
 @query("J25_text_contamination", "SELECT d.doc_id, min(b.item_id) AS item_id FROM documents d JOIN benchmark b ON lower(regexp_replace(d.text, '[^a-zA-Z0-9]+', '', 'g')) = lower(regexp_replace(b.text, '[^a-zA-Z0-9]+', '', 'g')) GROUP BY 1")
