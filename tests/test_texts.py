@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.functions import text
+from tidemill.functions import text, transcripts
 from tidemill.plans import registry
 
 
@@ -32,3 +33,15 @@ def test_same_texts(spark, tmp_path):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = registry.queries()["J25_text_contamination"](spark, str(tmp_path)).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 8), (2, 8), (4, 6), (5, 6)]
+
+
+def test_only_texts_beyond_ascii_are_composed(spark, tmp_path):
+    texts = [None, "", "Plain, ASCII!", "Ａｂ①", "é", "ﬁ½", "á̧", "각", "中" * 70_000, "İi"] * 30
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(3)
+    got = {r.i: r for r in rows.select("i", text.nfkc(F.col("t")).alias("c"), transcripts.scoring_form(F.col("t")).alias("f")).collect()}
+    for i, t in enumerate(texts):
+        want = None if t is None else unicodedata.normalize("NFKC", t)
+        assert got[i].c == want
+        assert got[i].f == (None if t is None else "".join(c for c in want.lower() if unicodedata.category(c)[0] in "LN"))
+    plan = rows.select(text.nfkc(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "WHEN RLIKE" in plan.replace("CASE WHEN ", "WHEN ").split("run(")[1].split(")#")[0], plan

@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Texts that a Python worker holds as Python strings at a time.
+NFKC_ROWS = 64
+
+
 def nfkc(text: Column) -> Column:
-    """Unicode compatibility composition; Spark has no built-in, so an Arrow UDF."""
+    """Unicode compatibility composition; Spark has no built-in, so an Arrow UDF. ASCII texts stay as they are and don't reach it, the
+    others are composed a few at a time: a worker holds one Arrow batch, whose bytes Spark bounds."""
 
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for at in range(0, len(batch), NFKC_ROWS):
+                yield pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in batch.slice(at, NFKC_ROWS).to_pylist()], pa.string())
 
-    return run(text)
+    return F.coalesce(run(F.when(F.rlike(text, F.lit(r"[^\x00-\x7F]")), text)), text)
 
 
 def plain(text: Column, unicode: bool = True) -> Column:
