@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from tidemill.session import ensure_checkpoints, kept
 
 SLICE_ROWS = 20_000  # rows that one task of a sequential rule holds
+TASK_ROWS = 50_000  # rows that one task of a chain of pointers holds, but for a key that has more
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: float) -> DataFrame:
@@ -236,15 +237,25 @@ def drawn_length(key: Column, seed: int, lo: float, hi: float) -> Column:
     return F.lit(lo) + share * (hi - lo)
 
 
+def _parts(df: DataFrame) -> int:
+    """Into how many parts a table goes so that a task holds TASK_ROWS of its rows, however many there are. It is counted: keep it first."""
+    return max(1, -(-df.count() // TASK_ROWS))
+
+
 def followed(hops: DataFrame, heads: DataFrame, rounds: int = 40) -> DataFrame:
     """The nodes (key, node) that are reached from each key's head by following `next`, by doubling: each round the nodes known
-    so far are joined with twice the step before. Rounds are cut by checkpoints; their number grows with the logarithm of a key's length."""
+    so far are joined with twice the step before. Rounds are cut by checkpoints; their number grows with the logarithm of a key's length.
+    Parts grow in number with the hops, so that tasks don't grow in size."""
     ensure_checkpoints(hops.sparkSession)
-    seen, step = heads.select("key", "node"), hops.filter("next is not null").select("key", "node", "next")
+    step = hops.filter("next is not null").select("key", "node", "next").checkpoint()
+    parts = _parts(step)
+    dealt = lambda df, *by: df.repartition(parts, *by)
+    seen, step = dealt(heads.select("key", "node"), "key", "node"), dealt(step, "key", "node")
     for _ in range(rounds):
         more = seen.join(step, ["key", "node"]).select("key", F.col("next").alias("node"))
-        seen = seen.unionByName(more).distinct().checkpoint()
-        step = step.join(step.select("key", F.col("node").alias("next"), F.col("next").alias("then")), ["key", "next"]).select("key", "node", F.col("then").alias("next")).checkpoint()
+        seen = dealt(seen.unionByName(more), "key", "node").distinct().checkpoint()
+        then = step.select("key", F.col("node").alias("next"), F.col("next").alias("then"))
+        step = dealt(dealt(step, "key", "next").join(then, ["key", "next"]).select("key", "node", F.col("then").alias("next")), "key", "node").checkpoint()
         if not step.limit(1).count():
             break
     return seen
@@ -281,23 +292,27 @@ def closed_windows(df: DataFrame, keys: list[str], lo: float, hi: float, longest
 
     What a window is widened to are islands: the one it begins in, and the last one that begins before its drawn end. So a window depends
     on its interval alone, and the windows are a chain of pointers from each to the first that begins at or after its cursor: sorted
-    look-ups, followed by doubling. No task holds a key's rows."""
-    w = Window.partitionBy(*keys).orderBy("start", "stop", order)
+    look-ups, followed by doubling. Parts grow in number with the rows; a key's rows are sorted in one task, which spills."""
+    df = kept(df.select(*keys, F.col(order).alias("id"), *[F.col(c).cast("double").alias(c) for c in ("start", "stop")]), "intervals")
+    parts = _parts(df)
+    w = Window.partitionBy(*keys).orderBy("start", "stop", "id")
     reach = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    rows = df.withColumns({c: F.col(c).cast("double") for c in ("start", "stop")}).withColumn("at", F.row_number().over(w)).withColumn("new", reach.isNull() | (F.col("start") >= reach))
+    rows = df.repartition(parts, *keys).withColumn("at", F.row_number().over(w)).withColumn("new", reach.isNull() | (F.col("start") >= reach))
     rows = rows.withColumn("lo", F.max(F.when(F.col("new"), F.col("start"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = kept(rows.select(*keys, "at", F.col(order).alias("id"), "lo", "stop", (F.col("start") + drawn_length(F.col(order), seed, lo, hi)).alias("t")), "windows")
-    isles = rows.groupBy(*keys, "lo").agg(F.max("stop").alias("hi")).select(*keys, F.col("lo").alias("t"), F.lit(1).alias("q"), "hi", F.lit(None).cast("int").alias("at"))
-    asked = rows.select(*keys, "t", F.lit(0).alias("q"), F.lit(None).cast("double").alias("hi"), "at")
+    rows = kept(rows.select(*keys, "at", "id", "lo", "stop", (F.col("start") + drawn_length(F.col("id"), seed, lo, hi)).alias("t")), "windows")
+    # An island's intervals all stand at its begin: what has begun before a drawn end reaches as far as their greatest stop.
+    begun = rows.select(*keys, F.col("lo").alias("t"), F.lit(1).alias("q"), F.col("stop").alias("hi"))
+    asked = rows.select(*keys, "t", F.lit(0).alias("q"), F.lit(None).cast("double").alias("hi"), "at", "id", "lo")
     up = Window.partitionBy(*keys).orderBy("t", "q").rowsBetween(Window.unboundedPreceding, 0)
-    ends = isles.unionByName(asked).withColumn("hi", F.max("hi").over(up)).filter("q = 0").select(*keys, "at", F.greatest("t", "hi").alias("hi"))
-    fit = kept(rows.join(ends, [*keys, "at"]).filter(F.col("hi") - F.col("lo") <= longest).select(F.struct(*keys).alias("key"), *keys, "at", "id", "lo", "hi"), "fits")
+    ends = begun.unionByName(asked, allowMissingColumns=True).repartition(parts, *keys).withColumn("hi", F.max("hi").over(up)).filter("q = 0").withColumn("hi", F.greatest("t", "hi"))
+    fit = kept(ends.filter(F.col("hi") - F.col("lo") <= longest).select(F.struct(*keys).alias("key"), *keys, "at", "id", "lo", "hi"), "fits")
     starts = fit.select("key", F.col("lo").alias("t"), F.lit(1).alias("q"), F.col("at").alias("to"), F.lit(None).cast("int").alias("at"))
     cursors = fit.select("key", (F.col("hi") + rest).alias("t"), F.lit(0).alias("q"), F.lit(None).cast("int").alias("to"), "at")
     down = Window.partitionBy("key").orderBy(F.desc("t"), F.desc("q")).rowsBetween(Window.unboundedPreceding, 0)
-    hops = kept(starts.unionByName(cursors).withColumn("next", F.min("to").over(down)).filter("q = 0").select("key", F.col("at").alias("node"), "next"), "hops")
-    reached = followed(hops, fit.groupBy("key").agg(F.min("at").alias("node")))
-    return fit.join(reached.withColumnRenamed("node", "at"), ["key", "at"], "left_semi").select(*keys, F.col("id").alias(order), "lo", "hi")
+    hops = starts.unionByName(cursors).repartition(parts, "key").withColumn("next", F.min("to").over(down)).filter("q = 0").select("key", F.col("at").alias("node"), "next")
+    reached = followed(hops, fit.groupBy("key").agg(F.min("at").alias("node"))).withColumnRenamed("node", "at")
+    picked = fit.repartition(parts, "key", "at").join(reached.repartition(parts, "key", "at"), ["key", "at"], "left_semi")
+    return picked.select(*keys, F.col("id").alias(order), "lo", "hi")
 
 
 def _last_ends(rows: DataFrame, own: list[str], length: tuple[float, float], most: int = 256) -> DataFrame:
