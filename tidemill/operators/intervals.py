@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from tidemill.session import ensure_checkpoints, kept
 
 SLICE_ROWS = 20_000  # rows that one task of a sequential rule holds
-TASK_ROWS = 50_000  # rows that one task of a chain of pointers holds, but for a key that has more
+TASK_ROWS = 200_000  # rows that one task of a chain of pointers holds, but for a key that has more
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: float) -> DataFrame:
@@ -238,8 +238,11 @@ def drawn_length(key: Column, seed: int, lo: float, hi: float) -> Column:
 
 
 def _parts(df: DataFrame) -> int:
-    """Into how many parts a table goes so that a task holds TASK_ROWS of its rows, however many there are. It is counted: keep it first."""
-    return max(1, -(-df.count() // TASK_ROWS))
+    """Into how many parts a table goes so that a task holds at most about TASK_ROWS of its rows, however many there are; small tables go into no more
+    than shuffles have, and than slices. It is counted: keep it first."""
+    n = df.count()
+    few = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // SLICE_ROWS))
+    return max(1, few, -(-n // TASK_ROWS))
 
 
 def followed(hops: DataFrame, heads: DataFrame, rounds: int = 40) -> DataFrame:
